@@ -41,16 +41,25 @@ def full_frame(value: Column, agg: Column, frame: WindowSpec, size: int) -> Colu
     return F.when(F.count(value).over(frame) == size, agg.over(frame))
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation of the rows with both values; NULL when a side is constant (the built-in
+    aggregate raises there under ANSI mode)."""
+    both = x.isNotNull() & y.isNotNull()
+    cx, cy = F.when(both, x), F.when(both, y)
+    spread = F.stddev_pop(cx) * F.stddev_pop(cy)
+    return F.covar_pop(cx, cy) / F.when(spread > 0, spread)
+
+
 def guarded_corr(x: str, y: str, floor: int, digits: int = RANK_DIGITS) -> Column:
     """Pearson correlation of two columns, NULL below ``floor`` pairs or without spread.
 
-    Spread is judged on rounded deviations so that constants which differ only in the
-    last bits count as constants.
+    Spread is judged on rounded deviations so that constants which differ only in the last bits
+    count as constants.
     """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     cx, cy = F.when(both, F.col(x)), F.when(both, F.col(y))
     spread = (F.round(F.stddev_pop(cx), digits) > 0) & (F.round(F.stddev_pop(cy), digits) > 0)
-    return F.when((F.count(cx) >= floor) & spread, F.corr(cx, cy))
+    return F.when((F.count(cx) >= floor) & spread, safe_corr(F.col(x), F.col(y)))
 
 
 def sigmoid(col: Column) -> Column:

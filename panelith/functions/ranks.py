@@ -23,20 +23,20 @@ def fits_window(group_bound: int | None) -> bool:
     return group_bound is not None and group_bound <= WINDOW_GROUP_LIMIT
 
 
-def rank_table(
-    df: DataFrame, keys: list[str], value: str, ranges: int = DEFAULT_RANGES
+def cumulative_table(
+    df: DataFrame, keys: list[str], value: str, measures: dict, ranges: int = DEFAULT_RANGES
 ) -> DataFrame:
-    """One row per (keys, distinct non-null value): ``cnt``, ``below`` (rows with a smaller
-    value), and ``total`` (rows in the group). No task ever holds a whole group."""
+    """One row per (keys, distinct non-null value) with, for every measure (a summable aggregate),
+    ``m``, ``m_below`` (its sum over smaller values) and ``m_total`` (its sum over the group).
+    No task ever holds a whole group."""
+    names = list(measures)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        .agg(*[agg.alias(m) for m, agg in measures.items()])
     )
     steps = [i / ranges for i in range(1, ranges)]
-    bounds = counts.groupBy(*keys).agg(
-        F.percentile_approx(value, steps, 10_000).alias("_cuts")
-    )
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 10_000).alias("_cuts"))
     if keys:
         ranged = counts.join(bounds, keys)
     else:
@@ -45,29 +45,39 @@ def rank_table(
     ranged = ranged.withColumn(
         "_range", F.expr(f"size(filter(_cuts, c -> c < `{value}`))")
     ).drop("_cuts")
-    totals = ranged.groupBy(*keys, "_range").agg(F.sum("cnt").alias("_n"))
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_n_{m}") for m in names])
     # at most `ranges` rows per group here
     by_range = Window.partitionBy(*keys).orderBy("_range")
-    totals = totals.select(
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    group = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = totals.select(
         *keys,
         "_range",
-        F.coalesce(
-            F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("total"),
+        *[F.coalesce(F.sum(f"_n_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in names],
+        *[F.sum(f"_n_{m}").over(group).alias(f"{m}_total") for m in names],
     )
     inside = Window.partitionBy(*keys, "_range").orderBy(value)
-    local = ranged.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum("cnt").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumns(
+        {f"_b_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in names}
     )
-    return local.join(totals, [*keys, "_range"]).select(
-        *keys, value, "cnt", (F.col("_before") + F.col("_offset")).alias("below"), "total"
+    return local.join(offsets, [*keys, "_range"]).select(
+        *keys,
+        value,
+        *names,
+        *[(F.col(f"_b_{m}") + F.col(f"_o_{m}")).alias(f"{m}_below") for m in names],
+        *[f"{m}_total" for m in names],
     )
 
 
+def rank_table(
+    df: DataFrame, keys: list[str], value: str, ranges: int = DEFAULT_RANGES
+) -> DataFrame:
+    """Per (keys, distinct value): ``cnt``, ``below`` (rows with a smaller value), ``total``."""
+    table = cumulative_table(df, keys, value, {"cnt": F.count(F.lit(1))}, ranges)
+    return table.withColumnsRenamed({"cnt_below": "below", "cnt_total": "total"})
+
+
 def tie_rank(
     df: DataFrame,
     keys: list[str],

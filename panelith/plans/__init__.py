@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("windows", "labels")
+MODULES = ("windows", "labels", "scoring", "evaluation")
 
 
 def load_registry():
