@@ -150,3 +150,21 @@ def order_number(
         .withColumn(number, (F.col("_major") + F.col("_minor")).cast("long"))
         .drop("_rv", "_major", "_minor")
     )
+
+
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, qs: list[float], name: str = "q"
+) -> DataFrame:
+    """(keys, q0, q1, ...): linearly interpolated quantiles of groups of any size, read off the
+    counts per distinct value instead of one sorted buffer."""
+    table = rank_table(df, keys, value)
+    aggs = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("total") - 1)
+        first, last = F.col("below"), F.col("below") + F.col("cnt") - 1
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at_lo = F.max(F.when((first <= lo) & (lo <= last), F.col(value)))
+        at_hi = F.max(F.when((first <= hi) & (hi <= last), F.col(value)))
+        frac = F.max(pos - lo)
+        aggs.append((at_lo + (at_hi - at_lo) * frac).alias(f"{name}{i}"))
+    return table.groupBy(*keys).agg(*aggs)

@@ -311,7 +311,7 @@ def classification_metrics(spark, sf):
 
 
 @register("confusion_matrix", "truth:i pred:i n:i", "cls", """
-SELECT a AS truth, b AS pred, (SELECT count(*) FROM cls WHERE truth = a AND pred = b) AS n FROM range(3) x(a), range(3) y(b)""")
+SELECT x.i AS truth, y.j AS pred, count(c.dt) AS n FROM range(3) x(i) CROSS JOIN range(3) y(j) LEFT JOIN cls c ON c.truth = x.i AND c.pred = y.j GROUP BY 1, 2""")
 def confusion_matrix(spark, sf):
     return E.confusion_matrix(class_rows(spark, sf), "truth", "pred", [0, 1, 2])
 
@@ -454,7 +454,7 @@ def stratified_gate(spark, sf):
 
 
 @register("health_gate", "dt:d n:i n_present:i n_finite:i n_unique_alpha:i nonfinite_rate:f alpha_modal_fraction:f sign_skew:f saturation_rate:f failed_check:s passed:b", "feat", f"""
-, b AS (SELECT dt, mom_4, ret_13, least({CLIP}, greatest(-{CLIP}, -0.3 * mom_4)) AS al FROM feat),
+, b AS (SELECT dt, mom_4, ret_13, CASE WHEN mom_4 IS NOT NULL THEN least({CLIP}, greatest(-{CLIP}, -0.3 * mom_4)) END AS al FROM feat),
 h AS (SELECT dt, mom_4 IS NOT NULL AS present, CASE WHEN ret_13 IS NOT NULL THEN al END AS g, round(0.5 + al / {2 * CLIP}, 4) AS p FROM b),
 a AS (SELECT dt, count(*) AS n, sum(present::INT) AS n_present, count(g) AS n_finite, sum(CASE WHEN present AND g IS NULL THEN 1 ELSE 0 END) AS nb, count(DISTINCT round(g, 9)) AS n_unique_alpha,
   sum(CASE WHEN g > 0 THEN 1 ELSE 0 END) AS np, sum(CASE WHEN g < 0 THEN 1 ELSE 0 END) AS nn, count(p) AS pc, sum(CASE WHEN p <= 0.011 OR p >= 0.989 THEN 1 ELSE 0 END) AS sat FROM h GROUP BY dt),

@@ -368,3 +368,12 @@ SELECT entity, dt, close FROM panel QUALIFY row_number() OVER (ORDER BY dt DESC,
 def recency_cap(spark, sf):
     base = panel(spark, sf).select("entity", "dt", "close")
     return W.recency_cap(base, base.count() // 2 + 1)
+
+
+def class_rows_source(spark, sf):
+    """Market rows for the state classifier: trailing return, breadth, forward label."""
+    market = P.market_series(P.price_panel(spark, sf))
+    w = W.Window.orderBy("dt")
+    back = market.withColumn("back", F.col("market_close") / F.lag("market_close", 4).over(w) - 1)
+    rows = back.join(weekly_breadth(spark, sf).withColumnRenamed("market_breadth", "breadth"), "dt")
+    return rows.join(W.regime_labels(market, 4), "dt").where("back IS NOT NULL")
