@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelith.functions.columns import RANK_DIGITS
+from panelith.session import cut_lineage
 
 WINDOW_GROUP_LIMIT = 500_000
 DEFAULT_RANGES = 256
@@ -86,14 +87,18 @@ def tie_rank(
     size: str | None = None,
     group_bound: int | None = None,
     digits: int | None = RANK_DIGITS,
+    staged: bool = False,
 ) -> DataFrame:
     """Adds the tie-averaged 1-based rank of ``value`` within ``keys`` (NULL for a NULL value)
-    and, on request, the number of non-null values in the group."""
+    and, on request, the number of non-null values in the group. Without a bound the input is used
+    twice, so it is written once first unless it already comes from files (``staged``)."""
+    windowed = fits_window(group_bound)
+    if not windowed and not staged:
+        df = cut_lineage(df)
     rounded = F.round(F.col(value), digits) if digits is not None else F.col(value)
     df = df.withColumn("_rv", rounded)
-    if fits_window(group_bound):
-        group = Window.partitionBy(*keys)
-        order = group.orderBy(F.col("_rv").asc_nulls_last())
+    if windowed:
+        order = Window.partitionBy(*keys).orderBy(F.col("_rv").asc_nulls_last())
         ties = order.rangeBetween(Window.currentRow, Window.currentRow)
         whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         out = df.withColumn(
@@ -130,12 +135,16 @@ def order_number(
     descending: bool = False,
     group_bound: int | None = None,
     digits: int | None = RANK_DIGITS,
+    staged: bool = False,
 ) -> DataFrame:
-    """Adds a 1-based position by (value, tiebreak); ``tiebreak`` is unique within the group and
-    always ascending. NULL values come last."""
+    """Adds a 1-based position by (value, tiebreak); ``tiebreak`` is a number, unique within the
+    group and always ascending. NULL values come last."""
+    windowed = fits_window(group_bound)
+    if not windowed and not staged:
+        df = cut_lineage(df)
     rounded = F.round(F.col(value), digits) if digits is not None else F.col(value)
     df = df.withColumn("_rv", -rounded if descending else rounded)
-    if fits_window(group_bound):
+    if windowed:
         order = Window.partitionBy(*keys).orderBy(F.col("_rv").asc_nulls_last(), tiebreak)
         return df.withColumn(number, F.row_number().over(order)).drop("_rv")
     # NULLs sort behind every number

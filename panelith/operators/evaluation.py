@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelith.functions.columns import finite, guarded_corr, ratio, safe_corr
-from panelith.functions.ranks import cumulative_table, order_number, tie_rank
+from panelith.functions.ranks import cumulative_table, fits_window, order_number, tie_rank
 from panelith.operators.windows import nonoverlap_rows
+from panelith.session import cut_lineage
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -42,8 +43,10 @@ def rank_ic(
     both = rows.select(*keys, finite(pred).alias("_p"), finite(actual).alias("_a")).dropna(
         subset=["_p", "_a"]
     )
-    both = tie_rank(both, keys, "_p", "_rp", group_bound=group_bound)
-    both = tie_rank(both, keys, "_a", "_ra", group_bound=group_bound)
+    if not fits_window(group_bound):
+        both = cut_lineage(both)
+    both = tie_rank(both, keys, "_p", "_rp", group_bound=group_bound, staged=True)
+    both = tie_rank(both, keys, "_a", "_ra", group_bound=group_bound, staged=True)
     return both.groupBy(*keys).agg(
         guarded_corr("_rp", "_ra", floor).alias("ic"), F.count(F.lit(1)).alias("n")
     )
@@ -87,8 +90,9 @@ def realized_read(
 ) -> DataFrame:
     """Pooled rank IC of matured pairs with their number and the distinct ISO weeks they cover."""
     keys = by or []
-    ic = pooled_rank_ic(rows, pred, actual, keys, floor)
-    matured = rows.where(finite(pred).isNotNull() & finite(actual).isNotNull())
+    known = finite(pred).isNotNull() & finite(actual).isNotNull()
+    matured = cut_lineage(rows.where(known).select(*keys, "dt", pred, actual))
+    ic = pooled_rank_ic(matured, pred, actual, keys, floor)
     weeks = matured.groupBy(*keys).agg(F.countDistinct(iso_week()).alias("n_weeks"))
     return ic.join(weeks, keys) if keys else ic.crossJoin(weeks)
 
@@ -210,9 +214,10 @@ def bootstrap_ic_ci(
         *keys, dt, F.round(finite(pred), 10).alias("_p"), F.round(finite(actual), 10).alias("_a")
     ).dropna(subset=["_p", "_a"])
     # equal pairs of one date travel together
-    both = both.groupBy(*keys, dt, "_p", "_a").agg(F.count(F.lit(1)).alias("_c"))
+    both = cut_lineage(both.groupBy(*keys, dt, "_p", "_a").agg(F.count(F.lit(1)).alias("_c")))
     n_dates = both.groupBy(*keys).agg(F.countDistinct(dt).alias("n_dates"))
-    draws = date_draws(both, n_iter, seed, keys, dt)
+    # dates x iterations, used by every branch below
+    draws = cut_lineage(date_draws(both, n_iter, seed, keys, dt))
     sample = both.join(draws, [*keys, dt]).withColumn("_w", F.col("_c") * F.col("times"))
 
     def weighted_rank(value: str, name: str) -> DataFrame:
@@ -253,9 +258,11 @@ def horizon_battery(
     """One row per (horizon, scope): overall with its interval, the non-overlapping subsample, and
     each regime. rows: (entity, dt, pred, regime, fwd_<h>...)."""
     cols = [f"fwd_{h}" for h in horizons]
-    long = rows.select("entity", "dt", pred, regime, *cols).unpivot(
+    rows = cut_lineage(rows.select("entity", "dt", pred, regime, *cols))
+    long = rows.unpivot(
         ["entity", "dt", pred, regime], cols, "horizon", "actual"
     ).withColumn("horizon", F.expr("cast(substring(horizon, 5) as int)"))
+    long = cut_lineage(long)
     overall = rank_ic(long, ["horizon"], pred, "actual", floor).withColumn("scope", F.lit("overall"))
     interval = bootstrap_ic_ci(long, pred, "actual", n_iter, seed=seed, by=["horizon"])
     interval = interval.select("horizon", F.lit("overall").alias("scope"), "ci_lo", "ci_hi")
@@ -570,6 +577,7 @@ def feature_fold_ic(
     long = long_features(rows, features, [fold, actual]).withColumns(
         {"value": finite("value"), actual: finite(actual)}
     ).dropna(subset=["value", actual])
+    long = cut_lineage(long)
     keys = ["feature", fold]
     pearson = long.groupBy(*keys).agg(
         guarded_corr("value", actual, floor).alias("p"), F.count(F.lit(1)).alias("n")

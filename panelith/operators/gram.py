@@ -148,12 +148,13 @@ def linear_value(features: list[str]) -> Column:
 
 def score_linear(
     rows: DataFrame, models: DataFrame, features: list[str], on: list[str] | None = None,
-    pred: str = "pred", with_std: bool = False,
+    pred: str = "pred", with_std: bool = False, carry: list[str] | None = None,
 ) -> DataFrame:
-    """Predictions of joined models; one model row in all is broadcast, others join on ``on``."""
+    """Predictions of joined models; one model row in all is broadcast, others join on ``on``.
+    ``carry`` keeps further model keys, one prediction per row and model."""
     cols = ["coef", "intercept", "noise", "centre", "cov"]
     if on:
-        joined = rows.join(models.select(*on, *cols), on)
+        joined = rows.join(models.select(*on, *(carry or []), *cols), on)
     else:
         joined = rows.crossJoin(F.broadcast(models.select(*cols)))
     out = joined.withColumn(pred, linear_value(features))

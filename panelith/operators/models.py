@@ -17,6 +17,7 @@ from panelith.functions.ranks import exact_quantiles, order_number, tie_rank
 from panelith.operators import evaluation as E
 from panelith.operators import folds as FD
 from panelith.operators import gram as G
+from panelith.session import cut_lineage
 
 # Score buckets of the hit-rate calibrator.
 BUCKETS = ((0, 40), (40, 55), (55, 65), (65, 75), (75, 85), (85, 100))
@@ -68,7 +69,9 @@ def holdout_gate(
     tiebreak: str = "entity",
 ) -> DataFrame:
     """Calibrator fitted on the early rows against score/100 on the last ``share`` by date."""
-    known = rows.where(finite(score).isNotNull() & finite(hit).isNotNull())
+    known = cut_lineage(
+        rows.where(finite(score).isNotNull() & finite(hit).isNotNull()).select(dt, tiebreak, score, hit)
+    )
     per_date = known.groupBy(dt).agg(F.count(F.lit(1)).alias("_c"))
     earlier = Window.partitionBy(F.lit(1)).orderBy(dt).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(1))
@@ -76,7 +79,7 @@ def holdout_gate(
         dt, F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_o"), F.sum("_c").over(whole).alias("_n")
     )
     placed = order_number(
-        known.withColumn("_same", F.lit(0.0)), [dt], "_same", tiebreak, "_r"
+        known.withColumn("_same", F.lit(0.0)), [dt], "_same", tiebreak, "_r", staged=True
     ).join(offsets, dt)
     hold = F.least(F.greatest(F.round(F.col("_n") * share), F.lit(min_n)), F.col("_n") - min_n)
     placed = placed.withColumn("_fit", F.col("_o") + F.col("_r") <= F.col("_n") - hold)
@@ -110,7 +113,8 @@ def probability(model, rows: DataFrame, out: str) -> DataFrame:
 def fit_calibrator(rows: DataFrame, alpha: str, label: str, method: str = "isotonic", c: float = 1.0):
     """(score function, ECE before, ECE after): logistic or isotonic map of alpha to probability,
     kept inside [0.01, 0.99]."""
-    data = rows.select(finite(alpha).alias("alpha"), finite(label).alias("label")).dropna()
+    # fitted over several passes: computed once
+    data = cut_lineage(rows.select(finite(alpha).alias("alpha"), finite(label).alias("label")).dropna())
     if method == "isotonic":
         model = IsotonicRegression(featuresCol="alpha", labelCol="label").fit(data)
 
@@ -162,7 +166,8 @@ def auc_brier(rows: DataFrame, p: str, label: str, group_bound: int | None = Non
 
 def fit_meta_label(rows: DataFrame, features: list[str], label: str):
     """Class-balanced logistic model of a 0/1 label, then a logistic recalibration of its score."""
-    data = balanced_weight(assemble(rows.where(finite(label).isNotNull()), features), label)
+    known = cut_lineage(rows.where(finite(label).isNotNull()).select(*features, label))
+    data = balanced_weight(assemble(known, features), label)
     model = LogisticRegression(labelCol=label, weightCol="weight", regParam=1e-3).fit(data)
     scored = probability(model, data, "score")
     calibrator = LogisticRegression(labelCol=label, featuresCol="cal", regParam=0.0).fit(
@@ -199,9 +204,10 @@ def fit_gbt(
     seed: int = 42,
 ):
     """(model, importances) of boosted trees on |y| that stop early on the validation rows."""
-    data = assemble(rows.where(finite(y).isNotNull()), features).withColumns(
-        {"_y": F.abs(finite(y)), "_val": validation}
+    known = cut_lineage(
+        rows.where(finite(y).isNotNull()).select(*features, F.abs(finite(y)).alias("_y"), validation.alias("_val"))
     )
+    data = assemble(known, features)
     model = GBTRegressor(
         labelCol="_y", maxIter=max_iter, maxDepth=depth, validationIndicatorCol="_val", seed=seed,
         predictionCol="gbt_pred",
@@ -217,6 +223,7 @@ def fit_research_gbt(
 ):
     """Rows with ``out`` rewritten by a boosted classifier fitted on the early 80 % of dates; below
     ``min_rows`` labelled rows they come back unchanged."""
+    rows = cut_lineage(rows)
     known = rows.where(finite(label).isNotNull())
     if known.count() < min_rows:
         return rows, None
@@ -230,7 +237,7 @@ def fit_research_gbt(
 
 def fit_state_classifier(rows: DataFrame, features: list[str], label: str, reg: float = 1e-3):
     """Class-balanced multinomial logistic model; adds ``state`` and one probability per class."""
-    data = balanced_weight(assemble(rows, features), label)
+    data = balanced_weight(assemble(cut_lineage(rows.select(*features, label)), features), label)
     model = LogisticRegression(labelCol=label, weightCol="weight", family="multinomial", regParam=reg).fit(data)
 
     def score(df: DataFrame) -> DataFrame:
@@ -277,6 +284,7 @@ def oos_read(
     ``n_iter`` is positive. Groups without ten predictions report too few folds."""
     keys = by or ["model"]
     rows = preds if by else preds.withColumn("model", F.lit("all"))
+    rows = cut_lineage(rows.select(*keys, "fold_id", "entity", "dt", y, "pred"))
     series = E.ic_series(rows, "pred", y, keys, group_bound)
     out = E.mean_rank_ic(series, keys).withColumnRenamed("mean_ic", "xsec_ic")
     pooled = E.pooled_rank_ic(rows, "pred", y, keys).withColumnRenamed("ic", "pooled_ic")
@@ -295,7 +303,7 @@ def leakfree_oos_ic(
 ) -> DataFrame:
     """Second-level walk-forward read. With ``estimator`` (any Spark ML regressor on ``features``)
     each fold is one distributed fit; the default shares per-date statistics between folds."""
-    known = rows.dropna(subset=[*features, y])
+    known = cut_lineage(rows.dropna(subset=[*features, y]).select("entity", "dt", *features, y))
     folds = FD.expanding_folds(known, forward, n_folds=n_folds, min_test=min_test)
     if estimator is None:
         preds = oos_predictions(known, features, y, folds)
@@ -309,6 +317,7 @@ def estimator_predictions(
 ) -> DataFrame:
     """Out-of-fold predictions of an ML estimator: a driver loop over a handful of folds."""
     data = assemble(rows, features).withColumn("label", F.col(y))
+    folds = cut_lineage(folds)
     out = None
     for r in folds.select("fold_id").distinct().orderBy("fold_id").collect():
         part = folds.where(F.col("fold_id") == r["fold_id"])
@@ -336,7 +345,7 @@ def cpcv_ic(
     group_bound: int | None = None,
 ) -> DataFrame:
     """(fold_id, ic, n_dates): mean cross-sectional IC of every combination."""
-    known = rows.dropna(subset=[*features, y])
+    known = cut_lineage(rows.dropna(subset=[*features, y]).select("entity", "dt", *features, y))
     folds = FD.cpcv_folds(known, forward, n_groups=n_groups, k_test=k_test)
     preds = oos_predictions(known, features, y, folds)
     series = E.ic_series(preds, "pred", y, ["fold_id"], group_bound)
@@ -371,6 +380,7 @@ def horizon_curve(
     long = known.unpivot(["entity", "dt", *features], cols, "horizon", "actual").where(
         finite("actual").isNotNull()
     ).withColumn("horizon", F.expr("cast(substring(horizon, 5) as int)"))
+    long = cut_lineage(long)
     folds = None
     for h in horizons:
         part = FD.expanding_folds(
@@ -397,7 +407,7 @@ def feature_variants(
     rows: call it with that column absent from ``features``.
     """
     spark = rows.sparkSession
-    known = rows.dropna(subset=[*features, y])
+    known = cut_lineage(rows.dropna(subset=[*features, y]).select("entity", "dt", *features, y))
     folds = FD.expanding_folds(known, forward, n_folds=n_folds, min_test=min_test)
     table = spark.createDataFrame(
         [(name, [features.index(f) for f in use]) for name, use in variants.items()],
@@ -407,14 +417,14 @@ def feature_variants(
     grams = G.fold_gram(G.gram_table(known, features, y, ["dt"]), folds, k, ["fold_id"]).where("n >= 50")
     models = G.solve_rows(grams.crossJoin(F.broadcast(table)), ["fold_id", "variant"], k, "use")
     held = known.join(folds.where("role = 'test'").drop("role"), "dt")
-    preds = G.score_linear(held, models, features, ["fold_id"])
+    preds = G.score_linear(held, models, features, ["fold_id"], carry=["variant"])
     return oos_read(preds, y, ["variant"], group_bound=group_bound)
 
 
 def leave_one_out(rows: DataFrame, features: list[str], y: str, forward: int, **kw) -> DataFrame:
     """Full model and every model without one feature, with the IC the feature adds."""
     variants = {"full": features} | {f"without_{f}": [g for g in features if g != f] for f in features}
-    reads = feature_variants(rows, features, y, forward, variants, **kw)
+    reads = cut_lineage(feature_variants(rows, features, y, forward, variants, **kw))
     full = reads.where("variant = 'full'").select(F.col("xsec_ic").alias("_full"))
     return reads.crossJoin(F.broadcast(full)).withColumn("ic_added", F.col("_full") - F.col("xsec_ic")).drop("_full")
 
@@ -430,15 +440,16 @@ def permutation_importance(
     """(feature, ic_drop): loss of in-sample IC when one column is shuffled. The shuffle is a join of
     two hash orders of the same rows, so it needs no global sort in one task."""
     model = models.select("coef")
-    base = scored.withColumn("_h0", F.xxhash64("entity", "dt").cast("double"))
-    base = order_number(base, [], "_h0", "_id", "_pos", digits=None) if "_id" in base.columns else order_number(
-        base.withColumn("_id", F.concat_ws("|", "entity", "dt")), [], "_h0", "_id", "_pos", digits=None
-    )
+    # a number unique per (entity, dt)
+    ident = F.col("entity").cast("long") * 100_000 + F.datediff("dt", F.lit("1970-01-01").cast("date"))
+    thin = scored.select("entity", "dt", *features, y, pred, ident.alias("_id"))
+    thin = cut_lineage(thin.withColumn("_h0", F.xxhash64("_id").cast("double")))
+    base = cut_lineage(order_number(thin, [], "_h0", "_id", "_pos", digits=None, staged=True))
     out = None
     for i, f in enumerate(features):
         donors = order_number(
             base.select("_id", F.col(f).alias("_x"), F.xxhash64(F.lit(f), "_id").cast("double").alias("_h")),
-            [], "_h", "_id", "_pos2", digits=None,
+            [], "_h", "_id", "_pos2", digits=None, staged=True,
         ).select(F.col("_pos2").alias("_pos"), "_x")
         mixed = base.join(donors, "_pos").crossJoin(F.broadcast(model)).withColumn(
             "_p", F.col(pred) + F.get("coef", F.lit(i)) * (F.col("_x") - F.col(f))

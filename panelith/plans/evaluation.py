@@ -16,6 +16,7 @@ from panelith.plans.base import FEATURES, aligned, features, forward, panel, sql
 from panelith.plans.registry import cte, register
 from panelith.plans.scoring import CLIP, coarse, predictions, residual_score
 from panelith.plans.windows import daily_macro
+from panelith.session import cut_lineage
 from panelith.sources import panel as P
 
 SPECS = ["mom_4", "ret_13", "vs_ma10", "rsi", "stale"]
@@ -280,7 +281,7 @@ SELECT feature, ic, n, n_weeks, beats AS beats_champion, beats AND n_weeks >= 4
  row_number() OVER (ORDER BY (beats AND n_weeks >= 4 AND n >= 20) DESC, round(ic, 10) DESC, feature) AS place FROM j""")
 def challenger_leaderboard(spark, sf):
     long = E.long_features(eval_rows(spark, sf), SPECS, ["entity", "dt", "fwd_ret"])
-    reads = E.realized_read(long, "value", "fwd_ret", ["feature"])
+    reads = cut_lineage(E.realized_read(long, "value", "fwd_ret", ["feature"]))
     champion = reads.where("feature = 'mom_4'")
     return E.challenger_leaderboard(reads.where("feature <> 'mom_4'"), champion, version="feature")
 

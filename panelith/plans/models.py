@@ -437,8 +437,8 @@ AS_OF, FIT_BEFORE = "2000-06-05", "2000-05-01"
 {sql_bayes('st', 'model')},
 f AS (SELECT * FROM (SELECT entity, dt, coalesce(mom_4, 0) AS x0, coalesce(lag(mom_4, 8) OVER (PARTITION BY entity ORDER BY dt), 0) AS x1 FROM feat) WHERE dt = DATE '{AS_OF}'),
 a AS (SELECT f.*, least({CLIP}, greatest(-{CLIP}, b + c0 * x0 + c1 * x1)) AS al FROM f, model),
-c AS (SELECT *, al - avg(al) OVER () AS ce, count(*) OVER () AS n FROM a),
-p AS (SELECT *, 0.5 + least({CLIP}, greatest(-{CLIP}, round(ce, 10))) / {2 * CLIP} AS p FROM c),
+cc AS (SELECT *, al - avg(al) OVER () AS ce, count(*) OVER () AS n FROM a),
+p AS (SELECT *, 0.5 + least({CLIP}, greatest(-{CLIP}, round(ce, 10))) / {2 * CLIP} AS p FROM cc),
 r AS (SELECT entity, dt, n, round(ce, 6) AS predicted_alpha, round(p, 4) AS p_up, CASE WHEN round(p, 10) >= 0.5 THEN 'UP' ELSE 'DOWN' END AS predicted_direction, round(abs(p - 0.5) * 2, 4) AS prediction_confidence,
   row_number() OVER (ORDER BY round(round(ce, 6), 10) DESC, entity) AS combined_rank FROM p),
 g AS (SELECT dt, market_close / lag(market_close, 4) OVER (ORDER BY dt) - 1 AS m FROM market)

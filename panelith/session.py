@@ -56,6 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the plan restarts from files that outlive executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes the rows below the shared folder and reads them back.
+
+    For inputs that several branches of one plan use: they are computed once, the files outlive any
+    executor, and their sizes are known to the planner (join strategies are chosen from them).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
