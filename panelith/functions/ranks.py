@@ -17,7 +17,8 @@ from panelith.functions.columns import RANK_DIGITS
 from panelith.session import cut_lineage
 
 WINDOW_GROUP_LIMIT = 500_000
-DEFAULT_RANGES = 256
+# ranges per group; the square root is the fan-out of the two-step search for a value's range
+RANGES, FAN = 256, 16
 
 
 def fits_window(group_bound: int | None) -> bool:
@@ -25,7 +26,7 @@ def fits_window(group_bound: int | None) -> bool:
 
 
 def cumulative_table(
-    df: DataFrame, keys: list[str], value: str, measures: dict, ranges: int = DEFAULT_RANGES
+    df: DataFrame, keys: list[str], value: str, measures: dict
 ) -> DataFrame:
     """One row per (keys, distinct non-null value) with, for every measure (a summable aggregate),
     ``m``, ``m_below`` (its sum over smaller values) and ``m_total`` (its sum over the group).
@@ -36,18 +37,26 @@ def cumulative_table(
         .groupBy(*keys, value)
         .agg(*[agg.alias(m) for m, agg in measures.items()])
     )
-    steps = [i / ranges for i in range(1, ranges)]
+    steps = [i / RANGES for i in range(1, RANGES)]
     bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 10_000).alias("_cuts"))
+    # the cuts ascend: find the block of FAN cuts first, then the place inside it
+    bounds = bounds.withColumn(
+        "_coarse", F.expr(f"transform(sequence(1, {FAN - 1}), k -> _cuts[{FAN} * k - 1])")
+    )
     if keys:
         ranged = counts.join(bounds, keys)
     else:
-        # one row of at most `ranges` cut points
+        # one row of RANGES - 1 cut points
         ranged = counts.crossJoin(F.broadcast(bounds))
     ranged = ranged.withColumn(
-        "_range", F.expr(f"size(filter(_cuts, c -> c < `{value}`))")
-    ).drop("_cuts")
+        "_block", F.expr(f"size(filter(_coarse, c -> c < `{value}`)) * {FAN}")
+    )
+    inner = f"size(filter(slice(_cuts, _block + 1, {FAN - 1}), c -> c < `{value}`))"
+    ranged = ranged.withColumn("_range", F.col("_block") + F.expr(inner)).drop(
+        "_cuts", "_coarse", "_block"
+    )
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_n_{m}") for m in names])
-    # at most `ranges` rows per group here
+    # at most RANGES rows per group here
     by_range = Window.partitionBy(*keys).orderBy("_range")
     earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
     group = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -71,11 +80,9 @@ def cumulative_table(
     )
 
 
-def rank_table(
-    df: DataFrame, keys: list[str], value: str, ranges: int = DEFAULT_RANGES
-) -> DataFrame:
+def rank_table(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per (keys, distinct value): ``cnt``, ``below`` (rows with a smaller value), ``total``."""
-    table = cumulative_table(df, keys, value, {"cnt": F.count(F.lit(1))}, ranges)
+    table = cumulative_table(df, keys, value, {"cnt": F.count(F.lit(1))})
     return table.withColumnsRenamed({"cnt_below": "below", "cnt_total": "total"})
 
 

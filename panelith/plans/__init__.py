@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("windows", "labels", "scoring", "evaluation", "joins", "models")
+MODULES = ("windows", "labels", "scoring", "evaluation", "joins", "models", "streams")
 
 
 def load_registry():

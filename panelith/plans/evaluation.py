@@ -455,7 +455,7 @@ def stratified_gate(spark, sf):
 
 
 @register("health_gate", "dt:d n:i n_present:i n_finite:i n_unique_alpha:i nonfinite_rate:f alpha_modal_fraction:f sign_skew:f saturation_rate:f failed_check:s passed:b", "feat", f"""
-, b AS (SELECT dt, mom_4, ret_13, CASE WHEN mom_4 IS NOT NULL THEN least({CLIP}, greatest(-{CLIP}, -0.3 * mom_4)) END AS al FROM feat),
+, b AS (SELECT dt, mom_4, ret_13, CASE WHEN mom_4 IS NOT NULL THEN least({CLIP}, greatest(-{CLIP}, -0.1 * mom_4)) END AS al FROM feat),
 h AS (SELECT dt, mom_4 IS NOT NULL AS present, CASE WHEN ret_13 IS NOT NULL THEN al END AS g, round(0.5 + al / {2 * CLIP}, 4) AS p FROM b),
 a AS (SELECT dt, count(*) AS n, sum(present::INT) AS n_present, count(g) AS n_finite, sum(CASE WHEN present AND g IS NULL THEN 1 ELSE 0 END) AS nb, count(DISTINCT round(g, 9)) AS n_unique_alpha,
   sum(CASE WHEN g > 0 THEN 1 ELSE 0 END) AS np, sum(CASE WHEN g < 0 THEN 1 ELSE 0 END) AS nn, count(p) AS pc, sum(CASE WHEN p <= 0.011 OR p >= 0.989 THEN 1 ELSE 0 END) AS sat FROM h GROUP BY dt),
@@ -466,7 +466,7 @@ SELECT *, failed_check IS NULL AS passed FROM (SELECT *, CASE WHEN n < 5 THEN NU
  WHEN n_finite >= 5 AND sign_skew >= 0.97 THEN 'alpha_sign_skew' WHEN pc >= 5 AND saturation_rate > 0.25 THEN 'saturation_rate' END AS failed_check FROM r)""")
 def health_gate(spark, sf):
     # a model that needs the 13-week return emits NaN without it
-    rows = features(spark, sf).withColumn("alpha", X.clip_col(-0.3 * F.col("mom_4"), CLIP))
+    rows = features(spark, sf).withColumn("alpha", X.clip_col(-0.1 * F.col("mom_4"), CLIP))
     rows = rows.withColumns(X.to_probability(F.col("alpha"), CLIP))
     broken = F.col("alpha").isNotNull() & F.col("ret_13").isNull()
     rows = rows.withColumn("predicted_alpha", F.when(broken, F.lit(float("nan"))).otherwise(F.col("alpha")))

@@ -129,13 +129,13 @@ def guardrail_flags(spark, sf):
 cte("pred", "feat", f"""
 SELECT entity, dt, sector, mom_4, predicted_alpha, round(p, 4) AS p_up, round(1 - p, 4) AS p_down, CASE WHEN round(p, 10) >= 0.5 THEN 'UP' ELSE 'DOWN' END AS predicted_direction,
  round(abs(p - 0.5) * 2, 4) AS prediction_confidence FROM (
- SELECT *, 0.5 + predicted_alpha / {2 * CLIP} AS p FROM (SELECT *, least({CLIP}, greatest(-{CLIP}, -0.3 * mom_4)) AS predicted_alpha FROM feat WHERE mom_4 IS NOT NULL))""")
+ SELECT *, 0.5 + predicted_alpha / {2 * CLIP} AS p FROM (SELECT *, least({CLIP}, greatest(-{CLIP}, -0.1 * mom_4)) AS predicted_alpha FROM feat WHERE mom_4 IS NOT NULL))""")
 
 
 def predictions(spark, sf):
     """Mean-reversion alpha per entity and week with its linear probabilities."""
     rows = features(spark, sf).where("mom_4 IS NOT NULL").withColumn(
-        "predicted_alpha", X.clip_col(-0.3 * F.col("mom_4"), CLIP))
+        "predicted_alpha", X.clip_col(-0.1 * F.col("mom_4"), CLIP))
     return rows.withColumns(X.to_probability(F.col("predicted_alpha"), CLIP))
 
 
@@ -150,14 +150,14 @@ def clip_col(spark, sf):
 
 
 cte("coarse", "pred", """
-SELECT *, CASE WHEN predicted_alpha > 0.13 THEN 0.7 WHEN predicted_alpha >= 0 THEN 0.55 ELSE 0.45 END AS q FROM pred""")
+SELECT *, CASE WHEN predicted_alpha > 0.043 THEN 0.7 WHEN predicted_alpha >= 0 THEN 0.55 ELSE 0.45 END AS q FROM pred""")
 
 
 def coarse(spark, sf):
     """Predictions through a three-step calibrator, which collapses on calm dates."""
     a = F.col("predicted_alpha")
     rows = predictions(spark, sf)
-    return rows.withColumns(X.to_probability(a, CLIP, F.when(a > 0.13, 0.7).when(a >= 0, 0.55).otherwise(0.45)))
+    return rows.withColumns(X.to_probability(a, CLIP, F.when(a > 0.043, 0.7).when(a >= 0, 0.55).otherwise(0.45)))
 
 
 @register("rescale_batch", "entity:i dt:d rescaled:b p_up:f p_down:f predicted_direction:s prediction_confidence:f", "coarse", """
