@@ -8,6 +8,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelith.functions.columns import finite, guarded_corr, ratio, safe_corr
 from panelith.functions.ranks import cumulative_table, fits_window, order_number, tie_rank
@@ -330,7 +331,7 @@ def series_moments(series: DataFrame, value: str = "ic", by: list[str] | None =
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_cdf(z: pd.Series) -> pd.Series:
     """Distribution function of the standard normal; applied to result rows only."""
     cdf = NormalDist().cdf

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from panelith.functions.columns import by_entity, finite, ratio
 from panelith.operators.windows import realized_vol, vol_cohort
+from panelith.session import spread
 
 
 def residual_log_return(aligned: DataFrame, bench: str | None = "bench", out: str = "resid") -> DataFrame:
@@ -33,7 +34,8 @@ def ewm_std(
         return pdf.assign(**{out: series.ewm(span=span, min_periods=min_periods).std()})
 
     # NaN from the pandas side means "not enough history"
-    return rows.groupBy("entity").applyInPandas(smooth, schema).withColumn(out, finite(out))
+    smoothed = spread(rows, "entity").groupBy("entity").applyInPandas(smooth, schema)
+    return smoothed.withColumn(out, finite(out))
 
 
 def first_touch(rows: DataFrame, value: str, forward: int, up: Column, down: Column) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelith.functions.columns import by_entity, ratio
+from panelith.session import spread
 
 
 @dataclass(frozen=True)
@@ -195,7 +195,8 @@ def drawdown_tiers(rows: DataFrame, bands: DrawdownBands = DrawdownBands()) -> D
             out.insert(0, "entity", pdf["entity"].iloc[0])
             return out
 
-        return rows.select("entity", "dt", "close", "nav").groupBy("entity").applyInPandas(walk, schema)
+        thin = spread(rows.select("entity", "dt", "close", "nav"), "entity")
+        return thin.groupBy("entity").applyInPandas(walk, schema)
     w = by_entity()
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"drawdown": drawdown(), "_nav_dd": drawdown("nav")})
@@ -387,7 +388,7 @@ def change_points(
         )
 
     source = rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z"))
-    return source.groupBy("entity").applyInPandas(replay, schema)
+    return spread(source, "entity").groupBy("entity").applyInPandas(replay, schema)
 
 
 # The parameter grid of the replay.
@@ -429,9 +430,8 @@ def latch_replays(
         return pd.DataFrame(parts, columns=["entity", "dt", "hazard", "min_run", "on"])
 
     # the grid is a fixed handful of rows
-    return (
-        source.crossJoin(F.broadcast(grid)).groupBy("entity", "hazard").applyInPandas(replay, schema)
-    )
+    points = spread(source.crossJoin(F.broadcast(grid)), "entity", "hazard")
+    return points.groupBy("entity", "hazard").applyInPandas(replay, schema)
 
 
 def episode_leads(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from panelith.functions.columns import by_entity, clamp, finite, full_frame, ratio
 from panelith.functions.ranks import fits_window, order_number, rank_table, tie_rank
-from panelith.operators.align import asof_values
+from panelith.session import spread
 
 
 # --- forward returns -------------------------------------------------------------------------
@@ -101,7 +101,8 @@ def residual_momentum_features(
     pair = F.when(F.col("_r").isNotNull(), F.col("_rb"))
     cov = full_frame(pair, F.covar_samp("_r", "_rb"), past, beta_window)
     var = full_frame(F.col("_rb"), F.var_samp("_rb"), past, beta_window)
-    base = base.withColumn("_resid", F.col("_r") - ratio(cov, var) * F.col("_rb"))
+    # an entity that is its own benchmark leaves rounding noise, which the scaling below would blow up
+    base = base.withColumn("_resid", F.round(F.col("_r") - ratio(cov, var) * F.col("_rb"), 12))
     span = max(mom_window - skip_window, 1)
     resid = F.col("_resid")
     cum = full_frame(
@@ -168,7 +169,8 @@ def ewm_indicators(
         )
 
     w = by_entity()
-    out = panel.select("entity", "dt", "close").groupBy("entity").applyInPandas(smooth, schema)
+    thin = spread(panel.select("entity", "dt", "close"), "entity")
+    out = thin.groupBy("entity").applyInPandas(smooth, schema)
     out = out.withColumn("ewm_rsi", finite("ewm_rsi"))
     side = F.signum(F.round(F.col("macd_line") - F.col("macd_signal"), 10))
     out = out.withColumn("_side", side).withColumn(

@@ -24,7 +24,13 @@ class Query:
     name: str
     build: Callable[[SparkSession, str], DataFrame]
     cols: tuple[tuple[str, str], ...]
-    sql: str | None
+    uses: str
+    body: str | None
+
+    @property
+    def sql(self) -> str | None:
+        """The full statement; named table expressions are looked up once all plans are loaded."""
+        return shape_sql(with_ctes(self.uses, self.body), self.cols) if self.body else None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -100,8 +106,7 @@ def register(name: str, cols: str, uses: str = "", sql: str | None = None):
     def wrap(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        text = shape_sql(with_ctes(uses, sql), parsed) if sql else None
-        REGISTRY[name] = Query(name, fn, parsed, text)
+        REGISTRY[name] = Query(name, fn, parsed, uses, sql)
         return fn
 
     return wrap

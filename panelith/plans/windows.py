@@ -91,8 +91,8 @@ SELECT *,
   close / lag(close, 4) OVER w - 1 AS mom_1m,
   CASE WHEN count(r) OVER wr = 4 THEN sum(r) OVER wr END - CASE WHEN count(r) OVER wp = 4 THEN sum(r) OVER wp END AS mom_change,
   lag(bench, 4) OVER w / lag(bench, 52) OVER w - 1 AS sector_mom
-FROM (SELECT *, r - CASE WHEN count(r) OVER wb = 13 AND var_samp(rb) OVER wb <> 0
-        THEN covar_samp(r, rb) OVER wb / var_samp(rb) OVER wb END * rb AS resid
+FROM (SELECT *, round(r - CASE WHEN count(r) OVER wb = 13 AND var_samp(rb) OVER wb <> 0
+        THEN covar_samp(r, rb) OVER wb / var_samp(rb) OVER wb END * rb, 12) AS resid
   FROM (SELECT *, close / lag(close) OVER w - 1 AS r, bench / lag(bench) OVER w - 1 AS rb FROM aligned
         WINDOW w AS (PARTITION BY entity ORDER BY dt))
   WINDOW wb AS (PARTITION BY entity ORDER BY dt ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING))

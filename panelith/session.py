@@ -65,3 +65,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions for per-group Python work. The number is given explicitly because adaptive
+    coalescing sizes partitions by bytes, which starves CPU-bound steps on compact rows."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
