@@ -143,7 +143,7 @@ def realized_alpha(
 
 
 # Agent words and the three-class label they stand for.
-CALL_LABELS = {"bull": "bull", "neutral": "neutral", "caution": "neutral", "bear": "bear"}
+CALL_LABELS = {"bull": "bull", "neutral": "neutral", "caution": "bear", "bear": "bear"}
 
 
 def pair_calls(calls: DataFrame, labels: DataFrame, lag_rows: int) -> DataFrame:

@@ -105,7 +105,7 @@ def triple_barrier_touch(
 
 
 def vol_scaled_barriers(
-    aligned: DataFrame, multiplier: float = 1.0, span: int = 20, min_periods: int = 10,
+    aligned: DataFrame, multiplier: float = 2.0, span: int = 20, min_periods: int = 10,
     bench: str | None = "bench",
 ) -> DataFrame:
     """Adds ``resid`` and ``barrier`` = multiplier x its exponentially weighted deviation."""

@@ -91,7 +91,7 @@ def residual_momentum_features(
     w = by_entity()
     close, bench = F.col("close"), F.col("bench")
     past = w.rowsBetween(-beta_window, -1)
-    eps = 1e-12
+    eps = 1e-8  # fixed value of the scaling
     base = aligned.withColumns(
         {
             "_r": finite(ratio(close, F.lag("close").over(w)) - 1),

@@ -248,7 +248,7 @@ SELECT dt + 2 AS dt, CASE WHEN b > 0.03 THEN ' Bull ' WHEN b < -0.1 THEN 'BEAR'
 FROM (SELECT dt, market_close / lag(market_close, 4) OVER (ORDER BY dt) - 1 AS b FROM market) WHERE b IS NOT NULL""")
 cte("pairs", "calls market", """
 SELECT dt, call, label, call = label AS agreed, label = 'bear' AND call <> 'bear' AS bear_miss, call = 'bear' AND label <> 'bear' AS bull_miss FROM (
- SELECT c.dt, CASE lower(trim(c.call)) WHEN 'bull' THEN 'bull' WHEN 'neutral' THEN 'neutral' WHEN 'caution' THEN 'neutral' WHEN 'bear' THEN 'bear' END AS call, l.label, l.k
+ SELECT c.dt, CASE lower(trim(c.call)) WHEN 'bull' THEN 'bull' WHEN 'neutral' THEN 'neutral' WHEN 'caution' THEN 'bear' WHEN 'bear' THEN 'bear' END AS call, l.label, l.k
  FROM calls c ASOF JOIN (SELECT dt, CASE WHEN f < -0.03 THEN 'bear' WHEN f > 0.03 THEN 'bull' ELSE 'neutral' END AS label, row_number() OVER (ORDER BY dt DESC) AS k FROM (
    SELECT dt, lead(market_close, 4) OVER (ORDER BY dt) / market_close - 1 AS f FROM market)) l ON c.dt >= l.dt) WHERE k > 8 AND call IS NOT NULL""")
 
@@ -336,10 +336,10 @@ def read_latest(spark, sf):
     return FS.read_latest(spark, path)
 
 
-@register("read_nav_csv", "dt:d nav:f", "daymarket", "SELECT dt, round(market_close, 4) AS nav FROM daymarket")
+@register("read_nav_csv", "dt:d nav:f", "daymarket", "SELECT dt, market_close AS nav FROM daymarket")
 def read_nav_csv(spark, sf):
     market = P.market_series(P.price_panel(spark, sf, "day"))
-    rows = market.select("dt", F.round("market_close", 4).alias("EOD_NAV"), F.lit("x").alias("note")).withColumnRenamed("dt", "Trade Date")
+    rows = market.select("dt", F.col("market_close").alias("EOD_NAV"), F.lit("x").alias("note")).withColumnRenamed("dt", "Trade Date")
     return FS.read_nav_csv(spark, FS.export_csv(rows, scratch_path(spark, "nav"), ["Trade Date", "EOD_NAV"]))
 
 

@@ -86,7 +86,7 @@ RESID = dict(beta_window=13, mom_window=52, skip_window=4, vol_window=8, change_
 cte("residmom", "aligned", """
 SELECT *,
   CASE WHEN count(resid) OVER wc = 48 THEN sum(resid) OVER wc END
-    / (CASE WHEN count(resid) OVER wv = 8 THEN stddev_samp(resid) OVER wv END * sqrt(48.0) + 1e-12) AS resid_mom_vol_scaled,
+    / (CASE WHEN count(resid) OVER wv = 8 THEN stddev_samp(resid) OVER wv END * sqrt(48.0) + 1e-8) AS resid_mom_vol_scaled,
   lag(close, 4) OVER w / lag(close, 52) OVER w - 1 AS mom_12_1,
   close / lag(close, 4) OVER w - 1 AS mom_1m,
   CASE WHEN count(r) OVER wr = 4 THEN sum(r) OVER wr END - CASE WHEN count(r) OVER wp = 4 THEN sum(r) OVER wp END AS mom_change,
