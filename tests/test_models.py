@@ -85,3 +85,24 @@ def test_latch_grid_equals_plain_replay(spark, sf):
             want.append(st["on"])
         mine = grid[(grid.entity == 1) & (grid.min_run == run)].sort_values("dt")["on"].tolist()
         assert mine == want
+
+
+def test_meta_label_probabilities_rank_the_label(rows):
+    data = rows.withColumn("down", (F.col("fwd_ret") < 0).cast("int"))
+    score = M.fit_meta_label(data, ["mom_4", "ret_13"], "down")
+    r = M.auc_brier(score(data), "prob", "down").first()
+    assert r.auc > 0.55 and r.brier < 0.25
+
+
+def test_state_classifier_probabilities_sum_to_one(rows):
+    data = rows.withColumn("label", F.when(F.col("fwd_ret") < -0.2, 0).when(F.col("fwd_ret") > 0.2, 2).otherwise(1))
+    out = M.fit_state_classifier(data, ["mom_4", "ret_13"], "label")(data)
+    bad = out.where(F.abs(F.col("p0") + F.col("p1") + F.col("p2") - 1) > 1e-9)
+    assert bad.count() == 0 and out.select("state").distinct().count() >= 2
+
+
+def test_auc_matches_pair_counting(spark):
+    pdf = pd.DataFrame({"p": [0.1, 0.4, 0.4, 0.8, 0.3], "y": [0, 0, 1, 1, 1]})
+    got = M.auc_brier(spark.createDataFrame(pdf), "p", "y").first().auc
+    pairs = [(a > b) + 0.5 * (a == b) for a in pdf.p[pdf.y == 1] for b in pdf.p[pdf.y == 0]]
+    assert got == pytest.approx(np.mean(pairs))
