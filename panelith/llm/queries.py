@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelith.llm.chat_format import ANSWERS, CHAT_SQL, CONFLICT, chat_digest, format_chats
+from panelith.llm.minhash_dedup import near_duplicates
+from panelith.llm.mixing import MIX_SQL, mix_sources
 from panelith.llm.substring_dedup import dedup_substrings
 
 
@@ -11,9 +14,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).drop("intervals")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup,)}
-SQL: dict[str, str] = {}
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conflict = spark.sql(
+        "SELECT CAST(c AS BIGINT) AS conv_id, CAST(t AS BIGINT) AS turn, r AS role, x AS text "
+        f"FROM VALUES (-7, 0, 'user', '{CONFLICT}'), (-7, 1, '{ANSWERS}', '{CONFLICT}') AS v(c, t, r, x)"
+    )
+    return chat_digest(format_chats(chats.unionByName(conflict)))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_source_mixing, op2_substring_dedup, op6_chat_format, op9_minhash_near_dedup)
+}
+SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL}
