@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelith.llm.chat_format import ANSWERS, CHAT_SQL, CONFLICT, chat_digest, format_chats
+from panelith.llm.language_id import fit_tagger, held_out, identify
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.mixing import MIX_SQL, mix_sources
+from panelith.llm.pieces import encode_texts
+from panelith.llm.quality import classify_quality
 from panelith.llm.substring_dedup import dedup_substrings
 
 
@@ -22,6 +25,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).drop("intervals")
 
 
+def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagger = fit_tagger(docs.where(~held_out()))
+    return identify(docs, tagger).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conflict = spark.sql(
@@ -31,12 +44,19 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(chats.unionByName(conflict)))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_pieces", "ids", "exact")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_source_mixing, op2_substring_dedup, op6_chat_format, op9_minhash_near_dedup)
+    for f in (
+        op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op6_chat_format,
+        op8_sentencepiece, op9_minhash_near_dedup,
+    )
 }
 SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL}
