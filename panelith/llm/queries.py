@@ -8,6 +8,7 @@ from panelith.llm.chat_format import ANSWERS, CHAT_SQL, CONFLICT, chat_digest, f
 from panelith.llm.language_id import fit_tagger, held_out, identify
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.mixing import MIX_SQL, mix_sources
+from panelith.llm.nearest import nearest_neighbours
 from panelith.llm.pieces import encode_texts
 from panelith.llm.quality import classify_quality
 from panelith.llm.substring_dedup import dedup_substrings
@@ -35,6 +36,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, tagger).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conflict = spark.sql(
@@ -55,7 +61,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op6_chat_format,
+        op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op5_nearest_neighbours, op6_chat_format,
         op8_sentencepiece, op9_minhash_near_dedup,
     )
 }
