@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelith.llm.chat_format import ANSWERS, CHAT_SQL, CONFLICT, chat_digest, format_chats
+from panelith.llm.imatch import fingerprint_documents
 from panelith.llm.language_id import fit_tagger, held_out, identify
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.mixing import MIX_SQL, mix_sources
@@ -50,6 +51,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(chats.unionByName(conflict)))
 
 
+def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_pieces", "ids", "exact")
 
@@ -62,7 +67,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op5_nearest_neighbours, op6_chat_format,
-        op8_sentencepiece, op9_minhash_near_dedup,
+        op7_imatch_fingerprints, op8_sentencepiece, op9_minhash_near_dedup,
     )
 }
 SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL}
