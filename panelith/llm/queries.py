@@ -11,6 +11,7 @@ from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.mixing import MIX_SQL, mix_sources
 from panelith.llm.nearest import nearest_neighbours
 from panelith.llm.pieces import encode_texts
+from panelith.llm.pii import find_personal, personal_digest
 from panelith.llm.quality import classify_quality
 from panelith.llm.substring_dedup import dedup_substrings
 
@@ -63,11 +64,15 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_digest(find_personal(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op5_nearest_neighbours, op6_chat_format,
-        op7_imatch_fingerprints, op8_sentencepiece, op9_minhash_near_dedup,
+        op7_imatch_fingerprints, op8_sentencepiece, op9_minhash_near_dedup, op10_personal_data,
     )
 }
 SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL}
