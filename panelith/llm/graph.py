@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from panelith.llm.staging import Stage
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(stage: Stage, edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+    # written, so that the join can split a node with very many neighbours
+    low = stage.write(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low")))
     return both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("low").alias("b"))
 
 
@@ -23,6 +24,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return low.select(F.col("u").alias("a"), F.col("low").alias("b")).union(rest)
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every node but the roots has exactly one edge, and that leads to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).union(edges.select("b", F.lit(0)))
+    return ends.groupBy("node").agg(F.sum("out").alias("outs"), F.count("*").alias("n")).where(
+        "outs > 1 OR (outs = 1 AND n > 1)"
+    ).isEmpty()
+
+
 def components(stage: Stage, edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node that isn't its own root.
 
@@ -30,15 +39,9 @@ def components(stage: Stage, edges: DataFrame) -> DataFrame:
     logarithmic in the number of nodes. No group is gathered anywhere: the stars are minima per node.
     """
     now = stage.write(edges.where("a <> b").distinct())
-    seen = None
     while True:
-        then = stage.write(_small_star(_large_star(now)).where("a <> b").distinct())
+        then = stage.write(_small_star(_large_star(stage, now)).where("a <> b").distinct())
         stage.drop(now)
         now = then
-        # a star forest is a fixed point; the sums tell it from anything else that is still shrinking
-        marks = now.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")
-        ).first()
-        if tuple(marks) == seen or not marks[0]:
+        if _is_forest(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = tuple(marks)

@@ -6,11 +6,13 @@ functions are banded separately, ``rows`` values to a band; sets of similarity s
 probability (1 - s**rows)**bands, that is 5e-8 at s = 0.8 with the default 32 bands of 4.
 
 Documents with equal sets are one class from the start. Sets that share a band are candidates, and
-candidates are confirmed on their full sets. Candidates are not listed pair by pair: in rounds, a band's
-members are compared with a few leaders (the smallest member of each of some hash classes), and only
-where the two are not yet in one component. Then the leaders leave the band, having met everybody, and
-the number of classes grows fourfold. A band is finished when what is left of it is one component or
-one member, so each candidate pair is either compared or already connected: no cap, no lost link.
+candidates are confirmed on their full sets, in two steps. First a band's members are compared with a few leaders (the
+smallest members of hash classes): most groups become one component here, at a cost linear in the band.
+The leaders have then met everybody. Bands whose other members still lie in several components are
+compared completely: members are dealt to packs of bounded size, and a task compares two packs by one
+product of their incidence matrices and returns links between components only. So each candidate pair
+is either compared or already connected - no cap, no lost link - and no pair of documents is ever a row
+of a table. The second step is quadratic in what the first leaves unconnected within a band.
 """
 
 from __future__ import annotations
@@ -23,12 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelith.llm.graph import components
-from panelith.llm.staging import Stage
+from panelith.llm.staging import Stage, spread_count
 from panelith.llm.wordbatch import WordBatch, chunks, mix, spans_hash
 
 SHINGLE, PERCENT = 4, 80
 PERMS, ROWS = 64, 4
-FIRST_CLASSES, GROWTH = 4, 4
+LEADERS = 4
+#: about so many members, and so many shingles, to a pack
+PACK, PACK_GRAMS = 512, 40_000
 NO_ID = 2**63 - 1
 _RNG = np.random.default_rng(20240301)
 FACTORS = _RNG.integers(0, 2**63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,6 +111,43 @@ def _sets(width: int):
     return run
 
 
+def _incidence(grams: np.ndarray, owner: np.ndarray, count: int, common: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+    hit = common[at] == grams
+    out = np.zeros((count, len(common)), np.float32)
+    out[owner[hit], at[hit]] = 1
+    return out
+
+
+def pack_links(left, right, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the components of two packs (arrays of root and grams), one for each two roots."""
+    sides = []
+    for pack in (left, right):
+        lists = pack.field("grams")
+        sizes = np.diff(lists.offsets.to_numpy())
+        sides.append((pack.field("root").to_numpy(), sizes, lists.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)))
+    (root_a, n_a, grams_a, own_a), (root_b, n_b, grams_b, own_b) = sides
+    common = np.intersect1d(grams_a, grams_b)
+    if not len(common):
+        return root_a[:0], root_b[:0]
+    both = _incidence(grams_a, own_a, len(n_a), common) @ _incidence(grams_b, own_b, len(n_b), common).T
+    both = np.rint(both).astype(np.int64)
+    hit = (100 * both >= percent * (n_a[:, None] + n_b[None, :] - both)) & (root_a[:, None] != root_b[None, :])
+    a, b = np.nonzero(hit)
+    ends = np.unique(np.stack([np.minimum(root_a[a], root_b[b]), np.maximum(root_a[a], root_b[b])]), axis=1)
+    return ends[0], ends[1]
+
+
+def _compare(percent: int):
+    def run(batches):
+        for rows in batches:
+            for i in range(rows.num_rows):
+                a, b = pack_links(rows.column("left")[i].values, rows.column("right")[i].values, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def _linked(percent: int) -> Column:
     both = F.size(F.array_intersect("left", "right"))
     return 100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)
@@ -144,7 +185,8 @@ def near_duplicates(
         survey.join(classes, ["key", "set_id"]).dropDuplicates(["node"])
         .select("node", "n", "key", F.explode("bands").alias("band"))
     )
-    busy = entries.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band")
+    # written, so that the join can split a band that very many sets share
+    busy = stage.write(entries.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"))
     members = stage.write(entries.join(busy, "band"))
     wanted = members.select("key", "node").distinct().join(classes.select("node", "set_id"), "node")
     sets = stage.write(
@@ -153,47 +195,52 @@ def near_duplicates(
         ).join(wanted, ["key", "set_id"]).select("node", "grams").dropDuplicates(["node"])
     )
 
-    links = None
-    alive, number, count = members.withColumn("root", F.col("node")), FIRST_CLASSES, 0
-    while True:
-        slot = F.pmod(F.xxhash64("node", F.lit(count)), F.lit(number))
-        leaders = stage.write(
-            alive.groupBy("band", slot.alias("slot"))
-            .agg(F.min(F.struct("key", "node", "n", "root")).alias("lead")).select("band", "lead")
-        )
-        fits = F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent
-        me, lead = F.struct("node", "n"), F.struct("lead.node", "lead.n")
-        pairs = stage.write(
-            alive.join(leaders, "band").where(F.col("root") != F.col("lead.root")).where(fits)
-            .select(F.least(me, lead).alias("x"), F.greatest(me, lead).alias("y"))
-            .select(F.col("x.node").alias("a"), F.col("x.n").alias("n_a"), F.col("y.node").alias("b"), F.col("y.n").alias("n_b"))
-            .distinct()
-        )
-        found = stage.write(
-            pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b")
-            .where(_linked(percent)).select("a", "b")
+    # first step: every member of a band meets the band's leaders
+    slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
+    leaders = stage.write(
+        members.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("key", "node", "n")).alias("lead")).drop("slot")
+    )
+    fits = F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent
+    me, lead = F.struct("node", "n"), F.struct("lead.node", "lead.n")
+    pairs = (
+        members.join(leaders, "band").where(F.col("node") != F.col("lead.node")).where(fits)
+        .select(F.least(me, lead).alias("x"), F.greatest(me, lead).alias("y")).distinct()
+        .select(F.col("x.node").alias("a"), F.col("x.n").alias("n_a"), F.col("y.node").alias("b"), F.col("y.n").alias("n_b"))
+    )
+    links = (
+        pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b")
+        .where(_linked(percent)).select("a", "b")
+    )
+    stars = components(stage, links)
+    rest = stage.write(
+        members.join(leaders.select("band", F.col("lead.node").alias("node")), ["band", "node"], "left_anti")
+        .join(stars, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+    )
+    open_bands = stage.write(
+        rest.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c"), F.sum("n").alias("size"))
+        .where("low < high")
+        .select("band", F.ceil(F.greatest(F.col("c") / PACK, F.col("size") / PACK_GRAMS)).alias("packs"))
+    )
+    named = classes.join(stars, "node", "left").select("set_id", "key", F.coalesce("root", "node").alias("root"))
+    if not open_bands.isEmpty():
+        # second step: what is left of such a band, completely, pack against pack
+        packs = stage.write(
+            rest.join(open_bands, "band").withColumn("pack", F.pmod(F.xxhash64("node"), F.col("packs")))
+            .join(sets, "node").groupBy("band", "pack").agg(F.collect_list(F.struct("root", "grams")).alias("sets"))
         )
-        stage.drop(pairs)
-        links = found if links is None else stage.write(links.union(found))
-        roots = components(stage, links)
-        # leaders have met their whole band; what is left matters where it is more than one component
-        rest = stage.write(
-            alive.drop("root")
-            .join(leaders.select("band", F.col("lead.node").alias("node")), ["band", "node"], "left_anti")
-            .join(roots, "node", "left").select("band", "node", "n", "key", F.coalesce("root", "node").alias("root"))
+        left = packs.select("band", F.col("pack").alias("p"), F.col("sets").alias("left"))
+        right = packs.select("band", F.col("pack").alias("q"), F.col("sets").alias("right"))
+        more = left.join(right, "band").where("p <= q").select("left", "right").repartition(
+            spread_count(spark)
+        ).mapInArrow(_compare(percent), "a long, b long")
+        moves = components(stage, more).withColumnRenamed("root", "to")
+        named = named.join(moves, F.col("root") == F.col("node"), "left").select(
+            "set_id", "key", F.coalesce("to", "root").alias("root")
         )
-        split = rest.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        then = stage.write(rest.join(split.select("band"), "band", "left_semi"))
-        stage.drop(rest, leaders, alive)
-        alive, number, count = then, number * GROWTH, count + 1
-        if alive.isEmpty():
-            break
-    stage.drop(sets, members, alive)
-
-    named = classes.join(roots, "node", "left").select(
-        "set_id", "key", F.coalesce("root", "node").alias("root")
-    )
+    stage.drop(sets, members, rest, leaders)
+
+    named = stage.write(named)
     smallest = named.groupBy("root").agg(F.min("key").alias("component"))
     whole = stage.write(named.join(smallest, "root").select("set_id", "component"))
     own = F.coalesce("component", "key")
