@@ -8,10 +8,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from panelith.plans import load_registry
-from panelith.session import build_session
+from panelith.session import build_session, clear_scratch
 
 HEADLINE = [
     "price_panel", "mean_rank_ic", "align_benchmark_ffill", "price_features", "residual_momentum_features",
@@ -29,7 +30,10 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.log.level": "ERROR"},
+        **{
+            "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.log.level": "ERROR",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="panelith-bench-"),
+        },
     )
     registry = load_registry()
     times: dict[str, float] = {}
@@ -39,6 +43,7 @@ def main() -> None:
             registry[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             if warm:
                 times[name] = round(time.perf_counter() - start, 3)
+        clear_scratch(spark)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({

@@ -2,29 +2,59 @@
 
 A plain window puts a whole group into one task. That is the right plan while a group is known
 to be small (a cross-section of a few thousand names), so callers who know a bound pass it as
-``group_bound`` and get the window. Without a bound, or beyond ``WINDOW_GROUP_LIMIT``, ranks are
-computed from counts per distinct value: ties collapse in a map-side combine, the distinct values
-are cut into ranges by approximate quantiles (only the load per task depends on them, not the
-result), and every range gets its offset from a small table of range totals.
+``group_bound`` and get the window. Without a bound, or beyond ``WINDOW_GROUP_LIMIT``, rows are sorted
+over ranges of the session's number of partitions: each range is numbered on its own and shifted by
+what the ranges before it hold. Both plans give the same result for every input: NaN is larger than
+every number, NULL comes last, a NULL key is a group of its own, any orderable tiebreak will do, and
+rows that tie on everything have different positions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelith.functions.columns import RANK_DIGITS
 from panelith.session import cut_lineage
 
 WINDOW_GROUP_LIMIT = 500_000
-# ranges per group; the square root is the fan-out of the two-step search for a value's range
-RANGES, FAN = 256, 16
 
 
 def fits_window(group_bound: int | None) -> bool:
     return group_bound is not None and group_bound <= WINDOW_GROUP_LIMIT
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the right side's keys are dropped."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows dealt to ascending ranges (``_range``), written so that the ranges stay what they are."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
+
+
+def _before(ranged: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Per (keys, _range): each measure's sum over the group's earlier ranges, and over the group."""
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_n_{m}") for m in measures])
+    # a group has at most one row per range here
+    by_range = Window.partitionBy(*keys).orderBy("_range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    group = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return totals.select(
+        *keys, "_range",
+        *[F.coalesce(F.sum(f"_n_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in measures],
+        *[F.sum(f"_n_{m}").over(group).alias(f"{m}_total") for m in measures],
+    )
+
+
 def cumulative_table(
     df: DataFrame, keys: list[str], value: str, measures: dict
 ) -> DataFrame:
@@ -37,41 +67,13 @@ def cumulative_table(
         .groupBy(*keys, value)
         .agg(*[agg.alias(m) for m, agg in measures.items()])
     )
-    steps = [i / RANGES for i in range(1, RANGES)]
-    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 10_000).alias("_cuts"))
-    # the cuts ascend: find the block of FAN cuts first, then the place inside it
-    bounds = bounds.withColumn(
-        "_coarse", F.expr(f"transform(sequence(1, {FAN - 1}), k -> _cuts[{FAN} * k - 1])")
-    )
-    if keys:
-        ranged = counts.join(bounds, keys)
-    else:
-        # one row of RANGES - 1 cut points
-        ranged = counts.crossJoin(F.broadcast(bounds))
-    ranged = ranged.withColumn(
-        "_block", F.expr(f"size(filter(_coarse, c -> c < `{value}`)) * {FAN}")
-    )
-    inner = f"size(filter(slice(_cuts, _block + 1, {FAN - 1}), c -> c < `{value}`))"
-    ranged = ranged.withColumn("_range", F.col("_block") + F.expr(inner)).drop(
-        "_cuts", "_coarse", "_block"
-    )
-    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_n_{m}") for m in names])
-    # at most RANGES rows per group here
-    by_range = Window.partitionBy(*keys).orderBy("_range")
-    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    group = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = totals.select(
-        *keys,
-        "_range",
-        *[F.coalesce(F.sum(f"_n_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in names],
-        *[F.sum(f"_n_{m}").over(group).alias(f"{m}_total") for m in names],
-    )
+    ranged = _ranged(counts, [*[F.col(k).asc() for k in keys], F.col(value).asc()])
     inside = Window.partitionBy(*keys, "_range").orderBy(value)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumns(
         {f"_b_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in names}
     )
-    return local.join(offsets, [*keys, "_range"]).select(
+    return join_same(local, _before(ranged, keys, names), [*keys, "_range"]).select(
         *keys,
         value,
         *names,
@@ -122,14 +124,14 @@ def tie_rank(
         *keys,
         "_rv",
         (F.col("below") + (F.col("cnt") + 1) / 2.0).alias(rank),
-        *([F.col("total").alias(size)] if size else []),
     )
-    out = df.join(table, [*keys, "_rv"], "left").drop("_rv")
+    # rows without a value have no rank: they stay out of the join, where they would meet on one key
+    known = join_same(df.where("_rv IS NOT NULL"), table, [*keys, "_rv"])
+    none = df.where("_rv IS NULL").withColumn(rank, F.lit(None).cast("double"))
+    out = known.unionByName(none).drop("_rv")
     if size:
-        # rows with a NULL value find no table row: give them the group's total
-        totals = df.groupBy(*keys).agg(F.count("_rv").alias("_size"))
-        out = out.join(totals, keys) if keys else out.crossJoin(F.broadcast(totals))
-        out = out.withColumn(size, F.col("_size")).drop("_size")
+        totals = df.groupBy(*keys).agg(F.count("_rv").alias(size))
+        out = join_same(out, totals, keys)
     return out
 
 
@@ -144,8 +146,8 @@ def order_number(
     digits: int | None = RANK_DIGITS,
     staged: bool = False,
 ) -> DataFrame:
-    """Adds a 1-based position by (value, tiebreak); ``tiebreak`` is a number, unique within the
-    group and always ascending. NULL values come last."""
+    """Adds a 1-based position by (value, tiebreak); ``tiebreak`` is any orderable column, always
+    ascending. NULL values come last and NaN before them, in either direction."""
     windowed = fits_window(group_bound)
     if not windowed and not staged:
         df = cut_lineage(df)
@@ -154,17 +156,15 @@ def order_number(
     if windowed:
         order = Window.partitionBy(*keys).orderBy(F.col("_rv").asc_nulls_last(), tiebreak)
         return df.withColumn(number, F.row_number().over(order)).drop("_rv")
-    # NULLs sort behind every number
-    df = df.withColumn("_rv", F.coalesce(F.col("_rv"), F.lit(float("inf"))))
-    major = rank_table(df, keys, "_rv").select(*keys, "_rv", F.col("below").alias("_major"))
-    minor = rank_table(df, [*keys, "_rv"], tiebreak).select(
-        *keys, "_rv", tiebreak, (F.col("below") + 1).alias("_minor")
-    )
+    order = [F.col("_rv").asc_nulls_last(), F.col(tiebreak).asc()]
+    ranged = _ranged(df.withColumn("_one", F.lit(1)), [*[F.col(k).asc() for k in keys], *order])
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
+    local = ranged.withColumn(number, F.row_number().over(inside))
+    shifts = _before(ranged, keys, ["_one"]).drop("_one_total")
     return (
-        df.join(major, [*keys, "_rv"])
-        .join(minor, [*keys, "_rv", tiebreak])
-        .withColumn(number, (F.col("_major") + F.col("_minor")).cast("long"))
-        .drop("_rv", "_major", "_minor")
+        join_same(local, shifts, [*keys, "_range"])
+        .withColumn(number, (F.col(number) + F.col("_o__one")).cast("long"))
+        .drop("_rv", "_one", "_range", "_o__one")
     )
 
 

@@ -59,7 +59,7 @@ def align_benchmark(
     if mode not in ("exact", "ffill"):
         raise ValueError(f"unknown alignment mode {mode!r}")
     listed = sector_bench.select("sector").distinct().withColumn("_listed", F.lit(True))
-    tagged = panel.join(listed, "sector", "left")
+    tagged = panel.join(F.broadcast(listed), "sector", "left")  # a row per sector
     if mode == "ffill":
         needed = panel.select("sector", "dt").distinct()
         sector_bench = asof_values(needed, sector_bench, ["sector"], ["bench_close"])

@@ -319,6 +319,17 @@ def downside_stats(
     )
 
 
+def promotion_series(combinations: DataFrame, walk_forward: DataFrame, value: str = "ic") -> DataFrame:
+    """(ic, source): the series that the promotion gates read. That is the ICs of the purged combinations
+    (``cpcv``), and only without any of them the walk-forward series (``expanding_wf``)."""
+    first = combinations.where(finite(value).isNotNull()).select(F.col(value).alias("ic"), F.lit("cpcv").alias("source"))
+    second = walk_forward.where(finite(value).isNotNull()).select(
+        F.col(value).alias("ic"), F.lit("expanding_wf").alias("source")
+    )
+    any_first = first.limit(1).select(F.lit(True).alias("_any"))
+    return first.union(second.join(F.broadcast(any_first), F.col("_any"), "left_anti"))
+
+
 def series_moments(series: DataFrame, value: str = "ic", by: list[str] | None = None) -> DataFrame:
     """Mean, sample deviation, population skew and plain (non-excess) kurtosis."""
     v = finite(value)
@@ -600,8 +611,9 @@ def feature_fold_ic(
 
 
 def feature_correlation(rows: DataFrame, features: list[str]) -> DataFrame:
-    """(a, b, corr) for all pairs, pairwise complete, in one aggregate over the rows."""
-    pairs = [(a, b) for a in features for b in features]
+    """(a, b, corr) for all pairs, pairwise complete, in one aggregate over the rows. Each pair is
+    computed once and shown both ways."""
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
     wide = rows.agg(*[safe_corr(finite(a), finite(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(
         *[
@@ -609,7 +621,8 @@ def feature_correlation(rows: DataFrame, features: list[str]) -> DataFrame:
             for i, (a, b) in enumerate(pairs)
         ]
     )
-    return wide.select(F.explode(cells).alias("c")).select("c.*")
+    half = wide.select(F.explode(cells).alias("c")).select("c.*")
+    return half.union(half.where("a <> b").select("b", "a", "corr"))
 
 
 def overfit_signal(ics: DataFrame, warn: float = 3.0, train: str = "train_ic", val: str = "val_ic") -> DataFrame:

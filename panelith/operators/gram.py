@@ -154,8 +154,11 @@ def score_linear(
     ``carry`` keeps further model keys, one prediction per row and model."""
     cols = ["coef", "intercept", "noise", "centre", "cov"]
     if on:
-        joined = rows.join(models.select(*on, *(carry or []), *cols), on)
+        # models of folds or variants: as many as the caller asked for
+        joined = rows.join(F.broadcast(models.select(*on, *(carry or []), *cols)), on)
     else:
+        if len(models.select("intercept").take(2)) > 1:
+            raise ValueError("more than one model: name their key in ``on``")
         joined = rows.crossJoin(F.broadcast(models.select(*cols)))
     out = joined.withColumn(pred, linear_value(features))
     if with_std:

@@ -133,7 +133,7 @@ def realized_alpha(
         return df.where("close IS NOT NULL").select(key, "dt", F.struct(ret.alias("r")).alias(out))
 
     known = benchmarks.select("symbol").distinct().withColumn("_k", F.lit(True))
-    tagged = pairs.join(dim, "entity", "left").join(known, "symbol", "left").withColumn(
+    tagged = pairs.join(dim, "entity", "left").join(F.broadcast(known), "symbol", "left").withColumn(
         "symbol", F.when(F.col("_k"), F.col("symbol")).otherwise(F.lit(market))
     ).drop("_k")
     own = asof_values(tagged, ahead(prices, "entity", "_own"), ["entity"], ["_own"])

@@ -146,7 +146,7 @@ def balanced_weight(rows: DataFrame, label: str, out: str = "weight") -> DataFra
     counts = counts.withColumn(
         out, F.sum("_c").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("_c"))
     ).drop("_c")
-    return rows.join(counts, label)
+    return rows.join(F.broadcast(counts), label)  # a row per class
 
 
 def auc_brier(rows: DataFrame, p: str, label: str, group_bound: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from panelith.functions.columns import by_entity, clamp, finite, full_frame, ratio
 from panelith.functions.ranks import fits_window, order_number, rank_table, tie_rank
+from panelith.session import cut_lineage
 from panelith.session import spread
 
 
@@ -226,12 +227,14 @@ def rank_normalize(
             rows = tie_rank(rows, [dt], f, "_rank", "_n", group_bound)
             rows = rows.withColumn(f, scaled(F.col("_rank"), F.col("_n"))).drop("_rank", "_n")
         return rows
-    # large cross-sections: all features share one rank computation in long form
-    keep = [c for c in rows.columns if c not in features]
-    long = rows.unpivot(keep, features, "_feature", "_value")
+    # large cross-sections: all features share one rank computation in long form, joined back by row
+    rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    long = rows.select("_row", dt, *features).unpivot(["_row", dt], features, "_feature", "_value")
     ranked = tie_rank(long, [dt, "_feature"], "_value", "_rank", "_n")
     ranked = ranked.withColumn("_scaled", scaled(F.col("_rank"), F.col("_n")))
-    return ranked.groupBy(*keep).pivot("_feature", features).agg(F.first("_scaled"))
+    wide = ranked.groupBy("_row").pivot("_feature", features).agg(F.first("_scaled"))
+    order = [c for c in rows.columns if c != "_row"]
+    return rows.drop(*features).join(wide, "_row").select(*order)
 
 
 def vol_cohort(rows: DataFrame, cohorts: int = 10, group_bound: int | None = None) -> DataFrame:

@@ -17,6 +17,14 @@ from panelith.session import scratch_path
 from panelith.sources import files as FS
 from panelith.sources import panel as P
 
+SQL_TICKER = "'S' || CAST(entity AS VARCHAR)"
+
+
+def named(rows):
+    """Entities as texts."""
+    return rows.withColumn("entity", F.concat(F.lit("S"), F.col("entity").cast("string")))
+
+
 # --- snapshots: quarterly volume percentile as score, its change as conviction, region share as modifier ---
 
 cte("uni", "panel", f"""
@@ -48,8 +56,16 @@ def modifiers(spark, sf):
     return sums.select(F.add_months("dt", 3).alias("snapshot_dt"), "sector", share.alias("modifier"))
 
 
+def regimes(spark, sf):
+    """A quarter's word from the whole market's volume against the quarter before."""
+    sums = quarterly(spark, sf).groupBy("dt").agg(F.sum("vol").alias("v"))
+    last = F.lag("v").over(W.Window.orderBy("dt"))  # a row per quarter
+    word = F.when(F.col("v") > last, "bull").when(F.col("v") < last, "bear")
+    return sums.select(F.add_months("dt", 3).alias("snapshot_dt"), word.alias("market_regime"))
+
+
 def snapshots(spark, sf):
-    return FS.build_snapshots(universe(spark, sf), modifiers(spark, sf), 64)
+    return FS.build_snapshots(universe(spark, sf), modifiers(spark, sf), 64, regimes(spark, sf))
 
 
 @register("read_snapshots", "snapshot_dt:d entity:i score:f conviction:s sector:s modifier:f", "uni modif", """
@@ -72,7 +88,8 @@ def snapshot_features(spark, sf):
 
 
 @register("regime_calls", "dt:d call:s", "uni", """
-SELECT DISTINCT snapshot_dt AS dt, 'neutral' AS call FROM uni WHERE snapshot_dt BETWEEN DATE '2000-06-30' - 364 AND DATE '2000-06-30'""")
+SELECT * FROM (SELECT snapshot_dt AS dt, CASE WHEN v > lag(v) OVER (ORDER BY snapshot_dt) THEN 'bull' WHEN v < lag(v) OVER (ORDER BY snapshot_dt) THEN 'bear' ELSE 'neutral' END AS call
+ FROM (SELECT CAST(CAST(date_trunc('quarter', dt) AS DATE) + INTERVAL 3 MONTH AS DATE) AS snapshot_dt, sum(volume) AS v FROM panel GROUP BY 1)) WHERE dt BETWEEN DATE '2000-06-30' - 364 AND DATE '2000-06-30'""")
 def regime_calls(spark, sf):
     return FS.regime_calls(snapshots(spark, sf), "2000-06-30", 52)
 
@@ -202,6 +219,15 @@ def dedupe_versions(spark, sf):
     return J.dedupe_versions(rows.unionByName(rows.withColumn("created", F.date_sub("created", 1))))
 
 
+@register("read_catalogue", "version_id:s model_version:s dt:d", "vers", "SELECT version_id, model_version, dt FROM vers")
+def read_catalogue(spark, sf):
+    """Version folders discovered below a path."""
+    path = scratch_path(spark, "catalogue")
+    rows = versions(spark, sf).select("version_id", "model_version", F.col("dt").cast("string").alias("dt"))
+    rows.write.partitionBy("version_id").json(path)
+    return FS.read_catalogue(spark, path)
+
+
 @register("list_versions", "version_id:s dt:d stage:s", "vers", "SELECT *, 'challenger' AS stage FROM vers WHERE mean_ic < 0")
 def list_versions(spark, sf):
     rows = versions(spark, sf).withColumn("stage", F.when(F.col("mean_ic") < 0, "challenger").otherwise("live"))
@@ -288,6 +314,38 @@ def panel_roundtrip(spark, sf):
     return FS.read_prices(spark, path)
 
 
+@register("panel_roundtrip_named", "entity:s dt:d close:f high:f low:f volume:f", "panel", f"SELECT * REPLACE ({SQL_TICKER} AS entity) FROM panel")
+def panel_roundtrip_named(spark, sf):
+    """The same with a text key, as tickers are."""
+    path = FS.write_panel(named(panel(spark, sf)), scratch_path(spark, "panel"))
+    return FS.read_prices(spark, path)
+
+
+@register("read_snapshots_named", "snapshot_dt:d entity:s score:f conviction:s sector:s", "uni", f"""
+SELECT snapshot_dt, {SQL_TICKER} AS entity, score, conviction, CAST(sector AS VARCHAR) AS sector FROM uni""")
+def read_snapshots_named(spark, sf):
+    docs = FS.build_snapshots(named(universe(spark, sf)), modifiers(spark, sf), 64)
+    path = FS.write_snapshots(docs, scratch_path(spark, "snapshots"))
+    return FS.explode_universe(FS.read_snapshots(spark, path, "string"))
+
+
+@register("prediction_documents_named", "dt:d version_id:s entity:s predicted_alpha:f p_up:f", "pred", f"""
+SELECT dt, 'live-1' AS version_id, {SQL_TICKER} AS entity, predicted_alpha, p_up FROM pred""")
+def prediction_documents_named(spark, sf):
+    path = FS.write_predictions(named(predictions(spark, sf)), scratch_path(spark, "predictions"), "live-1", part_size=50)
+    return FS.flatten_predictions(FS.read_predictions(spark, path, "string"))
+
+
+@register("upsert_predictions_named", "dt:d entity:s predicted_alpha:f combined_rank:i", "pred cand", f"""
+SELECT dt, entity, a AS predicted_alpha, row_number() OVER (PARTITION BY dt ORDER BY round(a, 10) DESC, entity) AS combined_rank FROM (
+ SELECT dt, {SQL_TICKER} AS entity, CASE WHEN entity IN (SELECT entity FROM cand) THEN -predicted_alpha ELSE predicted_alpha END AS a FROM pred)""")
+def upsert_predictions_named(spark, sf):
+    """Text keys through the plan for cross-sections of unknown size."""
+    old = named(predictions(spark, sf).select("dt", "entity", "predicted_alpha"))
+    new = old.join(named(candidates(spark, sf)), "entity", "left_semi").withColumn("predicted_alpha", -F.col("predicted_alpha"))
+    return J.upsert_predictions(old, new)
+
+
 @register("read_window", "entity:i dt:d close:f", "panel", """
 SELECT entity, dt, close FROM panel WHERE dt BETWEEN DATE '2000-06-30' - 730 AND DATE '2000-06-30'""")
 def read_window(spark, sf):

@@ -231,6 +231,17 @@ def cpcv_summary(spark, sf):
     return M.cpcv_summary(ics, 6, 2)
 
 
+@register("promotion_series", "source:s n:i mean_ic:f downside_deviation:f sortino:f frac_negative:f worst:f passes:b", "er cgram cfold", CPCV + """
+SELECT *, n >= 5 AND (CASE WHEN sortino IS NULL THEN mean_ic > 0 ELSE sortino >= 0 END) AS passes FROM (SELECT *, CASE WHEN n >= 5 AND downside_deviation > 1e-12 THEN mean_ic / downside_deviation END AS sortino FROM (
+ SELECT 'cpcv' AS source, count(*) AS n, avg(ic) AS mean_ic, coalesce(sqrt(avg(CASE WHEN ic < 0 THEN ic * ic END)), 0) AS downside_deviation,
+  avg(CASE WHEN ic < 0 THEN 1.0 ELSE 0.0 END) AS frac_negative, min(ic) AS worst FROM paths))""")
+def promotion_series(spark, sf):
+    rows = eval_rows(spark, sf)
+    combos = M.cpcv_ic(rows, META, "fwd_ret", 4, group_bound=bound(spark, sf))
+    forward = E.ic_series(rows, "mom_4", "fwd_ret", group_bound=bound(spark, sf))
+    return E.downside_stats(E.promotion_series(combos, forward), by=["source"])
+
+
 VARIANTS = {"full": (1, 1), "without_mom_4": (0, 1), "without_stale": (1, 0)}
 LOO = f"""
 , vg AS (SELECT fold_id || '|' || variant AS fv, v.*, g.* FROM egram g, (VALUES {', '.join(f"('{k}', {a}, {b})" for k, (a, b) in VARIANTS.items())}) v(variant, u0, u1))

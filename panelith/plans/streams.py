@@ -20,7 +20,7 @@ HALF = "1998-06-29"
 def halves(spark, rows, name):
     """Two micro-batches split by date, so state is carried from one to the next."""
     rows = cut_lineage(rows)
-    return ST.replay_stream(spark, [rows.where(F.col("dt") < HALF), rows.where(F.col("dt") >= HALF)], name)
+    return ST.Replay(spark, [rows.where(F.col("dt") < HALF), rows.where(F.col("dt") >= HALF)], name)
 
 
 @register("stream_bars", "entity:i dt:d close:f mean_value:f n_events:i", "", """
@@ -37,7 +37,8 @@ def stream_bars(spark, sf):
 def dedupe_stream(spark, sf):
     """Every row arrives twice, in two micro-batches."""
     rows = cut_lineage(panel(spark, sf).select("entity", "dt", "close"))
-    return ST.drain(ST.dedupe_stream(ST.replay_stream(spark, [rows, rows], "twice")), "deduped")
+    twice = ST.Replay(spark, [rows, rows], "twice")
+    return ST.drain(ST.dedupe_stream(twice.stream), "deduped", twice)
 
 
 TIERS = "entity:i dt:d drawdown:f tier:s excess:f excess_tier:s"
@@ -45,7 +46,8 @@ TIERS = "entity:i dt:d drawdown:f tier:s excess:f excess_tier:s"
 
 @register("stream_drawdown", TIERS, "nav", TIER_SQL)
 def stream_drawdown(spark, sf):
-    return ST.drain(ST.stream_drawdown(halves(spark, nav_rows(spark, sf), "nav")), "tiers")
+    replay = halves(spark, nav_rows(spark, sf), "nav")
+    return ST.drain(ST.stream_drawdown(replay.stream), "tiers", replay)
 
 
 @register("stream_drawdown_seeded", TIERS, "nav", TIER_SQL + f" WHERE dt >= DATE '{HALF}'")
@@ -54,8 +56,8 @@ def stream_drawdown_seeded(spark, sf):
     rows = cut_lineage(nav_rows(spark, sf))
     early = rows.where(F.col("dt") < HALF)
     seed = ST.seed_state(early, S.drawdown_tiers(early))
-    stream = ST.replay_stream(spark, [rows.where(F.col("dt") >= HALF)], "late")
-    return ST.drain(ST.stream_drawdown(stream, initial=seed), "tiers")
+    late = ST.Replay(spark, [rows.where(F.col("dt") >= HALF)], "late")
+    return ST.drain(ST.stream_drawdown(late.stream, initial=seed), "tiers", late)
 
 
 @register("state_version_guard", TIERS, "nav", TIER_SQL.replace("FROM nav)", f"FROM nav WHERE dt >= DATE '{HALF}')"))
@@ -64,13 +66,14 @@ def state_version_guard(spark, sf):
     rows = cut_lineage(nav_rows(spark, sf))
     early = rows.where(F.col("dt") < HALF)
     seed = ST.seed_state(early, S.drawdown_tiers(early), version=0)
-    stream = ST.replay_stream(spark, [rows.where(F.col("dt") >= HALF)], "late")
-    return ST.drain(ST.stream_drawdown(stream, initial=seed), "tiers")
+    late = ST.Replay(spark, [rows.where(F.col("dt") >= HALF)], "late")
+    return ST.drain(ST.stream_drawdown(late.stream, initial=seed), "tiers", late)
 
 
 @register("stream_latch", "entity:i dt:d z:f change_confidence:f max_run_prob:f change_signal:b latched:b", "zseries", CP_SQL)
 def stream_latch(spark, sf):
-    return ST.drain(ST.stream_latch(halves(spark, zscores(spark, sf), "z")), "latch")
+    replay = halves(spark, zscores(spark, sf), "z")
+    return ST.drain(ST.stream_latch(replay.stream), "latch", replay)
 
 
 @register("gated_stream_sink", "entity:i dt:d predicted_alpha:f p_up:f", "pred", f"""
@@ -78,5 +81,8 @@ SELECT p.* FROM pred p JOIN ({sql_gate("pred", "p_up", "predicted_direction", "d
 def gated_stream_sink(spark, sf):
     rows = predictions(spark, sf).select("entity", "dt", "predicted_alpha", "p_up", "predicted_direction")
     path = scratch_path(spark, "gated")
-    ST.gated_stream_sink(halves(spark, rows, "preds"), lambda b: D.distribution_gate(b, ["dt"]), path, f"{path}-checkpoint")
+    replay = halves(spark, rows, "preds")
+    ST.gated_stream_sink(
+        replay.stream, lambda b: D.distribution_gate(b, ["dt"]), path, f"{path}-checkpoint", replay
+    )
     return spark.read.parquet(f"{path}/accepted")

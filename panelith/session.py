@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -50,9 +51,29 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This session's own folder below the shared one. It goes when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/panelith-{spark.sparkContext.applicationId}"
+    if path not in _OWN:
+        _OWN.add(path)
+        atexit.register(clear_scratch, spark)
+    return path
+
+
+_OWN: set[str] = set()
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what queries of this session have staged; results not yet read are lost with it."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    target = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the session's folder."""
+    return f"{session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

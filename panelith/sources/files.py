@@ -1,38 +1,37 @@
 """Readers and writers: panels, series, nested documents, dated tables, manifests.
 
 Every reader takes an explicit schema; column pruning and date filters reach the files. Documents
-that nest a whole batch are written in parts of bounded size, so no task holds a batch.
+that nest a whole batch are written in parts of bounded size, so no task holds a batch. An entity key
+may be of any type: tables bring theirs along, and readers of JSON documents take it as ``key``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelith.functions.columns import null_hygiene
 
-PRICE_SCHEMA = T.StructType(
-    [
-        T.StructField("entity", T.LongType()), T.StructField("dt", T.DateType()),
-        T.StructField("high", T.DoubleType()), T.StructField("low", T.DoubleType()),
-        T.StructField("close", T.DoubleType()), T.StructField("volume", T.DoubleType()),
-    ]
-)
+PRICE_FIELDS = ("high", "low", "close", "volume")
+KEY = "bigint"
 SERIES_SCHEMA = "symbol string, dt date, close double"
-SNAPSHOT_SCHEMA = (
-    "snapshot_dt date, market_regime string, sector_modifiers map<string,double>, "
-    "universe array<struct<entity:bigint,score:double,conviction:string,sector:string>>, "
-    "buy_candidates array<struct<entity:bigint>>, _corrupt string"
-)
-PREDICTION_FIELDS = (
-    "entity:bigint,predicted_alpha:double,p_up:double,p_down:double,predicted_direction:string,"
-    "prediction_confidence:double,combined_rank:bigint,realized_alpha:double"
-)
-PREDICTION_SCHEMA = (
-    "date date, version_id string, part int, n_predictions bigint, "
-    f"predictions array<struct<{PREDICTION_FIELDS}>>"
-)
+PREDICTION_FIELDS = {
+    "predicted_alpha": "double", "p_up": "double", "p_down": "double", "predicted_direction": "string",
+    "prediction_confidence": "double", "combined_rank": "bigint", "realized_alpha": "double",
+}
+
+
+def snapshot_schema(key: str = KEY) -> str:
+    return (
+        "snapshot_dt date, market_regime string, sector_modifiers map<string,double>, "
+        f"universe array<struct<entity:{key},score:double,conviction:string,sector:string>>, "
+        f"buy_candidates array<struct<entity:{key}>>, _corrupt string"
+    )
+
+
+def prediction_schema(key: str = KEY) -> str:
+    fields = ",".join(f"{n}:{t}" for n, t in {"entity": key, **PREDICTION_FIELDS}.items())
+    return f"date date, version_id string, part int, n_predictions bigint, predictions array<struct<{fields}>>"
 
 
 # --- panels and series ------------------------------------------------------------------------
@@ -46,9 +45,10 @@ def assert_unique(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows
 
 
-def write_panel(panel: DataFrame, path: str, buckets: int = 64) -> str:
-    """Panel files partitioned by year; rows of one entity and year share a file. Empty input writes
-    nothing but the schema."""
+def write_panel(panel: DataFrame, path: str, buckets: int | None = None) -> str:
+    """Panel files partitioned by year; rows of one entity and year share a file. ``buckets``: writing
+    tasks, by default the session's shuffle partitions. Empty input writes nothing but the schema."""
+    buckets = buckets or int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = panel.withColumn("year", F.year("dt")).repartition(buckets, "year", "entity")
     out.sortWithinPartitions("year", "entity", "dt").write.mode("overwrite").partitionBy("year").parquet(path)
     return path
@@ -57,12 +57,11 @@ def write_panel(panel: DataFrame, path: str, buckets: int = 64) -> str:
 def read_prices(spark: SparkSession, path: str, optional: list[str] | None = None) -> DataFrame:
     """(entity, dt, bar fields) with NaN and infinities as NULL; optional columns may be absent."""
     raw = spark.read.parquet(path)
-    cols = [F.col("entity").cast("long").alias("entity"), F.to_date("dt").alias("dt")]
-    for name in [*PRICE_SCHEMA.names[2:], *(optional or [])]:
+    cols = [F.col("entity"), F.to_date("dt").alias("dt")]
+    for name in [*PRICE_FIELDS, *(optional or [])]:
         known = F.col(name).cast("double") if name in raw.columns else F.lit(None).cast("double")
         cols.append(known.alias(name))
-    numbers = [c for c in [*PRICE_SCHEMA.names[2:], *(optional or [])]]
-    return null_hygiene(raw.select(*cols), numbers)
+    return null_hygiene(raw.select(*cols), [*PRICE_FIELDS, *(optional or [])])
 
 
 def read_window(
@@ -104,11 +103,11 @@ def read_price_map(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame
     return rows.join(keys.select("entity").distinct(), "entity", "left_semi")
 
 
-def read_dim_entity(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_dim_entity(spark: SparkSession, paths: list[str], key: str = KEY) -> DataFrame:
     """entity -> sector from the first location that exists."""
     for path in paths:
         try:
-            return spark.read.schema("entity bigint, sector string").json(path).where("entity IS NOT NULL")
+            return spark.read.schema(f"entity {key}, sector string").json(path).where("entity IS NOT NULL")
         except Exception as exc:
             if "PATH_NOT_FOUND" not in str(exc):
                 raise
@@ -125,17 +124,25 @@ def in_parts(rows: DataFrame, by: list[str], part_size: int, key: str = "entity"
     return joined.withColumn("part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts")
 
 
-def build_snapshots(universe: DataFrame, modifiers: DataFrame, part_size: int = 10_000) -> DataFrame:
+def build_snapshots(
+    universe: DataFrame, modifiers: DataFrame, part_size: int = 10_000, regimes: DataFrame | None = None
+) -> DataFrame:
     """Nested snapshot documents. universe: (snapshot_dt, entity, score, conviction, sector);
-    modifiers: (snapshot_dt, sector, modifier), a few rows per snapshot."""
+    modifiers: (snapshot_dt, sector, modifier), a few rows per snapshot; regimes: (snapshot_dt,
+    market_regime), one row per snapshot, neutral where it has none."""
     maps = modifiers.groupBy("snapshot_dt").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("sector").cast("string"), "modifier"))).alias("sector_modifiers")
     )
     parts = in_parts(universe, ["snapshot_dt"], part_size).groupBy("snapshot_dt", "part").agg(
         F.collect_list(F.struct("entity", "score", "conviction", F.col("sector").cast("string").alias("sector"))).alias("universe")
     )
-    return parts.join(maps, "snapshot_dt", "left").select(
-        "snapshot_dt", F.lit("neutral").alias("market_regime"), "sector_modifiers", "universe",
+    docs = parts.join(maps, "snapshot_dt", "left")
+    if regimes is None:
+        docs = docs.withColumn("market_regime", F.lit(None).cast("string"))
+    else:
+        docs = docs.join(regimes.select("snapshot_dt", "market_regime"), "snapshot_dt", "left")
+    return docs.select(
+        "snapshot_dt", F.coalesce("market_regime", F.lit("neutral")).alias("market_regime"), "sector_modifiers", "universe",
         F.transform(F.filter("universe", lambda u: u["score"] >= 80), lambda u: F.struct(u["entity"].alias("entity"))).alias("buy_candidates"),
     )
 
@@ -145,11 +152,11 @@ def write_snapshots(docs: DataFrame, path: str) -> str:
     return path
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
     """Dated documents; corrupt ones are skipped, no document at all is an error. The date comes from
     the folder name when the document lacks one."""
     raw = (
-        spark.read.schema(SNAPSHOT_SCHEMA).option("mode", "PERMISSIVE")
+        spark.read.schema(snapshot_schema(key)).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt").json(f"{path}/*")
         .withColumn("_file", F.col("_metadata.file_path"))
     )
@@ -175,16 +182,14 @@ def regime_calls(snapshots: DataFrame, as_of: str, window_weeks: int) -> DataFra
 
 
 def prediction_documents(preds: DataFrame, version: Column, part_size: int = 10_000) -> DataFrame:
-    fields = [f.split(":")[0] for f in PREDICTION_FIELDS.split(",")]
     cols = [
-        (F.col(f) if f in preds.columns else F.lit(None)).cast(t).alias(f)
-        for f, t in (x.split(":") for x in PREDICTION_FIELDS.split(","))
+        (F.col(f) if f in preds.columns else F.lit(None)).cast(t).alias(f) for f, t in PREDICTION_FIELDS.items()
     ]
-    rows = preds.select("dt", version.alias("version_id"), *cols)
+    rows = preds.select("dt", version.alias("version_id"), "entity", *cols)
     parts = in_parts(rows, ["dt", "version_id"], part_size)
     return parts.groupBy(F.col("dt").alias("date"), "version_id", "part").agg(
         F.count(F.lit(1)).alias("n_predictions"),
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("predictions"),
+        F.sort_array(F.collect_list(F.struct("entity", *PREDICTION_FIELDS))).alias("predictions"),
     )
 
 
@@ -227,8 +232,8 @@ def read_latest(spark: SparkSession, path: str, as_of: str | None = None) -> Dat
     return rows.join(F.broadcast(newest), "_day").drop("_day")
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION_SCHEMA).json(f"{path}/dated/*")
+def read_predictions(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
+    return spark.read.schema(prediction_schema(key)).json(f"{path}/dated/*")
 
 
 def flatten_predictions(docs: DataFrame) -> DataFrame:
@@ -236,17 +241,23 @@ def flatten_predictions(docs: DataFrame) -> DataFrame:
     return rows.select("dt", "version_id", "p.*")
 
 
-def read_existing(spark: SparkSession, path: str, day: str) -> DataFrame:
+def read_existing(spark: SparkSession, path: str, day: str, key: str = KEY) -> DataFrame:
     """Predictions already written for a date; an empty table when there are none."""
     try:
-        docs = read_predictions(spark, path).where(F.col("date") == F.lit(day).cast("date"))
+        docs = read_predictions(spark, path, key).where(F.col("date") == F.lit(day).cast("date"))
     except Exception as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
-        docs = spark.createDataFrame([], PREDICTION_SCHEMA)
+        docs = spark.createDataFrame([], prediction_schema(key))
     return flatten_predictions(docs)
 
 
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The versions found below ``path`` as folders ``version_id=...`` of JSON files, each with its own
+    fields; the folder names the version."""
+    return spark.read.option("basePath", path).option("recursiveFileLookup", False).json(f"{path}/version_id=*")
+
+
 def list_versions(catalogue: DataFrame, stage: str | None = None) -> DataFrame:
     """Version catalogue, newest first by (dt, created)."""
     rows = catalogue if stage is None else catalogue.where(F.col("stage") == stage)

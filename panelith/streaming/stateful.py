@@ -193,29 +193,50 @@ def stream_latch(
 # --- running a stream to its end -----------------------------------------------------------------
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
+class Replay:
+    """A file stream whose micro-batches are the given tables, in order.
+
+    A table arrives as all the files its partitions write. The next one is written once the query has
+    taken up everything before it: the same checkpointed query runs once per arrival.
+    """
+
+    def __init__(self, spark: SparkSession, parts: list[DataFrame], name: str):
+        self.path, self.parts = scratch_path(spark, f"{name}-source"), list(parts)
+        self.arrived = 0
+        self.arrive()
+        self.stream = spark.readStream.schema(parts[0].schema).parquet(self.path)
+
+    def arrive(self) -> bool:
+        """Writes the next table; False if there is none left."""
+        if self.arrived == len(self.parts):
+            return False
+        self.parts[self.arrived].write.mode("append").parquet(self.path)
+        self.arrived += 1
+        return True
+
+
+def run_available(writer, replay: Replay | None = None) -> None:
+    """Starts a checkpointed query over everything available, again after each arrival."""
+    while True:
+        writer().trigger(availableNow=True).start().awaitTermination()
+        if replay is None or not replay.arrive():
+            return
+
+
+def drain(stream: DataFrame, name: str, replay: Replay | None = None) -> DataFrame:
     """Runs an append query over everything available and returns what it wrote. Output and
     checkpoint are below the shared folder, so a restart continues where it stopped."""
     spark = stream.sparkSession
     out, check = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    query = (
-        stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", check)
-        .trigger(availableNow=True).start(out)
+    run_available(
+        lambda: stream.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", check).option("path", out),
+        replay,
     )
-    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def replay_stream(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
-    """A file stream whose micro-batches are the given tables, in order."""
-    path = scratch_path(spark, f"{name}-source")
-    for part in parts:
-        # one folder listing entry per part keeps the order of arrival
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def gated_stream_sink(preds: DataFrame, gate, path: str, checkpoint: str) -> None:
+def gated_stream_sink(preds: DataFrame, gate, path: str, checkpoint: str, replay: Replay | None = None) -> None:
     """Writes each micro-batch's dates that pass ``gate`` (a function to rows with dt, passed) and
     lists the refused ones. Both writes carry the batch number, so a repeated batch overwrites
     itself."""
@@ -230,8 +251,4 @@ def gated_stream_sink(preds: DataFrame, gate, path: str, checkpoint: str) -> Non
         finally:
             batch.unpersist()
 
-    query = (
-        preds.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    run_available(lambda: preds.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), replay)
