@@ -87,11 +87,11 @@ def _survey(width: int, rows_per_band: int):
                 sets = shingle_sets(part, width)
                 bands = iter(min_max_bands([s for s in sets if len(s)], rows_per_band))
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("key").slice(a, b - a),
+                    rows.column("key").slice(a, b - a), rows.column("row").slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.sha256(s.tobytes()).digest()[:16] for s in sets], pa.binary()),
                     pa.array([next(bands) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                ], names=["key", "n", "set_id", "bands"])
+                ], names=["key", "row", "n", "set_id", "bands"])
 
     return run
 
@@ -156,13 +156,15 @@ def _linked(percent: int) -> Column:
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, rows_per_band: int = ROWS
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): the near-duplicate component of every row.
+    """(doc_id, n_shingles, component_id, kept, family, row): the near-duplicate component of every row.
 
     A document's set holds the distinct shingles of ``width`` words (A-Z lower-cased) of its whole
     text, or its whole word sequence if that is shorter. Documents are linked if 100 * intersection >=
-    ``percent`` * union. component_id is the smallest doc_id reachable; kept: it is the own one.
+    ``percent`` * union. component_id is the smallest doc_id reachable; kept: it is the own one. ``family``
+    numbers the components, those without any doc_id too; ``row`` is a hash of the text.
 
-    One row per input row. Null, empty and blank texts have an empty set and are linked with nothing.
+    One row per input row. Null, empty and blank texts have an empty set, are linked with nothing and
+    have a null family.
     Rows with a null doc_id count as larger than every other; they have a null component_id unless a
     document with an id is reachable, and among themselves they are all kept. Rows with equal doc_id
     and linked texts are both kept. Other columns are ignored. An empty table gives no rows.
@@ -170,11 +172,11 @@ def near_duplicates(
     spark = docs.sparkSession
     stage = Stage(spark, "minhash")
     body = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("row"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"),
     )
     survey = stage.write(
-        body.mapInArrow(_survey(width, rows_per_band), "key long, n long, set_id binary, bands array<long>")
+        body.mapInArrow(_survey(width, rows_per_band), "key long, row long, n long, set_id binary, bands array<long>")
     )
     # a class per distinct set has a number; its smallest owner speaks for it
     classes = stage.write(
@@ -242,11 +244,12 @@ def near_duplicates(
 
     named = stage.write(named)
     smallest = named.groupBy("root").agg(F.min("key").alias("component"))
-    whole = stage.write(named.join(smallest, "root").select("set_id", "component"))
+    whole = stage.write(named.join(smallest, "root").select("set_id", "component", F.col("root").alias("family")))
     own = F.coalesce("component", "key")
-    return survey.select("key", "n", "set_id").join(whole, "set_id", "left").select(
+    return survey.select("key", "row", "n", "set_id").join(whole, "set_id", "left").select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when(own != NO_ID, own).alias("component_id"),
         (F.col("key") == own).alias("kept"),
+        "family", "row",
     )

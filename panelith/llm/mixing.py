@@ -55,52 +55,80 @@ def draw(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, seed % 4 * 8 + 1, 8), 16, 10).cast("double") / float(2**32)
 
 
-def mix_sources(
-    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seeds: int = SEEDS
-) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken): how often the mix takes each row.
+def _near(side: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(side) if few else side
 
-    size: words of the text (null: 0). A null source is a source of its own, the last. Rows with equal
-    doc_id draw the same number; a null doc_id draws as the text ``null``. A source without words has
-    target 0 and no copies. Other columns are ignored. An empty table gives no rows.
+
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+
+
+def plan_mix(docs: DataFrame, weights, share: float, repeats: int, seeds: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Sizes (doc_id, source, size), plans (its_source, mix), and whether plans are few enough to broadcast.
+
+    ``mix`` holds source_size, target, rate and seed of a source.
     """
-    spark = docs.sparkSession
-    stage = Stage(spark, "mix")
+    stage = Stage(docs.sparkSession, "mix")
     rows = stage.write(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     targets = stage.write(
         fair_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats)
     )
     few = targets.count() <= BROADCAST_SOURCES
-    near = (lambda df: F.broadcast(df)) if few else (lambda df: df)
-
-    def joined(side: DataFrame) -> DataFrame:
-        side = side.withColumnRenamed("source", "its_source")
-        return rows.join(near(side), F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
-
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    targets = targets.withColumn("rate", rate)
     part = F.col("rate") - F.floor("rate")
-    drawn = [F.sum(F.when(draw(key, s) < part, F.col("size")).otherwise(F.lit(0))) for s in range(seeds)]
-    sums = joined(targets.withColumn("rate", rate)).groupBy("source").agg(
+    rates = targets.select(F.col("source").alias("its_source"), "rate")
+    drawn = [F.sum(F.when(draw(_key(), s) < part, F.col("size")).otherwise(F.lit(0))) for s in range(seeds)]
+    sums = rows.join(_near(rates, few), F.col("source").eqNullSafe(F.col("its_source"))).groupBy("its_source").agg(
         *[d.alias(f"drawn_{s}") for s, d in enumerate(drawn)]
     )
     miss = [
         F.struct(F.abs(F.floor("rate") * F.col("source_size") + F.col(f"drawn_{s}") - F.col("target")), F.lit(s).alias("seed"))
         for s in range(seeds)
     ]
-    sums = sums.withColumnRenamed("source", "its_source")
-    chosen = stage.write(
-        targets.withColumn("rate", rate).join(near(sums), F.col("source").eqNullSafe(F.col("its_source")))
-        .select("source", "source_size", "target", "rate", F.array_min(F.array(*miss))["seed"].alias("seed"))
+    plans = targets.join(_near(sums, few), F.col("source").eqNullSafe(F.col("its_source"))).select(
+        F.col("source").alias("its_source"),
+        F.struct("source_size", "target", "rate", F.array_min(F.array(*miss))["seed"].alias("seed")).alias("mix"),
     )
-    digest = F.md5(F.concat(F.lit("mix"), F.floor(F.col("seed") / 4).cast("string"), F.lit(":"), key))
-    mine = F.conv(F.substring(digest, F.col("seed") % 4 * 8 + 1, F.lit(8)), 16, 10).cast("double") / float(2**32)
-    copies = (F.floor("rate") + (mine < part).cast("int")).cast("long")
-    return joined(chosen).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+    return rows, stage.write(plans), few
+
+
+def _copies(mix: str = "mix") -> Column:
+    """floor(rate) and the Bernoulli copy, for rows joined with their source's plan."""
+    seed, rate = F.col(f"{mix}.seed"), F.col(f"{mix}.rate")
+    digest = F.md5(F.concat(F.lit("mix"), F.floor(seed / 4).cast("string"), F.lit(":"), _key()))
+    mine = F.conv(F.substring(digest, seed % 4 * 8 + 1, F.lit(8)), 16, 10).cast("double") / float(2**32)
+    return (F.floor(rate) + (mine < rate - F.floor(rate)).cast("int")).cast("long")
+
+
+def mix_sources(
+    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seeds: int = SEEDS
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken): how often the mix takes each row.
+
+    size: words of the text (null: 0). A null source is a source of its own, the last. Rows with equal
+    doc_id draw the same number; a null doc_id draws as the text ``null``. A source without words has
+    target 0 and no copies. Other columns are ignored. An empty table gives no rows.
+    """
+    rows, plans, few = plan_mix(docs, weights, share, repeats, seeds)
+    joined = rows.join(_near(plans, few), F.col("source").eqNullSafe(F.col("its_source")))
+    return joined.withColumn("copies", _copies()).select(
+        "doc_id", "source", "size", "mix.source_size", "mix.target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
+def mix_documents(
+    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seeds: int = SEEDS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as ``mix_sources`` takes it; texts are not shuffled."""
+    _, plans, few = plan_mix(docs, weights, share, repeats, seeds)
+    plans = plans.select(F.col("its_source").alias("__source"), F.col("mix").alias("__mix"))
+    rows = docs.join(_near(plans, few), F.col("source").eqNullSafe(F.col("__source")))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    copies = _copies("__mix")
+    return rows.where(copies > 0).select(*own, F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*own)
+
+
 _SEEDS = ", ".join(
     f"({s}, 'mix{s // 4}:', {s % 4 * 8 + 1})" for s in range(SEEDS)
 )

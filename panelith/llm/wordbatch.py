@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U = np.uint64
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 _RNG = np.random.default_rng(20240229)
 LETTERS = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 BASE = U(0x9E3779B97F4A7C15)
