@@ -682,6 +682,26 @@ def select_winner(
     )
 
 
+def winner_observe(
+    winners: DataFrame, series: DataFrame, margin: float, n_trials: int, n_eff: int | None = None, by: str = "spec_id"
+) -> DataFrame:
+    """Columns beside the winner table that decide nothing: whether a candidate beats the baseline by the
+    margin, its deflated Sharpe ratio at the cumulative number of trials, the ratio it would need, and
+    whether it passes the downside and overfit gates. ``series``: (by, dt, ic)."""
+    deflated = deflated_sharpe(series_moments(series, by=[by]), n_trials, n_eff).select(
+        by, F.col("dsr").alias("dsr_selection"), F.col("n_used").alias("dsr_selection_n_eff"),
+        F.col("ir_needed").alias("ic_ir_needed"), F.col("passes").alias("_overfit"),
+    )
+    downside = downside_stats(series, by=[by]).select(by, F.col("passes").alias("_downside"))
+    rows = winners.join(deflated, by, "left").join(downside, by, "left")
+    ic, bar = F.round("mean_ic", 10), F.round(F.col("baseline_ic") + margin, 10)
+    beats = F.col("mean_ic").isNotNull() & (F.col("baseline_ic").isNull() | (ic >= bar))
+    return rows.withColumns({
+        "beats_baseline": beats,
+        "gate_pass": F.coalesce(F.col("_overfit") & F.col("_downside"), F.lit(False)),
+    }).drop("_overfit", "_downside")
+
+
 def rotation_order(specs: DataFrame, versions: DataFrame, budget: int) -> DataFrame:
     """The ``budget`` stalest active specs: never registered first, then oldest, then priority.
 

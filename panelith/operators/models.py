@@ -440,9 +440,7 @@ def permutation_importance(
     """(feature, ic_drop): loss of in-sample IC when one column is shuffled. The shuffle is a join of
     two hash orders of the same rows, so it needs no global sort in one task."""
     model = models.select("coef")
-    # a number unique per (entity, dt)
-    ident = F.col("entity").cast("long") * 100_000 + F.datediff("dt", F.lit("1970-01-01").cast("date"))
-    thin = scored.select("entity", "dt", *features, y, pred, ident.alias("_id"))
+    thin = scored.select(*features, y, pred, F.struct("entity", "dt").alias("_id"))
     thin = cut_lineage(thin.withColumn("_h0", F.xxhash64("_id").cast("double")))
     base = cut_lineage(order_number(thin, [], "_h0", "_id", "_pos", digits=None, staged=True))
     out = None

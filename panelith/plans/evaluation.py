@@ -351,17 +351,20 @@ def drift_reference(spark, sf):
     return D.drift_reference(train_rows(spark, sf), FEATURES, 2000, bound(spark, sf))
 
 
-cte("ks", "trainlong ref", f"""
+cte("ks", "trainlong", f"""
 SELECT feature, max(abs(fr - fc)) AS ks, max(nr) AS n_ref, max(nc) AS n_cur FROM (
  SELECT *, sum(r) OVER (PARTITION BY feature ORDER BY value)::DOUBLE / nr AS fr, sum(1 - r) OVER (PARTITION BY feature ORDER BY value)::DOUBLE / nc AS fc FROM (
   SELECT *, sum(r) OVER (PARTITION BY feature) AS nr, sum(1 - r) OVER (PARTITION BY feature) AS nc FROM (
-   SELECT feature, value, 1 AS r FROM ref UNION ALL SELECT feature, value, 0 FROM trainlong WHERE dt >= DATE '{SPLIT}'))) GROUP BY 1""")
+   SELECT feature, round(value, 6) AS value, 1 AS r FROM trainlong WHERE dt < DATE '{SPLIT}' UNION ALL SELECT feature, round(value, 6), 0 FROM trainlong WHERE dt >= DATE '{SPLIT}'))) GROUP BY 1""")
 
 
 def ks(spark, sf):
-    reference = D.drift_reference(train_rows(spark, sf), FEATURES, 2000, bound(spark, sf))
-    current = E.long_features(late_rows(spark, sf), FEATURES, ["entity", "dt"])
-    return D.ks_drift(reference, current)
+    """All training values against all later ones, to six decimals."""
+    sides = [
+        E.long_features(rows, FEATURES, ["entity", "dt"]).withColumn("value", F.round("value", 6))
+        for rows in (train_rows(spark, sf), late_rows(spark, sf))
+    ]
+    return D.ks_drift(*sides)
 
 
 @register("ks_drift", "feature:s ks:f n_ref:i n_cur:i", "ks", "SELECT * FROM ks")
@@ -601,6 +604,22 @@ r AS (SELECT *, CASE WHEN spec_id = 'ret_13' THEN 'champion_arch_baseline' WHEN
 SELECT spec_id, version_id, ic AS mean_ic, base AS baseline_ic, 'champion_arch_fresh' AS baseline_source, reason, (SELECT arg_max(version_id, ic) FROM r WHERE reason = 'eligible') AS winner_version_id,
  CASE WHEN (SELECT count(*) FROM r WHERE reason = 'eligible') = 0 AND base > 0.01 AND base >= 0.105 THEN 'v-ret_13' END AS refresh_version_id FROM r""")
 def select_winner(spark, sf):
+    return winners(spark, sf)
+
+
+@register("winner_observe", "spec_id:s beats_baseline:b dsr_selection:f dsr_selection_n_eff:i ic_ir_needed:f gate_pass:b", "fic mom", f"""
+, b AS (SELECT -mean_ic AS base FROM fic WHERE feature = 'ret_13'),
+s AS (SELECT feature, n, -mean AS mean, std, -skew AS skew, kurt, greatest(2, least({N_EFF}, n)) AS n_used, -mean / std AS sr FROM mom),
+z AS (SELECT *, {_STAR!r}::DOUBLE / sqrt(n_used) AS star, sqrt(n_used - 1) / sqrt(1 - skew * sr + (kurt - 1) / 4 * sr * sr) AS wd FROM s),
+q AS (SELECT *, (sr - star) * wd AS z1 FROM z)
+SELECT feature AS spec_id, round(-mean_ic, 10) >= round(base + 0.005, 10) AS beats_baseline, {sql_phi('z1')} AS dsr_selection, n_used AS dsr_selection_n_eff,
+ {_inv(0.95)!r}::DOUBLE / sqrt(n_used - 1) AS ic_ir_needed, ({sql_phi('z1')}) >= 0.95 AND q.n >= 5 AND q.mean >= 0 AS gate_pass FROM q JOIN fic USING (feature), b""")
+def winner_observe(spark, sf):
+    series = feature_series(spark, sf).select(F.col("feature").alias("spec_id"), "dt", (-F.col("ic")).alias("ic"))
+    return E.winner_observe(winners(spark, sf), series, 0.005, TRIALS, N_EFF)
+
+
+def winners(spark, sf):
     ics = E.mean_rank_ic(feature_series(spark, sf), ["feature"])
     rows = ics.select(F.col("feature").alias("spec_id"), F.concat(F.lit("v-"), "feature").alias("version_id"),
                       F.when(F.col("feature") == "rsi", 5).otherwise(21).alias("forward_days"), (-F.col("mean_ic")).alias("mean_ic"))
