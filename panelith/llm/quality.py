@@ -2,10 +2,12 @@
 
 Two bag-of-n-gram models over ``buckets`` hash buckets are estimated: the target's (documents labelled
 good) and the raw corpus' (all documents). A document's importance weight is the ratio of its two
-generative probabilities. The threshold on the log weight is the one that separates labelled good from
-labelled bad documents with the fewest errors; k is the number of documents above it, and the k documents with
-the largest Gumbel-perturbed log weights are kept (Gumbel top-k: sampling without replacement in
-proportion to the weights, sharpened by the temperature).
+generative probabilities; a bucket's ratio is drawn towards 1 by ``SMOOTHING`` counts, so that rare words
+say little. The threshold on the log weight is the one that separates labelled good from labelled bad
+documents with the fewest errors, each weighed by a model that has not seen its half of the labels; k is
+the number of documents above it, and the k documents with the largest Gumbel-perturbed log weights are
+kept (Gumbel top-k: sampling without replacement in proportion to the weights, sharpened by the
+temperature).
 
 N-grams are word unigrams and bigrams of token shapes. Tokens are runs of letters, of digits or of
 other symbols; a word's shape is its case pattern, or that it repeats the word before it; a run of
@@ -32,8 +34,9 @@ from panelith.llm.wordbatch import GAPS, LETTERS, chunks, mix, spans_hash
 
 # columns that travel beside a caller's own
 KEY, BODY, WEIGHT, SIZE, PLACE = "__key", "__body", "__log_weight", "__n_grams", "__place"
+HALF, UNSEEN = "__half", "__unseen"
 TAIL = f"`{WEIGHT}` double, `{SIZE}` long, `{PLACE}` long"
-BUCKETS, LABELS, TEMPERATURE, SMOOTHING = 1 << 14, 100_000, 0.1, 0.5
+BUCKETS, LABELS, TEMPERATURE, SMOOTHING = 1 << 14, 100_000, 0.1, 20.0
 U = np.uint64
 KIND = np.full(256, 3, np.int8)
 KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -71,20 +74,22 @@ def ngram_buckets(part: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _count(buckets: int):
-    """Per task: n-gram counts of all texts and of the good ones."""
+    """Per task: n-gram counts of all texts and of the good ones of either half of the labels."""
 
     def run(batches):
-        raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        raw, good = np.zeros(buckets, np.int64), np.zeros((2, buckets), np.int64)
         for rows in batches:
             texts = rows.column(BODY).to_pylist()
-            label = np.array([x == 1 for x in rows.column("quality").to_pylist()], bool)
+            quality, half = rows.column("quality").to_pylist(), rows.column("half").to_pylist()
+            label = np.array([h if q == 1 else -1 for q, h in zip(quality, half)], np.int64)
             for a, b, part in chunks(texts):
                 doc, at = ngram_buckets(part, buckets)
                 raw += np.bincount(at, minlength=buckets)
-                good += np.bincount(at[label[a:b][doc]], minlength=buckets)
+                for h in (0, 1):
+                    good[h] += np.bincount(at[(label[a:b] == h)[doc]], minlength=buckets)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(raw[seen]), pa.array(good[seen])], names=["bucket", "raw", "good"]
+            [pa.array(x) for x in (seen, raw[seen], good[0][seen], good[1][seen])], names=["bucket", "raw", "good0", "good1"]
         )
 
     return run
@@ -92,18 +97,27 @@ def _count(buckets: int):
 
 @dataclass(frozen=True)
 class ImportanceModel:
+    """Log ratios per bucket: from all labels, and from either half of them alone."""
+
     ratio: np.ndarray
+    halves: tuple[np.ndarray, np.ndarray]
     temperature: float
 
-    def weigh(self, rows: pa.RecordBatch):
-        """Log weights and n-gram counts of a batch with a ``body``."""
+    def weigh(self, rows: pa.RecordBatch, halves: list | None = None):
+        """Log weights and n-gram counts of a batch with a ``body``; with ``halves``, the log weights of
+        labelled texts by the model of the other half."""
         texts = rows.column(BODY).to_pylist()
         weights, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        unseen = np.zeros(len(texts))
         for a, b, part in chunks(texts):
             doc, at = ngram_buckets(part, len(self.ratio))
             weights[a:b] = np.bincount(doc, self.ratio[at], b - a)
             sizes[a:b] = np.bincount(doc, minlength=b - a)
-        return weights, sizes
+            for h in (0, 1):
+                mine = np.array([x == h for x in halves[a:b]], bool) if halves else np.zeros(0, bool)
+                if mine.any():
+                    unseen[a:b][mine] = np.bincount(doc, self.halves[1 - h][at], b - a)[mine]
+        return weights, sizes, unseen
 
     def perturb(self, keys: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Gumbel-perturbed log weights as whole numbers of the same order; texts without n-grams last."""
@@ -116,13 +130,15 @@ class ImportanceModel:
 def _scored(model: ImportanceModel):
     def run(batches):
         for rows in batches:
-            weights, sizes = model.weigh(rows)
+            halves = rows.column(HALF).to_pylist() if HALF in rows.schema.names else None
+            weights, sizes, unseen = model.weigh(rows, halves)
             keys = np.array([0 if k is None else k for k in rows.column(KEY).to_pylist()], np.int64)
-            names = [n for n in rows.schema.names if n not in (BODY, KEY)]
+            names = [n for n in rows.schema.names if n not in (BODY, KEY, HALF)]
+            more = {WEIGHT: weights, SIZE: sizes, PLACE: model.perturb(keys, weights, sizes)}
+            if halves is not None:
+                more[UNSEEN] = unseen
             yield pa.RecordBatch.from_arrays(
-                [rows.column(n) for n in names]
-                + [pa.array(weights), pa.array(sizes), pa.array(model.perturb(keys, weights, sizes))],
-                names=[*names, WEIGHT, SIZE, PLACE],
+                [rows.column(n) for n in names] + [pa.array(v) for v in more.values()], names=[*names, *more]
             )
 
     return run
@@ -133,25 +149,24 @@ def fit_importance(
 ) -> tuple[ImportanceModel, DataFrame]:
     """The two models' log ratio per bucket, and the (broadcast) labels used."""
     used = (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+        .withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int"))
     )
     used = F.broadcast(used)
     counts = (
-        _bodies(docs, "doc_id").join(used, "doc_id", "left").select(BODY, "quality").mapInArrow(_count(buckets), "bucket long, raw long, good long")
-        .groupBy("bucket").agg(F.sum("raw"), F.sum("good")).collect()
+        _bodies(docs, "doc_id").join(used, "doc_id", "left").select(BODY, "quality", "half").mapInArrow(_count(buckets), "bucket long, raw long, good0 long, good1 long")
+        .groupBy("bucket").agg(F.sum("raw"), F.sum("good0"), F.sum("good1")).collect()
     )
-    raw, good = np.zeros(buckets), np.zeros(buckets)
-    for at, r, g in counts:
-        raw[at], good[at] = r, g
+    raw, good = np.zeros(buckets), np.zeros((2, buckets))
+    for at, r, g0, g1 in counts:
+        raw[at], good[:, at] = r, (g0, g1)
 
-    def log_share(n: np.ndarray) -> np.ndarray:
-        return np.log(n + SMOOTHING) - np.log(n.sum() + SMOOTHING * buckets)
+    def ratio(seen: np.ndarray) -> np.ndarray:
+        expected = raw * (seen.sum() / max(raw.sum(), 1.0))
+        return np.log(seen + SMOOTHING) - np.log(expected + SMOOTHING)
 
-    # the raw distribution, scaled to the target's size, smooths buckets that the target hardly holds
-    prior = raw / max(raw.sum(), 1.0) * buckets * SMOOTHING
-    ratio = np.log(good + prior + 1e-9) - np.log((good + prior + 1e-9).sum()) - log_share(raw)
-    return ImportanceModel(np.where(raw > 0, ratio, 0.0), temperature), used
+    return ImportanceModel(ratio(good.sum(axis=0)), (ratio(good[0]), ratio(good[1])), temperature), used
 
 
 def _threshold(weights: np.ndarray, good: np.ndarray) -> float:
@@ -192,10 +207,11 @@ def _resample(docs: DataFrame, labels: DataFrame, buckets: int, bound: int, temp
     model, used = fit_importance(docs, labels, buckets, bound, temperature)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scores = stage.write(
-        _bodies(docs, "doc_id").mapInArrow(_scored(model), f"doc_id {kind}, {TAIL}").join(used, "doc_id", "left")
+        _bodies(docs, "doc_id").join(used, "doc_id", "left").withColumnRenamed("half", HALF)
+        .mapInArrow(_scored(model), f"doc_id {kind}, quality int, {TAIL}, `{UNSEEN}` double")
     )
     known = scores.where(f"quality IS NOT NULL AND `{SIZE}` > 0").groupBy("doc_id").agg(
-        F.max(WEIGHT).alias("log_weight"), F.max("quality").alias("quality")
+        F.max(UNSEEN).alias("log_weight"), F.max("quality").alias("quality")
     ).toPandas()  # at most ``bound`` rows
     line = _threshold(known["log_weight"].to_numpy(float), known["quality"].to_numpy() == 1)
     k = scores.where((F.col(WEIGHT) > F.lit(line)) & (F.col(SIZE) > 0)).count()
