@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from panelith.llm import queries as Q
-from panelith.llm.imatch import HIGH, LOW, REPLICAS
+from panelith.llm.imatch import HIGH, LEVELS, LOW, REPLICAS
 from panelith.llm.language_id import ByteTagger
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.nearest import Tree, chi_square_quantile
@@ -86,24 +86,30 @@ def test_dense_group_of_near_copies(make, words_of):
 def test_fingerprints(spark, sf, documents):
     import xxhash
 
-    def long(v):
-        return (int(v) & (2**64 - 1)).to_bytes(8, "little")
-
     def signed(v):
         return v - 2**64 if v >= 2**63 else v
 
+    def mix(*values):
+        """xxhash64 of columns: long values, except that literals are four bytes."""
+        seed = 42
+        for v, size in values:
+            seed = xxhash.xxh64((v & (2 ** (8 * size) - 1)).to_bytes(size, "little"), seed=seed).intdigest()
+        return seed
+
     def marks(text, lexicon):
         kept = {t for t in map(term, set(brute.words(text))) if t in lexicon}
         if not kept:
             return f"{xxhash.xxh64(text.encode(), seed=42).intdigest():016x}"
         out = []
         for r in range(REPLICAS):
-            places = [xxhash.xxh64(r.to_bytes(4, "little"), seed=xxhash.xxh64(long(t), seed=42).intdigest()).intdigest() >> 1 for t in kept]
-            bits = max(1, min(places).bit_length())
-            h = 42
-            for p in sorted(p for p in places if p >> bits == 0):
-                h = xxhash.xxh64(long(p), seed=h).intdigest()
-            out.append(f"{h:016x}")
+            for level in reversed(range(LEVELS)):
+                mine = [t for t in kept if not level or mix((t, 8), (r, 4)) >> (64 - 2 * level) == 0]
+                if mine:
+                    both = 0
+                    for t in mine:
+                        both ^= mix((t, 8), (-1, 4))
+                    out.append(f"{mix((level, 4), (both, 8)):016x}")
+                    break
         return "".join(out)
 
     def term(w):
