@@ -1,10 +1,13 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
 The lexicon keeps the terms whose document frequency lies in a band (the same as a band of inverse
-document frequency). Every replica orders the lexicon at random and nests subsets of it, each with half
-the terms of the one before; a document takes the sparsest subset of the replica that still holds one
-of its terms. The terms it has there, distinct and sorted, are hashed. A fingerprint is the list of
-these hashes; its likeness to another is the share of equal ones.
+document frequency). Every replica draws nested random subsets of it, each with a quarter of the terms
+of the one before; a document's hash for a subset is taken over its distinct terms there, and counts for
+the sparsest subset of the replica that holds any. A fingerprint is the list of these hashes, one for
+each replica; its likeness to another is the share of equal ones.
+
+The hash of a set of distinct terms is the exclusive or of its terms' hashes: that is the same for any
+order, so it stands for hashing the sorted list, and it can be aggregated term by term.
 
 A term in at least ``low`` * N of N documents occurs in so many that there are at most (mean distinct
 terms of a document) / ``low`` such terms, whatever N is. That bounds the lexicon, so it is broadcast
@@ -15,53 +18,56 @@ Only built-in functions run here. The text shuffles once, to meet the opening of
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelith.llm.staging import Stage
 
-LOW, HIGH, REPLICAS = 0.001, 0.1, 24
+LOW, HIGH, REPLICAS, LEVELS = 0.001, 0.1, 12, 7
 BROADCAST_TERMS = 2_000_000
 GAP = r"[\x20\x09-\x0D]+"
 #: orders documents without an id behind all others in descending order
 NO_ID = -(2**63)
 
 
-def terms(text: Column) -> Column:
-    """Hashes of the distinct words of a text."""
-    words = F.array_distinct(F.split(text, GAP))
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+def words(text: Column) -> Column:
+    """Distinct words of a text, maybe with an empty one at its edges."""
+    return F.array_distinct(F.split(text, GAP))
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """(term): hashes of the terms that a share between ``low`` and ``high`` of the rows holds."""
-    counts = docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").count()
+    counts = (
+        docs.select(F.explode(words(F.coalesce("text", F.lit("")))).alias("word")).where("word <> ''")
+        .groupBy(F.xxhash64("word").alias("term")).count()
+    )
     n = docs.count()
     return counts.where(F.col("count").between(low * n, high * n)).select("term")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
+def set_hashes(rows: DataFrame, keys: list[str], replicas: int = REPLICAS, levels: int = LEVELS) -> DataFrame:
+    """Per ``keys`` the array ``marks``: each replica's hash of the terms in its sparsest subset.
 
+    rows: (keys, term), terms distinct within the keys, a null term for none. Keys without terms get
+    an array of nulls.
+    """
+    placed = rows.withColumns({f"_p{r}": F.xxhash64("term", F.lit(r)) for r in range(replicas)})
+    placed = placed.withColumn("_h", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(-1))))
 
-def subset_hashes(kept: Column, replicas: int = REPLICAS) -> Column:
-    """One hash per replica of the terms in the sparsest subset that holds any of ``kept``."""
-
-    def replica(r: Column) -> Column:
-        places = F.transform(kept, lambda t: F.shiftrightunsigned(F.xxhash64(t, r), 1))
-        return _let(places, lambda p: _let(
-            F.char_length(F.bin(F.array_min(p))),
-            lambda bits: F.xxhash64(F.array_sort(F.filter(p, lambda v: F.expr("0L") == _shifted(v, bits)))),
-        ))
+    def subset(r: int, level: int) -> Column:
+        inside = F.shiftrightunsigned(f"_p{r}", 64 - 2 * level) == 0 if level else F.lit(True)
+        return F.bit_xor(F.when(inside, F.col("_h"))).alias(f"_x{r}_{level}")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(replicas - 1)), replica)
+    sets = placed.groupBy(*keys).agg(*[subset(r, level) for r in range(replicas) for level in range(levels)])
 
+    def deepest(r: int) -> Column:
+        each = [
+            F.when(F.col(f"_x{r}_{level}").isNotNull(), F.xxhash64(F.lit(level), F.col(f"_x{r}_{level}")))
+            for level in reversed(range(levels))
+        ]
+        return F.coalesce(*each)
 
-def _shifted(value: Column, bits: Column) -> Column:
-    return F.call_function("shiftrightunsigned", value, bits)
+    return sets.select(*keys, F.array(*[deepest(r) for r in range(replicas)]).alias("marks"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -110,10 +116,9 @@ def fingerprint_documents(
     """
     spark = docs.sparkSession
     stage = Stage(spark, "imatch")
-    words = stage.write(lexicon(docs, low, high))
-    if words.count() <= BROADCAST_TERMS:
-        words = F.broadcast(words)
-    words = words.withColumn("known", F.lit(True))
+    known = stage.write(lexicon(docs, low, high))
+    if known.count() <= BROADCAST_TERMS:
+        known = F.broadcast(known)
 
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text")
@@ -137,29 +142,25 @@ def fingerprint_documents(
     edited = F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("need")), F.col("opening"))
     both = texts.join(openings, ["key", "row"]).select("key", "row", "n", "text", edited.alias("edited"))
 
-    def sided(text: str, side: int) -> Column:
-        return F.transform(terms(F.col(text)), lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
-
-    spread = both.select(
+    # every side has an empty word of its own, so that sides without any term are there too
+    both = both.select(
         "key", "row", "n", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("edited").alias("edited_row"),
-        F.explode_outer(F.concat(sided("text", 1), sided("edited", 2))).alias("t"),
-    ).select("key", "row", "n", "edited_sha256", "edited_row", "t.term", "t.side")
-
-    def side(number: int) -> Column:
-        return F.collect_list(F.when(F.col("known") & (F.col("side") == number), F.col("term")))
-
-    kept = spread.join(words, "term", "left").groupBy("key", "row", "n", "edited_sha256", "edited_row").agg(
-        side(1).alias("own"), side(2).alias("other")
+        F.posexplode(F.array(words(F.col("text")), words(F.col("edited")))).alias("side", "words"),
+    )
+    keys = ["key", "row", "n", "edited_sha256", "edited_row", "side"]
+    spread = both.select(*keys, F.explode(F.array_union("words", F.array(F.lit("")))).alias("word"))
+    spread = spread.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
+    kept = spread.join(known.withColumn("known", F.lit(True)), "term", "left").where("known OR term IS NULL")
+    sides = set_hashes(kept, keys, replicas)
+
+    def side(number: int, whole: str) -> Column:
+        mine = F.first(F.when(F.col("side") == number, F.col("marks")), ignorenulls=True)
+        return F.when(mine[0].isNull(), F.array(F.col(whole))).otherwise(mine)
+
+    marked = stage.write(
+        sides.groupBy(*keys[:-1]).agg(side(0, "row").alias("marks"), side(1, "edited_row").alias("edited_marks"))
+        .drop("edited_row")
     )
-
-    def prints(kept_terms: str, whole: str) -> Column:
-        return F.when(F.size(kept_terms) > 0, subset_hashes(F.col(kept_terms), replicas)).otherwise(
-            F.array(F.col(whole))
-        )
-
-    marked = stage.write(kept.select(
-        "key", "row", "n", "edited_sha256", prints("own", "row").alias("marks"), prints("other", "edited_row").alias("edited_marks")
-    ))
     following = marked.select(F.col("key").alias("next_key"), F.col("row").alias("next_row"), F.col("marks").alias("next_marks"))
     rows = marked.join(links.drop("n"), ["key", "row"]).join(following, ["next_key", "next_row"])
     if repeated:
