@@ -157,7 +157,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     first = stage.write(first)
     reps = survey.join(first, ["sha", "key", "row"], "left_semi").dropDuplicates(["key", "row"])
     anchors = stage.write(reps.select("key", "row", F.explode("anchors").alias("anchor")))
-    common = (
+    # written, as below, so that the join can split an anchor or window that very many texts share
+    common = stage.write(
         anchors.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high"))
         .where("low < high").select("anchor")
     )
@@ -173,7 +174,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             _emit(window, gram), "h long, check int, key long, at long"
         )
     )
-    repeated = (
+    repeated = stage.write(
         windows.groupBy("h", "check").agg(F.min("key").alias("low"), F.max("key").alias("high"))
         .where("low < high").drop("high")
     )
