@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from panelith.llm.staging import Stage
 
 K, DIMS, CONFIDENCE = 20, 10, 0.95
+#: leaves of the first lot; each further lot has four times as many
+FIRST_LEAVES = 4
 CELL, CELLS, BLOCK, PACK, LEAF, SAMPLE = 4096, 1024, 8192, 512, 64, 20_000
 
 
@@ -106,8 +108,19 @@ class Tree:
         self.low = np.array([low[order[s:e]].min(axis=0) for s, e in leaves])
         self.high = np.array([low[order[s:e]].max(axis=0) for s, e in leaves])
 
-    def reach(self, q: np.ndarray) -> np.ndarray:
-        return box_distance(q, self.low, self.high)
+
+class Block:
+    """The vectors of a block in the order of their leaves, with their projections."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projection: Projection):
+        low = projection.points(vectors)
+        self.tree = Tree(low)
+        order = self.tree.order
+        self.ids, self.vectors, self.low = ids[order], vectors[order], low[order]
+        by_place = np.argsort(self.tree.starts)
+        self.boxes = self.tree.low[by_place], self.tree.high[by_place]
+        self.sizes = (self.tree.ends - self.tree.starts)[by_place]
+        self.norm2 = projection.norm**2
 
 
 def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -116,30 +129,30 @@ def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return (gap * gap).sum(axis=1)
 
 
-def search_block(ids, vectors, projection: Projection, tree: Tree, low, query_id, query, bound: float, k: int, factor: float):
-    """(ids, scores) of the best k of a block for one query; ``bound``: a squared distance to beat."""
-    q = projection.queries(query[None])[0]
-    base = float(query @ query) + projection.norm**2
-    reach = tree.reach(q)
+def search_block(block: Block, q: np.ndarray, query_id: int, query: np.ndarray, bound: float, k: int, factor: float):
+    """(ids, scores) of the best k of a block for one query; q: its projection; ``bound``: a squared
+    distance to beat."""
+    base = float(query @ query) + block.norm2
+    reach = box_distance(q, *block.boxes)
     leaves = np.argsort(reach, kind="stable")
     found_ids, found = np.zeros(0, np.int64), np.zeros(0)
-    at, step = 0, 1
+    at, step = 0, FIRST_LEAVES
     while at < len(leaves) and reach[leaves[at]] <= factor * bound:
-        lot = leaves[at : at + step]
-        lot = lot[reach[lot] <= factor * bound]
-        rows = np.concatenate([tree.order[s:e] for s, e in zip(tree.starts[lot], tree.ends[lot])])
-        gap = low[rows] - q
-        rows = rows[((gap * gap).sum(axis=1) <= factor * bound) & (ids[rows] != query_id)]
+        lot = np.zeros(len(leaves), bool)
+        lot[leaves[at : at + step]] = True
+        rows = np.flatnonzero(np.repeat(lot & (reach <= factor * bound), block.sizes))
+        gap = block.low[rows] - q
+        rows = rows[(np.einsum("ij,ij->i", gap, gap) <= factor * bound) & (block.ids[rows] != query_id)]
         # row by row in one order of summation: equal vectors have equal scores
-        scores = (vectors[rows] * query).sum(axis=1)
-        found_ids, found = np.concatenate([found_ids, ids[rows]]), np.concatenate([found, scores])
+        scores = np.einsum("ij,j->i", block.vectors[rows], query)
+        found_ids, found = np.concatenate([found_ids, block.ids[rows]]), np.concatenate([found, scores])
         if len(found) > k:
             best = np.lexsort((found_ids, -found))[:k]
             found_ids, found = found_ids[best], found[best]
         if len(found) == k:
             # a little wider, so that rounding does not part equals
             bound = min(bound, max(base - 2 * float(found.min()), 0.0) * (1 + 1e-9) + 1e-12)
-        at, step = at + step, step * 2
+        at, step = at + step, step * 4
     return found_ids, found
 
 
@@ -196,11 +209,12 @@ def _search(projection: Projection, k: int, factor: float):
                 fresh = np.ones(len(ids), bool)
                 fresh[1:] = (ids[1:] != ids[:-1]) | (vectors[1:] != vectors[:-1]).any(axis=1)
                 ids, vectors = ids[fresh], vectors[fresh]
-                low = projection.points(vectors)
-                tree = Tree(low)
-                asks = zip(pack.field("vec_id").to_pylist(), _matrix(pack.field("v")), pack.field("bound").to_pylist())
-                for query_id, query, bound in asks:
-                    got, scores = search_block(ids, vectors, projection, tree, low, query_id, query, bound, k, factor)
+                block, queries = Block(ids, vectors, projection), _matrix(pack.field("v"))
+                asks = zip(
+                    pack.field("vec_id").to_pylist(), projection.queries(queries), queries, pack.field("bound").to_pylist()
+                )
+                for query_id, q, query, bound in asks:
+                    got, scores = search_block(block, q, query_id, query, bound, k, factor)
                     out_q.append(np.full(len(got), query_id, np.int64))
                     out_v.append(got)
                     out_s.append(scores)
