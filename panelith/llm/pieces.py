@@ -1,18 +1,24 @@
-"""SentencePiece encoding and decoding by batched Viterbi in numpy.
-
-The best segmentation of a text under additive piece scores. Blanks are written as U+2581 with one in
-front of the text. No piece has U+2581 behind another character, so a text may be cut in front of every
-U+2581 that follows something else: the cuts are words, and their best segmentations are the text's.
-
-The distinct words of a batch are grouped by length, and all words of a length advance together, one
-character at a time: substring hashes probe the sorted keys of the pieces, and the running maximum over
-piece lengths stores the backpointers. Characters in no piece are spelled in byte pieces, and so is a
+"""SentencePiece encoding and decoding, batched in numpy.
+
+A merge (BPE) model joins, again and again, the neighbouring symbols whose joined piece has the best score,
+the leftmost of equal ones; a unigram model takes the segmentation with the best sum of scores. Blanks are
+written as U+2581 with one in front of the text. No piece has U+2581 behind another character, so a text
+may be cut in front of every U+2581 that follows something else: the cuts are words, and their
+segmentations are the text's.
+
+Merges: the distinct words of a batch are cut once more between characters that stand side by side in no
+piece, and every part that is left makes its best merge at the same time, until none has one. Parts of more
+than ``LONG`` characters use a heap each. Unigram: the words are grouped by length, and all words of a
+length advance together, one character at a time: substring hashes probe the sorted keys of the pieces, and
+the running maximum over piece lengths stores the backpointers. Characters in no piece are spelled in byte pieces, and so is a
 U+2581 of the text itself (only blanks are written as such), which makes decoding exact for every text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +36,62 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 PENALTY = 10.0
 #: bytes of one lattice, about; more words of a length advance in several lots
 LIMIT = 250_000_000
+#: parts of more characters merge by a heap, as their joint steps would cost the square of the length
+LONG = 128
+#: sentencepiece's number for merge models (trainer_spec.model_type)
+BPE = 2
 U = np.uint64
 
 
+@dataclass(frozen=True)
+class Merges:
+    """What two neighbouring symbols make. Symbols are numbers: the normal pieces, then characters that are none."""
+
+    chars: np.ndarray
+    char_symbols: np.ndarray
+    pairs: np.ndarray
+    ranks: np.ndarray
+    made: np.ndarray
+    beside: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def build(cls, normal: list[tuple[str, float, int]]) -> Merges:
+        symbols = {p: k for k, (p, _, _) in enumerate(normal)}
+        for c in sorted({c for p, _, _ in normal for c in p}):
+            symbols.setdefault(c, len(symbols))
+        rank = {s: r for r, s in enumerate(sorted({s for _, s, _ in normal}, reverse=True))}
+        found, beside = [], set()
+        for p, score, _ in normal:
+            beside.update(ord(a) << 21 | ord(b) for a, b in zip(p, p[1:]))
+            for i in range(1, len(p)):
+                a, b = symbols.get(p[:i]), symbols.get(p[i:])
+                if a is not None and b is not None:
+                    found.append((a << 32 | b, rank[score], symbols[p]))
+        table = np.array(sorted(found), np.int64).reshape(-1, 3)
+        single = sorted((ord(c), k) for c, k in symbols.items() if len(c) == 1)
+        ids = np.full(len(symbols), -1, np.int32)
+        ids[: len(normal)] = [i for _, _, i in normal]
+        chars = np.array(single, np.int64).reshape(-1, 2)
+        return cls(chars[:, 0].copy(), chars[:, 1].copy(), *table.T.copy(), np.array(sorted(beside), np.int64), ids)
+
+    @cached_property
+    def by_pair(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.made.tolist())))
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (``NEVER`` without a merge) and symbol that each pair makes."""
+        if not len(self.pairs):
+            return np.full(len(left), NEVER), np.zeros(len(left), np.int64)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.ranks[at], NEVER), self.made[at]
+
+
+NEVER = np.int64(2**30)
+
+
 @dataclass(frozen=True)
 class PieceTable:
     """Pieces sorted by hash within each length, their scores and ids; small enough to ship with a task."""
@@ -43,10 +102,12 @@ class PieceTable:
     byte_ids: np.ndarray
     unknown: float
     texts: list[bytes | int | None]
+    #: of a merge model; a unigram model has none
+    merges: Merges | None = None
 
     @classmethod
-    def build(cls, pieces: list[tuple[str, float, str]]) -> PieceTable:
-        """From (piece, score, kind) in the order of ids; kind: normal, byte or control."""
+    def build(cls, pieces: list[tuple[str, float, str]], merge: bool = False) -> PieceTable:
+        """From (piece, score, kind) in the order of ids; kind: normal, byte or control. ``merge``: a merge model."""
         normal = [(p, s, i) for i, (p, s, kind) in enumerate(pieces) if kind == "normal"]
         if any(BLANK in p.lstrip(BLANK) for p, _, _ in normal):
             raise ValueError("a piece crosses words")
@@ -70,7 +131,7 @@ class PieceTable:
                 raise ValueError("two pieces share a hash")
             keys[n], scores[n] = h[order], np.array([s for _, s, _ in mine])[order]
             ids[n] = np.array([i for _, _, i in mine], np.int32)[order]
-        return cls(keys, scores, ids, byte_ids, min(s for _, s, _ in normal) - PENALTY, texts)
+        return cls(keys, scores, ids, byte_ids, min(s for _, s, _ in normal) - PENALTY, texts, Merges.build(normal) if merge else None)
 
 
 def letter(points: np.ndarray) -> np.ndarray:
@@ -93,7 +154,42 @@ def load_pieces(path: str = MODEL) -> PieceTable:
             return "byte"
         return "control" if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) else "normal"
 
-    return PieceTable.build([(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())])
+    pieces = [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())]
+    merge = model_type(model.serialized_model_proto()) == BPE
+    if merge and any(map(model.is_unused, range(len(pieces)))):
+        raise ValueError("unused pieces are merged and taken apart again, which is not built")
+    return PieceTable.build(pieces, merge)
+
+
+def _fields(message: bytes):
+    """(number, value) of the varint and length-delimited fields of a protocol buffer."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        number, wire = divmod(varint(), 8)
+        if wire == 0:
+            yield number, varint()
+        else:
+            size = varint() if wire == 2 else {1: 8, 5: 4}[wire]
+            yield number, message[at : at + size]
+            at += size
+
+
+def model_type(model: bytes) -> int:
+    """trainer_spec.model_type of a serialised model: 1 unigram (also if it is not set), 2 merges."""
+    trainer = b"".join(v for n, v in _fields(model) if n == 2)
+    return [1, *(v for n, v in _fields(trainer) if n == 3)][-1]
 
 
 def _viterbi(table: PieceTable, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,6 +239,86 @@ def _viterbi(table: PieceTable, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row, end, piece[end, row]
 
 
+def _merge_long(m: Merges, symbols: list[int]) -> list[tuple[int, int]]:
+    """(start, symbol) of one part's pieces."""
+    n = len(symbols)
+    after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def offer(i: int, j: int) -> tuple[int, int, int, int, int] | None:
+        if i < 0 or j >= n or symbols[i] < 0 or symbols[j] < 0:
+            return None
+        found = m.by_pair.get(symbols[i] << 32 | symbols[j])
+        return found and (found[0], i, j, size[i] + size[j], found[1])
+
+    heap = [x for i in range(n - 1) if (x := offer(i, i + 1))]
+    heapify(heap)
+    while heap:
+        _, i, j, whole, made = heappop(heap)
+        # stale if either side has been merged since
+        if not size[i] or not size[j] or size[i] + size[j] != whole:
+            continue
+        symbols[i], size[i], size[j], k = made, whole, 0, after[j]
+        after[i] = k
+        if k < n:
+            before[k] = i
+        for x in (offer(before[i], i), offer(i, k)):
+            if x:
+                heappush(heap, x)
+    return [(i, symbols[i]) for i in range(n) if size[i]]
+
+
+def _merge(m: Merges, points: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words one behind the other, ``word`` numbering them: where each piece starts, in order, and its id.
+
+    id -1 marks a character in no piece.
+    """
+
+    def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(sorted_keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+        return at, sorted_keys[at] == keys
+
+    at, known = found(m.chars, points)
+    symbol = np.full(len(points), -1, np.int64)
+    symbol[known] = m.char_symbols[at[known]]
+    joint = found(m.beside, points[:-1] << 21 | points[1:])[1] & (word[1:] == word[:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~joint]))
+    size = np.diff(np.append(first, len(points)))
+    stays = np.ones(len(points), bool)
+    for s, n in zip(first[size > LONG].tolist(), size[size > LONG].tolist()):
+        stays[s : s + n] = False
+        for i, made in _merge_long(m, symbol[s : s + n].tolist()):
+            stays[s + i], symbol[s + i] = True, made
+    mine = np.repeat((size > 1) & (size <= LONG), size)
+    pos, part = np.flatnonzero(mine), np.repeat(np.arange(len(size)), size)[mine]
+    now = symbol[mine]
+    rank, made = np.full(len(pos), NEVER), np.zeros(len(pos), np.int64)
+    same = np.flatnonzero(part[1:] == part[:-1])
+    rank[same], made[same] = m.look_up(now[same], now[same + 1])
+    while len(pos):
+        begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        best = np.minimum.reduceat(rank << 32 | np.arange(len(pos)), begin)
+        more = best >> 32 < NEVER
+        keep = np.repeat(more, np.diff(np.append(begin, len(pos))))
+        symbol[pos[~keep]] = now[~keep]
+        i = best[more] & 0xFFFFFFFF
+        now[i] = made[i]
+        stays[pos[i + 1]] = False
+        keep[i + 1] = False
+        i = (np.cumsum(keep) - 1)[i]
+        pos, part, now, rank, made = pos[keep], part[keep], now[keep], rank[keep], made[keep]
+        # the merged symbol has a new pair on each side
+        rank[i] = NEVER
+        left = np.concatenate([i, i[i > 0] - 1])
+        left = left[left + 1 < len(pos)]
+        left = left[part[left] == part[left + 1]]
+        rank[left], made[left] = m.look_up(now[left], now[left + 1])
+    start = np.flatnonzero(stays)
+    return start, np.where(symbol[start] < 0, -1, m.ids[symbol[start]])
+
+
 def _utf8(point: int) -> bytes:
     return (BLANK if point == OWN_BLANK else chr(point)).encode()
 
@@ -160,8 +336,8 @@ def _code_points(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return points, starts - np.minimum(np.arange(len(starts)), len(texts) - 1)
 
 
-def encode_batch(table: PieceTable, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts, and where each text's ids start."""
+def encode_batch(table: PieceTable, texts: list[bytes], merges: Merges | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts, and where each text's ids start: the model's merges, or the lattice over its scores."""
     if not texts:
         return np.zeros(0, np.int32), np.zeros(1, np.int64)
     points, bounds = _code_points(texts)
@@ -175,11 +351,19 @@ def encode_batch(table: PieceTable, texts: list[bytes]) -> tuple[np.ndarray, np.
     key = mix((run[cut + size] - run[cut]) * inverse[cut] + size.astype(U))
     _, first, word = np.unique(key, return_index=True, return_inverse=True)
     lengths = size[first]
-    # pieces of the distinct words, one length at a time
+    # pieces of the distinct words, by the lattice one length at a time
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    if merges:
+        owner = np.repeat(np.arange(len(first)), lengths)
+        flat = points[np.repeat(cut[first] - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(owner))]
+        start, ids = _merge(merges, flat, owner)
+        row = owner[start]
+        if (ids < 0).any():
+            row, ids = _spell(table, row, ids, flat[start])
+        found.append((row, ids))
     by_size = np.argsort(lengths, kind="stable")
     edges = np.flatnonzero(np.diff(lengths[by_size])) + 1
-    for group in np.split(by_size, edges):
+    for group in [] if merges else np.split(by_size, edges):
         n = int(lengths[group[0]])
         step = max(1, LIMIT // (32 * (n + 1)) // 8)
         for at in range(0, len(group), step):
@@ -196,8 +380,10 @@ def encode_batch(table: PieceTable, texts: list[bytes]) -> tuple[np.ndarray, np.
     counts = np.diff(begin)[word]
     ends = np.cumsum(counts)
     out = ids[np.repeat(begin[word] - (ends - counts), counts) + np.arange(ends[-1])]
-    words_before = np.searchsorted(cut, bounds)
-    return out, np.concatenate([[0], ends])[words_before]
+    bounds, sizes = np.concatenate([[0], ends])[np.searchsorted(cut, bounds)], np.diff(bounds)
+    # an empty text has no leading blank either
+    empty = sizes == 1
+    return np.delete(out, bounds[:-1][empty]), bounds - np.concatenate([[0], np.cumsum(empty)])
 
 
 def _spell(table: PieceTable, row: np.ndarray, ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +437,7 @@ def _encode(table: PieceTable, names: list[str]):
         for rows in batches:
             texts = rows.column(TEXT).to_pylist()
             for a, b, part in chunks(texts):
-                ids, bounds = encode_batch(table, part)
+                ids, bounds = encode_batch(table, part, table.merges)
                 back = decode(ids, bounds)
                 none = pa.array(rows.column(NULL).slice(a, b - a))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
@@ -271,8 +457,8 @@ def none_where(texts: list[bytes], none: pa.Array) -> pa.Array:
 def encode_texts(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), model: str | PieceTable = MODEL) -> DataFrame:
     """``columns`` with ids array<int>, n_pieces, decoded (the text read back from ids) and exact.
 
-    One row per input row, no shuffle. A null or empty text encodes as the leading blank alone;
-    ``decoded`` is null for a null text. Columns of the result's names must not be among ``columns``;
+    One row per input row, no shuffle. A null or empty text has no ids; ``decoded`` is null for
+    a null text. Columns of the result's names must not be among ``columns``;
     other columns are ignored. An empty table gives no rows.
     """
     table = load_pieces(model) if isinstance(model, str) else model

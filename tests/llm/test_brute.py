@@ -191,6 +191,23 @@ def test_pieces_equal_an_independent_encoder(documents):
         assert mine == theirs or score(mine) > score(theirs) or len(mine) != len(theirs) or score(mine) == pytest.approx(score(theirs))
 
 
+def test_pieces_equal_the_unmodified_model(spark, sf, documents):
+    spm = pytest.importorskip("sentencepiece")
+    from panelith.llm.pieces import MODEL
+
+    other, table = spm.SentencePieceProcessor(model_file=MODEL), load_pieces(MODEL)
+    assert other.encode("a test and that") == encode_batch(table, [b"a test and that"], table.merges)[0].tolist()
+    got = by_id(Q.op8_sentencepiece(spark, sf))
+    assert all(got[d]["ids"] == other.encode(t) for d, t in documents.items())
+    rng = random.Random(4)
+    pieces = [other.id_to_piece(i).replace("▁", " ") for i in range(300, other.get_piece_size())]
+    odd = ["", " ", "  a  b   ", "x" * 5000, "ab" * 300, "漢字x🙂🙂" * 90, "\x00\n\t", "thatand" * 40 + " that", "\u0e01\u0e32" * 200]
+    odd += ["".join(rng.choices(pieces, k=rng.choice([1, 2, 3, 5, 20, 200]))) for _ in range(600)]
+    odd += ["".join(rng.choices("aehinst", k=rng.choice([2, 5, 9, 127, 128, 129, 130, 900]))) for _ in range(300)]
+    ids, bounds = encode_batch(table, [t.encode() for t in odd], table.merges)
+    assert [ids[s:e].tolist() for s, e in zip(bounds[:-1], bounds[1:])] == [other.encode(t) for t in odd]
+
+
 def test_pieces_round_trip(spark, sf, documents):
     got = by_id(encode_texts(spark.read.parquet(f"{sf}/documents.parquet")))
     assert all(r["exact"] and r["decoded"] == documents[d] for d, r in got.items())
