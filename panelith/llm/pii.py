@@ -5,8 +5,8 @@ value is a protected entity e. Its information is IC(e) = -log p(e), p over dist
 ``REACH`` code points of an entity are its context; a context word t reveals PMI(t; e) = log p(t, e) /
 (p(t) p(e)) of it, at most IC(e). The disclosure is PMI / IC. From ``generalise`` on, the word becomes a
 placeholder where it stands in the entity's context; from ``remove`` on (the word hardly occurs without
-the entity) it goes. A pair needs ``support`` distinct texts, so that words that met an entity by chance
-stay. Document frequencies p(t) are counted over whole texts of all documents.
+the entity) it goes. The PMI is smoothed as if t and e had each been seen in ``support`` more texts, without
+the other: pairs that met only once or twice are judged too, by as much information as is left. Document frequencies p(t) are counted over whole texts of all documents.
 
 Only built-in functions run here. Patterns are written so that they scan in linear time: a run of
 letters or digits is entered at its start only, or where the last match ended. Texts without personal
@@ -174,7 +174,7 @@ def find_personal(
     entities = one.select("row", "n.entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = (
         one.select("row", "n.entity", F.explode("n.words.word").alias("word")).distinct()
-        .groupBy("entity", "word").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
+        .groupBy("entity", "word").agg(F.count("*").alias("n_et"))
     )
     pairs = stage.write(pairs.join(entities, "entity"))
     wanted = _small(stage.write(pairs.select("word").distinct()))
@@ -186,7 +186,7 @@ def find_personal(
     total = float(max(held.count(), 1))
     information = F.log(F.lit(total) / F.col("n_e"))
     # a word counts in all rows, an entity in distinct texts: copies only lower the disclosure
-    shared = F.log(F.lit(total) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
+    shared = F.log(F.lit(total) * F.col("n_et") / ((F.col("n_t") + support) * (F.col("n_e") + support)))
     share = F.when(information > 0, shared / information).otherwise(F.lit(0.0))
     flagged = stage.write(
         pairs.join(counts, "word").withColumn("share", share).where(F.col("share") >= generalise)

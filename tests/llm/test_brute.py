@@ -172,6 +172,14 @@ def test_terms_that_disclose(make, words_of):
         assert clean[d]["n_chars"] == len(got)
 
 
+def test_terms_of_a_value_seen_once(make, words_of):
+    rng = random.Random(6)
+    docs = {i: " ".join(words_of(rng, 40, 50)) for i in range(1500)}
+    docs[5000] = " ".join([*words_of(rng, 20, 50), "Zanzibar", "mail", "bob@corp9.example.com", *words_of(rng, 20, 50)])
+    found = by_id(find_personal(make(list(docs.items()))))
+    assert {s["value"] for s in found[5000]["terms"]} == {"Zanzibar", "mail"}
+
+
 def test_pieces_equal_an_independent_encoder(documents):
     spm = pytest.importorskip("sentencepiece")
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
