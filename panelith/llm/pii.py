@@ -1,23 +1,23 @@
 """Personal data: pattern spans, and terms that disclose them.
 
 Base spans are e-mail addresses, IP addresses, card numbers and telephone numbers. Each distinct base
-value is a protected entity e. Its information is IC(e) = -log p(e), p over distinct texts. Words within
-``REACH`` code points of an entity are its context; a context word t reveals PMI(t; e) = log p(t, e) /
-(p(t) p(e)) of it, at most IC(e). The disclosure is PMI / IC. From ``generalise`` on, the word becomes a
-placeholder where it stands in the entity's context; from ``remove`` on (the word hardly occurs without
-the entity) it goes. The PMI is smoothed as if t and e had each been seen in ``support`` more texts, without
-the other: pairs that met only once or twice are judged too, by as much information as is left. Document frequencies p(t) are counted over whole texts of all documents.
+value is a protected entity e. Its information is IC(e) = -log p(e), p over distinct texts. The words of the
+texts that hold an entity are its candidates; a word t reveals PMI(t; e) = log p(t, e) / (p(t) p(e)) of it, at
+most IC(e). The disclosure is PMI / IC. From ``generalise`` on, every occurrence of the word in the texts that hold
+the entity becomes a placeholder; from ``remove`` on (the word hardly occurs without the entity) it goes.
+The PMI is smoothed as if t and e had each been seen in ``support`` more texts, without the other: pairs that
+met only once or twice are judged too, by as much information as is left.
 
 Only built-in functions run here. Patterns are written so that they scan in linear time: a run of
 letters or digits is entered at its start only, or where the last match ended. Texts without personal
-data are never shuffled.
+data are shuffled only if more than ``BROADCAST_TERMS`` texts have copies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelith.llm.staging import Stage
@@ -31,8 +31,8 @@ PATTERNS = {
 }
 IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{0,2})(?<=[0-9])"
 PLACEHOLDER = {**{k: f"[{k.upper()}]" for k in KINDS}, "term": "[TERM]", "gone": ""}
-REACH, SUPPORT, GENERALISE, REMOVE = 48, 3, 0.6, 0.95
-#: more flagged or candidate terms than this are joined by a shuffle
+SUPPORT, GENERALISE, REMOVE = 3, 0.6, 0.95
+#: more flagged terms or copied texts than this are joined by a shuffle
 BROADCAST_TERMS = 500_000
 SPAN = "array<struct<kind string, start int, end int, value string>>"
 
@@ -67,17 +67,6 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _offsets(pieces: Column, item: Callable[[Column, Column], Column], empty: Column) -> Column:
-    """Walks over text pieces with the code point at which each starts; ``item`` gives 0 or 1 entries."""
-
-    def step(have: Column, piece: Column) -> Column:
-        return F.struct(
-            (have["at"] + F.char_length(piece)).alias("at"), F.concat(have["out"], item(piece, have["at"])).alias("out")
-        )
-
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda have: have["out"])
-
-
 def spans_of(kind: str, text: Column) -> Column:
     """Valid matches of a kind: leftmost, not overlapping, failing ones dropped without a retry."""
     pattern, none = PATTERNS[kind], F.array().cast(SPAN)
@@ -118,32 +107,17 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def _words(part: Column, start: Column) -> Column:
-    """array<struct<word, start, end>> of a short text that starts at a code point."""
-    pieces = F.regexp_extract_all(part, F.lit(r"[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+"), F.lit(0))
-    none = F.array().cast("array<struct<word string, start int, end int>>")
-
-    def item(piece: Column, at: Column) -> Column:
-        entry = F.struct(piece.alias("word"), (at + start).alias("start"), (at + start + F.char_length(piece)).alias("end"))
-        return F.when(piece.rlike(r"^[^\x20\x09-\x0D]"), F.array(entry)).otherwise(none)
-
-    return _offsets(pieces, item, none)
-
-
-def context(text: Column, spans: Column, span: Column, size: Column) -> Column:
-    """Whole words near a span that touch no base span and are not cut by the window."""
-    low = F.greatest(span["start"] - REACH, F.lit(0))
-    high = F.least(span["end"] + REACH, size)
-    left = F.filter(
-        _words(F.substring(text, low + 1, span["start"] - low), low),
-        lambda w: ((w["start"] > low) | (low == 0)) & (w["end"] < span["start"]),
-    )
-    right = F.filter(
-        _words(F.substring(text, span["end"] + 1, high - span["end"]), span["end"]),
-        lambda w: (w["start"] > span["end"]) & ((w["end"] < high) | (high == size)),
+def _words(one: DataFrame) -> DataFrame:
+    """(row, word, start, end) of the words that touch no base span, from one line per text."""
+    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]++|[^\x20\x09-\x0D]++"), F.lit(0))
+    so_far = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (
+        one.select("row", F.posexplode(pieces).alias("pos", "word")).withColumn("size", F.char_length("word"))
+        .withColumn("end", F.sum("size").over(so_far).cast("int")).where(F.col("word").rlike(r"^[^\x20\x09-\x0D]"))
+        .select("row", "word", (F.col("end") - F.col("size")).alias("start"), "end")
     )
-    clear = lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
-    return F.filter(F.concat(left, right), clear)
+    clear = ~F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
+    return placed.join(one.select("row", "base"), "row").where(clear).select("row", "word", "start", "end")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -161,51 +135,49 @@ def find_personal(
     """
     stage = Stage(docs.sparkSession, "pii")
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    text, size = F.col("text"), F.char_length("text")
-    near = F.transform("base", lambda s: F.struct(
-        entity(s).alias("entity"), context(text, F.col("base"), s, size).alias("words")
-    ))
+    text = F.col("text")
     held = stage.write(
         plain.withColumn("base", base_spans(text)).select(
-            "doc_id", F.xxhash64("text").alias("row"), "base", F.when(F.size("base") > 0, near).alias("near")
+            "doc_id", F.xxhash64("text").alias("row"), "base", F.when(F.size("base") > 0, text).alias("text")
         )
     )
-    one = held.where("near IS NOT NULL").dropDuplicates(["row"]).select("row", F.explode("near").alias("n"))
-    entities = one.select("row", "n.entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = (
-        one.select("row", "n.entity", F.explode("n.words.word").alias("word")).distinct()
-        .groupBy("entity", "word").agg(F.count("*").alias("n_et"))
-    )
-    pairs = stage.write(pairs.join(entities, "entity"))
-    wanted = _small(stage.write(pairs.select("word").distinct()))
+    one = stage.write(held.where("text IS NOT NULL").select("row", "base", "text").dropDuplicates(["row"]))
+    places = stage.write(_words(one))
+    owners = one.select("row", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity"))
+    entities = owners.groupBy("entity").agg(F.count("*").alias("n_e"))
     words = F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+"))
     counts = stage.write(
-        plain.select(F.explode(words).alias("word")).join(wanted, "word", "left_semi")
-        .groupBy("word").agg(F.count("*").alias("n_t"))
+        plain.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
+        .join(places.select("word").distinct(), "word", "left_semi")
     )
     total = float(max(held.count(), 1))
     information = F.log(F.lit(total) / F.col("n_e"))
-    # a word counts in all rows, an entity in distinct texts: copies only lower the disclosure
-    shared = F.log(F.lit(total) * F.col("n_et") / ((F.col("n_t") + support) * (F.col("n_e") + support)))
-    share = F.when(information > 0, shared / information).otherwise(F.lit(0.0))
+
+    def share(both: Column) -> Column:
+        lift = F.lit(total) * both / ((F.col("n_t") + support) * (F.col("n_e") + support))
+        return F.when(information > 0, F.log(lift) / information).otherwise(F.lit(0.0))
+
+    # a pair that would not be flagged if all texts of the entity held the word, or all of the word the entity, never is
+    pairs = stage.write(
+        places.select("row", "word").distinct().join(counts, "word").join(owners.join(entities, "entity"), "row")
+        .where(share(F.least("n_e", "n_t")) >= generalise)
+    )
     flagged = stage.write(
-        pairs.join(counts, "word").withColumn("share", share).where(F.col("share") >= generalise)
+        pairs.groupBy("entity", "word", "n_e", "n_t").agg(F.count("*").alias("n_et"))
+        .withColumn("share", share(F.col("n_et"))).where(F.col("share") >= generalise)
         .select("entity", "word", F.when(F.col("share") >= remove, F.lit("gone")).otherwise(F.lit("term")).alias("kind"))
     )
-    places = (
-        held.where("near IS NOT NULL").dropDuplicates(["row"]).select("row", F.explode("near").alias("n"))
-        .select("row", "n.entity", F.explode("n.words").alias("w")).select("row", "entity", "w.word", "w.start", "w.end")
-    )
-    # a place that several entities flag is removed if any of them asks for it
+    # a word that several entities flag is removed if any of them asks for it
+    kinds = pairs.join(_small(flagged), ["entity", "word"]).groupBy("row", "word").agg(F.min("kind").alias("kind"))
     terms = stage.write(
-        places.join(_small(flagged), ["entity", "word"]).groupBy("row", "start", "end", "word").agg(F.min("kind").alias("kind"))
+        places.join(kinds, ["row", "word"])
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "word", "kind"))).alias("found"))
         .select("row", F.transform("found", lambda w: F.struct(
             w["kind"].alias("kind"), w["start"].alias("start"), w["end"].alias("end"), w["word"].alias("value")
         )).alias("terms"))
     )
-    bare = held.where("near IS NULL").select("doc_id", "row", "base", F.array().cast(SPAN).alias("terms"))
-    rich = held.where("near IS NOT NULL").drop("near").join(terms, "row", "left").select(
+    bare = held.where("text IS NULL").select("doc_id", "row", "base", F.array().cast(SPAN).alias("terms"))
+    rich = held.where("text IS NOT NULL").drop("text").join(terms, "row", "left").select(
         "doc_id", "row", "base", F.coalesce("terms", F.array().cast(SPAN)).alias("terms")
     )
     return bare.unionByName(rich)

@@ -180,6 +180,17 @@ def test_terms_of_a_value_seen_once(make, words_of):
     assert {s["value"] for s in found[5000]["terms"]} == {"Zanzibar", "mail"}
 
 
+def test_terms_anywhere_in_the_text(make, words_of):
+    rng = random.Random(7)
+    docs = {i: " ".join(words_of(rng, 60, 50)) for i in range(300)}
+    for i in range(500, 504):
+        docs[i] = " ".join(["Zanzibar", *words_of(rng, 60, 50), "bob@corp9.example.com", *words_of(rng, 60, 50), "\u00fc\tZanzibar"])
+    for d, r in by_id(find_personal(make(list(docs.items())))).items():
+        want = [(m, m + 8) for m in range(len(docs[d])) if docs[d].startswith("Zanzibar", m)]
+        assert [(s["start"], s["end"]) for s in r["terms"] if s["value"] == "Zanzibar"] == want
+    assert not any("Zanzibar" in r["text"] for r in sanitise(make(list(docs.items()))).collect())
+
+
 def test_pieces_equal_an_independent_encoder(documents):
     spm = pytest.importorskip("sentencepiece")
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
