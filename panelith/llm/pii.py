@@ -6,7 +6,8 @@ texts that hold an entity are its candidates; a word t reveals PMI(t; e) = log p
 most IC(e). The disclosure is PMI / IC. From ``generalise`` on, every occurrence of the word in the texts that hold
 the entity becomes a placeholder; from ``remove`` on (the word hardly occurs without the entity) it goes.
 The PMI is smoothed as if t and e had each been seen in ``support`` more texts, without the other: pairs that
-met only once or twice are judged too, by as much information as is left.
+met only once or twice are judged too, by as much information as is left. All counts are of distinct
+texts, so copies of a text change nothing.
 
 Only built-in functions run here. Patterns are written so that they scan in linear time: a run of
 letters or digits is entered at its start only, or where the last match ended. Texts without personal
@@ -145,12 +146,17 @@ def find_personal(
     places = stage.write(_words(one))
     owners = one.select("row", F.explode(F.array_distinct(F.transform("base", entity))).alias("entity"))
     entities = owners.groupBy("entity").agg(F.count("*").alias("n_e"))
+    # a text counts once: each of its copies has its share of one
+    copies = stage.write(held.groupBy("row").agg(F.count("*").alias("copies")).where("copies > 1"))
     words = F.array_distinct(F.split(text, r"[\x20\x09-\x0D]+"))
+    each = F.coalesce(1 / F.col("copies"), F.lit(1.0))
     counts = stage.write(
-        plain.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
+        plain.withColumn("row", F.xxhash64("text")).join(_small(copies), "row", "left")
+        .select(F.explode(words).alias("word"), each.alias("each"))
+        .groupBy("word").agg(F.round(F.sum("each")).cast("long").alias("n_t"))
         .join(places.select("word").distinct(), "word", "left_semi")
     )
-    total = float(max(held.count(), 1))
+    total = float(max(held.select("row").distinct().count(), 1))
     information = F.log(F.lit(total) / F.col("n_e"))
 
     def share(both: Column) -> Column:

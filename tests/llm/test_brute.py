@@ -191,6 +191,16 @@ def test_terms_anywhere_in_the_text(make, words_of):
     assert not any("Zanzibar" in r["text"] for r in sanitise(make(list(docs.items()))).collect())
 
 
+def test_terms_whatever_the_copies(make, words_of):
+    rng = random.Random(8)
+    docs = [(i, " ".join(words_of(rng, 40, 50))) for i in range(300)]
+    docs += [(500 + i, " ".join([*words_of(rng, 40, 50), "Zanzibar", "bob@corp9.example.com"])) for i in range(3)]
+    kinds = lambda rows: {(r["doc_id"], s["value"], s["kind"]) for r in find_personal(make(rows)).collect() for s in r["terms"]}
+    alone = kinds(docs)
+    assert {(d, v) for d, v, _ in alone} == {(500 + i, "Zanzibar") for i in range(3)}
+    assert kinds(docs + [docs[-1]] * 500 + [(None, docs[0][1])] * 200) == alone
+
+
 def test_pieces_equal_an_independent_encoder(documents):
     spm = pytest.importorskip("sentencepiece")
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
