@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelith.llm.chat_format import ANSWERS, CHAT_SQL, CONFLICT, chat_digest, format_chats
+from panelith.llm.hard_negatives import NEGATIVES_SQL, mine_hard_negatives
 from panelith.llm.imatch import fingerprint_documents
 from panelith.llm.language_id import fit_tagger, held_out, identify
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.mixing import MIX_SQL, mix_sources
 from panelith.llm.nearest import nearest_neighbours
+from panelith.llm.periodic_runs import periodic_runs, repeated_tail, run_digest
 from panelith.llm.pieces import encode_texts
 from panelith.llm.pii import find_personal, personal_digest
 from panelith.llm.quality import classify_quality
 from panelith.llm.substring_dedup import dedup_substrings
+from panelith.llm.token_counts import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,11 +72,27 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digest(find_personal(table(spark, sf_dir, "documents")))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return mine_hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(table(spark, sf_dir, "documents"), repeated_tail))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mixing, op2_substring_dedup, op3_quality_resampling, op4_language_id, op5_nearest_neighbours, op6_chat_format,
         op7_imatch_fingerprints, op8_sentencepiece, op9_minhash_near_dedup, op10_personal_data,
+        op11_token_counts, op12_hard_negatives, op13_periodic_runs,
     )
 }
-SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL}
+SQL: dict[str, str] = {"op1_source_mixing": MIX_SQL, "op6_chat_format": CHAT_SQL, "op12_hard_negatives": NEGATIVES_SQL}
