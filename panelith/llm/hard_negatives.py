@@ -64,14 +64,14 @@ def _rows(rows: pa.RecordBatch, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(rows.column("v").to_pylist()), np.int32).reshape(-1, size)
 
 
-def _buckets(size: int, limit: int):
+def _buckets(size: int, limit: int, shelves: int):
     """Buckets of a partition's sorted rows: full ones, or ended by a new label once a quarter full."""
 
     def ready(ids, labels, v):
         lengths = np.sqrt((v.astype(float) ** 2).sum(axis=1))
         unit = v / np.where(lengths > 0, lengths, 1.0)[:, None]
         lists = np.argsort(unit, axis=0, kind="stable").T.astype(np.uint16)
-        shelf = TaskContext.get().partitionId()
+        shelf = TaskContext.get().partitionId() % shelves
         return pa.RecordBatch.from_pydict({
             "shelf": pa.array([shelf], pa.int32()), "first": pa.array([labels[0]], pa.int64()), "last": pa.array([labels[-1]], pa.int64()),
             "ids": [ids.tobytes()], "labels": [labels.tobytes()], "v": [v.tobytes()], "lists": [lists.tobytes()],
@@ -294,7 +294,7 @@ def mine_hard_negatives(
     order = ["label", F.desc("norm2"), "vec_id", "v"]
     sorted_rows = base.where(F.col("size") == size).repartitionByRange(shelves, *order).sortWithinPartitions(*order)
     bucket = "shelf int, first long, last long, ids binary, labels binary, v binary, lists binary"
-    buckets = stage.write(sorted_rows.select("vec_id", "label", "v").mapInArrow(_buckets(size, BUCKET), bucket))
+    buckets = stage.write(sorted_rows.select("vec_id", "label", "v").mapInArrow(_buckets(size, BUCKET, shelves), bucket))
     stage.drop(base)
     shelves = buckets.agg(F.max("shelf")).first()[0] + 1
     asks = clean(anchors).where(F.col("size") == size).select("vec_id", "label", "v").distinct()
