@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelith.functions.columns import finite, guarded_corr, ratio, safe_corr
-from panelith.functions.ranks import cumulative_table, fits_window, order_number, tie_rank
+from panelith.functions.columns import RANK_DIGITS, finite, guarded_corr, ratio, safe_corr
+from panelith.functions.ranks import fits_window, join_same, order_number, tie_rank
+from panelith.operators.bootstrap import MIX_A, MIX_B, MIX_MOD, resampled_ics
 from panelith.operators.windows import nonoverlap_rows
 from panelith.session import cut_lineage
 
@@ -166,78 +167,19 @@ def decile_summary(spread: DataFrame) -> DataFrame:
 
 # --- bootstrap --------------------------------------------------------------------------------
 
-# Multipliers of the integer mixing behind the draws (shared with the SQL check).
-MIX_A, MIX_B, MIX_MOD = 1540483477, 1103515245, 2147483648
-
-
-def mixed_draw(seed: Column, n: Column) -> Column:
-    """A reproducible integer in [0, n) from an integer seed: two multiply-and-fold rounds."""
-    x = (seed * F.lit(MIX_A).cast("bigint")) % MIX_MOD
-    x = x.bitwiseXOR(F.shiftright(x, 15))
-    x = (x * F.lit(MIX_B).cast("bigint")) % MIX_MOD
-    x = x.bitwiseXOR(F.shiftright(x, 13))
-    return x % n
-
-
-def date_draws(rows: DataFrame, n_iter: int, seed: int, by: list[str], dt: str = "dt") -> DataFrame:
-    """(by, iter, dt, times): how often each date is drawn when every iteration draws as many dates,
-    with replacement, as there are."""
-    keys = by
-    order = Window.partitionBy(*keys).orderBy(dt)
-    dates = rows.select(*keys, dt).distinct()
-    dates = dates.withColumns(
-        {
-            "_i": (F.row_number().over(order) - 1).cast("bigint"),
-            "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
-        }
-    )
-    iters = rows.sparkSession.range(n_iter).withColumnRenamed("id", "iter")
-    # every date position doubles as a slot, so slots and dates have the same number
-    slots = dates.select(*keys, F.col("_i").alias("_slot"), "_n").crossJoin(F.broadcast(iters))
-    code = (F.col("iter") * 1_000_003 + F.col("_slot") + seed) % MIX_MOD
-    drawn = slots.withColumn("_i", mixed_draw(code, F.col("_n")))
-    times = drawn.groupBy(*keys, "iter", "_i").agg(F.count(F.lit(1)).alias("times"))
-    return times.join(dates.drop("_n"), [*keys, "_i"]).select(*keys, "iter", dt, "times")
-
-
 def bootstrap_ic_ci(
     rows: DataFrame, pred: str, actual: str, n_iter: int = 1000, ci: float = 0.95, seed: int = 42,
     by: list[str] | None = None, min_dates: int = 3, min_iters: int = 10, dt: str = "dt",
 ) -> DataFrame:
-    """Percentile interval of the pooled rank IC under resampling of whole dates.
-
-    A date drawn k times enters with weight k, so iterations carry each row once. Weighted ranks
-    come from cumulative weights per distinct value, the correlation from weighted sums.
-    """
+    """Percentile interval of the pooled rank IC under resampling of whole dates."""
     keys = by or []
-    part = [*keys, "iter"]
     both = rows.select(
-        *keys, dt, F.round(finite(pred), 10).alias("_p"), F.round(finite(actual), 10).alias("_a")
+        *keys, dt, F.round(finite(pred), RANK_DIGITS).alias("_p"), F.round(finite(actual), RANK_DIGITS).alias("_a")
     ).dropna(subset=["_p", "_a"])
     # equal pairs of one date travel together
     both = cut_lineage(both.groupBy(*keys, dt, "_p", "_a").agg(F.count(F.lit(1)).alias("_c")))
     n_dates = both.groupBy(*keys).agg(F.countDistinct(dt).alias("n_dates"))
-    # dates x iterations, used by every branch below
-    draws = cut_lineage(date_draws(both, n_iter, seed, keys, dt))
-    sample = both.join(draws, [*keys, dt]).withColumn("_w", F.col("_c") * F.col("times"))
-
-    def weighted_rank(value: str, name: str) -> DataFrame:
-        table = cumulative_table(sample, part, value, {"w": F.sum("_w")})
-        return table.select(*part, value, (F.col("w_below") + (F.col("w") + 1) / 2.0).alias(name))
-
-    sample = sample.join(weighted_rank("_p", "_rp"), [*part, "_p"])
-    sample = sample.join(weighted_rank("_a", "_ra"), [*part, "_a"])
-    w, x, y = F.col("_w"), F.col("_rp"), F.col("_ra")
-    sums = sample.groupBy(*part).agg(
-        F.sum(w).alias("sw"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"),
-        F.sum(w * x * x).alias("sxx"), F.sum(w * y * y).alias("syy"), F.sum(w * x * y).alias("sxy"),
-    )
-    vx = F.expr("sxx / sw - (sx / sw) * (sx / sw)")
-    vy = F.expr("syy / sw - (sy / sw) * (sy / sw)")
-    cov = F.expr("sxy / sw - (sx / sw) * (sy / sw)")
-    ics = sums.withColumn(
-        "ic", F.when((F.col("sw") >= 5) & (vx > 1e-9) & (vy > 1e-9), cov / F.sqrt(vx * vy))
-    )
+    ics = resampled_ics(both, keys, n_iter, seed, dt)
     tail = (1 - ci) / 2
     usable = F.count("ic") >= min_iters
     out = ics.groupBy(*keys).agg(
@@ -245,7 +187,7 @@ def bootstrap_ic_ci(
         F.when(usable, F.percentile("ic", tail)).alias("ci_lo"),
         F.when(usable, F.percentile("ic", 1 - tail)).alias("ci_hi"),
     )
-    out = out.join(n_dates, keys) if keys else out.crossJoin(n_dates)
+    out = join_same(out, n_dates, keys)
     enough = F.col("n_dates") >= min_dates
     return out.withColumns(
         {"ci_lo": F.when(enough, F.col("ci_lo")), "ci_hi": F.when(enough, F.col("ci_hi"))}
