@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def date_index(rows: DataFrame, dt: str = "dt") -> DataFrame:
-    """(dt, idx, n_rows, n_dates) with a dense zero-based index."""
-    dates = rows.groupBy(dt).agg(F.count(F.lit(1)).alias("n_rows"))
-    whole = Window.partitionBy(F.lit(1))
+def date_index(rows: DataFrame, dt: str = "dt", by: list[str] | None = None) -> DataFrame:
+    """(by, dt, idx, n_rows, n_dates) with a dense zero-based index."""
+    dates = rows.groupBy(*(by or []), dt).agg(F.count(F.lit(1)).alias("n_rows"))
+    whole = Window.partitionBy(*(by or [F.lit(1)]))
     return dates.withColumns(
         {"idx": F.row_number().over(whole.orderBy(dt)) - 1, "n_dates": F.count(F.lit(1)).over(whole)}
     )
@@ -53,14 +53,15 @@ def walk_forward_folds(
 
 def expanding_folds(
     rows: DataFrame, forward: int, embargo: int | None = None, n_folds: int = 5, min_test: int = 21,
-    dt: str = "dt",
+    dt: str = "dt", by: list[str] | None = None,
 ) -> DataFrame:
     """The last dates cut into equal test blocks; train is everything before, purged by ``forward``
     dates. Short histories get fewer folds. An embargo (default: the horizon) removes train dates
-    after a test block, which never occur here."""
-    dates = date_index(rows, dt)
+    after a test block, which never occur here. ``by`` names keys that have dates of their own."""
+    by = by or []
+    dates = date_index(rows, dt, by)
     m = max(min_test, 1)
-    size = dates.agg(F.max("n_dates").cast("int").alias("_n"))
+    size = dates.groupBy(*by).agg(F.max("n_dates").cast("int").alias("_n"))
     shrunk = F.greatest(F.lit(1), F.floor(F.col("_n") / m).cast("int") - 1)
     size = size.withColumn("_f", F.when(F.col("_n") < (n_folds + 1) * m, shrunk).otherwise(n_folds))
     size = size.withColumn("_t", F.greatest(F.lit(min_test), F.floor(F.col("_n") / (F.col("_f") + 1)).cast("int")))
@@ -70,11 +71,12 @@ def expanding_folds(
     folds = folds.withColumn("_e", F.least(F.col("_s") + F.col("_t"), F.col("_n"))).where(
         (F.col("_s") - forward > min_test) & (F.col("_e") - F.col("_s") >= 2)
     )
-    cells = dates.crossJoin(F.broadcast(folds))
+    # a handful of folds per key
+    cells = dates.join(F.broadcast(folds), by) if by else dates.crossJoin(F.broadcast(folds))
     role = F.when((F.col("idx") >= F.col("_s")) & (F.col("idx") < F.col("_e")), "test").when(
         F.col("idx") < F.col("_s") - forward, "train"
     )
-    return cells.select(F.col("k").alias("fold_id"), dt, role.alias("role")).where("role IS NOT NULL")
+    return cells.select(*by, F.col("k").alias("fold_id"), dt, role.alias("role")).where("role IS NOT NULL")
 
 
 def cpcv_folds(

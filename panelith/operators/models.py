@@ -401,23 +401,35 @@ def feature_variants(
     rows: DataFrame, features: list[str], y: str, forward: int, variants: dict[str, list[str]],
     n_folds: int = 5, min_test: int = 21, group_bound: int | None = None,
 ) -> DataFrame:
-    """Leak-free read per named feature subset; every one is a selection of the same statistics.
+    """Leak-free read per named feature subset, each on the rows that know all of its own features.
 
-    Rows need all features here. Where the left-out column alone has gaps, a variant may use more
-    rows: call it with that column absent from ``features``.
+    Cross products are summed per date and pattern of missing features, a missing value counting as 0; a
+    subset adds up the patterns that lack none of its features and selects its rows and columns. Its
+    folds follow its own dates.
     """
     spark = rows.sparkSession
-    known = cut_lineage(rows.dropna(subset=[*features, y]).select("entity", "dt", *features, y))
-    folds = FD.expanding_folds(known, forward, n_folds=n_folds, min_test=min_test)
-    table = spark.createDataFrame(
-        [(name, [features.index(f) for f in use]) for name, use in variants.items()],
-        "variant string, use array<int>",
-    )
     k = len(features)
-    grams = G.fold_gram(G.gram_table(known, features, y, ["dt"]), folds, k, ["fold_id"]).where("n >= 50")
-    models = G.solve_rows(grams.crossJoin(F.broadcast(table)), ["fold_id", "variant"], k, "use")
-    held = known.join(folds.where("role = 'test'").drop("role"), "dt")
-    preds = G.score_linear(held, models, features, ["fold_id"], carry=["variant"])
+    missing = F.lit(0).cast("long")
+    for i, f in enumerate(features):
+        missing = missing + F.when(finite(f).isNull(), F.lit(1 << i)).otherwise(0)
+    known = rows.where(finite(y).isNotNull()).select("entity", "dt", y, missing.alias("_missing"), *[F.coalesce(finite(f), F.lit(0.0)).alias(f) for f in features])
+    known = cut_lineage(known)
+    table = F.broadcast(spark.createDataFrame(  # one row per variant
+        [(name, [features.index(f) for f in use], sum(1 << features.index(f) for f in use)) for name, use in variants.items()],
+        "variant string, use array<int>, needs long",
+    ))
+    admits = F.col("_missing").bitwiseAND(F.col("needs")) == 0
+    per_date = cut_lineage(G.gram_table(known, features, y, ["dt", "_missing"]))
+    per_date = per_date.join(table, admits).groupBy("variant", "dt").agg(*[F.sum(n).alias(n) for n in G.gram_names(k)])
+    per_date = cut_lineage(per_date)
+    folds = cut_lineage(FD.expanding_folds(per_date.select("variant", "dt"), forward, n_folds=n_folds, min_test=min_test, by=["variant"]))
+    train = per_date.join(folds.where("role = 'train'").drop("role"), ["variant", "dt"])
+    grams = train.groupBy("variant", "fold_id").agg(*[F.sum(n).alias(n) for n in G.gram_names(k)]).where("n >= 50")
+    models = G.solve_rows(grams.join(table, "variant"), ["variant", "fold_id"], k, "use")
+    # per date a few (variant, fold) pairs
+    tests = F.broadcast(folds.where("role = 'test'").drop("role").join(table.drop("use"), "variant"))
+    held = known.join(tests, "dt").where(admits)
+    preds = G.score_linear(held, models, features, ["variant", "fold_id"])
     return oos_read(preds, y, ["variant"], group_bound=group_bound)
 
 

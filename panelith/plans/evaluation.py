@@ -171,7 +171,7 @@ def sql_dates(source: str, pred: str, actual: str, key: str) -> str:
  FROM (SELECT DISTINCT {key}, dt FROM {source} WHERE {pred} IS NOT NULL AND {actual} IS NOT NULL))"""
 
 
-BOOT = 20
+BOOT = 1000
 
 
 @register("bootstrap_ic_ci", "sector:i n_usable:i ci_lo:f ci_hi:f n_dates:i", "ev",
@@ -188,7 +188,7 @@ FROM feat f LEFT JOIN (SELECT dt, market_close / lag(market_close, 4) OVER (ORDE
 WINDOW w AS (PARTITION BY f.entity ORDER BY f.dt)""")
 cte("hblong", "hbrow", "SELECT entity, dt, pred, regime, CAST(substr(h, 5) AS INTEGER) AS horizon, actual FROM (UNPIVOT hbrow ON fwd_1, fwd_4, fwd_8 INTO NAME h VALUE actual) WHERE pred IS NOT NULL")
 HB_SQL = sql_dates("hblong", "pred", "actual", "horizon") + f"""
-, ci AS ({sql_bootstrap("hblong", "pred", "actual", 10, 42, "horizon")}),
+, ci AS ({sql_bootstrap("hblong", "pred", "actual", BOOT, 42, "horizon")}),
 keep AS (""" + " UNION ALL ".join(f"""SELECT {h} AS horizon, dt FROM (WITH RECURSIVE k{h} AS (SELECT min(dt) AS dt FROM hbrow
  UNION ALL SELECT (SELECT min(p.dt) FROM hbrow p WHERE p.dt >= k{h}.dt + {7 * h}) FROM k{h} WHERE k{h}.dt IS NOT NULL) SELECT dt FROM k{h} WHERE dt IS NOT NULL)""" for h in HB) + f"""),
 first AS (SELECT dt, min(entity) AS entity FROM hbrow GROUP BY dt),
@@ -205,7 +205,7 @@ def horizon_battery(spark, sf):
     market = P.market_series(panel(spark, sf)).select(
         "dt", X.classify_regime(F.col("market_close") / F.lag("market_close", 4).over(w) - 1).alias("regime"))
     rows = rows.join(market, "dt", "left").withColumnRenamed("mom_4", "pred")
-    return E.horizon_battery(rows, "pred", HB, "regime", 10, {h: 7 * h for h in HB})
+    return E.horizon_battery(rows, "pred", HB, "regime", BOOT, {h: 7 * h for h in HB})
 
 
 # --- series statistics -----------------------------------------------------------------------

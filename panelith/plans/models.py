@@ -18,23 +18,76 @@ from panelith.operators import pipeline as PL
 from panelith.operators import windows as W
 from panelith.plans.base import FEATURES, aligned, features, forward, panel
 from panelith.plans.evaluation import BOOT, bound, eval_rows, sql_bootstrap, sql_dates, sql_ic
-from panelith.plans.joins import asof_rows, score_tables, universe
+from panelith.plans.joins import asof_rows, modifiers, score_tables
 from panelith.plans.labels import barriers
 from panelith.plans.registry import cte, register
 from panelith.plans.scoring import CLIP, predictions, residual_score
-from panelith.plans.windows import class_rows_source, weekly_breadth
+from panelith.plans.windows import class_rows_source, daily_macro_panel, weekly_breadth
+from panelith.session import cut_lineage
 from panelith.sources import panel as P
 
-META = ["mom_4", "stale"]
+# The inputs of the second-level model, in the order of its coefficients.
+META = [
+    "research_calibrator_prob", "momentum_score", "expected_move", "research_composite_score", "research_conviction",
+    "sector_macro_modifier", "macro_spy_20d_return", "macro_spy_20d_vol", "macro_vix_level", "macro_vix_term_slope",
+    "macro_yield_curve_slope", "macro_market_breadth", "regime_intensity_z",
+]
+K = len(META)
+# the macro series here are order values: brought to the size of the other inputs
+LEVEL_UNIT, SLOPE_UNIT = 1e-4, 1e-3
+
+# --- inputs ----------------------------------------------------------------------------------
+
+cte("mfeat", "feat momsc vol snapjoin modif bucket mpanel breadth intens", f"""
+SELECT f.entity, f.dt, f.sector, CASE WHEN s.score IS NOT NULL THEN coalesce(k.rate, CASE WHEN o.overall = 0 THEN 0.5 ELSE o.overall END) END AS research_calibrator_prob,
+ m.momentum_score, v.realized_vol AS expected_move, s.score / 100 AS research_composite_score,
+ CASE WHEN s.score IS NOT NULL THEN CASE s.conviction WHEN 'rising' THEN 1.0 WHEN 'declining' THEN -1.0 ELSE 0.0 END END AS research_conviction,
+ CASE WHEN s.score IS NOT NULL THEN coalesce(d.modifier, 1) - 1 END AS sector_macro_modifier,
+ p.spy_20d_return AS macro_spy_20d_return, p.spy_20d_vol AS macro_spy_20d_vol, p.vix_level * {LEVEL_UNIT} AS macro_vix_level, p.vix_term_slope * {SLOPE_UNIT} AS macro_vix_term_slope,
+ p.yield_curve_10y_2y * {SLOPE_UNIT} AS macro_yield_curve_slope, b.market_breadth AS macro_market_breadth, CASE WHEN i.pos <= 4 THEN 0 ELSE i.z END AS regime_intensity_z
+FROM feat f JOIN momsc m USING (entity, dt) JOIN vol v ON v.entity = f.entity AND v.dt = f.dt JOIN snapjoin s ON s.entity = f.entity AND s.dt = f.dt
+LEFT JOIN modif d ON d.snapshot_dt = s.snapshot_dt AND d.sector = f.sector
+LEFT JOIN bucket k ON k.bucket = CASE WHEN s.score < 40 THEN 0 WHEN s.score < 55 THEN 1 WHEN s.score < 65 THEN 2 WHEN s.score < 75 THEN 3 WHEN s.score < 85 THEN 4 WHEN s.score < 100 THEN 5 END
+LEFT JOIN mpanel p ON p.dt = f.dt LEFT JOIN breadth b ON b.dt = f.dt LEFT JOIN intens i ON i.dt = f.dt, (SELECT max(overall) AS overall FROM bucket) o""")
+XS = ", ".join(f"{f} AS x{i}" for i, f in enumerate(META))
+cte("mrow", "mfeat fwd", f"SELECT m.entity, m.dt, m.sector, {XS}, w.fwd_ret AS y FROM mfeat m JOIN fwd w USING (entity, dt)")
+cte("er", "mrow", "SELECT * FROM mrow WHERE " + " AND ".join(f"x{i} IS NOT NULL" for i in range(K)))
+cte("eidx", "er", "SELECT dt, count(*) AS c, row_number() OVER (ORDER BY dt) - 1 AS idx, count(*) OVER () AS n FROM er GROUP BY dt")
 
-# --- folds -----------------------------------------------------------------------------------
 
-cte("er", "ev", "SELECT entity, dt, mom_4 AS x0, stale AS x1, fwd_ret AS y FROM ev WHERE mom_4 IS NOT NULL AND stale IS NOT NULL")
-cte("eidx", "er", "SELECT dt, count(*) AS c, row_number() OVER (ORDER BY dt) - 1 AS idx, count(*) OVER () AS n FROM er GROUP BY dt")
+def meta_inputs(spark, sf):
+    """(entity, dt, sector, the inputs): scores of the first level, the as-of snapshot, the day's macro readings."""
+    feats = features(spark, sf).select("entity", "dt", "sector", X.momentum_score("mom_1", "mom_4", "vs_ma10", "rsi").alias("momentum_score"))
+    moves = W.realized_vol(panel(spark, sf), 8, 52).select("entity", "dt", F.col("realized_vol").alias("expected_move"))
+    hits = score_hits(spark, sf)
+    snaps = M.apply_bucket_calibrator(asof_rows(spark, sf), M.fit_bucket_calibrator(hits, "score", "beat"), "score")
+    known = F.col("score").isNotNull()
+    word = F.when(F.col("conviction") == "rising", 1.0).when(F.col("conviction") == "declining", -1.0).otherwise(0.0)
+    snaps = snaps.select(
+        "entity", "dt", "snapshot_dt", F.when(known, F.col("prob")).alias("research_calibrator_prob"),
+        (F.col("score") / 100).alias("research_composite_score"), F.when(known, word).alias("research_conviction"), known.alias("known"))
+    macro = daily_macro_panel(spark, sf)
+    macro = W.intensity_series(macro).select(
+        "dt", F.col("spy_20d_return").alias("macro_spy_20d_return"), F.col("spy_20d_vol").alias("macro_spy_20d_vol"),
+        (F.col("vix_level") * LEVEL_UNIT).alias("macro_vix_level"), (F.col("vix_term_slope") * SLOPE_UNIT).alias("macro_vix_term_slope"),
+        (F.col("yield_curve_10y_2y") * SLOPE_UNIT).alias("macro_yield_curve_slope"), F.col("intensity_z").alias("regime_intensity_z"))
+    breadth = weekly_breadth(spark, sf).select("dt", F.col("market_breadth").alias("macro_market_breadth"))
+    rows = feats.join(moves, ["entity", "dt"]).join(snaps, ["entity", "dt"]).join(modifiers(spark, sf), ["snapshot_dt", "sector"], "left")
+    rows = rows.withColumn("sector_macro_modifier", F.when(F.col("known"), F.coalesce("modifier", F.lit(1.0)) - 1))
+    return rows.join(macro, "dt", "left").join(breadth, "dt", "left").select("entity", "dt", "sector", *META)
+
+
+def meta_frame(spark, sf):
+    """The inputs and the outcome, written once; an input may be missing."""
+    outcome = W.forward_return(aligned(spark, sf), 4).select("entity", "dt", "fwd_ret")
+    return cut_lineage(meta_inputs(spark, sf).join(outcome, ["entity", "dt"]))
 
 
 def meta_rows(spark, sf):
-    return eval_rows(spark, sf).dropna(subset=[*META, "fwd_ret"])
+    return meta_frame(spark, sf).dropna(subset=[*META, "fwd_ret"])
+
+
+# --- folds -----------------------------------------------------------------------------------
 
 
 @register("walk_forward_folds", "fold_id:i dt:d role:s", "eidx", """
@@ -84,44 +137,82 @@ def time_split(spark, sf):
 
 # --- linear models ---------------------------------------------------------------------------
 
-GRAM_SUMS = ("sum(w) AS w, count(*) AS n, sum(w * x0) AS x0, sum(w * x1) AS x1, sum(w * y) AS y, sum(w * y * y) AS yy, sum(w * x0 * y) AS xy0, sum(w * x1 * y) AS xy1, "
-             "sum(w * x0 * x0) AS xx0_0, sum(w * x0 * x1) AS xx0_1, sum(w * x1 * x1) AS xx1_1")
+GRAM_NAMES = G.gram_names(K)
+
+
+def sql_gram(k: int = K) -> str:
+    """SQL text: the sums of cross products in the order of their names, from columns w, x0.., y."""
+    x = range(k)
+    terms = ["sum(w)", "count(*)", *[f"sum(w * x{i})" for i in x], "sum(w * y)", "sum(w * y * y)", *[f"sum(w * x{i} * y)" for i in x]]
+    terms += [f"sum(w * x{i} * x{j})" for i in x for j in range(i, k)]
+    return ", ".join(f"{t} AS {n}" for t, n in zip(terms, G.gram_names(k)))
+
+
+GRAM_SUMS = sql_gram()
+SUMMED = ", ".join(f"sum({n}) AS {n}" for n in GRAM_NAMES)
 cte("gram", "er", f"SELECT dt, {GRAM_SUMS} FROM (SELECT *, 1.0::DOUBLE AS w FROM er) GROUP BY dt")
 
 
-@register("gram_table", "dt:d n:i x0:f x1:f y:f yy:f xy0:f xy1:f xx0_0:f xx0_1:f xx1_1:f", "gram", "SELECT * FROM gram")
+@register("gram_table", "dt:d n:i " + " ".join(f"{n}:f" for n in GRAM_NAMES[2:]), "gram", "SELECT * FROM gram")
 def gram_table(spark, sf):
-    return G.gram_table(eval_rows(spark, sf), META, "fwd_ret", ["dt"])
+    return G.gram_table(meta_frame(spark, sf), META, "fwd_ret", ["dt"])
 
 
-def sql_bayes(stats: str, key: str, u0: str = "1", u1: str = "1", p: str = "") -> str:
-    """SQL text: two-feature evidence iteration on rows of sums; a feature switched off by ``u`` has
-    zero cross products. Ends in a table ``{p}model`` (key, c0, c1, b, noise, m0, m1, s00, s01, s11)."""
+def sql_solver(source: str, key: str, matrix: str, k: int, p: str) -> str:
+    """SQL text: Gauss-Jordan steps on ``matrix`` (a list of rows) of every row of ``source``, one pivot after the
+    other. Ends in a table ``{p}inverse`` (key, inv)."""
+    return f"""
+{p}gj AS (SELECT {key}, 0 AS j, list_transform(range({k}), lambda r: list_concat(({matrix})[r + 1], list_transform(range({k}), lambda q: CASE WHEN q = r THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END))) AS m FROM {source}
+ UNION ALL SELECT {key}, j + 1, list_transform(m, lambda row, r: CASE WHEN r = j + 1 THEN pr ELSE list_transform(row, lambda v, q: v - row[j + 1] * pr[q]) END) FROM (
+  SELECT *, list_transform(m[j + 1], lambda v: v / m[j + 1][j + 1]) AS pr FROM {p}gj WHERE j < {k})),
+{p}inverse AS (SELECT {key}, list_transform(m, lambda row: row[{k + 1}:]) AS inv FROM {p}gj WHERE j = {k})"""
+
+
+def sql_bayes(stats: str, key: str, use: str = "", p: str = "", k: int = K) -> str:
+    """SQL text: the evidence iteration on rows of sums. Each pass inverts (cross products + ratio of precisions)
+    by Gauss-Jordan steps, one pivot a step of the recursion. ``use`` names a list column of 0 and 1:
+    inputs switched off have zero cross products and coefficients. Ends in a table ``{p}model`` (key, n, c, b, noise, prior, mx, vy, g, inv)."""
+    xs = range(k)
+    u = [f"{use}[{i + 1}]" if use else "1" for i in xs]
+    name = {(i, j): f"xx{min(i, j)}_{max(i, j)}" for i in xs for j in xs}
+    rows = ", ".join("[" + ", ".join(f"{u[i]} * {u[j]} * ({name[i, j]} - x{i} * x{j} / w)" for j in xs) + "]" for i in xs)
+    start = f"list_transform(range({k}), lambda r: list_concat(list_transform(g[r + 1], lambda v, q: v + CASE WHEN q = r + 1 THEN l / a ELSE 0.0 END), list_transform(range({k}), lambda q: CASE WHEN q = r THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)))"
     return f"""
-, {p}c AS (SELECT {key}, w AS n, x0 / w AS m0, x1 / w AS m1, y / w AS my, ({u0}) * (xx0_0 - x0 * x0 / w) AS g00, ({u0}) * ({u1}) * (xx0_1 - x0 * x1 / w) AS g01, ({u1}) * (xx1_1 - x1 * x1 / w) AS g11,
-  ({u0}) * (xy0 - x0 * y / w) AS b0, ({u1}) * (xy1 - x1 * y / w) AS b1, yy - y * y / w AS yy, (yy - y * y / w) / w AS vy FROM {stats} WHERE n >= 20),
+, {p}c AS (SELECT {key}, w AS n, [{', '.join(f'x{i} / w' for i in xs)}] AS mx, y / w AS my, [{rows}] AS g, [{', '.join(f'{u[i]} * (xy{i} - x{i} * y / w)' for i in xs)}] AS bv,
+  yy - y * y / w AS yy, (yy - y * y / w) / w AS vy, [{', '.join(u)}] AS u FROM {stats} WHERE n >= 20),
 {p}it AS (
- SELECT {key}, 0 AS i, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1, 1 / (vy + 2.220446049250313e-16) AS a, 1.0::DOUBLE AS l, false AS done FROM {p}c
+ SELECT {key}, 0 AS i, 0 AS j, 1 / (vy + 2.220446049250313e-16) AS a, 1.0::DOUBLE AS l, list_transform(range({k}), lambda r: 0.0::DOUBLE) AS c, false AS done,
+  {start.replace('l / a', '(vy + 2.220446049250313e-16)')} AS m FROM {p}c
  UNION ALL
- SELECT {key}, i + 1, n0, n1, (n - gm + 2e-6) / (greatest(yy - 2 * (n0 * b0 + n1 * b1) + n0 * n0 * g00 + 2 * n0 * n1 * g01 + n1 * n1 * g11, 0) + 2e-6), (gm + 2e-6) / (n0 * n0 + n1 * n1 + 2e-6),
-  i >= 1 AND abs(n0 - c0) + abs(n1 - c1) < 1e-3 FROM (
-  SELECT *, a * e1 / (l + a * e1) + a * e2 / (l + a * e2) AS gm FROM (
-   SELECT t.i, t.c0, t.c1, t.a, t.l, c.*, ((c.g11 + t.l / t.a) * c.b0 - c.g01 * c.b1) / ((c.g00 + t.l / t.a) * (c.g11 + t.l / t.a) - c.g01 * c.g01) AS n0,
-    ((c.g00 + t.l / t.a) * c.b1 - c.g01 * c.b0) / ((c.g00 + t.l / t.a) * (c.g11 + t.l / t.a) - c.g01 * c.g01) AS n1,
-    (c.g00 + c.g11 + sqrt(pow(c.g00 - c.g11, 2) + 4 * c.g01 * c.g01)) / 2 AS e1, (c.g00 + c.g11 - sqrt(pow(c.g00 - c.g11, 2) + 4 * c.g01 * c.g01)) / 2 AS e2
-   FROM {p}it t JOIN {p}c c USING ({key}) WHERE NOT t.done AND t.i < 300))),
-{p}fin AS (SELECT {key}, arg_max(a, i) AS a, arg_max(l, i) AS l FROM {p}it GROUP BY {key}),
-{p}inv AS (SELECT c.*, f.a, f.l, (c.g00 + f.l / f.a) * (c.g11 + f.l / f.a) - c.g01 * c.g01 AS det, f.l / f.a AS r FROM {p}c c JOIN {p}fin f USING ({key})),
-{p}model AS (SELECT *, my - c0 * m0 - c1 * m1 AS b FROM (SELECT {key}, n, m0, m1, my, vy, g00, g11, a AS noise, l AS prior, ({u0}) * ((g11 + r) * b0 - g01 * b1) / det AS c0, ({u1}) * ((g00 + r) * b1 - g01 * b0) / det AS c1,
-  (g11 + r) / det / a AS s00, -g01 / det / a AS s01, (g00 + r) / det / a AS s11 FROM {p}inv))"""
-
-
-@register("fit_bayes_ridge", "model:s c0:f c1:f intercept:f noise:f prior:f n_fit:i", "gram", f"""
-, st AS (SELECT 'all' AS model, {', '.join(f'sum({n}) AS {n}' for n in G.gram_names(2))} FROM gram)
-{sql_bayes('st', 'model')} SELECT model, c0, c1, b AS intercept, noise, prior, n AS n_fit FROM model""")
+ SELECT {key}, i, j, a, l, c, done, CASE WHEN j > 0 THEN list_transform(m, lambda row, r: CASE WHEN r = j THEN pr ELSE list_transform(row, lambda v, q: v - row[j] * pr[q]) END) ELSE {start} END AS m FROM (
+  SELECT {key}, CASE WHEN j < {k} THEN i ELSE i + 1 END AS i, CASE WHEN j < {k} THEN j + 1 ELSE 0 END AS j, CASE WHEN j < {k} THEN a ELSE na END AS a, CASE WHEN j < {k} THEN l ELSE nl END AS l,
+   CASE WHEN j < {k} THEN c ELSE nc END AS c, CASE WHEN j < {k} THEN done ELSE i >= 1 AND list_sum(list_transform(nc, lambda v, q: abs(v - c[q]))) < 1e-3 END AS done, m, g, CASE WHEN j < {k} THEN list_transform(m[j + 1], lambda v: v / m[j + 1][j + 1]) END AS pr FROM (
+   SELECT *, (n - gm + 2e-6) / (greatest(yy - 2 * list_dot_product(nc, bv) + list_sum(list_transform(g, lambda row, r: nc[r] * list_dot_product(row, nc))), 0) + 2e-6) AS na, (gm + 2e-6) / (list_dot_product(nc, nc) + 2e-6) AS nl FROM (
+    SELECT t.{key}, t.i, t.j, t.a, t.l, t.c, t.done, t.m, cc.*, CASE WHEN t.j = {k} THEN list_transform(t.m, lambda row: list_dot_product(row[{k + 1}:], cc.bv)) ELSE cc.bv END AS nc,
+     {k} - t.l / t.a * CASE WHEN t.j = {k} THEN list_sum(list_transform(t.m, lambda row, r: row[{k} + r])) ELSE 0 END AS gm
+    FROM {p}it t JOIN (SELECT * RENAME ({key} AS ky) FROM {p}c) cc ON cc.ky = t.{key} WHERE NOT (t.j = {k} AND (t.done OR t.i >= 300)))) r0)),
+{p}model AS (SELECT *, my - list_dot_product(c, mx) AS b FROM (SELECT cc.{key}, n, mx, my, vy, g, f.a AS noise, f.l AS prior, inv, list_transform(inv, lambda row, r: cc.u[r] * list_dot_product(row, cc.bv)) AS c, cc.u FROM {p}c cc
+ JOIN (SELECT *, list_transform(m, lambda row: row[{k + 1}:]) AS inv FROM {p}it WHERE j = {k} AND (done OR i >= 300)) f USING ({key})))"""
+
+
+def sql_value(row: str = "e", model: str = "m", k: int = K) -> str:
+    """SQL text: a model's prediction for a row's inputs."""
+    return f"{model}.b + " + " + ".join(f"{model}.c[{i + 1}] * {row}.x{i}" for i in range(k))
+
+
+def with_coefs(models):
+    return models.withColumns({f"c{i}": F.get("coef", F.lit(i)) for i in range(K)})
+
+
+COEFS = " ".join(f"c{i}:f" for i in range(K))
+SQL_COEFS = ", ".join(f"c[{i + 1}] AS c{i}" for i in range(K))
+
+
+@register("fit_bayes_ridge", f"model:s {COEFS} intercept:f noise:f prior:f n_fit:i", "gram", f"""
+, st AS (SELECT 'all' AS model, {SUMMED} FROM gram)
+{sql_bayes('st', 'model')} SELECT model, {SQL_COEFS}, b AS intercept, noise, prior, n AS n_fit FROM model""")
 def fit_bayes_ridge(spark, sf):
-    out = G.fit_bayes_ridge(eval_rows(spark, sf), META, "fwd_ret")
-    return out.withColumns({"c0": F.get("coef", F.lit(0)), "c1": F.get("coef", F.lit(1))})
+    return with_coefs(G.fit_bayes_ridge(meta_frame(spark, sf), META, "fwd_ret"))
 
 
 cte("wer", "er winlab", """
@@ -130,39 +221,39 @@ cte("wer", "er winlab", """
   SELECT entity, t, count(*) AS c FROM (SELECT entity, unnest(generate_series(start, start + 20)) AS t FROM winlab) GROUP BY 1, 2) USING (entity, t) GROUP BY 1, 2) q USING (entity, dt)""")
 
 
-@register("fit_bayes_ridge_weighted", "sector:i c0:f c1:f intercept:f n_fit:i", "wer dim", f"""
-, st AS (SELECT sector, {GRAM_SUMS} FROM wer JOIN dim USING (entity) GROUP BY sector)
-{sql_bayes('st', 'sector')} SELECT m.sector, c0, c1, b AS intercept, s.n AS n_fit FROM model m JOIN st s USING (sector)""")
+@register("fit_bayes_ridge_weighted", f"sector:i {COEFS} intercept:f n_fit:i", "wer", f"""
+, st AS (SELECT sector, {GRAM_SUMS} FROM wer GROUP BY sector)
+{sql_bayes('st', 'sector')} SELECT m.sector, {SQL_COEFS}, b AS intercept, s.n AS n_fit FROM model m JOIN st s USING (sector)""")
 def fit_bayes_ridge_weighted(spark, sf):
     """Per sector, rows weighted by their average uniqueness."""
     from panelith.plans.labels import window_labels
     weights = L.uniqueness_weights(window_labels(spark, sf), group=["entity"]).select("entity", "dt", "weight")
-    rows = eval_rows(spark, sf).join(weights, ["entity", "dt"])
-    out = G.fit_bayes_ridge(rows, META, "fwd_ret", ["sector"], "weight")
-    return out.withColumns({"c0": F.get("coef", F.lit(0)), "c1": F.get("coef", F.lit(1))})
+    rows = meta_frame(spark, sf).join(weights, ["entity", "dt"])
+    return with_coefs(G.fit_bayes_ridge(rows, META, "fwd_ret", ["sector"], "weight"))
 
 
 @register("score_linear", "entity:i dt:d pred:f pred_std:f", "gram", f"""
-, st AS (SELECT 'all' AS model, {', '.join(f'sum({n}) AS {n}' for n in G.gram_names(2))} FROM gram)
-{sql_bayes('st', 'model')} SELECT e.entity, e.dt, b + c0 * x0 + c1 * x1 AS pred, sqrt(s00 * pow(x0 - m0, 2) + 2 * s01 * (x0 - m0) * (x1 - m1) + s11 * pow(x1 - m1, 2) + 1 / noise) AS pred_std FROM er e, model""")
+, st AS (SELECT 'all' AS model, {SUMMED} FROM gram)
+{sql_bayes('st', 'model')} SELECT entity, dt, pred, sqrt(list_sum(list_transform(inv, lambda row, r: d[r] * list_dot_product(row, d))) / noise + 1 / noise) AS pred_std FROM (
+ SELECT e.entity, e.dt, {sql_value()} AS pred, m.inv, m.noise, [{', '.join(f'e.x{i} - m.mx[{i + 1}]' for i in range(K))}] AS d FROM er e, model m)""")
 def score_linear(spark, sf):
     rows = meta_rows(spark, sf)
     return G.score_linear(rows, G.fit_bayes_ridge(rows, META, "fwd_ret"), META, with_std=True)
 
 
 @register("in_sample_ic", "ic:f n:i", "gram", f"""
-, st AS (SELECT 'all' AS model, {', '.join(f'sum({n}) AS {n}' for n in G.gram_names(2))} FROM gram)
-{sql_bayes('st', 'model')} SELECT corr(b + c0 * x0 + c1 * x1, y) AS ic, count(*) AS n FROM er, model""")
+, st AS (SELECT 'all' AS model, {SUMMED} FROM gram)
+{sql_bayes('st', 'model')} SELECT corr({sql_value()}, y) AS ic, count(*) AS n FROM er e, model m""")
 def in_sample_ic(spark, sf):
     rows = meta_rows(spark, sf)
     return G.in_sample_ic(G.score_linear(rows, G.fit_bayes_ridge(rows, META, "fwd_ret"), META), "pred", "fwd_ret")
 
 
 @register("linear_importance", "feature:s coef:f standardized:f", "gram", f"""
-, st AS (SELECT 'all' AS model, {', '.join(f'sum({n}) AS {n}' for n in G.gram_names(2))} FROM gram)
-{sql_bayes('st', 'model')} SELECT 'mom_4' AS feature, c0 AS coef, c0 * sqrt(g00 / n) / sqrt(vy) AS standardized FROM model UNION ALL SELECT 'stale', c1, c1 * sqrt(g11 / n) / sqrt(vy) FROM model""")
+, st AS (SELECT 'all' AS model, {SUMMED} FROM gram)
+{sql_bayes('st', 'model')} {' UNION ALL '.join(f"SELECT '{f}' AS feature, c[{i + 1}] AS coef, c[{i + 1}] * sqrt(g[{i + 1}][{i + 1}] / n) / sqrt(vy) AS standardized FROM model" for i, f in enumerate(META))}""")
 def linear_importance(spark, sf):
-    return G.standardized_coefficients(G.fit_bayes_ridge(eval_rows(spark, sf), META, "fwd_ret"), META, ["model"])
+    return G.standardized_coefficients(G.fit_bayes_ridge(meta_frame(spark, sf), META, "fwd_ret"), META, ["model"])
 
 
 @register("permutation_importance", "feature:s ic_drop:f")
@@ -172,9 +263,9 @@ def permutation_importance(spark, sf):
     return M.permutation_importance(G.score_linear(rows, models, META), models, META, "fwd_ret")
 
 
-@register("apply_scaler", "entity:i dt:d mom_4:f stale:f", "er", """
-SELECT entity, dt, least(3, greatest(-3, (x0 - m0) / s0)) AS mom_4, least(3, greatest(-3, (x1 - m1) / s1)) AS stale FROM er, (
- SELECT avg(x0) AS m0, stddev_pop(x0) AS s0, avg(x1) AS m1, stddev_pop(x1) AS s1 FROM er)""")
+@register("apply_scaler", "entity:i dt:d " + " ".join(f"{f}:f" for f in META), "er", f"""
+SELECT entity, dt, {', '.join(f'least(3, greatest(-3, (x{i} - m{i}) / s{i})) AS {f}' for i, f in enumerate(META))} FROM er, (
+ SELECT {', '.join(f'avg(x{i}) AS m{i}, CASE WHEN stddev_pop(x{i}) > 1e-9 THEN stddev_pop(x{i}) ELSE 1 END AS s{i}' for i in range(K))} FROM er)""")
 def apply_scaler(spark, sf):
     rows = meta_rows(spark, sf)
     return G.apply_scaler(rows, G.fit_scaler(rows, META), META)
@@ -182,9 +273,9 @@ def apply_scaler(spark, sf):
 
 # --- leak-free reads -------------------------------------------------------------------------
 
-cte("egram", "gram efold", f"SELECT f.fold_id, {', '.join(f'sum(g.{n}) AS {n}' for n in G.gram_names(2))} FROM gram g JOIN efold f USING (dt) WHERE f.role = 'train' GROUP BY 1")
+cte("egram", "gram efold", f"SELECT f.fold_id, {', '.join(f'sum(g.{n}) AS {n}' for n in GRAM_NAMES)} FROM gram g JOIN efold f USING (dt) WHERE f.role = 'train' GROUP BY 1")
 OOS = f"""{sql_bayes('egram', 'fold_id')},
-oos AS (SELECT 'all' AS model, e.entity, e.dt, e.y, f.fold_id, m.b + m.c0 * e.x0 + m.c1 * e.x1 AS pred FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'test' JOIN model m USING (fold_id))"""
+oos AS (SELECT 'all' AS model, e.entity, e.dt, e.y, f.fold_id, {sql_value()} AS pred FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'test' JOIN model m USING (fold_id))"""
 
 
 def sql_read(source: str, key: str, y: str = "y") -> str:
@@ -200,7 +291,7 @@ READ = "xsec_ic:f n_dates:i pooled_ic:f n:i n_folds:i status:s"
 @register("leakfree_oos_ic", READ + " ci_lo:f ci_hi:f", "er egram efold", OOS + sql_dates("oos", "pred", "y", "model") +
           f" SELECT r.*, c.ci_lo, c.ci_hi FROM ({sql_read('oos', 'model')}) r JOIN ({sql_bootstrap('oos', 'pred', 'y', BOOT, 42, 'model')}) c USING (model)")
 def leakfree_oos_ic(spark, sf):
-    return M.leakfree_oos_ic(eval_rows(spark, sf), META, "fwd_ret", 4, n_iter=BOOT, group_bound=bound(spark, sf))
+    return M.leakfree_oos_ic(meta_frame(spark, sf), META, "fwd_ret", 4, n_iter=BOOT, group_bound=bound(spark, sf))
 
 
 @register("leakfree_decile", "bin:i mean_actual:f n_dates:i", "er egram efold", OOS + """
@@ -212,22 +303,22 @@ def leakfree_decile(spark, sf):
     return E.decile_spread(preds, "pred", "fwd_ret", group_bound=bound(spark, sf))
 
 
-cte("cgram", "gram cfold", f"SELECT f.fold_id, {', '.join(f'sum(g.{n}) AS {n}' for n in G.gram_names(2))} FROM gram g JOIN cfold f USING (dt) WHERE f.role = 'train' GROUP BY 1")
+cte("cgram", "gram cfold", f"SELECT f.fold_id, {', '.join(f'sum(g.{n}) AS {n}' for n in GRAM_NAMES)} FROM gram g JOIN cfold f USING (dt) WHERE f.role = 'train' GROUP BY 1")
 CPCV = f"""{sql_bayes('cgram', 'fold_id')},
-oos AS (SELECT f.fold_id, e.entity, e.dt, e.y, m.b + m.c0 * e.x0 + m.c1 * e.x1 AS pred FROM er e JOIN cfold f ON f.dt = e.dt AND f.role = 'test' JOIN model m USING (fold_id)),
+oos AS (SELECT f.fold_id, e.entity, e.dt, e.y, {sql_value()} AS pred FROM er e JOIN cfold f ON f.dt = e.dt AND f.role = 'test' JOIN model m USING (fold_id)),
 paths AS (SELECT fold_id, avg(ic) AS ic, count(*) AS n_dates FROM ({sql_ic('oos', 'pred', 'y', 'fold_id, dt')}) WHERE ic IS NOT NULL GROUP BY 1)"""
 
 
 @register("cpcv_ic", "fold_id:i ic:f n_dates:i", "er cgram cfold", CPCV + " SELECT * FROM paths")
 def cpcv_ic(spark, sf):
-    return M.cpcv_ic(eval_rows(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
+    return M.cpcv_ic(meta_frame(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
 
 
 @register("cpcv_summary", "n_combos:i n_paths:i mean_ic:f std_ic:f p05_ic:f p50_ic:f p95_ic:f min_ic:f max_ic:f frac_positive:f", "er cgram cfold", CPCV + """
 SELECT count(*) AS n_combos, 5 AS n_paths, avg(ic) AS mean_ic, stddev_samp(ic) AS std_ic, quantile_cont(ic, 0.05) AS p05_ic, quantile_cont(ic, 0.5) AS p50_ic, quantile_cont(ic, 0.95) AS p95_ic,
  min(ic) AS min_ic, max(ic) AS max_ic, avg(CASE WHEN ic > 0 THEN 1.0 ELSE 0.0 END) AS frac_positive FROM paths""")
 def cpcv_summary(spark, sf):
-    ics = M.cpcv_ic(eval_rows(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
+    ics = M.cpcv_ic(meta_frame(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
     return M.cpcv_summary(ics, 6, 2)
 
 
@@ -236,37 +327,51 @@ SELECT *, n >= 5 AND (CASE WHEN sortino IS NULL THEN mean_ic > 0 ELSE sortino >=
  SELECT 'cpcv' AS source, count(*) AS n, avg(ic) AS mean_ic, coalesce(sqrt(avg(CASE WHEN ic < 0 THEN ic * ic END)), 0) AS downside_deviation,
   avg(CASE WHEN ic < 0 THEN 1.0 ELSE 0.0 END) AS frac_negative, min(ic) AS worst FROM paths))""")
 def promotion_series(spark, sf):
-    rows = eval_rows(spark, sf)
-    combos = M.cpcv_ic(rows, META, "fwd_ret", 4, group_bound=bound(spark, sf))
-    forward = E.ic_series(rows, "mom_4", "fwd_ret", group_bound=bound(spark, sf))
+    combos = M.cpcv_ic(meta_frame(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
+    forward = E.ic_series(eval_rows(spark, sf), "mom_4", "fwd_ret", group_bound=bound(spark, sf))
     return E.downside_stats(E.promotion_series(combos, forward), by=["source"])
 
 
-VARIANTS = {"full": (1, 1), "without_mom_4": (0, 1), "without_stale": (1, 0)}
-LOO = f"""
-, vg AS (SELECT fold_id || '|' || variant AS fv, v.*, g.* FROM egram g, (VALUES {', '.join(f"('{k}', {a}, {b})" for k, (a, b) in VARIANTS.items())}) v(variant, u0, u1))
-{sql_bayes('vg', 'fv', "CAST(split_part(fv, '|', 2) <> 'without_mom_4' AS INTEGER)", "CAST(split_part(fv, '|', 2) <> 'without_stale' AS INTEGER)")},
-oos AS (SELECT v.variant, e.entity, e.dt, e.y, f.fold_id, m.b + m.c0 * e.x0 + m.c1 * e.x1 AS pred FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'test'
- JOIN (VALUES {', '.join(f"('{k}')" for k in VARIANTS)}) v(variant) ON true JOIN model m ON m.fv = f.fold_id || '|' || v.variant)"""
+ADDED = ["momentum_score", "regime_intensity_z"]
+BASE = [f for f in META if f not in ADDED]
+LEAVE = {"full": META} | {f"without_{f}": [g for g in META if g != f] for f in META}
+ADD = {"base": BASE} | {f"with_{f}": [*BASE, f] for f in ADDED}
 
 
-@register("leave_one_out", "variant:s ic_added:f " + READ, "er egram efold", LOO + f"""
-SELECT r.*, (SELECT xsec_ic FROM ({sql_read('oos', 'variant')}) WHERE variant = 'full') - xsec_ic AS ic_added FROM ({sql_read('oos', 'variant')}) r""")
+def sql_variants(variants: dict) -> str:
+    """SQL text: out-of-fold predictions of every variant, each with its own rows, dates and folds."""
+    values = ", ".join(f"('{name}', [{', '.join(str(int(f in use)) for f in META)}])" for name, use in variants.items())
+    fill = ", ".join(f"coalesce(x{i}, 0) AS x{i}" for i in range(K))
+    known = " AND ".join(f"(v.u[{i + 1}] = 0 OR x{i} IS NOT NULL)" for i in range(K))
+    return f"""
+, vs AS (SELECT * FROM (VALUES {values}) v(variant, u)),
+vrow AS (SELECT v.variant, v.u, r.entity, r.dt, {fill}, r.y, 1.0::DOUBLE AS w FROM mrow r JOIN vs v ON {known}),
+vidx AS (SELECT variant, dt, row_number() OVER (PARTITION BY variant ORDER BY dt) - 1 AS idx, count(*) OVER (PARTITION BY variant) AS n FROM (SELECT DISTINCT variant, dt FROM vrow)),
+vfold AS ({sql_expanding('vidx', 4, key='variant,')}),
+vday AS (SELECT variant, dt, any_value(u) AS u, {GRAM_SUMS} FROM vrow GROUP BY 1, 2),
+vg AS (SELECT d.variant || '|' || f.fold_id AS vf, any_value(u) AS u, {SUMMED} FROM vday d JOIN vfold f USING (variant, dt) WHERE f.role = 'train' GROUP BY 1)
+{sql_bayes('vg', 'vf', 'u')},
+oos AS (SELECT e.variant, e.entity, e.dt, e.y, f.fold_id, {sql_value()} AS pred FROM vrow e JOIN vfold f ON f.variant = e.variant AND f.dt = e.dt AND f.role = 'test' JOIN model m ON m.vf = e.variant || '|' || f.fold_id),
+rd AS ({sql_read('oos', 'variant')})"""
+
+
+@register("leave_one_out", "variant:s ic_added:f " + READ, "mrow", sql_variants(LEAVE) + """
+SELECT *, (SELECT xsec_ic FROM rd WHERE variant = 'full') - xsec_ic AS ic_added FROM rd""")
 def leave_one_out(spark, sf):
-    return M.leave_one_out(eval_rows(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
+    return M.leave_one_out(meta_frame(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf))
 
 
-@register("add_one_in", "variant:s " + READ, "er egram efold", LOO + f"""
-SELECT * REPLACE (CASE variant WHEN 'full' THEN 'with_stale' ELSE 'base' END AS variant) FROM ({sql_read('oos', 'variant')}) WHERE variant IN ('full', 'without_stale')""")
+@register("add_one_in", "variant:s " + READ, "mrow", sql_variants(ADD) + " SELECT * FROM rd")
 def add_one_in(spark, sf):
-    return M.add_one_in(eval_rows(spark, sf), ["mom_4"], ["stale"], "fwd_ret", 4, group_bound=bound(spark, sf))
+    return M.add_one_in(meta_frame(spark, sf), BASE, ADDED, "fwd_ret", 4, group_bound=bound(spark, sf))
 
 
 HC = [1, 4, 8]
-cte("hcrow", "feat", "SELECT entity, dt, mom_4 AS x0, lag(mom_4, 8) OVER w AS x1, " + ", ".join(
+cte("hcrow", "feat", "SELECT entity, dt, " + ", ".join(
     f"lead(close, {h}) OVER w / close - 1 - (lead(bench, {h}) OVER w / bench - 1) AS fwd_{h}" for h in HC)
     + " FROM feat WINDOW w AS (PARTITION BY entity ORDER BY dt)")
-cte("hclong", "hcrow", "SELECT entity, dt, x0, x1, CAST(substr(h, 5) AS INTEGER) AS horizon, y FROM (UNPIVOT hcrow ON fwd_1, fwd_4, fwd_8 INTO NAME h VALUE y) WHERE x0 IS NOT NULL AND x1 IS NOT NULL")
+cte("hclong", "hcrow mfeat", f"SELECT entity, dt, {XS}, h.horizon, h.y FROM (SELECT entity, dt, CAST(substr(h, 5) AS INTEGER) AS horizon, y FROM (UNPIVOT hcrow ON fwd_1, fwd_4, fwd_8 INTO NAME h VALUE y)) h JOIN mfeat USING (entity, dt) WHERE "
+    + " AND ".join(f"{f} IS NOT NULL" for f in META))
 cte("hcidx", "hclong", "SELECT horizon, dt, row_number() OVER (PARTITION BY horizon ORDER BY dt) - 1 AS idx, count(*) OVER (PARTITION BY horizon) AS n FROM (SELECT DISTINCT horizon, dt FROM hclong)")
 cte("hcfold", "hcidx", sql_expanding("hcidx", "horizon", key="horizon,"))
 
@@ -274,10 +379,11 @@ cte("hcfold", "hcidx", sql_expanding("hcidx", "horizon", key="horizon,"))
 @register("horizon_curve", "horizon:i " + READ, "hclong hcfold", f"""
 , hg AS (SELECT f.horizon || '|' || f.fold_id AS hf, {GRAM_SUMS} FROM (SELECT *, 1.0::DOUBLE AS w FROM hclong) l JOIN hcfold f USING (horizon, dt) WHERE f.role = 'train' GROUP BY 1)
 {sql_bayes('hg', 'hf')},
-oos AS (SELECT e.horizon, e.entity, e.dt, e.y, f.fold_id, m.b + m.c0 * e.x0 + m.c1 * e.x1 AS pred FROM hclong e JOIN hcfold f ON f.horizon = e.horizon AND f.dt = e.dt AND f.role = 'test' JOIN model m ON m.hf = f.horizon || '|' || f.fold_id)
+oos AS (SELECT e.horizon, e.entity, e.dt, e.y, f.fold_id, {sql_value()} AS pred FROM hclong e JOIN hcfold f ON f.horizon = e.horizon AND f.dt = e.dt AND f.role = 'test' JOIN model m ON m.hf = f.horizon || '|' || f.fold_id)
 {sql_read('oos', 'horizon')}""")
 def horizon_curve(spark, sf):
-    rows = W.multi_horizon_returns(features(spark, sf), HC).withColumn("stale", F.lag("mom_4", 8).over(W.by_entity()))
+    returns = W.multi_horizon_returns(aligned(spark, sf), HC).select("entity", "dt", *[f"fwd_{h}" for h in HC])
+    rows = meta_inputs(spark, sf).join(returns, ["entity", "dt"])
     return M.horizon_curve(rows, META, HC, group_bound=bound(spark, sf))
 
 
@@ -289,15 +395,16 @@ def nonlinear_oos_ic(spark, sf):
     return M.nonlinear_oos_ic(eval_rows(spark, sf), ["mom_4", "ret_13", "stale"], "fwd_ret", 4, group_bound=bound(spark, sf))
 
 
-@register("estimator_oos_ic", READ, "er efold", f"""
-, tr AS (SELECT f.fold_id, e.* FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'train'),
-s AS (SELECT fold_id, avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my, var_pop(x0) AS v0, var_pop(x1) AS v1, covar_pop(x0, x1) AS v01, covar_pop(x0, y) AS c0y, covar_pop(x1, y) AS c1y FROM tr GROUP BY 1),
-m AS (SELECT *, (v1 * c0y - v01 * c1y) / (v0 * v1 - v01 * v01) AS b0, (v0 * c1y - v01 * c0y) / (v0 * v1 - v01 * v01) AS b1 FROM s),
-oos AS (SELECT 'all' AS model, e.entity, e.dt, e.y, f.fold_id, my + b0 * (x0 - m0) + b1 * (x1 - m1) AS pred FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'test' JOIN m USING (fold_id))
+@register("estimator_oos_ic", READ, "er egram efold", f"""
+, s AS (SELECT fold_id, y / w AS my, [{', '.join(f'x{i} / w' for i in range(K))}] AS mx, [{', '.join(f'xy{i} - x{i} * y / w' for i in range(K))}] AS bv,
+  [{', '.join('[' + ', '.join(f'xx{min(i, j)}_{max(i, j)} - x{i} * x{j} / w' for j in range(K)) + ']' for i in range(K))}] AS g FROM egram),
+{sql_solver('s', 'fold_id', 'g', K, 'o')},
+m AS (SELECT *, my - list_dot_product(c, mx) AS b FROM (SELECT s.*, list_transform(inv, lambda row: list_dot_product(row, s.bv)) AS c FROM s JOIN oinverse USING (fold_id))),
+oos AS (SELECT 'all' AS model, e.entity, e.dt, e.y, f.fold_id, {sql_value()} AS pred FROM er e JOIN efold f ON f.dt = e.dt AND f.role = 'test' JOIN m USING (fold_id))
 {sql_read('oos', 'model')}""")
 def estimator_oos_ic(spark, sf):
     """The same walk-forward with an injected estimator, here plain least squares."""
-    return M.leakfree_oos_ic(eval_rows(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf),
+    return M.leakfree_oos_ic(meta_frame(spark, sf), META, "fwd_ret", 4, group_bound=bound(spark, sf),
                              estimator=LinearRegression(labelCol="label", regParam=0.0, solver="normal"))
 
 
@@ -464,17 +571,17 @@ def score_cross_section(spark, sf):
     return PL.score_cross_section(rows, AS_OF, fitted, META, CLIP, macro=regimes, group_bound=bound(spark, sf))
 
 
-@register("score_versions", "version_id:i entity:i dt:d predicted_alpha:f p_up:f predicted_direction:s", "er egram feat", f"""
+@register("score_versions", "version_id:i entity:i dt:d predicted_alpha:f p_up:f predicted_direction:s", "er egram mfeat", f"""
 {sql_bayes('egram', 'fold_id')},
-f AS (SELECT * FROM (SELECT entity, dt, mom_4 AS x0, lag(mom_4, 8) OVER (PARTITION BY entity ORDER BY dt) AS x1 FROM feat) WHERE x0 IS NOT NULL AND x1 IS NOT NULL),
-a AS (SELECT fold_id AS version_id, entity, dt, least({CLIP}, greatest(-{CLIP}, b + c0 * x0 + c1 * x1)) AS predicted_alpha FROM f, model)
+f AS (SELECT * FROM (SELECT entity, dt, {XS} FROM mfeat) WHERE {' AND '.join(f'x{i} IS NOT NULL' for i in range(K))}),
+a AS (SELECT fold_id AS version_id, e.entity, e.dt, least({CLIP}, greatest(-{CLIP}, {sql_value()})) AS predicted_alpha FROM f e, model m)
 SELECT *, round(0.5 + predicted_alpha / {2 * CLIP}, 4) AS p_up, CASE WHEN round(0.5 + predicted_alpha / {2 * CLIP}, 10) >= 0.5 THEN 'UP' ELSE 'DOWN' END AS predicted_direction FROM a""")
 def score_versions(spark, sf):
     """Each fold's model as a registered version, all scored on the same rows at once."""
     known = meta_rows(spark, sf)
-    grams = G.fold_gram(G.gram_table(known, META, "fwd_ret", ["dt"]), FD.expanding_folds(known, 4), 2, ["fold_id"])
-    fitted = G.solve_rows(grams, ["fold_id"], 2).withColumnRenamed("fold_id", "version_id")
-    rows = features(spark, sf).withColumn("stale", F.lag("mom_4", 8).over(W.by_entity())).dropna(subset=META)
+    grams = G.fold_gram(G.gram_table(known, META, "fwd_ret", ["dt"]), FD.expanding_folds(known, 4), K, ["fold_id"])
+    fitted = G.solve_rows(grams, ["fold_id"], K).withColumnRenamed("fold_id", "version_id")
+    rows = meta_inputs(spark, sf).dropna(subset=META)
     return M.score_versions(rows.select("entity", "dt", *META), fitted, META, CLIP)
 
 
