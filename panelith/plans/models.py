@@ -8,6 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from panelith.functions import scalars as X
+from panelith.functions.columns import full_frame
 from panelith.operators import drift as D
 from panelith.operators import evaluation as E
 from panelith.operators import folds as FD
@@ -513,33 +514,71 @@ def fit_state_classifier(spark, sf):
 
 # --- factor model ----------------------------------------------------------------------------
 
-LOADINGS = ["vs_ma10", "ret_13"]
-cte("fm", "feat", "SELECT entity, dt, vs_ma10 AS a, ret_13 AS b, lead(close) OVER (PARTITION BY entity ORDER BY dt) / close - 1 AS r FROM feat")
-cte("fret", "fm", """
-SELECT dt, my - f1 * ma - f2 * mb AS market, f1, f2 FROM (SELECT *, (vb * ar - ab * br) / (va * vb - ab * ab) AS f1, (va * br - ab * ar) / (va * vb - ab * ab) AS f2 FROM (
- SELECT dt, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(r) AS my, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS ab, covar_pop(a, r) AS ar, covar_pop(b, r) AS br
- FROM fm WHERE a IS NOT NULL AND b IS NOT NULL AND r IS NOT NULL GROUP BY dt) WHERE n >= 30)""")
+# The loadings of the factor model, momentum to quality. Price over its long average stands in for
+# the price-earnings ratio and trading volume over its average for the return on equity.
+LOADINGS = [
+    "momentum_20d_zscore", "return_60d_zscore", "beta_60d_zscore", "idio_vol_60d_zscore", "realized_vol_63d_zscore",
+    "dist_from_52w_high_zscore", "pe_ratio_zscore", "roe_zscore",
+]
+FACTORS = ["market", *LOADINGS]
+cte("loadraw", "feat", """
+SELECT entity, dt, mom_4 AS l0, ret_13 AS l1, beta AS l2, sqrt(greatest(vr - beta * cv, 0)) AS l3, CASE WHEN nl = 13 THEN sl * sqrt(52.0) END AS l4,
+ CASE WHEN nh = 52 THEN close / hi - 1 END AS l5, vs_ma40 AS l6, CASE WHEN nv = 13 THEN volume / mv END AS l7, nxt AS r FROM (
+ SELECT *, CASE WHEN nr = 13 AND vb > 0 THEN cv / vb END AS beta FROM (
+  SELECT *, count(r0) OVER w AS nr, var_samp(r0) OVER w AS vr, var_samp(rb) OVER w AS vb, covar_samp(r0, rb) OVER w AS cv, count(lr) OVER w AS nl, stddev_samp(lr) OVER w AS sl,
+   count(close) OVER y AS nh, max(close) OVER y AS hi, count(volume) OVER w AS nv, avg(volume) OVER w AS mv FROM (
+   SELECT *, close / lag(close) OVER e - 1 AS r0, bench / lag(bench) OVER e - 1 AS rb, ln(close / lag(close) OVER e) AS lr, lead(close) OVER e / close - 1 AS nxt FROM feat WINDOW e AS (PARTITION BY entity ORDER BY dt))
+  WINDOW w AS (PARTITION BY entity ORDER BY dt ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), y AS (PARTITION BY entity ORDER BY dt ROWS BETWEEN 51 PRECEDING AND CURRENT ROW)))""")
+cte("fm", "loadraw", "SELECT r.entity, r.dt, " + ", ".join(f"CASE WHEN s{i} > 1e-9 THEN (l{i} - m{i}) / s{i} END AS x{i}" for i in range(8))
+    + ", r AS y FROM loadraw r JOIN (SELECT dt, " + ", ".join(f"avg(l{i}) AS m{i}, stddev_pop(l{i}) AS s{i}" for i in range(8)) + " FROM loadraw GROUP BY dt) USING (dt)")
+cte("fsum", "fm", f"SELECT * FROM (SELECT dt, {sql_gram(8)} FROM (SELECT *, 1.0::DOUBLE AS w FROM fm) WHERE y IS NOT NULL AND "
+    + " AND ".join(f"x{i} IS NOT NULL" for i in range(8)) + " GROUP BY dt) WHERE n >= 30")
+cte("fcen", "fsum", f"""
+SELECT dt, y / w AS my, [{', '.join(f'x{i} / w' for i in range(8))}] AS mx, [{', '.join(f'xy{i} - x{i} * y / w' for i in range(8))}] AS bv,
+ [{', '.join('[' + ', '.join(f'xx{min(i, j)}_{max(i, j)} - x{i} * x{j} / w' for j in range(8)) + ']' for i in range(8))}] AS g FROM fsum""")
+FSOLVE = sql_solver("fcen", "dt", "g", 8, "f") + """,
+fret AS (SELECT dt, my - list_dot_product(c, mx) AS market, c FROM (SELECT s.*, list_transform(inv, lambda row: list_dot_product(row, s.bv)) AS c FROM fcen s JOIN finverse USING (dt)))"""
 
 
 def factor_rows(spark, sf):
-    return features(spark, sf).withColumn("r", F.lead("close").over(W.by_entity()) / F.col("close") - 1)
-
-
-@register("factor_returns", "dt:d factor:s value:f", "fret", """
-SELECT dt, 'market' AS factor, market AS value FROM fret UNION ALL SELECT dt, 'vs_ma10', f1 FROM fret UNION ALL SELECT dt, 'ret_13', f2 FROM fret""")
+    """(entity, dt, loadings, r): loadings as z-scores of their date, and the next week's return."""
+    e = W.by_entity()
+    close, volume = F.col("close"), F.col("volume")
+    rows = features(spark, sf).withColumns({
+        "r0": close / F.lag("close").over(e) - 1, "rb": F.col("bench") / F.lag("bench").over(e) - 1,
+        "lr": F.log(close / F.lag("close").over(e)), "r": F.lead("close").over(e) / close - 1})
+    w, y = e.rowsBetween(-12, 0), e.rowsBetween(-51, 0)
+    beta = F.when((F.count("r0").over(w) == 13) & (F.var_samp("rb").over(w) > 0), F.covar_samp("r0", "rb").over(w) / F.var_samp("rb").over(w))
+    rows = rows.withColumns({"beta": beta, "cv": F.covar_samp("r0", "rb").over(w), "vr": F.var_samp("r0").over(w)})
+    raw = [
+        F.col("mom_4"), F.col("ret_13"), F.col("beta"), F.when(F.col("beta").isNotNull(), F.sqrt(F.greatest(F.col("vr") - F.col("beta") * F.col("cv"), F.lit(0.0)))),
+        full_frame(F.col("lr"), F.stddev_samp("lr"), w, 13) * 52.0**0.5, close / full_frame(close, F.max("close"), y, 52) - 1,
+        F.col("vs_ma40"), volume / full_frame(volume, F.avg("volume"), w, 13)]
+    rows = cut_lineage(rows.select("entity", "dt", "r", *[c.alias(n) for c, n in zip(raw, LOADINGS)]))
+    moments = rows.groupBy("dt").agg(*[a(n).alias(f"{n}_{t}") for n in LOADINGS for t, a in (("m", F.avg), ("s", F.stddev_pop))])
+    rows = rows.join(moments, "dt")
+    scored = {n: F.when(F.col(f"{n}_s") > 1e-9, (F.col(n) - F.col(f"{n}_m")) / F.col(f"{n}_s")) for n in LOADINGS}
+    return cut_lineage(rows.withColumns(scored).select("entity", "dt", "r", *LOADINGS))
+
+
+@register("factor_returns", "dt:d factor:s value:f", "fcen", ", " + FSOLVE + """
+SELECT dt, 'market' AS factor, market AS value FROM fret""" + "".join(f" UNION ALL SELECT dt, '{n}', c[{i + 1}] FROM fret" for i, n in enumerate(LOADINGS)))
 def factor_returns(spark, sf):
     return G.factor_returns(factor_rows(spark, sf), LOADINGS, "r")
 
 
-@register("factor_covariance", "a:s b:s cov:f", "fret", " UNION ALL ".join(
-    f"SELECT '{x}' AS a, '{y}' AS b, covar_samp({cx}, {cy}) AS cov FROM fret HAVING count(*) >= 60"
-    for x, cx in (("market", "market"), ("vs_ma10", "f1"), ("ret_13", "f2")) for y, cy in (("market", "market"), ("vs_ma10", "f1"), ("ret_13", "f2"))))
+SQL_FACTORS = ["market", *[f"c[{i + 1}]" for i in range(8)]]
+
+
+@register("factor_covariance", "a:s b:s cov:f", "fcen", ", " + FSOLVE + " UNION ALL ".join(
+    f" SELECT '{x}' AS a, '{y}' AS b, covar_samp({cx}, {cy}) AS cov FROM fret HAVING count(*) >= 60"
+    for x, cx in zip(FACTORS, SQL_FACTORS) for y, cy in zip(FACTORS, SQL_FACTORS)))
 def factor_covariance(spark, sf):
-    return G.factor_covariance(G.factor_returns(factor_rows(spark, sf), LOADINGS, "r"), ["market", *LOADINGS])
+    return G.factor_covariance(G.factor_returns(factor_rows(spark, sf), LOADINGS, "r"), FACTORS)
 
 
-@register("idio_variance", "entity:i n:i idio_var:f", "fm fret", """
-SELECT entity, count(e) AS n, var_samp(e) AS idio_var FROM (SELECT entity, r - market - f1 * a - f2 * b AS e FROM fm JOIN fret USING (dt)) GROUP BY 1 HAVING count(e) >= 60""")
+@register("idio_variance", "entity:i n:i idio_var:f", "fm fcen", ", " + FSOLVE + f"""
+SELECT entity, count(e) AS n, var_samp(e) AS idio_var FROM (SELECT entity, y - market - ({' + '.join(f'c[{i + 1}] * x{i}' for i in range(8))}) AS e FROM fm JOIN fret USING (dt)) GROUP BY 1 HAVING count(e) >= 60""")
 def idio_variance(spark, sf):
     rows = factor_rows(spark, sf)
     return G.idio_variance(rows, G.factor_returns(rows, LOADINGS, "r"), LOADINGS, "r")
