@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelith.functions.columns import by_entity, ratio
-from panelith.session import spread
+from panelith.functions.scans import scan_states
+from panelith.session import cut_lineage, spread
 
 
 @dataclass(frozen=True)
@@ -114,6 +115,29 @@ def state_run_length(rows: DataFrame, state: str, keys: list[str] | None = None)
     return tagged.withColumn("run_length", F.row_number().over(inside)).drop("_c", "_run")
 
 
+def persist(now: str, proposed: str, pend: str | None, n: int, needed: int):
+    """(state, waiting for, observations waited): a change takes ``needed`` proposals in a row."""
+    if proposed == now:
+        return now, None, 0
+    n = n + 1 if pend == proposed else 1
+    return (proposed, None, 0) if n >= needed else (now, proposed, n)
+
+
+def propose_tier(tier: str, deep: bool, shallow: bool, recovered: bool, entered: bool) -> str:
+    """Where the ladder would go from ``tier``: depth at or beyond the outer bands, past the inner ones."""
+    if deep or shallow:
+        return "risk_off" if deep else "risk_on"
+    if tier == "risk_off":
+        return "caution" if recovered else "risk_off"
+    return "caution" if tier == "caution" or entered else "risk_on"
+
+
+def propose_excess(held: str, low: bool, high: bool) -> str:
+    if held == "alpha_bleed":
+        return "risk_on" if low else held
+    return "alpha_bleed" if high else held
+
+
 def tier_walk(
     pdf: pd.DataFrame, bands: DrawdownBands, state: dict | None = None
 ) -> tuple[pd.DataFrame, dict]:
@@ -127,14 +151,6 @@ def tier_walk(
         "pend": None, "pend_n": 0, "ex_pend": None, "ex_pend_n": 0, "last_dt": None, "seen": 0,
     }
 
-    def gate(now: str, proposed: str, pend: str | None, n: int):
-        if proposed == now:
-            return now, None, 0
-        n = n + 1 if pend == proposed else 1
-        if n >= bands.min_persist:
-            return proposed, None, 0
-        return now, proposed, n
-
     out = []
     for dt, close, nav in zip(pdf["dt"], pdf["close"], pdf["nav"]):
         if st["last_dt"] is not None and dt <= st["last_dt"]:
@@ -142,17 +158,12 @@ def tier_walk(
         st["peak"] = close if st["peak"] is None else max(st["peak"], close)
         dd = close / st["peak"] - 1.0
         depth, tier = round(-dd, 12), st["tier"]
-        if depth >= bands.risk_off_enter:
-            proposed = "risk_off"
-        elif depth <= bands.caution_exit:
-            proposed = "risk_on"
-        elif tier == "risk_off":
-            proposed = "caution" if depth <= bands.risk_off_exit else "risk_off"
-        elif tier == "risk_on":
-            proposed = "caution" if depth >= bands.caution_enter else "risk_on"
-        else:
-            proposed = "caution"
-        st["tier"], st["pend"], st["pend_n"] = gate(tier, proposed, st["pend"], st["pend_n"])
+        proposed = propose_tier(
+            tier, depth >= bands.risk_off_enter, depth <= bands.caution_exit, depth <= bands.risk_off_exit, depth >= bands.caution_enter
+        )
+        st["tier"], st["pend"], st["pend_n"] = persist(
+            tier, proposed, st["pend"], st["pend_n"], bands.min_persist
+        )
         excess = None
         if nav is None or nav != nav:
             st["excess_tier"], st["ex_pend"], st["ex_pend_n"] = "risk_on", None, 0
@@ -160,12 +171,9 @@ def tier_walk(
             st["nav_peak"] = nav if st["nav_peak"] is None else max(st["nav_peak"], nav)
             excess = max(dd - (nav / st["nav_peak"] - 1.0), 0.0)
             level, held = round(excess, 12), st["excess_tier"]
-            if held == "alpha_bleed":
-                proposed = "risk_on" if level <= bands.excess_exit else held
-            else:
-                proposed = "alpha_bleed" if level >= bands.excess_enter else held
-            st["excess_tier"], st["ex_pend"], st["ex_pend_n"] = gate(
-                held, proposed, st["ex_pend"], st["ex_pend_n"]
+            proposed = propose_excess(held, level <= bands.excess_exit, level >= bands.excess_enter)
+            st["excess_tier"], st["ex_pend"], st["ex_pend_n"] = persist(
+                held, proposed, st["ex_pend"], st["ex_pend_n"], bands.min_persist
             )
         st["last_dt"], st["seen"] = dt, st["seen"] + 1
         out.append((dt, dd, st["tier"], excess, st["excess_tier"]))
@@ -181,22 +189,7 @@ def drawdown_tiers(rows: DataFrame, bands: DrawdownBands = DrawdownBands()) -> D
     the first depth that crosses the inner band of the side it came from.
     """
     if bands.min_persist > 1:
-        key = rows.schema["entity"]
-        schema = T.StructType(
-            [
-                key, rows.schema["dt"],
-                T.StructField("drawdown", T.DoubleType()), T.StructField("tier", T.StringType()),
-                T.StructField("excess", T.DoubleType()), T.StructField("excess_tier", T.StringType()),
-            ]
-        )
-
-        def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-            out, _ = tier_walk(pdf.sort_values("dt"), bands)
-            out.insert(0, "entity", pdf["entity"].iloc[0])
-            return out
-
-        thin = spread(rows.select("entity", "dt", "close", "nav"), "entity")
-        return thin.groupBy("entity").applyInPandas(walk, schema)
+        return gated_tiers(rows, bands)
     w = by_entity()
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"drawdown": drawdown(), "_nav_dd": drawdown("nav")})
@@ -237,6 +230,56 @@ def drawdown_tiers(rows: DataFrame, bands: DrawdownBands = DrawdownBands()) -> D
     return rows.select("entity", "dt", "drawdown", "tier", "excess", "excess_tier")
 
 
+def longest_series(rows: DataFrame, keys: list[str]) -> int:
+    """Rows of the longest series: a count before the scan, bounded by the calendar."""
+    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
+
+
+def gated_tiers(rows: DataFrame, bands: DrawdownBands) -> DataFrame:
+    """The ladder with a persistence gate: both legs are finite-state machines whose transition maps
+    are scanned (a state is a tier, what it waits for, and for how long)."""
+    m = bands.min_persist
+
+    def machine(tiers: list[str], symbols: int, move) -> tuple[list, list[list[int]]]:
+        states = [(t, None, 0) for t in tiers] + [(t, p, n) for t in tiers for p in tiers if p != t for n in range(1, m)]
+        return states, [[states.index(move(symbol, *state)) for state in states] for symbol in range(symbols)]
+
+    def tier_move(symbol: int, tier, pend, n):
+        a, b = divmod(max(symbol - 2, 0), 2)
+        return persist(tier, propose_tier(tier, symbol == 0, symbol == 1, bool(b), bool(a)), pend, n, m)
+
+    def excess_move(symbol: int, held, pend, n):
+        if symbol == 0:
+            return "risk_on", None, 0
+        high, low = divmod(symbol - 1, 2)
+        return persist(held, propose_excess(held, bool(low), bool(high)), pend, n, m)
+
+    def whole(test: Column) -> Column:
+        return F.coalesce(test, F.lit(False)).cast("int")
+
+    w = by_entity()
+    rows = cut_lineage(rows.select("entity", "dt", "close", F.when(~F.isnan("nav"), F.col("nav")).alias("nav")))
+    longest = longest_series(rows, ["entity"])
+    rows = rows.withColumns({"drawdown": drawdown(), "_nav_dd": drawdown("nav")})
+    rows = rows.withColumn(
+        "excess", F.when(F.col("nav").isNotNull(), F.greatest(F.col("drawdown") - F.col("_nav_dd"), F.lit(0.0)))
+    )
+    depth, level = F.round(-F.col("drawdown"), 12), F.round("excess", 12)
+    tier_symbol = F.when(depth >= bands.risk_off_enter, 0).when(depth <= bands.caution_exit, 1).otherwise(
+        2 + whole(depth <= bands.risk_off_exit) + 2 * whole(depth >= bands.caution_enter)
+    )
+    excess_symbol = F.when(level.isNull(), 0).otherwise(1 + whole(level <= bands.excess_exit) + 2 * whole(level >= bands.excess_enter))
+    legs = (
+        ("tier", tier_symbol, machine(["risk_on", "caution", "risk_off"], 6, tier_move)),
+        ("excess_tier", excess_symbol, machine(["risk_on", "alpha_bleed"], 5, excess_move)),
+    )
+    for name, symbol, (states, tables) in legs:
+        rows = scan_states(rows, w, symbol, tables, 0, longest, "_state")
+        names = F.array(*[F.lit(t) for t, _, _ in states])
+        rows = rows.withColumn(name, F.get(names, F.col("_state")))
+    return rows.select("entity", "dt", "drawdown", "tier", "excess", "excess_tier")
+
+
 def adjust_dividends(prices: DataFrame, dividends: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Backward adjustment: a price is scaled by (1 - amount / close before ex-date) for every later
     ex-date up to the last bar; ratios outside (0, 1] are ignored.
@@ -339,56 +382,140 @@ class RunLengthPosterior:
         return float(self.mass.max())
 
 
-def latch_step(state: dict, z: float, change: float, rules: LatchRules) -> dict:
-    """One observation of the two-leg latch; ``state`` holds on, changes, clears, seen."""
-    broke = change > rules.change_threshold and z < rules.floor
-    changes = state["changes"] + 1 if broke else 0
-    clears = 0 if broke else state["clears"] + 1
-    on, seen = state["on"], state["seen"] + 1
+def latch_move(on: bool, changes: int, clears: int, broke: bool, above: bool, young: bool, rules: LatchRules):
+    """(on, changes, clears) after one observation: on after enough breaks in a row, off after enough quiet
+    ones once the value is above the exit band, off while the series is young."""
+    changes = changes + 1 if broke else 0
+    clears = 0 if broke else clears + 1
     if not on and changes >= rules.min_persist:
         on = True
-    elif on and clears >= rules.min_clear and z > rules.exit_band:
-        on = False
-    if seen < rules.min_run:
+    elif on and clears >= rules.min_clear and above:
         on = False
+    return on and not young, changes, clears
+
+
+def latch_step(state: dict, z: float, change: float, rules: LatchRules) -> dict:
+    """One observation of the two-leg latch; ``state`` holds on, changes, clears, seen."""
+    broke = change > rules.change_threshold and z < rules.floor
+    seen = state["seen"] + 1
+    on, changes, clears = latch_move(
+        state["on"], state["changes"], state["clears"], broke, z > rules.exit_band, seen < rules.min_run, rules
+    )
     return {"on": on, "changes": changes, "clears": clears, "seen": seen}
 
 
+def latch_machine(rules: LatchRules) -> tuple[list, list[list[int]]]:
+    """(states, tables): counts stop at what the rules ask for; symbols are broke + 2 above + 4 young."""
+    counts = [(c, 0) for c in range(rules.min_persist + 1)] + [(0, c) for c in range(1, rules.min_clear + 1)]
+    states = [(on, *c) for on in (False, True) for c in counts]
+
+    def move(symbol: int, state) -> int:
+        on, changes, clears = latch_move(*state, bool(symbol & 1), bool(symbol & 2), bool(symbol & 4), rules)
+        return states.index((on, min(changes, rules.min_persist), min(clears, rules.min_clear)))
+
+    return states, [[move(symbol, state) for state in states] for symbol in range(8)]
+
+
+def scan_latch(rows: DataFrame, keys: list[str], change: str, rules: LatchRules, longest: int, out: str) -> DataFrame:
+    """Adds the latch to rows of (keys, dt, z, ``change``)."""
+    w = Window.partitionBy(*keys).orderBy("dt")
+    states, tables = latch_machine(rules)
+    broke = (F.col(change) > rules.change_threshold) & (F.col("z") < rules.floor)
+    symbol = broke.cast("int") + 2 * (F.col("z") > rules.exit_band).cast("int")
+    symbol = symbol + 4 * (F.row_number().over(w) < rules.min_run).cast("int")
+    rows = scan_states(rows.withColumn("_symbol", symbol), w, F.col("_symbol"), tables, 0, longest, "_state")
+    half = len(states) // 2
+    return rows.withColumn(out, F.col("_state") >= half).drop("_symbol", "_state")
+
+
 NEW_LATCH = {"on": False, "changes": 0, "clears": 0, "seen": 0}
 
 
-def change_points(
-    rows: DataFrame, value: str = "z", prior: ChangePointPrior = ChangePointPrior(),
-    rules: LatchRules = LatchRules(),
+#: series whose posteriors advance together in one task
+TOGETHER = 256
+
+
+def run_length_masses(series: list[np.ndarray], hazards: np.ndarray, prior: ChangePointPrior, runs: list[int]):
+    """Per series: an array (observations x (runs + 1)) with the mass on each number of shortest runs, and the
+    mass of the likeliest run. One matrix (series x run lengths) advances one observation a step."""
+    order = sorted(range(len(series)), key=lambda i: -len(series[i]))
+    sizes = np.array([len(series[i]) for i in order])
+    out = [np.empty((len(x), len(runs) + 1)) for x in series]
+    values = np.zeros((len(series), int(sizes.max(initial=0))))
+    for row, i in enumerate(order):
+        values[row, : sizes[row]] = series[i]
+    found = np.empty((values.shape[1], len(series), len(runs) + 1))
+    h = np.asarray(hazards, float)[order][:, None]
+    n = len(series)
+    mass, mean, scale = np.ones((n, 1)), np.full((n, 1), prior.mu), np.full((n, 1), prior.beta)
+    shapes = prior.alpha + 0.5 * np.arange(prior.horizon + 1)
+    norms = np.array([math.lgamma(a + 0.5) - math.lgamma(a) - 0.5 * math.log(2 * a * math.pi) for a in shapes])
+    for t in range(values.shape[1]):
+        # series are in order of falling length: those still running are the first ones
+        n = int(np.searchsorted(-sizes, -t, "left"))
+        mass, mean, scale, x = mass[:n], mean[:n], scale[:n], values[:n, t : t + 1]
+        k = np.arange(mass.shape[1])
+        kappa, alpha = prior.kappa + k, shapes[: len(k)]
+        gap = x - mean
+        width = np.sqrt(scale * ((kappa + 1) / (alpha * kappa)))
+        u = gap / width
+        joint = mass * np.exp(norms[: len(k)] - (alpha + 0.5) * np.log1p(u * u / (2 * alpha))) / width
+        mass = np.concatenate([h[:n] * joint.sum(axis=1, keepdims=True), (1 - h[:n]) * joint], axis=1)
+        total = mass.sum(axis=1, keepdims=True)
+        mass = mass / np.where(total > 0, total, 1.0)
+        mean = np.concatenate([np.full((n, 1), prior.mu), (kappa * mean + x) / (kappa + 1)], axis=1)
+        scale = np.concatenate([np.full((n, 1), prior.beta), scale + gap * gap * (kappa / (2 * (kappa + 1)))], axis=1)
+        if mass.shape[1] > prior.horizon:
+            mass[:, prior.horizon - 1] += mass[:, prior.horizon :].sum(axis=1)
+            mass, mean, scale = (a[:, : prior.horizon] for a in (mass, mean, scale))
+        for j, run in enumerate(runs):
+            found[t, :n, j] = mass[:, :run].sum(axis=1)
+        found[t, :n, -1] = mass.max(axis=1)
+    for row, i in enumerate(order):
+        out[i][:] = found[: sizes[row], row]
+    return out
+
+
+def run_length_posterior(
+    rows: DataFrame, runs: list[int], prior: ChangePointPrior, hazards: list[float] | None = None
 ) -> DataFrame:
-    """Per row: mass on short runs, mass of the likeliest run, change flag, latch. One entity is
-    sequential by nature; entities run in parallel."""
+    """(entity, dt, z, hazard, short_<run>..., max_run_prob) for every row and hazard. rows: (entity, dt, z),
+    written; groups of about ``TOGETHER`` series share a task's matrix."""
+    hazards = hazards or [prior.hazard]
+    names = [f"short_{run}" for run in runs] + ["max_run_prob"]
     schema = T.StructType(
-        [
-            rows.schema["entity"], rows.schema["dt"],
-            T.StructField("z", T.DoubleType()),
-            T.StructField("change_confidence", T.DoubleType()),
-            T.StructField("max_run_prob", T.DoubleType()),
-            T.StructField("change_signal", T.BooleanType()),
-            T.StructField("latched", T.BooleanType()),
-        ]
+        [rows.schema["entity"], rows.schema["dt"], T.StructField("z", T.DoubleType()), T.StructField("hazard", T.DoubleType())]
+        + [T.StructField(c, T.DoubleType()) for c in names]
     )
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("dt")
-        posterior, latch, out = RunLengthPosterior(prior), dict(NEW_LATCH), []
-        for z in pdf["z"].to_numpy(float):
-            posterior.observe(z)
-            short = posterior.short_mass(rules.min_run)
-            latch = latch_step(latch, z, short, rules)
-            out.append((short, posterior.top_mass(), short > rules.change_threshold, latch["on"]))
-        names = ["change_confidence", "max_run_prob", "change_signal", "latched"]
-        return pd.concat(
-            [pdf.reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1
-        )
+        pdf = pdf.sort_values(["entity", "dt"], kind="stable")
+        first = np.flatnonzero(pdf["entity"].ne(pdf["entity"].shift()).to_numpy())
+        series = np.split(pdf["z"].to_numpy(float), first[1:])
+        many = run_length_masses(series * len(hazards), np.repeat(hazards, len(series)), prior, runs)
+        out = []
+        for i, hazard in enumerate(hazards):
+            block = np.concatenate(many[i * len(series) : (i + 1) * len(series)])
+            out.append(pdf[["entity", "dt", "z"]].assign(hazard=hazard, **{c: block[:, j] for j, c in enumerate(names)}))
+        return pd.concat(out)[schema.names]
+
+    n_entities = rows.select("entity").distinct().count()
+    groups = max(1, -(-n_entities * len(hazards) // TOGETHER), min(n_entities, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    grouped = rows.select("entity", "dt", "z").withColumn("_group", F.pmod(F.xxhash64("entity"), F.lit(groups)))
+    return spread(grouped, "_group").groupBy("_group").applyInPandas(replay, schema)
+
 
-    source = rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z"))
-    return spread(source, "entity").groupBy("entity").applyInPandas(replay, schema)
+def change_points(
+    rows: DataFrame, value: str = "z", prior: ChangePointPrior = ChangePointPrior(),
+    rules: LatchRules = LatchRules(),
+) -> DataFrame:
+    """Per row: mass on short runs, mass of the likeliest run, change flag, latch. Posteriors of many entities
+    advance together; the latch is a scan of transition maps."""
+    source = cut_lineage(rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z")))
+    found = run_length_posterior(source, [rules.min_run], prior).withColumnRenamed(f"short_{rules.min_run}", "change_confidence")
+    found = scan_latch(found.drop("hazard"), ["entity"], "change_confidence", rules, longest_series(source, ["entity"]), "latched")
+    signal = F.col("change_confidence") > rules.change_threshold
+    return found.select("entity", "dt", "z", "change_confidence", "max_run_prob", signal.alias("change_signal"), "latched")
 
 
 # The parameter grid of the replay.
@@ -402,36 +529,14 @@ def latch_replays(
 ) -> DataFrame:
     """(entity, dt, hazard, min_run, on) for every grid point. The posterior depends on the hazard
     only, so one pass per (entity, hazard) serves all run lengths."""
-    spark = rows.sparkSession
-    grid = spark.createDataFrame([(float(h),) for h in hazards], "hazard double")
-    source = rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z"))
-    schema = T.StructType(
-        [
-            rows.schema["entity"], rows.schema["dt"], T.StructField("hazard", T.DoubleType()),
-            T.StructField("min_run", T.IntegerType()), T.StructField("on", T.BooleanType()),
-        ]
-    )
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("dt")
-        hazard = float(pdf["hazard"].iloc[0])
-        posterior = RunLengthPosterior(ChangePointPrior(hazard=hazard))
-        latches = {m: dict(NEW_LATCH) for m in min_runs}
-        parts = []
-        for dt, z in zip(pdf["dt"], pdf["z"].to_numpy(float)):
-            posterior.observe(z)
-            for m in min_runs:
-                point = LatchRules(
-                    rules.change_threshold, rules.floor, rules.exit_band, rules.min_persist,
-                    rules.min_clear, m,
-                )
-                latches[m] = latch_step(latches[m], z, posterior.short_mass(m), point)
-                parts.append((pdf["entity"].iloc[0], dt, hazard, m, latches[m]["on"]))
-        return pd.DataFrame(parts, columns=["entity", "dt", "hazard", "min_run", "on"])
-
-    # the grid is a fixed handful of rows
-    points = spread(source.crossJoin(F.broadcast(grid)), "entity", "hazard")
-    return points.groupBy("entity", "hazard").applyInPandas(replay, schema)
+    source = cut_lineage(rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z")))
+    longest = longest_series(source, ["entity"])
+    found = run_length_posterior(source, list(min_runs), ChangePointPrior(), [float(h) for h in hazards])
+    for m in min_runs:
+        found = scan_latch(found, ["entity", "hazard"], f"short_{m}", replace(rules, min_run=m), longest, f"on_{m}")
+    # three columns become three rows only now
+    points = F.explode(F.array(*[F.struct(F.lit(m).alias("min_run"), F.col(f"on_{m}").alias("on")) for m in min_runs]))
+    return found.select("entity", "dt", "hazard", points.alias("_p")).select("entity", "dt", "hazard", "_p.min_run", "_p.on")
 
 
 def episode_leads(
@@ -490,7 +595,7 @@ def latch_grid(
 ) -> DataFrame:
     """Scores of every (entity, hazard, run length): dwell, toggles, lead, false positives."""
     keys = ["entity", "hazard", "min_run"]
-    replays = latch_replays(rows, value, **grid)
+    replays = cut_lineage(latch_replays(rows, value, **grid))
     stats = episode_stats(replays, "on", keys, periods)
     leads = episode_leads(
         episodes(replays, "on", keys), stretches, keys, periods=periods, match=["entity"]

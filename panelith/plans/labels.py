@@ -208,7 +208,24 @@ def drawdown_tiers(spark, sf):
     return S.drawdown_tiers(nav_rows(spark, sf))
 
 
-@register("drawdown_tiers_gated", "entity:i dt:d drawdown:f tier:s excess:f excess_tier:s")
+# The same with a gate of two observations: tp and xp are the tiers that wait for a second proposal.
+GATED_SQL = """
+, d AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY dt) AS rn, round(-dd, 12) AS depth, round(ex, 12) AS lv FROM (
+  SELECT *, greatest(dd - ndd, 0) AS ex FROM (SELECT *, close / max(close) OVER (PARTITION BY entity ORDER BY dt) - 1 AS dd, nav / max(nav) OVER (PARTITION BY entity ORDER BY dt) - 1 AS ndd FROM nav))),
+step AS (
+  SELECT entity, 0::BIGINT AS rn, NULL::DATE AS dt, NULL::DOUBLE AS dd, NULL::DOUBLE AS ex, 'risk_on' AS tier, NULL::VARCHAR AS tp, 'risk_on' AS xt, NULL::VARCHAR AS xp FROM (SELECT DISTINCT entity FROM d)
+  UNION ALL
+  SELECT entity, rn, dt, dd, ex, CASE WHEN pt = tier OR tp = pt THEN pt ELSE tier END, CASE WHEN pt = tier OR tp = pt THEN NULL ELSE pt END,
+    CASE WHEN px = xt OR xp = px THEN px ELSE xt END, CASE WHEN px = xt OR xp = px THEN NULL ELSE px END FROM (
+   SELECT d.entity, d.rn, d.dt, d.dd, d.ex, s.tier, s.tp, s.xt, s.xp,
+    CASE WHEN depth >= 0.1 THEN 'risk_off' WHEN depth <= 0.03 THEN 'risk_on' WHEN s.tier = 'risk_off' THEN CASE WHEN depth <= 0.07 THEN 'caution' ELSE 'risk_off' END
+     WHEN s.tier = 'risk_on' THEN CASE WHEN depth >= 0.05 THEN 'caution' ELSE 'risk_on' END ELSE 'caution' END AS pt,
+    CASE WHEN s.xt = 'alpha_bleed' THEN CASE WHEN lv <= 0.02 THEN 'risk_on' ELSE s.xt END WHEN lv >= 0.05 THEN 'alpha_bleed' ELSE s.xt END AS px
+   FROM step s JOIN d ON d.entity = s.entity AND d.rn = s.rn + 1))
+SELECT entity, dt, dd AS drawdown, tier, ex AS excess, xt AS excess_tier FROM step WHERE rn > 0"""
+
+
+@register("drawdown_tiers_gated", "entity:i dt:d drawdown:f tier:s excess:f excess_tier:s", "nav", GATED_SQL)
 def drawdown_tiers_gated(spark, sf):
     """The ladder with a two-observation persistence gate."""
     return S.drawdown_tiers(nav_rows(spark, sf), S.DrawdownBands(min_persist=2))
