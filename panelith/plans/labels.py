@@ -327,11 +327,34 @@ def change_points(spark, sf):
     return S.change_points(zscores(spark, sf))
 
 
-@register("latch_grid", "entity:i hazard:f min_run:i n_days:i n_on:i n_episodes:i mean_dwell:f share_short:f toggles_per_year:f median_lead:f false_positive_rate:f")
+CP_GRID = CP_SQL[: CP_SQL.index("sm AS (")].replace("SELECT entity, 0::BIGINT AS rn", "SELECT entity, hazard, 0::BIGINT AS rn").replace(
+    "FROM (SELECT DISTINCT entity FROM zseries)", f"FROM (SELECT DISTINCT entity FROM zseries), (SELECT unnest([{', '.join(f'{h!r}::DOUBLE' for h in S.HAZARDS)}]) AS hazard)"
+).replace("SELECT entity, rn", "SELECT entity, hazard, rn").replace("SELECT c.entity, o.rn", "SELECT c.entity, c.hazard, o.rn").replace(
+    "0.002::DOUBLE * list_sum(jo)", "hazard * list_sum(jo)").replace("0.998::DOUBLE * v", "(1 - hazard) * v")
+GRID_KEYS = "entity, hazard, min_run"
+GRID_SQL = CP_GRID + f"""lg AS (SELECT entity, hazard, CAST(m AS INTEGER) AS min_run, rn, dt, z, list_sum(p[1:m]) AS cc FROM cp, (VALUES {', '.join(f'({m})' for m in S.MIN_RUNS)}) v(m) WHERE rn > 0),
+la AS (
+  SELECT {GRID_KEYS}, rn, dt, false AS forced, CASE WHEN cc > 0.5 AND z < -1 THEN 1 ELSE 0 END AS ch, CASE WHEN cc > 0.5 AND z < -1 THEN 0 ELSE 1 END AS cl FROM lg WHERE rn = 1
+  UNION ALL
+  SELECT {GRID_KEYS}, rn, dt, CASE WHEN rn < min_run THEN false WHEN NOT forced AND ch >= 2 THEN true WHEN forced AND cl >= 4 AND z > -0.3 THEN false ELSE forced END, ch, cl FROM (
+    SELECT s.*, l.forced, CASE WHEN s.cc > 0.5 AND s.z < -1 THEN l.ch + 1 ELSE 0 END AS ch, CASE WHEN s.cc > 0.5 AND s.z < -1 THEN 0 ELSE l.cl + 1 END AS cl
+    FROM la l JOIN lg s ON s.entity = l.entity AND s.hazard = l.hazard AND s.min_run = l.min_run AND s.rn = l.rn + 1)),
+ge AS (SELECT {GRID_KEYS}, min(dt) AS start_dt, max(dt) AS end_dt FROM (
+  SELECT *, rn - row_number() OVER (PARTITION BY {GRID_KEYS}, forced ORDER BY dt) AS g FROM la) WHERE forced GROUP BY {GRID_KEYS}, g),
+gs AS (SELECT {GRID_KEYS}, count(*) AS n, avg(date_diff('day', start_dt, end_dt) * (52.0::DOUBLE / 365)) AS d, avg(CASE WHEN date_diff('day', start_dt, end_dt) * (52.0::DOUBLE / 365) < 4 THEN 1.0 ELSE 0.0 END) AS s,
+  avg(CASE WHEN EXISTS (SELECT 1 FROM stretches x WHERE x.entity = ge.entity AND ge.start_dt <= x.end_dt AND x.start_dt <= ge.end_dt) THEN 0.0 ELSE 1.0 END) AS fpr FROM ge GROUP BY {GRID_KEYS}),
+gl AS (SELECT {GRID_KEYS}, median(d * (52.0::DOUBLE / 365)) AS median_lead FROM (
+  SELECT {', '.join('e.' + k for k in GRID_KEYS.split(', '))}, s.start_dt, arg_min(date_diff('day', e.start_dt, s.start_dt), abs(date_diff('day', e.start_dt, s.start_dt)) * 1000000 + date_diff('day', DATE '1970-01-01', e.start_dt)) AS d
+  FROM stretches s JOIN ge e ON e.entity = s.entity AND date_diff('day', e.start_dt, s.start_dt) BETWEEN -31 AND 90 GROUP BY 1, 2, 3, 4) GROUP BY {GRID_KEYS})
+SELECT {GRID_KEYS}, r.n_days, r.n_on, coalesce(n, 0) AS n_episodes, coalesce(d, 0) AS mean_dwell, coalesce(s, 0) AS share_short, coalesce(n, 0) / greatest(r.n_days / 52.0::DOUBLE, 1e-9) AS toggles_per_year,
+  median_lead, coalesce(fpr, 0) AS false_positive_rate
+FROM (SELECT {GRID_KEYS}, count(*) AS n_days, sum(CASE WHEN forced THEN 1 ELSE 0 END) AS n_on FROM la GROUP BY {GRID_KEYS}) r LEFT JOIN gs USING ({GRID_KEYS}) LEFT JOIN gl USING ({GRID_KEYS})"""
+
+
+@register("latch_grid", "entity:i hazard:f min_run:i n_days:i n_on:i n_episodes:i mean_dwell:f share_short:f toggles_per_year:f median_lead:f false_positive_rate:f", "zseries stretches", GRID_SQL)
 def latch_grid(spark, sf):
-    """Sector series: replay of every grid point against the sector's own drawdown stretches."""
-    series = P.sector_series(panel(spark, sf)).select(F.col("sector").alias("entity"), "dt", F.col("bench_close").alias("close"))
-    return S.latch_grid(zscores(spark, sf, series), S.drawdown_stretches(series), periods=52.0)
+    """Replay of every grid point on every entity against its own drawdown stretches."""
+    return S.latch_grid(zscores(spark, sf), S.drawdown_stretches(smooth(spark, sf)), periods=52.0)
 
 
 @register("episode_leads", "entity:i median_lead:f false_positive_rate:f", "eps stretches", """
