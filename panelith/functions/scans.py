@@ -58,3 +58,41 @@ def scan_states(
     else:
         state = F.get("_map", F.lit(start))
     return rows.withColumn(out, state).drop("_map", "_before")
+
+
+#: a weight below this share of the newest one is lost in a double
+NEGLIGIBLE = 2.0**-64
+
+
+def passes(decay: float) -> int:
+    """Doublings after which a geometric decay is negligible."""
+    reach, k = 1, 0
+    while decay**reach > NEGLIGIBLE:
+        reach, k = 2 * reach, k + 1
+    return k
+
+
+def scan_affine(rows: DataFrame, window: WindowSpec, maps: dict[str, tuple[Column, Column]], decay: float) -> DataFrame:
+    """Adds, per name, y after y -> a * y + b of every row so far, from (a, b) of the row; the first row's a must be 0
+    and all others at most ``decay``. Maps of 2**k rows are composed with those of the 2**k rows before."""
+    rows = rows.withColumns({f"_{part}_{n}": c for n, pair in maps.items() for part, c in zip("ab", pair)})
+    for k in range(passes(decay)):
+        rows = rows.withColumns({f"_{part}p_{n}": F.lag(f"_{part}_{n}", 2**k).over(window) for n in maps for part in "ab"})
+        step = {}
+        for n in maps:
+            a, b, ap, bp = (F.col(f"_{part}_{n}") for part in ("a", "b", "ap", "bp"))
+            step[f"_b_{n}"] = F.when(bp.isNull(), b).otherwise(a * bp + b)
+            step[f"_a_{n}"] = F.when(ap.isNull(), a).otherwise(a * ap)
+        rows = rows.withColumns(step)
+    out = rows.withColumns({n: F.col(f"_b_{n}") for n in maps})
+    return out.drop(*[f"_{part}_{n}" for n in maps for part in ("a", "b", "ap", "bp")])
+
+
+def decayed_sums(rows: DataFrame, window: WindowSpec, terms: dict[str, tuple[Column, float]]) -> DataFrame:
+    """Adds, per name, the sum of the terms so far, each weighted by decay ** (rows since)."""
+    rows = rows.withColumns({n: term for n, (term, _) in terms.items()})
+    for k in range(max(passes(decay) for _, decay in terms.values())):
+        live = {n: decay ** (2**k) for n, (_, decay) in terms.items() if decay ** (2**k) > NEGLIGIBLE}
+        rows = rows.withColumns({f"_p_{n}": F.lag(n, 2**k).over(window) for n in live})
+        rows = rows.withColumns({n: F.col(n) + factor * F.coalesce(f"_p_{n}", F.lit(0.0)) for n, factor in live.items()})
+    return rows.drop(*[f"_p_{n}" for n in terms])

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from panelith.functions.columns import by_entity, finite, ratio
+from panelith.functions.scans import decayed_sums
 from panelith.operators.windows import realized_vol, vol_cohort
-from panelith.session import spread
 
 
 def residual_log_return(aligned: DataFrame, bench: str | None = "bench", out: str = "resid") -> DataFrame:
@@ -24,18 +22,22 @@ def residual_log_return(aligned: DataFrame, bench: str | None = "bench", out: st
 def ewm_std(
     rows: DataFrame, value: str, span: int = 20, min_periods: int = 10, out: str = "sigma"
 ) -> DataFrame:
-    """Bias-corrected exponentially weighted deviation. The recursion is sequential within one
-    entity (at most one row per calendar date) and parallel over entities."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())])
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("dt")
-        series = pdf[value].astype(float)
-        return pdf.assign(**{out: series.ewm(span=span, min_periods=min_periods).std()})
-
-    # NaN from the pandas side means "not enough history"
-    smoothed = spread(rows, "entity").groupBy("entity").applyInPandas(smooth, schema)
-    return smoothed.withColumn(out, finite(out))
+    """Bias-corrected exponentially weighted deviation: decayed sums of weights, squared weights, values and
+    squares over one window. A missing value adds nothing and lets the others age; values count from the
+    series' first one, so that a far level costs no digits."""
+    w = by_entity()
+    keep = 1 - 2.0 / (span + 1)
+    known = finite(value).isNotNull()
+    start = F.first(finite(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_x", F.coalesce(finite(value) - start, F.lit(0.0)))
+    one, x = known.cast("double"), F.col("_x")
+    rows = decayed_sums(rows, w, {"_w": (one, keep), "_w2": (one, keep * keep), "_sx": (x, keep), "_sxx": (x * x, keep)})
+    seen = F.count(finite(value)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    mean = F.col("_sx") / F.col("_w")
+    spread_left = F.col("_w") * F.col("_w") - F.col("_w2")
+    var = F.greatest(F.col("_sxx") / F.col("_w") - mean * mean, F.lit(0.0)) * F.col("_w") * F.col("_w") / spread_left
+    enough = (seen >= max(min_periods, 2)) & (spread_left > 0)
+    return rows.withColumn(out, F.when(enough, F.sqrt(var))).drop("_x", "_w", "_w2", "_sx", "_sxx")
 
 
 def first_touch(rows: DataFrame, value: str, forward: int, up: Column, down: Column) -> DataFrame:

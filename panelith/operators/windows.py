@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelith.functions.columns import by_entity, clamp, finite, full_frame, ratio
 from panelith.functions.ranks import fits_window, order_number, rank_table, tie_rank
+from panelith.functions.scans import scan_affine
 from panelith.session import cut_lineage
-from panelith.session import spread
 
 
 # --- forward returns -------------------------------------------------------------------------
@@ -138,41 +136,53 @@ def realized_vol(panel: DataFrame, window: int = 20, periods: int = 252) -> Data
 def ewm_indicators(
     panel: DataFrame, rsi_com: int = 13, fast: int = 12, slow: int = 26, signal: int = 9, look_back: int = 3
 ) -> DataFrame:
-    """Exponentially weighted RSI and MACD: sequential within one entity, parallel over entities.
+    """Exponentially weighted RSI and MACD, as scans of affine maps over one window per entity.
 
-    The crossing flag reports the newest sign change of line - signal within ``look_back`` rows.
+    The crossing flag reports the newest sign change of line - signal within ``look_back`` rows. Rows
+    without a close keep the averages of the row before; after a gap the old average weighs less.
     """
-    schema = T.StructType(
-        [
-            panel.schema["entity"],
-            panel.schema["dt"],
-            T.StructField("ewm_rsi", T.DoubleType()),
-            T.StructField("macd_line", T.DoubleType()),
-            T.StructField("macd_signal", T.DoubleType()),
-        ]
-    )
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("dt")
-        close = pdf["close"]
-        delta = close.diff()
-        gain = delta.clip(lower=0).ewm(com=rsi_com, adjust=False).mean()
-        loss = (-delta.clip(upper=0)).ewm(com=rsi_com, adjust=False).mean()
-        line = close.ewm(span=fast, adjust=False).mean() - close.ewm(span=slow, adjust=False).mean()
-        return pd.DataFrame(
-            {
-                "entity": pdf["entity"],
-                "dt": pdf["dt"],
-                "ewm_rsi": 100 - 100 / (1 + gain / loss.where(loss > 0)),
-                "macd_line": line,
-                "macd_signal": line.ewm(span=signal, adjust=False).mean(),
-            }
+    w = by_entity()
+    # rows with a close follow each other in a window of their own
+    missing = finite("close").isNull()
+    own = Window.partitionBy("entity", "_missing").orderBy("dt")
+    place = F.row_number().over(w)
+    rows = panel.select("entity", "dt", finite("close").alias("close"), missing.alias("_missing"), place.alias("_row"))
+    rows = rows.withColumns({"_gap": F.col("_row") - F.lag("_row").over(own), "_delta": F.when(F.col("_gap") == 1, F.col("close") - F.lag("close").over(own))})
+
+    def average(x: Column, share: float, first: Column, gap: Column) -> tuple[Column, Column]:
+        """The map of one observation; the first known one is taken whole."""
+        old = F.pow(F.lit(1 - share), gap)
+        return (
+            F.when(first, 0.0).otherwise(F.when(x.isNull(), 1.0).otherwise(old / (old + share))),
+            F.when(first, F.coalesce(x, F.lit(0.0))).otherwise(F.when(x.isNull(), 0.0).otherwise(share * x / (old + share))),
         )
 
-    w = by_entity()
-    thin = spread(panel.select("entity", "dt", "close"), "entity")
-    out = thin.groupBy("entity").applyInPandas(smooth, schema)
-    out = out.withColumn("ewm_rsi", finite("ewm_rsi"))
+    delta, close = F.col("_delta"), F.col("close")
+    moves = F.count(delta).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"_moves": moves, "_first": F.col("_gap").isNull(), "_up": F.greatest(delta, F.lit(0.0)), "_down": F.greatest(-delta, F.lit(0.0))})
+    up, down = F.when(delta.isNotNull(), F.col("_up")), F.when(delta.isNotNull(), F.col("_down"))
+    # a move needs two closes side by side: its own count of rows since the last one
+    known = F.last(F.when(delta.isNotNull(), F.col("_row")), ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_since", F.coalesce(F.col("_row") - known, F.lit(1)))
+    r, f, s, g = 1.0 / (1 + rsi_com), 2.0 / (fast + 1), 2.0 / (slow + 1), 2.0 / (signal + 1)
+    begins = F.col("_moves") <= F.when(delta.isNotNull(), 1).otherwise(0)
+    gap = F.coalesce("_gap", F.lit(1))
+    maps = {
+        "_gain": average(up, r, begins, F.col("_since")), "_loss": average(down, r, begins, F.col("_since")),
+        "_fast": average(close, f, F.col("_first"), gap), "_slow": average(close, s, F.col("_first"), gap),
+    }
+    rows = scan_affine(rows, own, maps, 1 - min(r, f, s))
+    rsi = F.when((F.col("_moves") > 0) & (F.col("_loss") > 0), 100 - 100 / (1 + F.col("_gain") / F.col("_loss")))
+    live = F.when(~F.col("_missing"), F.struct(rsi.alias("rsi"), (F.col("_fast") - F.col("_slow")).alias("line")))
+    held = F.last(live, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_held", held).select(
+        "entity", "dt", F.col("_held.rsi").alias("ewm_rsi"), F.col("_held.line").alias("macd_line"), F.col("_held").isNull().alias("_none")
+    )
+    # only leading rows have no line
+    lined = Window.partitionBy("entity", "_none").orderBy("dt")
+    rows = rows.withColumn("_first", F.row_number().over(lined) == 1)
+    rows = scan_affine(rows, lined, {"macd_signal": average(F.col("macd_line"), g, F.col("_first"), F.lit(1))}, 1 - g)
+    out = rows.select("entity", "dt", "ewm_rsi", "macd_line", F.when(~F.col("_none"), F.col("macd_signal")).alias("macd_signal"))
     side = F.signum(F.round(F.col("macd_line") - F.col("macd_signal"), 10))
     out = out.withColumn("_side", side).withColumn(
         "_turn",
