@@ -13,14 +13,16 @@ from panelith.operators import drift as D
 from panelith.operators import evaluation as E
 from panelith.operators import folds as FD
 from panelith.operators import gram as G
+from panelith.operators import joins as J
 from panelith.operators import labels as L
 from panelith.operators import models as M
 from panelith.operators import pipeline as PL
+from panelith.operators import states as S
 from panelith.operators import windows as W
 from panelith.plans.base import FEATURES, aligned, features, forward, panel
 from panelith.plans.evaluation import BOOT, bound, eval_rows, sql_bootstrap, sql_dates, sql_ic
-from panelith.plans.joins import asof_rows, modifiers, score_tables
-from panelith.plans.labels import barriers
+from panelith.plans.joins import asof_rows, candidates, modifiers, population, score_tables
+from panelith.plans.labels import CP_SQL, TIER_SQL, barriers, smooth, zscores
 from panelith.plans.registry import cte, register
 from panelith.plans.scoring import CLIP, predictions, residual_score
 from panelith.plans.windows import class_rows_source, daily_macro_panel, weekly_breadth
@@ -586,28 +588,71 @@ def idio_variance(spark, sf):
 
 # --- scoring and training rows ---------------------------------------------------------------
 
-AS_OF, FIT_BEFORE = "2000-06-05", "2000-05-01"
+FIT_BEFORE = "2000-05-01"
+#: a Monday a month after the fit
+DAYS = ["2000-05-08", "2000-06-05", "2000-07-03", "2000-08-07", "2000-09-04", "2000-10-02", "2000-11-06", "2000-12-04"]
+SQL_DAYS = ", ".join(f"DATE '{d}'" for d in DAYS)
+# The market as one series: its run-length latch forces protection, and the candidates' book against the
+# mean book gives the drawdown tiers.
+MARKET_STATE = f"""
+, mz AS (SELECT 0 AS entity, dt, z, row_number() OVER (ORDER BY dt) AS rn FROM (
+  SELECT dt, CASE WHEN count(*) OVER w >= 13 THEN (market_close - avg(market_close) OVER w) / stddev_samp(market_close) OVER w END AS z FROM market
+  WINDOW w AS (ORDER BY dt ROWS BETWEEN 26 PRECEDING AND 1 PRECEDING)) WHERE z IS NOT NULL)
+{CP_SQL[: CP_SQL.rindex("SELECT entity, dt, z, cc")].replace("zseries", "mz")},
+bk AS (SELECT 0 AS entity, m.dt, m.mkt AS close, n.nav FROM (SELECT dt, avg(close) AS mkt FROM smooth GROUP BY dt) m LEFT JOIN (SELECT dt, avg(close) AS nav FROM smooth SEMI JOIN cand USING (entity) GROUP BY dt) n USING (dt))
+{TIER_SQL[: TIER_SQL.rindex("SELECT entity, dt, dd AS drawdown")].replace("FROM nav)", "FROM bk)")},
+ms AS (SELECT r.dt, r.regime, i.intensity_z, coalesce(l.forced, false) AS forced_bear,
+  greatest(CASE t.tier WHEN 'caution' THEN 1 WHEN 'risk_off' THEN 2 ELSE 0 END, CASE t.xt WHEN 'alpha_bleed' THEN 2 ELSE 0 END) AS severity
+ FROM (SELECT dt, CASE WHEN m > 0.03 THEN 'bull' WHEN m < -0.03 THEN 'bear' ELSE 'neutral' END AS regime FROM (SELECT dt, market_close / lag(market_close, 4) OVER (ORDER BY dt) - 1 AS m FROM market)) r
+ LEFT JOIN (SELECT dt, CASE WHEN pos <= 4 THEN 0 ELSE z END AS intensity_z FROM intens) i USING (dt) LEFT JOIN la l ON l.dt = r.dt LEFT JOIN step t ON t.dt = r.dt)"""
+
+
+def market_state(spark, sf):
+    """(dt, regime, intensity_z, forced_bear, protective_severity) of the market and the candidates' book."""
+    w = W.Window.orderBy("dt")
+    market = P.market_series(panel(spark, sf))
+    rows = market.select("dt", X.classify_regime(F.col("market_close") / F.lag("market_close", 4).over(w) - 1).alias("regime"))
+    series = market.select(F.lit(0).alias("entity"), "dt", F.col("market_close").alias("close"))
+    latch = S.change_points(zscores(spark, sf, series)).select("dt", F.col("latched").alias("forced_bear"))
+    book = smooth(spark, sf)
+    nav = book.join(candidates(spark, sf), "entity", "left_semi").groupBy("dt").agg(F.avg("close").alias("nav"))
+    line = book.groupBy("dt").agg(F.avg("close").alias("close")).join(nav, "dt", "left").withColumn("entity", F.lit(0))
+    tiers = S.drawdown_tiers(line.select("entity", "dt", "close", "nav")).select("dt", "tier", "excess_tier")
+    z = W.intensity_series(daily_macro_panel(spark, sf)).select("dt", "intensity_z")
+    rows = rows.join(z, "dt", "left").join(latch, "dt", "left").join(tiers, "dt", "left").withColumn("macro_regime", F.col("regime"))
+    return X.effective_regime(rows).select("dt", "regime", "intensity_z", "forced_bear", "protective_severity")
+
+
+@register("market_state", "dt:d regime:s intensity_z:f forced_bear:b protective_severity:i", "market smooth cand intens", MARKET_STATE + " SELECT dt, regime, intensity_z, forced_bear, severity AS protective_severity FROM ms")
+def market_state_query(spark, sf):
+    return market_state(spark, sf).withColumn("forced_bear", F.coalesce("forced_bear", F.lit(False)))
 
 
-@register("score_cross_section", "entity:i dt:d predicted_alpha:f p_up:f predicted_direction:s prediction_confidence:f combined_rank:i veto_threshold:f veto:b", "er feat market", f"""
+@register("score_cross_section", "entity:i dt:d source:s predicted_alpha_raw:f predicted_alpha:f p_up:f predicted_direction:s prediction_confidence:f combined_rank:i n_missing:i failed_check:s gate_passed:b veto_threshold:f veto:b", "er mfeat market smooth cand pop intens", f"""
 , st AS (SELECT 'all' AS model, {GRAM_SUMS} FROM (SELECT *, 1.0::DOUBLE AS w FROM er WHERE dt < DATE '{FIT_BEFORE}'))
-{sql_bayes('st', 'model')},
-f AS (SELECT * FROM (SELECT entity, dt, coalesce(mom_4, 0) AS x0, coalesce(lag(mom_4, 8) OVER (PARTITION BY entity ORDER BY dt), 0) AS x1 FROM feat) WHERE dt = DATE '{AS_OF}'),
-a AS (SELECT f.*, least({CLIP}, greatest(-{CLIP}, b + c0 * x0 + c1 * x1)) AS al FROM f, model),
-cc AS (SELECT *, al - avg(al) OVER () AS ce, count(*) OVER () AS n FROM a),
-p AS (SELECT *, 0.5 + least({CLIP}, greatest(-{CLIP}, round(ce, 10))) / {2 * CLIP} AS p FROM cc),
-r AS (SELECT entity, dt, n, round(ce, 6) AS predicted_alpha, round(p, 4) AS p_up, CASE WHEN round(p, 10) >= 0.5 THEN 'UP' ELSE 'DOWN' END AS predicted_direction, round(abs(p - 0.5) * 2, 4) AS prediction_confidence,
-  row_number() OVER (ORDER BY round(round(ce, 6), 10) DESC, entity) AS combined_rank FROM p),
-g AS (SELECT dt, market_close / lag(market_close, 4) OVER (ORDER BY dt) - 1 AS m FROM market)
-SELECT r.*, t.th AS veto_threshold, predicted_alpha < 0 AND combined_rank > n / 2.0 AND prediction_confidence >= th AS veto FROM r JOIN (SELECT dt, CASE WHEN m > 0.03 THEN 0.4 WHEN m < -0.03 THEN 0.1 ELSE 0.3 END AS th FROM g) t USING (dt)""")
+{sql_bayes('st', 'model')}{MARKET_STATE},
+un AS (SELECT entity, CASE WHEN entity IN (SELECT entity FROM pop) AND entity IN (SELECT entity FROM cand) THEN 'both' WHEN entity IN (SELECT entity FROM pop) THEN 'population' ELSE 'buy_candidate' END AS source
+ FROM (SELECT entity FROM pop UNION SELECT entity FROM cand)),
+ft AS (SELECT entity, dt, source, {', '.join(f'coalesce({f}, 0) AS x{i}' for i, f in enumerate(META))} FROM mfeat JOIN un USING (entity) WHERE dt IN ({SQL_DAYS})),
+al AS (SELECT e.entity, e.dt, e.source, least({CLIP}, greatest(-{CLIP}, {sql_value()})) AS al FROM ft e, model m),
+rk AS (SELECT *, count(*) OVER d AS n, al - avg(al) OVER d AS ce, row_number() OVER (PARTITION BY dt ORDER BY round(al, 10) DESC, entity) AS combined_rank FROM al WINDOW d AS (PARTITION BY dt)),
+fin AS (SELECT *, CASE WHEN n >= 2 THEN round(ce, 6) ELSE al END AS pa, CASE WHEN n >= 2 THEN 0.5 + least({CLIP}, greatest(-{CLIP}, round(ce, 10))) / {2 * CLIP}
+  ELSE least(1, greatest(0, 0.5 + al / (2 * greatest(abs(al), 0.05)))) END AS p FROM rk),
+gt AS (SELECT dt, n, nf, mo, sk, sat, (SELECT count(*) FROM cand) - cov AS n_missing FROM (SELECT dt, count(*) AS n, count(pa) AS nf, greatest(sum((pa > 0)::INT), sum((pa < 0)::INT)) / nullif(sum((pa <> 0)::INT), 0)::DOUBLE AS sk,
+   avg((round(p, 4) <= 0.011 OR round(p, 4) >= 0.989)::INT) AS sat, sum((source <> 'population')::INT) AS cov FROM fin GROUP BY dt)
+  JOIN (SELECT dt, max(c) / sum(c)::DOUBLE AS mo FROM (SELECT dt, round(pa, 9), count(*) AS c FROM fin GROUP BY 1, 2) GROUP BY 1) USING (dt)),
+th AS (SELECT dt, least(greatest(0, least(0.8, 0.3 + CASE WHEN intensity_z IS NOT NULL THEN least(0.2, greatest(-0.2, intensity_z * 0.1)) ELSE CASE regime WHEN 'bear' THEN -0.2 WHEN 'bull' THEN 0.1 ELSE 0 END END)),
+  CASE WHEN forced_bear THEN 0.3 - 0.2 ELSE 1 END, CASE WHEN severity >= 2 THEN 0.3 - 0.2 WHEN severity >= 1 THEN 0.3 - 0.1 ELSE 1 END) AS veto_threshold FROM ms)
+SELECT f.entity, f.dt, f.source, round(al, 6) AS predicted_alpha_raw, pa AS predicted_alpha, round(p, 4) AS p_up, CASE WHEN round(p, 10) >= 0.5 THEN 'UP' ELSE 'DOWN' END AS predicted_direction,
+ round(abs(p - 0.5) * 2, 4) AS prediction_confidence, combined_rank, g.n_missing, fc AS failed_check, fc IS NULL AS gate_passed, t.veto_threshold,
+ pa < 0 AND combined_rank > f.n / 2.0 AND round(abs(p - 0.5) * 2, 4) >= t.veto_threshold AS veto
+FROM fin f JOIN (SELECT *, CASE WHEN n < 5 THEN NULL WHEN nf >= 5 AND mo >= 0.9 THEN 'alpha_collapse' WHEN nf >= 5 AND sk >= 0.97 THEN 'alpha_sign_skew' WHEN n >= 5 AND sat > 0.25 THEN 'saturation_rate' END AS fc FROM gt) g USING (dt) JOIN th t USING (dt)""")
 def score_cross_section(spark, sf):
-    fitted = G.fit_bayes_ridge(eval_rows(spark, sf).where(F.col("dt") < FIT_BEFORE), META, "fwd_ret")
-    rows = features(spark, sf).withColumns({
-        "stale": F.lag("mom_4", 8).over(W.by_entity()), "momentum_score": X.momentum_score("mom_1", "mom_4", "vs_ma10", "rsi"),
-        "expected_move": F.abs("mom_4")})
-    w = W.Window.orderBy("dt")
-    regimes = P.market_series(panel(spark, sf)).select("dt", X.classify_regime(F.col("market_close") / F.lag("market_close", 4).over(w) - 1).alias("regime"))
-    return PL.score_cross_section(rows, AS_OF, fitted, META, CLIP, macro=regimes, group_bound=bound(spark, sf))
+    fitted = G.fit_bayes_ridge(meta_frame(spark, sf).where(F.col("dt") < FIT_BEFORE), META, "fwd_ret")
+    who = J.universe_with_source(population(spark, sf), candidates(spark, sf))
+    return PL.score_cross_section(
+        meta_inputs(spark, sf), DAYS, fitted, META, CLIP, universe=who, macro=market_state(spark, sf), continuous=True,
+        forced_enabled=True, drawdown_enabled=True, group_bound=bound(spark, sf))
 
 
 @register("score_versions", "version_id:i entity:i dt:d predicted_alpha:f p_up:f predicted_direction:s", "er egram mfeat", f"""
