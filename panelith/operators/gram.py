@@ -163,14 +163,14 @@ def score_linear(
     out = joined.withColumn(pred, linear_value(features))
     if with_std:
         k = len(features)
-        spread = F.lit(0.0)
-        for i in range(k):
-            for j in range(k):
-                d = (finite(features[i]) - F.get("centre", F.lit(i))) * (
-                    finite(features[j]) - F.get("centre", F.lit(j))
-                )
-                spread = spread + F.get("cov", F.lit(i * k + j)) * d
-        out = out.withColumn(f"{pred}_std", F.sqrt(spread + 1 / F.col("noise")))
+        out = out.withColumn("_off", F.array(*[finite(f) - F.get("centre", F.lit(i)) for i, f in enumerate(features)]))
+
+        def dot(a: Column, b: Column) -> Column:
+            return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+        rows_of = F.transform("_off", lambda _, i: dot(F.slice("cov", i * k + 1, F.lit(k)), F.col("_off")))
+        spread = dot(F.col("_off"), rows_of)
+        out = out.withColumn(f"{pred}_std", F.sqrt(spread + 1 / F.col("noise"))).drop("_off")
     return out.drop(*cols)
 
 

@@ -648,10 +648,12 @@ SELECT f.entity, f.dt, f.source, round(al, 6) AS predicted_alpha_raw, pa AS pred
  pa < 0 AND combined_rank > f.n / 2.0 AND round(abs(p - 0.5) * 2, 4) >= t.veto_threshold AS veto
 FROM fin f JOIN (SELECT *, CASE WHEN n < 5 THEN NULL WHEN nf >= 5 AND mo >= 0.9 THEN 'alpha_collapse' WHEN nf >= 5 AND sk >= 0.97 THEN 'alpha_sign_skew' WHEN n >= 5 AND sat > 0.25 THEN 'saturation_rate' END AS fc FROM gt) g USING (dt) JOIN th t USING (dt)""")
 def score_cross_section(spark, sf):
-    fitted = G.fit_bayes_ridge(meta_frame(spark, sf).where(F.col("dt") < FIT_BEFORE), META, "fwd_ret")
+    outcome = W.forward_return(aligned(spark, sf), 4).select("entity", "dt", "fwd_ret")
+    rows = cut_lineage(meta_inputs(spark, sf).join(outcome, ["entity", "dt"], "left"))
+    fitted = G.fit_bayes_ridge(rows.where(F.col("dt") < FIT_BEFORE), META, "fwd_ret")
     who = J.universe_with_source(population(spark, sf), candidates(spark, sf))
     return PL.score_cross_section(
-        meta_inputs(spark, sf), DAYS, fitted, META, CLIP, universe=who, macro=market_state(spark, sf), continuous=True,
+        rows, DAYS, fitted, META, CLIP, universe=who, macro=market_state(spark, sf), continuous=True,
         forced_enabled=True, drawdown_enabled=True, group_bound=bound(spark, sf))
 
 

@@ -12,8 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its schema is read from a footer once per session, however often a plan uses it."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = spark.sparkContext.applicationId, path
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def week_of(col: str) -> Column:
