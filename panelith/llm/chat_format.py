@@ -5,8 +5,8 @@
                   | "<s>[ANS] " text "</s>"                    the assistant
 
 Each turn is rendered as it is and read back by a deterministic parser (the first closing mark ends a
-turn). A turn that does not come back identical holds conflicting content; it is escaped and read back
-again. Escaping puts one more ESC character behind the first character of every control string, with
+turn). A turn that does not come back identical holds conflicting content, and so does one whose text holds
+any control string, whether this parser trips over it or not; it is escaped and read back again. Escaping puts one more ESC character behind the first character of every control string, with
 any number of ESC characters already there; the parser takes one away. That maps texts one to one onto
 texts without control strings, so one round always suffices, and the final parse of the whole
 conversation is compared with the source once more (``identical``).
@@ -83,7 +83,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     )
     source = F.struct("role", "text")
     rows = rows.withColumn("plain", render(F.col("role"), F.col("text")))
-    fits = parse(F.col("plain")) == F.array(source)
+    fits = (parse(F.col("plain")) == F.array(source)) & ~F.col("text").rlike(CONTROL)
     rows = rows.withColumn("fits", fits).select(
         "conv_id", "turn", "role", "text", "fits",
         F.when(F.col("fits"), F.col("plain")).otherwise(render(F.col("role"), escape(F.col("text")))).alias("rendered"),
@@ -132,10 +132,7 @@ _TAILS = TAILS.replace("\\]", "\\]")
 CHAT_SQL = f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '{CONFLICT}'), (-7, 1, '{ANSWERS}', '{CONFLICT}')),
-e AS (SELECT *, CASE WHEN regexp_matches(text, '[<\\[]\\x1B+{_TAILS}')
-    OR (role = '{ANSWERS}' AND position('{ANSWER_END}' IN text || '{ANSWER_END}') <= length(text))
-    OR (role <> '{ANSWERS}' AND position('{ASK_END}' IN text || '{ASK_END}') <= length(text))
-  THEN len(regexp_extract_all(text, '[<\\[]\\x1B*{_TAILS}')) ELSE 0 END AS escapes FROM c)
+e AS (SELECT *, len(regexp_extract_all(text, '[<\\[]\\x1B*{_TAILS}')) AS escapes FROM c)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = '{ANSWERS}' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
