@@ -1,13 +1,11 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
 The lexicon keeps the terms whose document frequency lies in a band (the same as a band of inverse
-document frequency). Every replica draws nested random subsets of it, each with a quarter of the terms
-of the one before; a document's hash for a subset is taken over its distinct terms there, and counts for
-the sparsest subset of the replica that holds any. A fingerprint is the list of these hashes, one for
-each replica; its likeness to another is the share of equal ones.
-
-The hash of a set of distinct terms is the exclusive or of its terms' hashes: that is the same for any
-order, so it stands for hashing the sorted list, and it can be aggregated term by term.
+document frequency). Beside the whole of it there are randomised lexicons: one each of the ``DENSE``
+densities, and ``replicas`` of each of the ``SPARSE`` ones, as powers of 1/2. Each drops the other terms for good. A document's mark for a lexicon is one hash of the
+sorted list of its distinct terms that remain in it, so every one of its terms reaches the dense lexicons'
+marks, and the sparse ones survive edits elsewhere in the text. The fingerprint lists the marks, none where
+no term remains; the likeness of two is the share of equal marks among those that either has.
 
 A term in at least ``low`` * N of N documents occurs in so many that there are at most (mean distinct
 terms of a document) / ``low`` such terms, whatever N is. That bounds the lexicon, so it is broadcast
@@ -23,7 +21,8 @@ from pyspark.sql import functions as F
 
 from panelith.llm.staging import Stage
 
-LOW, HIGH, REPLICAS, LEVELS = 0.001, 0.1, 12, 7
+LOW, HIGH, REPLICAS, DENSE, SPARSE = 0.001, 0.1, 6, (0, 1, 2, 4), (6, 7, 8, 9, 10, 11, 12, 13)
+NO_MARK = "-" * 16
 BROADCAST_TERMS = 2_000_000
 GAP = r"[\x20\x09-\x0D]+"
 #: orders documents without an id behind all others in descending order
@@ -45,35 +44,37 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     return counts.where(F.col("count").between(low * n, high * n)).select("term")
 
 
-def set_hashes(rows: DataFrame, keys: list[str], replicas: int = REPLICAS, levels: int = LEVELS) -> DataFrame:
-    """Per ``keys`` the array ``marks``: each replica's hash of the terms in its sparsest subset.
+def lexicons(replicas: int = REPLICAS) -> list[tuple[int, int]]:
+    """(replica, level): a lexicon keeps a share of 1 / 2**level of the terms."""
+    return [(0, level) for level in DENSE] + [(r, level) for r in range(1, replicas + 1) for level in SPARSE]
 
-    rows: (keys, term), terms distinct within the keys, a null term for none. Keys without terms get
-    an array of nulls.
-    """
-    placed = rows.withColumns({f"_p{r}": F.xxhash64("term", F.lit(r)) for r in range(replicas)})
-    placed = placed.withColumn("_h", F.when(F.col("term").isNotNull(), F.xxhash64("term", F.lit(-1))))
 
-    def subset(r: int, level: int) -> Column:
-        inside = F.shiftrightunsigned(f"_p{r}", 64 - 2 * level) == 0 if level else F.lit(True)
-        return F.bit_xor(F.when(inside, F.col("_h"))).alias(f"_x{r}_{level}")
+def set_hashes(rows: DataFrame, keys: list[str], replicas: int = REPLICAS) -> DataFrame:
+    """Per ``keys`` the array ``marks``: for each lexicon a hash of the sorted terms that remain, null for none.
 
-    sets = placed.groupBy(*keys).agg(*[subset(r, level) for r in range(replicas) for level in range(levels)])
+    rows: (keys, term), terms distinct within the keys, a null term for none. A replica's lexicons are
+    nested: a term stays as long as the leading bits of its hash for the replica are zero. The terms of a
+    text are one list, bounded by the text.
+    """
+    placed = rows.withColumns({f"_p{r}": F.xxhash64("term", F.lit(r)) for r in range(replicas + 1)})
 
-    def deepest(r: int) -> Column:
-        each = [
-            F.when(F.col(f"_x{r}_{level}").isNotNull(), F.xxhash64(F.lit(level), F.col(f"_x{r}_{level}")))
-            for level in reversed(range(levels))
-        ]
-        return F.coalesce(*each)
+    def mark(r: int, level: int) -> Column:
+        left = F.col("term")
+        if level:
+            left = F.when(F.shiftrightunsigned(f"_p{r}", 64 - level) == 0, left)
+        return F.collect_list(left).alias(f"_x{r}_{level}")
 
-    return sets.select(*keys, F.array(*[deepest(r) for r in range(replicas)]).alias("marks"))
+    all_of_them = lexicons(replicas)
+    sets = placed.groupBy(*keys).agg(*[mark(r, level) for r, level in all_of_them])
+    marks = [F.when(F.size(f"_x{r}_{level}") > 0, F.xxhash64(F.sort_array(f"_x{r}_{level}"))) for r, level in all_of_them]
+    return sets.select(*keys, F.array(*marks).alias("marks"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes of two fingerprints of equal length."""
+    """Share of equal marks among those that either fingerprint has; 0 for fingerprints of unequal length."""
     equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
-    return F.when(F.size(a) == F.size(b), equal / F.size(a)).otherwise(F.lit(0.0))
+    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: F.coalesce(x, y)), lambda x: x.isNotNull()))
+    return F.when((F.size(a) == F.size(b)) & (either > 0), equal / either).otherwise(F.lit(0.0))
 
 
 def _next_rows(stage: Stage, ids: DataFrame) -> DataFrame:
@@ -167,7 +168,7 @@ def fingerprint_documents(
         rows = rows.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
 
     def text_of(marks: str) -> Column:
-        return F.array_join(F.transform(marks, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+        return F.array_join(F.transform(marks, lambda h: F.coalesce(F.lpad(F.lower(F.hex(h)), 16, "0"), F.lit(NO_MARK))), "")
 
     return rows.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"), "edited_sha256",
