@@ -1,21 +1,24 @@
 """SentencePiece encoding and decoding, batched in numpy.
 
-A merge (BPE) model joins, again and again, the neighbouring symbols whose joined piece has the best score,
-the leftmost of equal ones; a unigram model takes the segmentation with the best sum of scores. Blanks are
+A text is segmented into pieces with the best sum of log probabilities (Viterbi). A unigram model brings its
+own; a merge (BPE) model only has the order of its pieces, from which log probabilities follow by Zipf's
+law: the piece of rank r has probability proportional to 1 / r. Nothing is estimated from texts. Blanks are
 written as U+2581 with one in front of the text. No piece has U+2581 behind another character, so a text
 may be cut in front of every U+2581 that follows something else: the cuts are words, and their
 segmentations are the text's.
 
-Merges: the distinct words of a batch are cut once more between characters that stand side by side in no
-piece, and every part that is left makes its best merge at the same time, until none has one. Parts of more
-than ``LONG`` characters use a heap each. Unigram: the words are grouped by length, and all words of a
-length advance together, one character at a time: substring hashes probe the sorted keys of the pieces, and
-the running maximum over piece lengths stores the backpointers. Characters in no piece are spelled in byte pieces, and so is a
-U+2581 of the text itself (only blanks are written as such), which makes decoding exact for every text.
+The distinct words of a batch are grouped by length, and all words of a length advance together, one
+character at a time: substring hashes probe the sorted keys of the pieces, and the running maximum over
+piece lengths stores the backpointers. Characters in no piece are spelled in byte pieces, and so is a U+2581
+of the text itself (only blanks are written as such), which makes decoding exact for every text.
+
+Beside the lattice, ``merges`` makes a merge model's own segmentation: parts of words make their best merge
+at the same time, until none has one; parts of more than ``LONG`` characters use a heap each.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
 from heapq import heapify, heappop, heappush
@@ -92,6 +95,17 @@ class Merges:
 NEVER = np.int64(2**30)
 
 
+def zipf_scores(scores: list[float]) -> list[float]:
+    """Log probabilities of pieces by the rank of their scores (the best first; equal ones in their order)."""
+    order = sorted(range(len(scores)), key=lambda i: -scores[i])
+    total = math.log(sum(1.0 / r for r in range(1, len(scores) + 1)))
+    out = [0.0] * len(scores)
+    for r, i in enumerate(order):
+        # as a model file stores them
+        out[i] = float(np.float32(-math.log(r + 1) - total))
+    return out
+
+
 @dataclass(frozen=True)
 class PieceTable:
     """Pieces sorted by hash within each length, their scores and ids; small enough to ship with a task."""
@@ -107,8 +121,12 @@ class PieceTable:
 
     @classmethod
     def build(cls, pieces: list[tuple[str, float, str]], merge: bool = False) -> PieceTable:
-        """From (piece, score, kind) in the order of ids; kind: normal, byte or control. ``merge``: a merge model."""
+        """From (piece, score, kind) in the order of ids; kind: normal, byte or control. ``merge``: a merge model,
+        whose scores give no more than an order."""
         normal = [(p, s, i) for i, (p, s, kind) in enumerate(pieces) if kind == "normal"]
+        merges = Merges.build(normal) if merge else None
+        if merge:
+            normal = [(p, z, i) for (p, _, i), z in zip(normal, zipf_scores([s for _, s, _ in normal]))]
         if any(BLANK in p.lstrip(BLANK) for p, _, _ in normal):
             raise ValueError("a piece crosses words")
         byte_ids = np.full(256, -1, np.int32)
@@ -131,7 +149,7 @@ class PieceTable:
                 raise ValueError("two pieces share a hash")
             keys[n], scores[n] = h[order], np.array([s for _, s, _ in mine])[order]
             ids[n] = np.array([i for _, _, i in mine], np.int32)[order]
-        return cls(keys, scores, ids, byte_ids, min(s for _, s, _ in normal) - PENALTY, texts, Merges.build(normal) if merge else None)
+        return cls(keys, scores, ids, byte_ids, min(s for _, s, _ in normal) - PENALTY, texts, merges)
 
 
 def letter(points: np.ndarray) -> np.ndarray:
@@ -337,7 +355,7 @@ def _code_points(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_batch(table: PieceTable, texts: list[bytes], merges: Merges | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts, and where each text's ids start: the model's merges, or the lattice over its scores."""
+    """All ids of the texts, and where each text's ids start: by the lattice, or by ``merges``."""
     if not texts:
         return np.zeros(0, np.int32), np.zeros(1, np.int64)
     points, bounds = _code_points(texts)
@@ -431,13 +449,13 @@ class FastDecoder:
 TEXT, NULL = "__body", "__null"
 
 
-def _encode(table: PieceTable, names: list[str]):
+def _encode(table: PieceTable, names: list[str], merges: bool):
     def run(batches):
         decode = FastDecoder(table)
         for rows in batches:
             texts = rows.column(TEXT).to_pylist()
             for a, b, part in chunks(texts):
-                ids, bounds = encode_batch(table, part, table.merges)
+                ids, bounds = encode_batch(table, part, table.merges if merges else None)
                 back = decode(ids, bounds)
                 none = pa.array(rows.column(NULL).slice(a, b - a))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
@@ -454,8 +472,11 @@ def none_where(texts: list[bytes], none: pa.Array) -> pa.Array:
     return pa.array([None if gone else t.decode() for t, gone in zip(texts, none.to_pylist())], pa.string())
 
 
-def encode_texts(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), model: str | PieceTable = MODEL) -> DataFrame:
-    """``columns`` with ids array<int>, n_pieces, decoded (the text read back from ids) and exact.
+def encode_texts(
+    docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), model: str | PieceTable = MODEL, merges: bool = False
+) -> DataFrame:
+    """``columns`` with ids array<int>, n_pieces, decoded (the text read back from ids) and exact. ``merges``:
+    by a merge model's merges instead of the lattice.
 
     One row per input row, no shuffle. A null or empty text has no ids; ``decoded`` is null for
     a null text. Columns of the result's names must not be among ``columns``;
@@ -470,7 +491,7 @@ def encode_texts(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), model:
         *fields, StructField("ids", ArrayType(IntegerType())), StructField("n_pieces", IntegerType()),
         StructField("decoded", StringType()), StructField("exact", BooleanType()),
     ])
-    return source.mapInArrow(_encode(table, list(columns)), schema)
+    return source.mapInArrow(_encode(table, list(columns), merges), schema)
 
 
 def decode_pieces(rows: DataFrame, ids: str = "ids", model: str | PieceTable = MODEL) -> DataFrame:
