@@ -1,13 +1,14 @@
 """Quality classifier by importance resampling over hashed n-gram generative models.
 
 Two bag-of-n-gram models over ``buckets`` hash buckets are estimated: the target's (documents labelled
-good) and the raw corpus' (all documents). A document's importance weight is the ratio of its two
-generative probabilities; a bucket's ratio is drawn towards 1 by ``SMOOTHING`` counts, so that rare words
+good) and the raw corpus' (all documents). A document's log weight is the log ratio of its two
+generative probabilities, over the square root of its number of n-grams: neighbouring n-grams repeat each other's
+evidence, and the plain sum would put all documents so far apart that no sampling could act; a bucket's ratio is drawn towards 1 by ``SMOOTHING`` counts, so that rare words
 say little. The threshold on the log weight is the one that separates labelled good from labelled bad
 documents with the fewest errors, each weighed by a model that has not seen its half of the labels; k is
 the number of documents above it, and the k documents with the largest Gumbel-perturbed log weights are
-kept (Gumbel top-k: sampling without replacement in proportion to the weights, sharpened by the
-temperature).
+kept (Gumbel top-k: sampling without replacement in proportion to the weights, at temperature 1). Far
+from the threshold a document's fate is certain, close to it it is drawn.
 
 N-grams are word unigrams and bigrams of token shapes. Tokens are runs of letters, of digits or of
 other symbols; a word's shape is its case pattern, or that it repeats the word before it; a run of
@@ -36,7 +37,7 @@ from panelith.llm.wordbatch import GAPS, LETTERS, chunks, mix, spans_hash
 KEY, BODY, WEIGHT, SIZE, PLACE = "__key", "__body", "__log_weight", "__n_grams", "__place"
 HALF, UNSEEN = "__half", "__unseen"
 TAIL = f"`{WEIGHT}` double, `{SIZE}` long, `{PLACE}` long"
-BUCKETS, LABELS, TEMPERATURE, SMOOTHING = 1 << 14, 100_000, 0.1, 20.0
+BUCKETS, LABELS, TEMPERATURE, SMOOTHING, SEED = 1 << 14, 100_000, 1.0, 20.0, 77
 U = np.uint64
 KIND = np.full(256, 3, np.int8)
 KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -102,6 +103,7 @@ class ImportanceModel:
     ratio: np.ndarray
     halves: tuple[np.ndarray, np.ndarray]
     temperature: float
+    seed: int = SEED
 
     def weigh(self, rows: pa.RecordBatch, halves: list | None = None):
         """Log weights and n-gram counts of a batch with a ``body``; with ``halves``, the log weights of
@@ -111,17 +113,18 @@ class ImportanceModel:
         unseen = np.zeros(len(texts))
         for a, b, part in chunks(texts):
             doc, at = ngram_buckets(part, len(self.ratio))
-            weights[a:b] = np.bincount(doc, self.ratio[at], b - a)
             sizes[a:b] = np.bincount(doc, minlength=b - a)
+            scale = np.sqrt(np.maximum(sizes[a:b], 1))
+            weights[a:b] = np.bincount(doc, self.ratio[at], b - a) / scale
             for h in (0, 1):
                 mine = np.array([x == h for x in halves[a:b]], bool) if halves else np.zeros(0, bool)
                 if mine.any():
-                    unseen[a:b][mine] = np.bincount(doc, self.halves[1 - h][at], b - a)[mine]
+                    unseen[a:b][mine] = (np.bincount(doc, self.halves[1 - h][at], b - a) / scale)[mine]
         return weights, sizes, unseen
 
     def perturb(self, keys: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Gumbel-perturbed log weights as whole numbers of the same order; texts without n-grams last."""
-        u = (mix(keys.astype(np.int64).view(U), 77) >> U(11)).astype(float) / 2.0**53
+        u = (mix(keys.astype(np.int64).view(U), self.seed) >> U(11)).astype(float) / 2.0**53
         noisy = weights - self.temperature * np.log(-np.log(np.clip(u, 1e-300, 1 - 1e-16)))
         bits = (np.where(sizes > 0, noisy, -np.inf) + 0.0).view(np.int64)
         return np.where(bits < 0, ~bits ^ np.int64(-(2**63)), bits)
@@ -145,7 +148,8 @@ def _scored(model: ImportanceModel):
 
 
 def fit_importance(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE
+    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE,
+    seed: int = SEED,
 ) -> tuple[ImportanceModel, DataFrame]:
     """The two models' log ratio per bucket, and the (broadcast) labels used."""
     used = (
@@ -166,7 +170,7 @@ def fit_importance(
         expected = raw * (seen.sum() / max(raw.sum(), 1.0))
         return np.log(seen + SMOOTHING) - np.log(expected + SMOOTHING)
 
-    return ImportanceModel(ratio(good.sum(axis=0)), (ratio(good[0]), ratio(good[1])), temperature), used
+    return ImportanceModel(ratio(good.sum(axis=0)), (ratio(good[0]), ratio(good[1])), temperature, seed), used
 
 
 def _threshold(weights: np.ndarray, good: np.ndarray) -> float:
@@ -201,10 +205,10 @@ def _kth_place(places: DataFrame, k: int) -> int:
     return low
 
 
-def _resample(docs: DataFrame, labels: DataFrame, buckets: int, bound: int, temperature: float):
+def _resample(docs: DataFrame, labels: DataFrame, buckets: int, bound: int, temperature: float, seed: int):
     """The fitted model, the narrow scores of all rows, and the place a kept row must reach."""
     stage = Stage(docs.sparkSession, "quality")
-    model, used = fit_importance(docs, labels, buckets, bound, temperature)
+    model, used = fit_importance(docs, labels, buckets, bound, temperature, seed)
     kind = docs.schema["doc_id"].dataType.simpleString()
     scores = stage.write(
         _bodies(docs, "doc_id").join(used, "doc_id", "left").withColumnRenamed("half", HALF)
@@ -230,7 +234,8 @@ def _bodies(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def classify_quality(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE
+    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE,
+    seed: int = SEED,
 ) -> DataFrame:
     """(doc_id, log_weight, n_grams, keep): whether importance resampling takes the document.
 
@@ -240,17 +245,18 @@ def classify_quality(
     the threshold is open: every document with n-grams is kept (none, if all labelled ones are bad). A
     null doc_id draws the noise of id 0. Other columns are ignored. An empty table gives no rows.
     """
-    _, scores, place = _resample(docs, labels, buckets, bound, temperature)
+    _, scores, place = _resample(docs, labels, buckets, bound, temperature, seed)
     return scores.select(
         "doc_id", F.col(WEIGHT).alias("log_weight"), F.col(SIZE).alias("n_grams"), _kept(place).alias("keep")
     )
 
 
 def filter_quality(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE
+    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = LABELS, temperature: float = TEMPERATURE,
+    seed: int = SEED,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify_quality`` keeps; texts are scored again, not shuffled."""
-    model, _, place = _resample(docs, labels, buckets, bound, temperature)
+    model, _, place = _resample(docs, labels, buckets, bound, temperature, seed)
     own = [f"`{c}`" for c in docs.columns]
     tail = [StructField(WEIGHT, DoubleType()), StructField(SIZE, LongType()), StructField(PLACE, LongType())]
     schema = StructType([*docs.schema.fields, *tail])

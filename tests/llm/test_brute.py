@@ -1,13 +1,16 @@
 """Operators against plain Python versions, an independent encoder, or held-out accuracy."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from panelith.llm import queries as Q
-from panelith.llm.imatch import HIGH, LEVELS, LOW, REPLICAS
+from panelith.llm.imatch import HIGH, LOW, lexicons, set_hashes
 from panelith.llm.language_id import ByteTagger
 from panelith.llm.minhash_dedup import near_duplicates
 from panelith.llm.nearest import Tree, chi_square_quantile
@@ -101,15 +104,9 @@ def test_fingerprints(spark, sf, documents):
         if not kept:
             return f"{xxhash.xxh64(text.encode(), seed=42).intdigest():016x}"
         out = []
-        for r in range(REPLICAS):
-            for level in reversed(range(LEVELS)):
-                mine = [t for t in kept if not level or mix((t, 8), (r, 4)) >> (64 - 2 * level) == 0]
-                if mine:
-                    both = 0
-                    for t in mine:
-                        both ^= mix((t, 8), (-1, 4))
-                    out.append(f"{mix((level, 4), (both, 8)):016x}")
-                    break
+        for r, level in lexicons():
+            mine = sorted(t for t in kept if not level or mix((t, 8), (r, 4)) >> (64 - level) == 0)
+            out.append(f"{mix(*[(t, 8) for t in mine]):016x}" if mine else "-" * 16)
         return "".join(out)
 
     def term(w):
@@ -127,8 +124,9 @@ def test_fingerprints(spark, sf, documents):
     def alike(a, b):
         if len(a) != len(b):
             return 0.0
-        same = [a[i : i + 16] == b[i : i + 16] for i in range(0, len(a), 16)]
-        return sum(same) / len(same)
+        both = [(a[i : i + 16], b[i : i + 16]) for i in range(0, len(a), 16)]
+        both = [x for x in both if x != ("-" * 16, "-" * 16)]
+        return sum(x == y for x, y in both) / len(both)
 
     own = {d: marks(documents[d], lexicon) for d in order}
     for i, d in enumerate(order):
@@ -141,7 +139,33 @@ def test_fingerprints(spark, sf, documents):
         assert r["near_edited"] == pytest.approx(alike(own[d], r["edited_fingerprint"]))
         assert r["near_next"] == pytest.approx(alike(own[d], own[after]))
     mean = lambda c: np.mean([r[c] for r in got.values()])
-    assert mean("near_edited") > 0.3 > 0.05 > mean("near_next")
+
+    assert mean("near_edited") > 0.15 > 0.03 > mean("near_next")
+
+
+def test_every_term_reaches_the_marks(spark):
+    """Whatever term of a text goes, its fingerprint changes; the sparse lexicons' marks mostly stay."""
+    terms = list(range(1000, 1150))
+    rows = [(-1, t) for t in terms] + [(i, t) for i in range(len(terms)) for j, t in enumerate(terms) if i != j]
+    got = {r["key"]: r["marks"] for r in set_hashes(spark.createDataFrame(rows, "key long, term long"), ["key"]).collect()}
+    assert all(got[i] != got[-1] for i in range(len(terms)))
+    kept = [np.mean([x == y for x, y in zip(got[i], got[-1]) if x is not None]) for i in range(len(terms))]
+    assert 0.6 < np.mean(kept) < 0.95
+
+
+def test_no_control_string_inside_a_text(spark):
+    from panelith.llm.chat_format import ANSWER_END, ASK_END, format_chats
+
+    marks = ["</s>", "<s>", "[INST]", "[/INST]", "[ANS]", "<s>[INST] ", " [/INST]", "<\x1b/s>", "[\x1b\x1bINST]", "<", "[/", "s>", "plain"]
+    rng = random.Random(1)
+    rows = [(c, t, rng.choice(["user", "assistant", "system"]), "".join(rng.choices(marks, k=rng.randrange(5)))) for c in range(200) for t in range(3)]
+    for r in format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect():
+        mine = [x for x in rows if x[0] == r["conv_id"]]
+        answers = sum(x[2] == "assistant" for x in mine)
+        assert r["identical"] and [(t["role"], t["text"]) for t in r["turns"]] == [x[2:] for x in mine]
+        assert r["formatted"].count(ANSWER_END) == answers and r["formatted"].count(ASK_END) == 3 - answers
+        assert r["formatted"].count("<s>") == 3 and r["formatted"].count("[ANS]") == answers
+        assert r["formatted"].count("[INST]") == r["formatted"].count("[/INST]") == 3 - answers
 
 
 def test_personal_data(spark, sf, documents, make):
@@ -201,32 +225,43 @@ def test_terms_whatever_the_copies(make, words_of):
     assert kinds(docs + [docs[-1]] * 500 + [(None, docs[0][1])] * 200) == alone
 
 
-def test_pieces_equal_an_independent_encoder(documents):
+def test_pieces_equal_an_independent_encoder(spark, sf, documents):
+    """The library's own unigram encoder over the same pieces and log probabilities."""
     spm = pytest.importorskip("sentencepiece")
     proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
-    from panelith.llm.pieces import MODEL
+    from panelith.llm.pieces import MODEL, zipf_scores
 
     with open(MODEL, "rb") as f:
         model = proto.ModelProto.FromString(f.read())
-    model.trainer_spec.model_type = 1  # the lattice over the same pieces and scores
+    model.trainer_spec.model_type = 1
+    normal = [p for p in model.pieces if p.type == p.NORMAL]
+    for p, s in zip(normal, zipf_scores([p.score for p in normal])):
+        p.score = s
     other = spm.SentencePieceProcessor(model_proto=model.SerializeToString())
     table = load_pieces(MODEL)
-    words = sorted({w for t in list(documents.values())[:60] for w in t.split()})[:4000] + ["漢字x", "🙂🙂", "a"]
+    assert sum(math.exp(s) for part in table.scores.values() for s in part) == pytest.approx(1, abs=1e-4)
+    got = by_id(Q.op8_sentencepiece(spark, sf))
+    rng = random.Random(4)
+    pieces = [other.id_to_piece(i).replace("▁", " ") for i in range(300, other.get_piece_size())]
+    odd = ["", " ", "  a  b   ", "漢字x🙂🙂" * 90, "\x00\n\t", "thatand" * 40 + " that", "ก" * 200, "a test and that"]
+    odd += ["".join(rng.choices(pieces, k=rng.choice([1, 2, 3, 5, 20, 200]))) for _ in range(600)]
+    ids, bounds = encode_batch(table, [t.encode() for t in odd])
     score = lambda ids: sum(0 if other.is_byte(i) else other.get_score(i) for i in ids)
-    for w in words:
-        mine, theirs = encode_batch(table, [w.encode()])[0].tolist(), other.encode(w)
-        assert score(mine) >= score(theirs) - 1e-6
-        assert sum(map(other.is_byte, mine)) == sum(map(other.is_byte, theirs))
-        assert mine == theirs or score(mine) > score(theirs) or len(mine) != len(theirs) or score(mine) == pytest.approx(score(theirs))
+    pairs = [(ids[s:e].tolist(), other.encode(t)) for t, s, e in zip(odd, bounds[:-1], bounds[1:])]
+    pairs += [(got[d]["ids"], other.encode(t)) for d, t in documents.items()]
+    for mine, theirs in pairs:
+        # the library adds single-precision numbers, which may part segmentations of equal sums
+        assert mine == theirs or score(mine) == pytest.approx(score(theirs), abs=1e-6 * len(mine) + 1e-9)
+    assert np.mean([mine == theirs for mine, theirs in pairs]) > 0.97
 
 
-def test_pieces_equal_the_unmodified_model(spark, sf, documents):
+def test_merges_equal_the_unmodified_model(spark, sf, documents):
     spm = pytest.importorskip("sentencepiece")
     from panelith.llm.pieces import MODEL
 
     other, table = spm.SentencePieceProcessor(model_file=MODEL), load_pieces(MODEL)
     assert other.encode("a test and that") == encode_batch(table, [b"a test and that"], table.merges)[0].tolist()
-    got = by_id(Q.op8_sentencepiece(spark, sf))
+    got = by_id(encode_texts(spark.read.parquet(f"{sf}/documents.parquet"), merges=True))
     assert all(got[d]["ids"] == other.encode(t) for d, t in documents.items())
     rng = random.Random(4)
     pieces = [other.id_to_piece(i).replace("▁", " ") for i in range(300, other.get_piece_size())]
@@ -259,6 +294,76 @@ def test_quality_on_held_out_labels(spark, sf):
     assert (out.keep == (out.quality == 1)).mean() > 0.97
 
 
+def plain_grams(text):
+    """Word unigrams and bigrams of token shapes, as text."""
+    tokens = re.findall("[A-Za-z\\u0080-\\U0010ffff]+|[0-9]+|[^A-Za-z0-9\\u0080-\\U0010ffff\x20\x09-\x0d]+", text or "")
+    shapes, last, grams = [], None, []
+    for t in tokens:
+        if t[0].isascii() and t[0].isdigit():
+            shapes.append("9")
+        elif not t[0].isascii() or t[0].isalpha():
+            ups = sum("A" <= c <= "Z" for c in t)
+            shapes.append("again" if t == last else "UP" if ups >= 2 else "Up" if "A" <= t[0] <= "Z" else "low")
+            grams.append(("word", t))
+            last = t
+        else:
+            shapes.append("symbols " + t)
+    return grams + list(zip(shapes, shapes[1:]))
+
+
+def test_quality_weights_and_threshold(make):
+    from panelith.llm.quality import SMOOTHING, _threshold, classify_quality
+
+    rng = random.Random(2)
+    good_words, bad_words = [f"w{chr(97 + i)}x" for i in range(20)], ["JUNK", "junk", "$$$", "!!", "77"]
+    docs, labels = [], []
+    for i in range(300):
+        share = i / 300
+        docs.append((i, " ".join(rng.choice(bad_words if rng.random() < share else good_words) for _ in range(rng.randrange(3, 60)))))
+        if i % 2:
+            labels.append((i, int(share < 0.4), 0))
+    docs += [(1000, None), (1001, ""), (1002, "é漢 é漢 A1!")]
+    frame = make(docs)
+    marks = frame.sparkSession.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = by_id(classify_quality(frame, marks, buckets=1 << 20))
+    grams = {d: plain_grams(t) for d, t in docs}
+    quality = {d: q for d, q, _ in labels}
+    raw, seen = Counter(g for x in grams.values() for g in x), Counter(g for d, x in grams.items() if quality.get(d) == 1 for g in x)
+    scale = sum(seen.values()) / sum(raw.values())
+    for d, mine in grams.items():
+        want = sum(math.log(seen[g] + SMOOTHING) - math.log(raw[g] * scale + SMOOTHING) for g in mine) / math.sqrt(max(len(mine), 1))
+        assert got[d]["n_grams"] == len(mine) and got[d]["log_weight"] == pytest.approx(want, abs=1e-9)
+    # the threshold by trying every cut
+    w, g = np.array([1.0, 2.0, 2.0, 3.0, 0.5, 5.0]), np.array([False, True, False, True, True, True])
+    line = _threshold(w, g)
+    errors = lambda t: ((w > t) != g).sum()
+    assert errors(line) == min(errors(t) for t in [-1, *(w + 0.25)])
+
+
+def test_sampling_follows_the_weights(make):
+    """Documents near the threshold are drawn: over many seeds as often as their weights say."""
+    from panelith.llm.quality import ImportanceModel, classify_quality
+
+    weights = np.linspace(-6, 6, 400)
+    keys, sizes, k, draws = np.arange(400), np.ones(400, int), 200, 400
+    taken, lines = np.zeros(400), []
+    for seed in range(draws):
+        places = ImportanceModel(np.zeros(1), (np.zeros(1),) * 2, 1.0, seed).perturb(keys, weights, sizes)
+        order = np.argsort(-places, kind="stable")
+        taken[order[:k]] += 1
+        x = int(places[order[k - 1]])
+        lines.append(float(np.array(x if x >= 0 else ~(x ^ -(2**63)), np.int64).view(float)))
+    want = 1 - np.exp(-np.exp(weights - np.mean(lines)))
+    assert np.abs(taken / draws - want).max() < 0.12
+    assert ((taken > 0) & (taken < draws)).sum() > 100
+    rng = random.Random(2)
+    docs = [(i, " ".join(rng.choice(["bad!!", "good"][j < 20 - i // 20:][:1] or ["good"]) for j in range(20))) for i in range(400)]
+    frame = make(docs)
+    labels = frame.sparkSession.createDataFrame([(i, int(i < 200), 0) for i in range(0, 400, 2)], "doc_id long, quality int, toxic int")
+    picks = [{d for d, r in by_id(classify_quality(frame, labels, seed=s)).items() if r["keep"]} for s in (1, 2, 1)]
+    assert picks[0] == picks[2] != picks[1]
+
+
 def test_languages_on_held_out_documents(spark, sf):
     sf = sf.replace("0.001", "0.01")
     truth = by_id(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"))
