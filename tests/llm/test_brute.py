@@ -196,12 +196,44 @@ def test_terms_that_disclose(make, words_of):
         assert clean[d]["n_chars"] == len(got)
 
 
-def test_terms_of_a_value_seen_once(make, words_of):
+def test_names_beside_values_seen_once(make, words_of):
+    """Thirty addresses of one text each, a name of its own before each; rare words elsewhere stay."""
     rng = random.Random(6)
-    docs = {i: " ".join(words_of(rng, 40, 50)) for i in range(1500)}
-    docs[5000] = " ".join([*words_of(rng, 20, 50), "Zanzibar", "mail", "bob@corp9.example.com", *words_of(rng, 20, 50)])
+    docs = {i: " ".join(words_of(rng, 40, 50)) for i in range(800)}
+    names, strange = {}, set()
+    for i in range(30):
+        names[5000 + i] = f"Name{chr(97 + i % 26)}{chr(97 + i // 26)}x"
+        odd = [f"rare{i}a", f"rare{i}b", f"rare{i}c"]
+        strange |= set(odd)
+        left, right = words_of(rng, 20, 50), words_of(rng, 20, 50)
+        left[5], left[11], right[9] = odd
+        docs[5000 + i] = " ".join([*left, names[5000 + i], f"u{i}@corp{i}.example.com", *right])
     found = by_id(find_personal(make(list(docs.items()))))
-    assert {s["value"] for s in found[5000]["terms"]} == {"Zanzibar", "mail"}
+    got = {(d, s["value"], s["kind"]) for d, r in found.items() for s in r["terms"]}
+    assert got == {(d, name, "name") for d, name in names.items()}
+    clean = by_id(sanitise(make(list(docs.items()))))
+    assert all("[NAME] [EMAIL]" in clean[d]["text"] for d in names)
+    assert all(w in " ".join(r["text"] for r in clean.values()) for w in strange)
+
+
+def test_rare_words_beside_values_stay_without_a_pattern(make, words_of):
+    rng = random.Random(9)
+    docs = {i: " ".join(words_of(rng, 60, 5000)) for i in range(300)}
+    for i in range(60):
+        docs[900 + i] = " ".join([*words_of(rng, 30, 5000), f"u{i}@corp{i}.example.com", *words_of(rng, 30, 5000)])
+    for n in (1, 7):  # whatever the size of the corpus
+        more = {(n + 1) * 10_000 + i: " ".join(words_of(rng, 60, 5000)) for i in range(300 * n)}
+        found = by_id(find_personal(make(list({**docs, **more}.items()))))
+        assert not any(r["terms"] for r in found.values())
+
+
+def test_near_copies_are_one_meeting(make, words_of):
+    rng = random.Random(10)
+    docs = {i: " ".join(words_of(rng, 60, 80)) for i in range(200)}
+    body = [f"own{i}" for i in range(30)] + ["bob@corp9.example.com"] + [f"tail{i}" for i in range(30)]
+    for i in range(6):
+        docs[900 + i] = " ".join([*body, f"end{i}"])
+    assert not any(s["value"] == "own9" for r in find_personal(make(list(docs.items()))).collect() for s in r["terms"])
 
 
 def test_terms_anywhere_in_the_text(make, words_of):
