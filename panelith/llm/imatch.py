@@ -53,20 +53,25 @@ def set_hashes(rows: DataFrame, keys: list[str], replicas: int = REPLICAS) -> Da
     """Per ``keys`` the array ``marks``: for each lexicon a hash of the sorted terms that remain, null for none.
 
     rows: (keys, term), terms distinct within the keys, a null term for none. A replica's lexicons are
-    nested: a term stays as long as the leading bits of its hash for the replica are zero. The terms of a
-    text are one list, bounded by the text.
+    nested: a term stays as long as the leading bits of its hash for the replica are zero, so each is
+    filtered from the one before. The terms of a text are one list, bounded by the text.
     """
-    placed = rows.withColumns({f"_p{r}": F.xxhash64("term", F.lit(r)) for r in range(replicas + 1)})
+    sets = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("term")).alias("_all"))
 
-    def mark(r: int, level: int) -> Column:
-        left = F.col("term")
-        if level:
-            left = F.when(F.shiftrightunsigned(f"_p{r}", 64 - level) == 0, left)
-        return F.collect_list(left).alias(f"_x{r}_{level}")
+    def stays(r: int, level: int):
+        return lambda term: F.shiftrightunsigned(F.xxhash64(term, F.lit(r)), 64 - level) == 0
 
-    all_of_them = lexicons(replicas)
-    sets = placed.groupBy(*keys).agg(*[mark(r, level) for r, level in all_of_them])
-    marks = [F.when(F.size(f"_x{r}_{level}") > 0, F.xxhash64(F.sort_array(f"_x{r}_{level}"))) for r, level in all_of_them]
+    chains: dict[int, list[str]] = {}
+    depth: dict[int, dict[str, Column]] = {}
+    for r, level in lexicons(replicas):
+        if level:
+            chain = chains.setdefault(r, ["_all"])
+            depth.setdefault(len(chain), {})[f"_x{r}_{level}"] = F.filter(chain[-1], stays(r, level))
+            chain.append(f"_x{r}_{level}")
+    for columns in depth.values():
+        sets = sets.withColumns(columns)
+    names = [f"_x{r}_{level}" if level else "_all" for r, level in lexicons(replicas)]
+    marks = [F.when(F.size(n) > 0, F.xxhash64(n)) for n in names]
     return sets.select(*keys, F.array(*marks).alias("marks"))
 
 
