@@ -38,7 +38,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: below the worst piece, as unknown characters are scored
 PENALTY = 10.0
 #: bytes of one lattice, about; more words of a length advance in several lots
-LIMIT = 250_000_000
+LIMIT = 60_000_000
+#: bytes of text whose distinct words are encoded together
+CHUNK = 500_000
 #: parts of more characters merge by a heap, as their joint steps would cost the square of the length
 LONG = 128
 #: sentencepiece's number for merge models (trainer_spec.model_type)
@@ -454,7 +456,7 @@ def _encode(table: PieceTable, names: list[str], merges: bool):
         decode = FastDecoder(table)
         for rows in batches:
             texts = rows.column(TEXT).to_pylist()
-            for a, b, part in chunks(texts):
+            for a, b, part in chunks(texts, CHUNK):
                 ids, bounds = encode_batch(table, part, table.merges if merges else None)
                 back = decode(ids, bounds)
                 none = pa.array(rows.column(NULL).slice(a, b - a))
