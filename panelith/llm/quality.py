@@ -39,6 +39,8 @@ HALF, UNSEEN = "__half", "__unseen"
 TAIL = f"`{WEIGHT}` double, `{SIZE}` long, `{PLACE}` long"
 BUCKETS, LABELS, TEMPERATURE, SMOOTHING, SEED = 1 << 14, 100_000, 1.0, 20.0, 77
 U = np.uint64
+#: bytes of text whose n-grams are held at once
+CHUNK, ROWS = 500_000, 1000
 KIND = np.full(256, 3, np.int8)
 KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 KIND[48:58] = 2
@@ -74,16 +76,23 @@ def ngram_buckets(part: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([doc[word], doc[pair]]), (grams % U(buckets)).astype(np.int64)
 
 
+def _slices(batches):
+    """Batches of at most ``ROWS`` rows: texts become Python objects a slice at a time."""
+    for rows in batches:
+        for at in range(0, rows.num_rows, ROWS):
+            yield rows.slice(at, ROWS)
+
+
 def _count(buckets: int):
     """Per task: n-gram counts of all texts and of the good ones of either half of the labels."""
 
     def run(batches):
         raw, good = np.zeros(buckets, np.int64), np.zeros((2, buckets), np.int64)
-        for rows in batches:
+        for rows in _slices(batches):
             texts = rows.column(BODY).to_pylist()
             quality, half = rows.column("quality").to_pylist(), rows.column("half").to_pylist()
             label = np.array([h if q == 1 else -1 for q, h in zip(quality, half)], np.int64)
-            for a, b, part in chunks(texts):
+            for a, b, part in chunks(texts, CHUNK):
                 doc, at = ngram_buckets(part, buckets)
                 raw += np.bincount(at, minlength=buckets)
                 for h in (0, 1):
@@ -111,7 +120,7 @@ class ImportanceModel:
         texts = rows.column(BODY).to_pylist()
         weights, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         unseen = np.zeros(len(texts))
-        for a, b, part in chunks(texts):
+        for a, b, part in chunks(texts, CHUNK):
             doc, at = ngram_buckets(part, len(self.ratio))
             sizes[a:b] = np.bincount(doc, minlength=b - a)
             scale = np.sqrt(np.maximum(sizes[a:b], 1))
@@ -132,7 +141,7 @@ class ImportanceModel:
 
 def _scored(model: ImportanceModel):
     def run(batches):
-        for rows in batches:
+        for rows in _slices(batches):
             halves = rows.column(HALF).to_pylist() if HALF in rows.schema.names else None
             weights, sizes, unseen = model.weigh(rows, halves)
             keys = np.array([0 if k is None else k for k in rows.column(KEY).to_pylist()], np.int64)
