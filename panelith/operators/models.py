@@ -20,6 +20,8 @@ from panelith.operators import gram as G
 from panelith.session import cut_lineage
 
 # Score buckets of the hit-rate calibrator.
+#: registered versions that are scored side by side in every task
+BROADCAST_VERSIONS = 10_000
 BUCKETS = ((0, 40), (40, 55), (55, 65), (65, 75), (75, 85), (85, 100))
 
 
@@ -476,8 +478,9 @@ def permutation_importance(
 
 def score_versions(rows: DataFrame, versions: DataFrame, features: list[str], clip: float) -> DataFrame:
     """Every registered version on the same inputs in one pass. versions: (version_id, coef,
-    intercept), a handful of rows."""
-    joined = rows.crossJoin(F.broadcast(versions.select("version_id", "coef", "intercept")))
+    intercept); up to ``BROADCAST_VERSIONS`` of them are broadcast."""
+    slots = cut_lineage(versions.select("version_id", "coef", "intercept"))
+    joined = rows.crossJoin(F.broadcast(slots) if slots.count() <= BROADCAST_VERSIONS else slots)
     alpha = X.clip_col(G.linear_value(features), clip)
     out = joined.withColumn("predicted_alpha", alpha).drop("coef", "intercept")
     return out.withColumns(X.to_probability(F.col("predicted_alpha"), clip))
