@@ -9,7 +9,8 @@ from tools.check import TABLES, compare
 SAMPLE = [
     "mean_rank_ic", "align_benchmark_ffill", "residual_momentum_features", "rank_normalize",
     "triple_barrier_alpha", "canonical_alpha", "drawdown_tiers", "macro_weekly", "upsert_predictions",
-    "leave_one_out", "ks_drift", "stream_bars",
+    "leave_one_out", "ks_drift", "stream_bars", "fit_bayes_ridge", "factor_covariance", "estimator_oos_ic",
+    "drawdown_tiers_gated", "change_points", "latch_grid", "ewm_indicators", "ewm_std", "score_cross_section",
 ]
 
 
