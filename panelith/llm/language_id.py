@@ -4,10 +4,14 @@ The network reads the bytes of one word at a time (ASCII letters lower-cased, a
 forwards and backwards, and labels every byte position from both states. It is trained in numpy by
 backpropagation through time. A document's probabilities are pooled from its letter positions, over its
 whole text. As the states start anew with each word, equal words have equal labels: a task runs the
-network once per distinct word of a batch, words of one length together, and no text is cut or sampled.
-
-Training takes a bounded hash sample of labelled documents (``PER_LANG`` per language, about) to the
-driver; the weights (some thousand numbers) travel with the tasks. Texts are never shuffled.
+network once per distinct word of a batch, and no text is cut or sampled. Words of any lengths advance
+together, the longest first, so that those still being read are a prefix. A word is read whole: states are
+carried over segments of ``SEGMENT`` bytes, those of the reverse direction from its state at each segment's
+end, kept by a first pass. Memory is bounded by ``LOT`` words of a segment, whatever the length of a word.
+
+Training takes a bounded hash sample of labelled documents (``PER_LANG`` per language, about) and at most
+``TOKENS`` of their words to the driver, longer words in spans of ``SPAN`` bytes at most that end between
+characters; the weights (some thousand numbers) travel with the tasks. Texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,10 +29,12 @@ from pyspark.sql.types import (
 from panelith.llm.wordbatch import LETTERS, WordBatch, chunks, spans_hash
 
 PER_LANG, TOKENS, HIDDEN, STEPS, BATCH, RATE = 400, 30_000, 16, 900, 256, 0.01
-#: longer words are read in parts of so many bytes
-LONGEST = 32
+#: bytes of a training example; prediction reads words whole
+SPAN = 32
 #: words that advance together, few enough for their states to stay in a cache
 LOT = 1024
+#: bytes between kept states of the reverse direction
+SEGMENT = 256
 UNKNOWN = "und"
 KNOWN_LETTERS = np.zeros(256, bool)
 KNOWN_LETTERS[[*range(97, 123), *range(128, 256)]] = True
@@ -71,6 +77,21 @@ class Direction:
             out[t] = h
         return out
 
+    def carry(self, x: np.ndarray, alive: np.ndarray, h: np.ndarray, times: range) -> np.ndarray:
+        """States (time, words, hidden) for bytes (time, words), read in the order of ``times``; at time t the
+        first ``alive[t]`` words are read. ``h`` holds the states before and, changed in place, after."""
+        size = self.candidate.shape[0]
+        out = np.zeros((*x.shape, size), np.float32)
+        for t in times:
+            n = alive[t]
+            held = h[:n]
+            given = self.rows[x[t, :n]]
+            gate = _sigmoid(given[:, : 2 * size] + held @ self.gates)
+            new = np.tanh(given[:, 2 * size :] + gate[:, size:] * (held @ self.candidate))
+            out[t, :n] = new + gate[:, :size] * (held - new)
+            held[:] = out[t, :n]
+        return out
+
     def backward(self, x: np.ndarray, grad: np.ndarray) -> list[np.ndarray]:
         """Gradients of the weights, from gradients of the states: backpropagation through time."""
         d_rows, d_gates, d_candidate = map(np.zeros_like, (self.rows, self.gates, self.candidate))
@@ -111,10 +132,7 @@ class ByteTagger:
     def label(self, x: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(states, probabilities) for every position of equally long words (time, batch)."""
         states = np.concatenate([self.onward.forward(x, keep), self.reverse.forward(x[::-1], keep)[::-1]], axis=2)
-        logits = states @ self.out + self.bias
-        logits -= logits.max(axis=2, keepdims=True)
-        odds = np.exp(logits)
-        return states, odds / odds.sum(axis=2, keepdims=True)
+        return states, self.odds(states)
 
     def gradients(self, x: np.ndarray, truth: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean cross-entropy over all positions, and its gradients in the order of ``weights``."""
@@ -147,27 +165,61 @@ class ByteTagger:
                 v += 0.01 * (g * g - v)
                 w -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
 
+    def odds(self, states: np.ndarray) -> np.ndarray:
+        logits = states @ self.out + self.bias
+        logits -= logits.max(axis=2, keepdims=True)
+        odds = np.exp(logits)
+        return odds / odds.sum(axis=2, keepdims=True)
+
+    def read(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word, the longest first: sums of probabilities and labels over its letter positions."""
+        frames, hidden = sizes + 2, self.reverse.candidate.shape[0]
+        share, counts = np.zeros((len(starts), len(self.langs))), np.zeros((len(starts), len(self.langs)), np.int64)
+
+        def segment(a: int) -> tuple[np.ndarray, np.ndarray]:
+            """Bytes a .. a + SEGMENT - 1 of the words that reach a, each framed by a blank, and words alive there."""
+            place = np.arange(a, min(a + SEGMENT, int(frames[0])))
+            alive = np.searchsorted(-frames, -place, side="left")
+            inside = (place[:, None] >= 1) & (place[:, None] <= sizes[: alive[0]])
+            x = np.where(inside, raw[np.where(inside, starts[: alive[0]] + place[:, None] - 1, 0)], 32)
+            return x.astype(np.uint8), alive
+
+        cuts, ends = range(0, int(frames[0]), SEGMENT), []
+        after = np.zeros((len(starts), hidden), np.float32)
+        for a in reversed(cuts):
+            ends.append(after[: np.searchsorted(-frames, -(a + SEGMENT), side="left")].copy())
+            if a:
+                x, alive = segment(a)
+                self.reverse.carry(x, alive, after, range(len(x) - 1, -1, -1))
+        before = np.zeros((len(starts), hidden), np.float32)
+        for a in cuts:
+            x, alive = segment(a)
+            n, kept = alive[0], ends.pop()
+            after = np.zeros((n, hidden), np.float32)
+            after[: len(kept)] = kept
+            prob = self.odds(np.concatenate([
+                self.onward.carry(x, alive, before, range(len(x))),
+                self.reverse.carry(x, alive, after, range(len(x) - 1, -1, -1)),
+            ], axis=2))
+            letters = KNOWN_LETTERS[x]
+            share[:n] += (prob * letters[:, :, None]).sum(axis=0)
+            best = prob.argmax(axis=2)
+            for k in range(len(self.langs)):
+                counts[:n, k] += ((best == k) & letters).sum(axis=0)
+        return share, counts
+
     def pooled(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Per text: mean probabilities over its letter positions; positions labelled per language."""
-        rows, owner, weight = word_rows(texts)
+        rows, owner = word_rows(texts)
         sums, labelled = np.zeros((len(texts), len(self.langs))), np.zeros((len(texts), len(self.langs)), np.int64)
         if not len(owner):
             return sums, labelled
         _, at, word = np.unique(rows[0], return_index=True, return_inverse=True)
         share, counts = np.zeros((len(at), len(self.langs))), np.zeros((len(at), len(self.langs)), np.int64)
-        lengths = rows[2][at] - rows[1][at]
-        order = np.argsort(lengths, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
-            n = int(lengths[group[0]])
-            for lot in np.array_split(group, max(1, len(group) // LOT)):
-                x = np.full((n + 2, len(lot)), 32, np.uint8)
-                x[1:-1] = rows[3][rows[1][at[lot]] + np.arange(n)[:, None]]
-                prob = self.label(x)[1][1:-1]
-                letters = KNOWN_LETTERS[x[1:-1]]
-                share[lot] = (prob * letters[:, :, None]).sum(axis=0)
-                best = prob.argmax(axis=2)
-                for k in range(len(self.langs)):
-                    counts[lot, k] = ((best == k) & letters).sum(axis=0)
+        starts, sizes = rows[1][at], rows[2][at] - rows[1][at]
+        order = np.argsort(-sizes, kind="stable")
+        for lot in np.array_split(order, -(-len(order) // LOT)):
+            share[lot], counts[lot] = self.read(rows[3], starts[lot], sizes[lot])
         for k in range(len(self.langs)):
             sums[:, k] = np.bincount(owner, share[word, k], len(texts))
             labelled[:, k] = np.bincount(owner, counts[word, k], len(texts))
@@ -176,28 +228,37 @@ class ByteTagger:
 
 
 def word_rows(texts: list[bytes]):
-    """((hash, start, end, bytes) of word parts, their texts, ...): words without letters are left out."""
+    """((hash, start, end, bytes) of the words with a letter, their texts)."""
     words = WordBatch(texts, lower=True)
-    starts, ends, doc = words.starts, words.ends, words.doc
-    size = ends - starts
-    if len(size) and size.max() > LONGEST:
-        parts = -(-size // LONGEST)
-        number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts = np.repeat(starts, parts) + number * LONGEST
-        ends = np.minimum(starts + LONGEST, np.repeat(ends, parts))
-        doc = np.repeat(doc, parts)
+    starts, ends = words.starts, words.ends
     letters = np.concatenate([[0], np.cumsum(KNOWN_LETTERS[words.bytes])])
     has = letters[ends] > letters[starts]
-    starts, ends, doc = starts[has], ends[has], doc[has]
-    return (spans_hash(LETTERS[words.bytes], starts, ends), starts, ends, words.bytes), doc, None
+    starts, ends = starts[has], ends[has]
+    return (spans_hash(LETTERS[words.bytes], starts, ends), starts, ends, words.bytes), words.doc[has]
+
+
+def spans(starts: np.ndarray, ends: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words as spans of at most ``SPAN`` bytes that end between characters; spans without letters are left out."""
+    out_starts, out_ends = [starts[:0]], [ends[:0]]
+    while len(starts):
+        stop = np.minimum(starts + SPAN, ends)
+        for _ in range(3):
+            stop -= (stop < ends) & (raw[np.minimum(stop, len(raw) - 1)] & 0xC0 == 0x80)
+        out_starts.append(starts), out_ends.append(stop)
+        starts, ends = stop[stop < ends], ends[stop < ends]
+    starts, ends = np.concatenate(out_starts), np.concatenate(out_ends)
+    letters = np.concatenate([[0], np.cumsum(KNOWN_LETTERS[raw])])
+    order = np.argsort(starts, kind="stable")
+    order = order[letters[ends[order]] > letters[starts[order]]]
+    return starts[order], ends[order]
 
 
 def training_words(texts: list[bytes], langs: list[str], names: list[str], limit: int, rng) -> tuple[list[bytes], np.ndarray]:
     """At most ``limit`` words per language, drawn evenly from all words of its texts."""
     words, truth = [], []
     for k, name in enumerate(names):
-        mine = [t for t, lang in zip(texts, langs) if lang == name]
-        (_, starts, ends, raw), _, _ = word_rows(mine)
+        (_, starts, ends, raw), _ = word_rows([t for t, lang in zip(texts, langs) if lang == name])
+        starts, ends = spans(starts, ends, raw)
         pick = np.arange(len(starts)) if len(starts) <= limit else rng.choice(len(starts), limit, replace=False)
         words += [b" " + raw[s:e].tobytes() + b" " for s, e in zip(starts[pick], ends[pick])]
         truth += [k] * len(pick)

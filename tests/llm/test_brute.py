@@ -467,3 +467,53 @@ def test_mix_comes_near_its_targets(spark, sf):
     assert (rows.taken <= 2 * rows["size"]).all()
     for _, mine in rows.groupby("source_size"):
         assert mine.taken.sum() == pytest.approx(mine.target.iloc[0], rel=0.05)
+
+
+def test_language_positions_follow_the_recurrence_byte_by_byte(monkeypatch):
+    """Words of one to 700 bytes, with and without characters of several bytes, against a scalar recurrence over
+    whole words; segments of 16 bytes change nothing."""
+    from panelith.llm import language_id as L
+
+    tagger = ByteTagger.fresh(["a", "b", "c"], 3, np.random.default_rng(5))
+    tagger.bias += np.array([0.1, -0.05, 0.0], np.float32)
+
+    def states(side, word):
+        h, out = [0.0] * 3, []
+        for byte in word:
+            row = side.rows[byte]
+            z = [1 / (1 + np.exp(-(row[i] + sum(h[j] * side.gates[j, i] for j in range(3))))) for i in range(3)]
+            r = [1 / (1 + np.exp(-(row[3 + i] + sum(h[j] * side.gates[j, 3 + i] for j in range(3))))) for i in range(3)]
+            new = [np.tanh(row[6 + i] + r[i] * sum(h[j] * side.candidate[j, i] for j in range(3))) for i in range(3)]
+            h = [new[i] + z[i] * (h[i] - new[i]) for i in range(3)]
+            out.append(h)
+        return out
+
+    texts = ["a bc", "\u4e2d" * 90 + "x, y" + "\u00e9" * 17, "z" * 700 + " 12 q" + "w" * 14, "", "7 8", "k" * 33 + " bc a"]
+    texts = [t.encode() for t in texts]
+    want, labels = np.zeros((len(texts), 3)), np.zeros((len(texts), 3), int)
+    for d, text in enumerate(texts):
+        for word in text.split():
+            framed = b" " + word + b" "
+            ahead, behind = states(tagger.onward, framed), states(tagger.reverse, framed[::-1])[::-1]
+            for byte, f, g in zip(framed, ahead, behind):
+                if 97 <= byte <= 122 or byte >= 128:
+                    odds = np.exp(np.array(f + g) @ tagger.out + tagger.bias)
+                    want[d] += odds / odds.sum()
+                    labels[d, odds.argmax()] += 1
+    want /= np.maximum(want.sum(axis=1, keepdims=True), 1e-12)
+    for segment in (16, 256):
+        monkeypatch.setattr(L, "SEGMENT", segment)
+        got, counts = tagger.pooled(texts)
+        assert np.allclose(got, want, atol=1e-5)
+        assert (counts == labels).all()
+
+
+def test_training_spans_end_between_characters():
+    from panelith.llm import language_id as L
+
+    text = ("\u4e2d" * 50 + " abc " + "\U0001f600" * 20 + "x" * 40 + " 5").encode()
+    (_, starts, ends, raw), _ = L.word_rows([text])
+    a, b = L.spans(starts, ends, raw)
+    assert max(b - a) <= L.SPAN
+    assert b"".join(raw[s:e].tobytes() for s, e in zip(a, b)).decode() == text.decode().replace(" 5", "").replace(" ", "")
+    assert all(raw[s:e].tobytes().decode() for s, e in zip(a, b))
