@@ -241,17 +241,17 @@ cte("secret", "sbench", "SELECT sector, dt, ln(lead(bench_close, 4) OVER (PARTIT
 cte("mktret", "market", "SELECT dt, ln(lead(market_close, 4) OVER (ORDER BY dt) / market_close) AS r FROM market")
 cte("midweek", "pred", "SELECT entity, sector, dt + 3 AS dt, predicted_alpha FROM pred")
 cte("realized", "ownret secret mktret midweek", """
-SELECT q.entity, q.sector, q.dt, q.predicted_alpha, o.r - CASE WHEN q.sector = 3 THEN k.r ELSE b.r END AS realized_alpha
+SELECT q.entity, q.sector, q.dt, q.predicted_alpha, o.r - CASE WHEN q.entity % 4 = 3 THEN k.r ELSE b.r END AS realized_alpha
 FROM midweek q ASOF JOIN ownret o ON q.entity = o.entity AND q.dt >= o.dt ASOF LEFT JOIN secret b ON q.sector = b.sector AND q.dt >= b.dt ASOF LEFT JOIN mktret k ON q.dt >= k.dt""")
 
 
 def realized(spark, sf):
-    """Pairs dated midweek, so every leg snaps back; one region has no benchmark of its own."""
+    """Pairs dated midweek, so every leg snaps back; some entities follow a benchmark that has no series."""
     base = panel(spark, sf)
-    bench = P.sector_series(base).where("sector <> 3").select(F.col("sector").cast("string").alias("symbol"), "dt", F.col("bench_close").alias("close"))
+    bench = P.sector_series(base).select(F.col("sector").cast("string").alias("symbol"), "dt", F.col("bench_close").alias("close"))
     market = P.market_series(base).select(F.lit("market").alias("symbol"), "dt", F.col("market_close").alias("close"))
     pairs = predictions(spark, sf).select("entity", "sector", F.date_add("dt", 3).alias("dt"), "predicted_alpha")
-    dim = P.dim_entity(spark, sf).select("entity", F.col("sector").cast("string").alias("symbol"))
+    dim = P.dim_entity(spark, sf).select("entity", F.when(F.col("entity") % 4 == 3, "none").otherwise(F.col("sector").cast("string")).alias("symbol"))
     return J.realized_alpha(pairs, base.select("entity", "dt", "close"), bench.unionByName(market), 4, dim)
 
 

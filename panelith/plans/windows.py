@@ -22,38 +22,46 @@ def price_panel(spark, sf):
     return panel(spark, sf)
 
 
-# Gappy benchmark: value-weighted price of returned lines per region and day, with no series for one
-# region, so that exact alignment, forward fill and the market fallback all occur.
-UNLISTED_SECTOR = 3
-cte("gapbench", "dim", f"""
-SELECT sector, CAST(l_shipdate AS DATE) AS dt, sum(l_extendedprice) / sum(l_quantity) AS bench_close
-FROM lineitem JOIN dim ON entity = l_suppkey WHERE l_returnflag = 'R' AND sector <> {UNLISTED_SECTOR} GROUP BY 1, 2""")
+# Gappy benchmark: value-weighted price of all lines per region, return flag and day. An entity follows the
+# series of its region and of one flag (days without such lines are gaps), or one that does not exist, so
+# that exact alignment, forward fill and the market fallback all occur.
+FLAGS = ["A", "N", "R"]
+cte("gapbench", "dim", """
+SELECT sector * 4 + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS symbol, CAST(l_shipdate AS DATE) AS dt,
+ sum(l_extendedprice) / sum(l_quantity) AS bench_close
+FROM lineitem JOIN dim ON entity = l_suppkey GROUP BY 1, 2""")
+cte("gappanel", "daypanel", "SELECT *, sector * 4 + entity % 4 AS symbol FROM daypanel")
 cte("daymarket", "daypanel", "SELECT dt, sum(notional) / sum(volume) AS market_close FROM daypanel GROUP BY 1")
 
 
 def gap_bench(spark, sf):
-    lines = P.table(spark, sf, "lineitem").where("l_returnflag = 'R'")
-    dim = P.dim_entity(spark, sf).where(F.col("sector") != UNLISTED_SECTOR)
-    # reduce to entity x day first, then to sector x day
-    per_entity = lines.groupBy(F.col("l_suppkey").alias("entity"), P.day_of("l_shipdate").alias("dt")).agg(
+    lines = P.table(spark, sf, "lineitem")
+    flag = F.when(F.col("l_returnflag") == FLAGS[0], 0).when(F.col("l_returnflag") == FLAGS[1], 1).otherwise(2)
+    # reduce to entity x flag x day first, then to symbol x day
+    per_entity = lines.groupBy(F.col("l_suppkey").alias("entity"), flag.alias("flag"), P.day_of("l_shipdate").alias("dt")).agg(
         F.sum("l_extendedprice").alias("notional"), F.sum("l_quantity").alias("volume"))
-    return P.sector_series(per_entity.join(dim, "entity"))
+    symbols = per_entity.join(P.dim_entity(spark, sf), "entity").withColumn("sector", F.col("sector") * 4 + F.col("flag"))
+    return P.sector_series(symbols)
 
 
-@register("align_benchmark_exact", "entity:i dt:d close:f bench:f", "daypanel gapbench daymarket", f"""
-SELECT entity, dt, close, CASE WHEN sector = {UNLISTED_SECTOR} THEN market_close ELSE bench_close END AS bench
-FROM daypanel LEFT JOIN gapbench USING (sector, dt) LEFT JOIN daymarket USING (dt)""")
+def gap_panel(day):
+    return day.withColumn("sector", F.col("sector") * 4 + F.col("entity") % 4)
+
+
+@register("align_benchmark_exact", "entity:i dt:d close:f bench:f", "gappanel gapbench daymarket", """
+SELECT entity, dt, close, CASE WHEN entity % 4 = 3 THEN market_close ELSE bench_close END AS bench
+FROM gappanel LEFT JOIN gapbench USING (symbol, dt) LEFT JOIN daymarket USING (dt)""")
 def align_exact(spark, sf):
     day = P.sector_panel(spark, sf, "day")
-    return align_benchmark(day, gap_bench(spark, sf), P.market_series(day), "exact")
+    return align_benchmark(gap_panel(day), gap_bench(spark, sf), P.market_series(day), "exact")
 
 
-@register("align_benchmark_ffill", "entity:i dt:d close:f bench:f", "daypanel gapbench daymarket", f"""
-SELECT p.entity, p.dt, p.close, CASE WHEN p.sector = {UNLISTED_SECTOR} THEN m.market_close ELSE b.bench_close END AS bench
-FROM daypanel p ASOF LEFT JOIN gapbench b ON p.sector = b.sector AND p.dt >= b.dt LEFT JOIN daymarket m ON m.dt = p.dt""")
+@register("align_benchmark_ffill", "entity:i dt:d close:f bench:f", "gappanel gapbench daymarket", """
+SELECT p.entity, p.dt, p.close, CASE WHEN p.entity % 4 = 3 THEN m.market_close ELSE b.bench_close END AS bench
+FROM gappanel p ASOF LEFT JOIN gapbench b ON p.symbol = b.symbol AND p.dt >= b.dt LEFT JOIN daymarket m ON m.dt = p.dt""")
 def align_ffill(spark, sf):
     day = P.sector_panel(spark, sf, "day")
-    return align_benchmark(day, gap_bench(spark, sf), P.market_series(day), "ffill")
+    return align_benchmark(gap_panel(day), gap_bench(spark, sf), P.market_series(day), "ffill")
 
 
 @register("forward_return", "entity:i dt:d fwd_ret:f direction:s", "fwd",
