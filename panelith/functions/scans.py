@@ -48,6 +48,14 @@ def scan_states(
     step = F.when(F.lit(False), choices[0])
     for i, c in enumerate(choices):
         step = step.when(symbol == i, c)
+    return scan_maps(rows, window, step, n, start, longest, out)
+
+
+def scan_maps(
+    rows: DataFrame, window: WindowSpec, step: Column, n: int, start: int, longest: int, out: str = "state"
+) -> DataFrame:
+    """The same from each row's own map ``step``: up to ``PACKED`` states ``n`` a packed long, beyond an array with
+    the next state of each."""
     rows, reach = rows.withColumn("_map", step), 1
     while reach < longest:
         rows = rows.withColumn("_before", F.lag("_map", reach).over(window))

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from panelith.functions.columns import RANK_DIGITS, finite, guarded_corr, ratio, safe_corr
 from panelith.functions.ranks import fits_window, join_same, order_number, tie_rank
 from panelith.operators.bootstrap import MIX_A, MIX_B, MIX_MOD, resampled_ics
-from panelith.operators.windows import nonoverlap_rows
+from panelith.operators.correlation import pair_correlation
+from panelith.operators.windows import nonoverlap_dates
 from panelith.session import cut_lineage
 
 EULER_GAMMA = 0.5772156649015329
@@ -209,13 +210,12 @@ def horizon_battery(
     overall = rank_ic(long, ["horizon"], pred, "actual", floor).withColumn("scope", F.lit("overall"))
     interval = bootstrap_ic_ci(long, pred, "actual", n_iter, seed=seed, by=["horizon"])
     interval = interval.select("horizon", F.lit("overall").alias("scope"), "ci_lo", "ci_hi")
-    sparse = None
-    for h in horizons:
-        # the mask walks over all rows; outcomes are looked at afterwards
-        part = nonoverlap_rows(rows, gap_days[h]).select(
-            F.lit(h).alias("horizon"), F.col(pred).alias(pred), F.col(f"fwd_{h}").alias("actual")
-        )
-        sparse = part if sparse is None else sparse.unionByName(part)
+    # the mask walks over all rows, all horizons in one pass; outcomes are looked at afterwards
+    kept = nonoverlap_dates(rows, [gap_days[h] for h in horizons])
+    gaps = rows.sparkSession.createDataFrame([(h, gap_days[h]) for h in horizons], "horizon int, gap int")
+    first = rows.groupBy("dt").agg(F.min("entity").alias("entity"))
+    chosen = kept.join(F.broadcast(gaps), "gap").join(first, "dt").select("horizon", "dt", "entity")
+    sparse = long.join(chosen, ["horizon", "dt", "entity"], "left_semi").select("horizon", pred, "actual")
     apart = rank_ic(sparse, ["horizon"], pred, "actual", nonoverlap_floor).withColumn(
         "scope", F.lit("nonoverlap")
     )
@@ -553,18 +553,8 @@ def feature_fold_ic(
 
 
 def feature_correlation(rows: DataFrame, features: list[str]) -> DataFrame:
-    """(a, b, corr) for all pairs, pairwise complete, in one aggregate over the rows. Each pair is
-    computed once and shown both ways."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
-    wide = rows.agg(*[safe_corr(finite(a), finite(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    half = wide.select(F.explode(cells).alias("c")).select("c.*")
-    return half.union(half.where("a <> b").select("b", "a", "corr"))
+    """(a, b, corr) for all pairs both ways, pairwise complete, from matrices that tasks add up."""
+    return pair_correlation(rows, features)
 
 
 def overfit_signal(ics: DataFrame, warn: float = 3.0, train: str = "train_ic", val: str = "val_ic") -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelith.functions.columns import finite, guarded_corr, ratio
+from panelith.operators.correlation import pair_covariance
+from panelith.session import cut_lineage
 
 # The usual flat hyper-priors and stopping rule of evidence-maximised regression.
 HYPER, TOL, MAX_ITER = 1e-6, 1e-3, 300
@@ -250,18 +252,9 @@ def factor_returns(rows: DataFrame, loadings: list[str], ret: str, min_names: in
 
 def factor_covariance(returns: DataFrame, factors: list[str], min_dates: int = 60) -> DataFrame:
     """(a, b, cov) sample covariance of the factor returns over the dates."""
-    wide = returns.groupBy("dt").pivot("factor", factors).agg(F.first("value"))
-    pairs = [(a, b) for a in factors for b in factors]
-    sums = wide.agg(
-        F.count(F.lit(1)).alias("n"), *[F.covar_samp(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    ).where(F.col("n") >= min_dates)
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("cov"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return sums.select(F.explode(cells).alias("c")).select("c.*")
+    wide = cut_lineage(returns.groupBy("dt").pivot("factor", factors).agg(F.first("value")))
+    enough = wide.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_dates)
+    return pair_covariance(wide, factors).crossJoin(F.broadcast(enough)).drop("_n")
 
 
 def idio_variance(

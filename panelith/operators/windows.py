@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelith.functions.columns import by_entity, clamp, finite, full_frame, ratio
 from panelith.functions.ranks import fits_window, order_number, rank_table, tie_rank
-from panelith.functions.scans import scan_affine
+from panelith.functions.scans import PACKED, scan_affine, scan_maps
 from panelith.session import cut_lineage
 
 
@@ -427,12 +427,13 @@ def _composite(
 ) -> DataFrame:
     """Null-aware weighted mean of population z-scores over the rows [first, last].
 
-    Long frames are differences of running sums (of values centred on the whole series), so the
-    cost does not grow with the frame. A variance below rounding noise counts as zero.
+    Long frames are differences of running sums (of values less the series' first one), so the
+    cost does not grow with the frame. A variance below the rounding noise of the sums so far counts as
+    zero; no row looks at later ones.
     """
     used = [f for f in weights if f in features.columns]
     order = Window.orderBy("dt")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    past = order.rowsBetween(Window.unboundedPreceding, 0)
     upto = order.rowsBetween(Window.unboundedPreceding, last)
     before = order.rowsBetween(Window.unboundedPreceding, first - 1)
 
@@ -440,21 +441,21 @@ def _composite(
         zero = F.lit(0.0)
         return F.coalesce(F.sum(col).over(upto), zero) - F.coalesce(F.sum(col).over(before), zero)
 
-    work = features.withColumns(
-        {f"_d_{f}": F.col(f) - F.avg(f).over(whole) for f in used}
-        | {f"_v_{f}": F.var_pop(f).over(whole) for f in used}
-    )
+    # every row with a value has the same first one
+    work = features.withColumns({f"_d_{f}": F.col(f) - F.first(f, ignorenulls=True).over(past) for f in used})
     work = work.withColumns(
         {f"_n_{f}": framed(F.col(f).isNotNull().cast("double")) for f in used}
         | {f"_s_{f}": framed(F.col(f"_d_{f}")) for f in used}
         | {f"_q_{f}": framed(F.col(f"_d_{f}") * F.col(f"_d_{f}")) for f in used}
+        | {f"_v_{f}": F.sum(F.col(f"_d_{f}") * F.col(f"_d_{f}")).over(upto) for f in used}
     )
     total, norm = F.lit(0.0), F.lit(0.0)
     for f in used:
         n, d = F.col(f"_n_{f}"), F.col(f"_d_{f}")
         mean = ratio(F.col(f"_s_{f}"), n)
         var = ratio(F.col(f"_q_{f}"), n) - mean * mean
-        z = F.coalesce((d - mean) / F.sqrt(F.when(var > 1e-13 * F.col(f"_v_{f}"), var)), F.lit(0.0))
+        noise = 1e-13 * ratio(F.col(f"_v_{f}"), n)
+        z = F.coalesce((d - mean) / F.sqrt(F.when(var > noise, var)), F.lit(0.0))
         present = F.col(f).isNotNull()
         total = total + F.when(present, z * weights[f]).otherwise(0.0)
         norm = norm + F.when(present, F.lit(abs(weights[f]))).otherwise(0.0)
@@ -507,24 +508,32 @@ def regime_labels(market: DataFrame, horizon: int = 20, bear: float = -0.03, bul
 # --- selections ------------------------------------------------------------------------------
 
 
-def nonoverlap_dates(rows: DataFrame, gap_days: int, dt: str = "dt") -> DataFrame:
-    """Greedy walk over the sorted distinct dates: keep a date when it is at least ``gap_days``
-    calendar days behind the last kept one."""
-    kept = F.aggregate(
-        F.array_sort(F.collect_set(dt)),
-        F.expr("cast(array() as array<date>)"),
-        lambda acc, d: F.when(
-            (F.size(acc) == 0) | (F.datediff(d, F.try_element_at(acc, F.lit(-1))) >= gap_days),
-            F.concat(acc, F.array(d)),
-        ).otherwise(acc),
+def nonoverlap_dates(rows: DataFrame, gaps: list[int], dt: str = "dt") -> DataFrame:
+    """(gap, dt) of the dates that a greedy walk over the sorted distinct dates keeps, for each gap: a date is kept
+    when it is at least ``gap`` calendar days behind the last kept one.
+
+    The state is the number of days since the last kept date, below the gap; a date maps states to states by
+    the days since the date before, so the walk is a scan of maps.
+    """
+    gaps = sorted({max(1, g) for g in gaps})
+    days = cut_lineage(rows.select(dt).where(F.col(dt).isNotNull()).distinct())
+    longest = days.count()
+    each = days.withColumn("gap", F.explode(F.array(*[F.lit(g) for g in gaps])))
+    by_gap = Window.partitionBy("gap").orderBy(dt)
+    since = F.datediff(dt, F.lag(dt).over(by_gap))
+    each = each.withColumn("_since", F.least(F.coalesce(since, F.col("gap")), F.col("gap")))
+    step = F.transform(
+        F.sequence(F.lit(0), F.lit(gaps[-1] - 1)),
+        lambda s: F.when(s + F.col("_since") >= F.col("gap"), 0).otherwise(s + F.col("_since")),
     )
-    return rows.agg(kept.alias("k")).select(F.explode("k").alias(dt))
+    walked = scan_maps(each, by_gap, step, PACKED + 1, 0, longest, "_state")
+    return walked.where("_state = 0").select("gap", dt)
 
 
 def nonoverlap_rows(rows: DataFrame, gap_days: int, tiebreak: str = "entity", dt: str = "dt") -> DataFrame:
     """One row per kept date, the first by ``tiebreak``."""
     first = rows.groupBy(dt).agg(F.min(tiebreak).alias(tiebreak))
-    return rows.join(first.join(nonoverlap_dates(rows, gap_days, dt), dt), [dt, tiebreak], "left_semi")
+    return rows.join(first.join(nonoverlap_dates(rows, [gap_days], dt), dt), [dt, tiebreak], "left_semi")
 
 
 def top_k_per_group(
