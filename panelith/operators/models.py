@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from panelith.functions.ranks import exact_quantiles, order_number, tie_rank
 from panelith.operators import evaluation as E
 from panelith.operators import folds as FD
 from panelith.operators import gram as G
+from panelith.operators.bootstrap import MIX_A, MIX_B, MIX_MOD, MIX_STEP
+from panelith.operators.isotonic import isotonic_blocks, isotonic_curve
 from panelith.session import cut_lineage
 
 #: registered versions that are scored side by side in every task
@@ -118,10 +122,10 @@ def fit_calibrator(rows: DataFrame, alpha: str, label: str, method: str = "isoto
     # fitted over several passes: computed once
     data = cut_lineage(rows.select(finite(alpha).alias("alpha"), finite(label).alias("label")).dropna())
     if method == "isotonic":
-        model = IsotonicRegression(featuresCol="alpha", labelCol="label").fit(data)
+        curve = isotonic_curve(isotonic_blocks(data, "alpha", "label"))
 
         def raw(df: DataFrame) -> DataFrame:
-            return model.transform(df).withColumnRenamed("prediction", "p_up")
+            return df.withColumn("p_up", curve(F.col("alpha")))
     elif method == "logistic":
         n = data.count()
         model = LogisticRegression(regParam=1.0 / (c * n), standardization=False).fit(assemble(data, ["alpha"]))
@@ -448,29 +452,65 @@ def add_one_in(rows: DataFrame, base: list[str], extra: list[str], y: str, forwa
     return feature_variants(rows, [*base, *extra], y, forward, variants, **kw)
 
 
+ROUNDS = 4
+
+
+def shuffled_place(place: Column, n: int, key: int) -> Column:
+    """A bijection of 0 .. n - 1, another for each ``key``: Feistel rounds on the quotient and the remainder by the
+    root of n, repeated from where they lead while that is n or more (cycle walking)."""
+    side = isqrt(max(n, 1) - 1) + 1
+
+    def folded(r: Column, k: Column) -> Column:
+        v = (r * MIX_A + (k % ROUNDS) * MIX_STEP + key) % MIX_MOD
+        v = v.bitwiseXOR(F.shiftright(v, 15)) * MIX_B % MIX_MOD
+        return v.bitwiseXOR(F.shiftright(v, 13))
+
+    def walk(start: Column, steps: int) -> Column:
+        def turn(at: Column, k: Column) -> Column:
+            left, right = at["l"], at["r"]
+            done = (k % ROUNDS == 0) & (k > 0) & (left * side + right < n)
+            on = F.struct(right.alias("l"), ((left + folded(right, k)) % side).alias("r"), at["done"].alias("done"))
+            return F.when(at["done"] | done, F.struct(left.alias("l"), right.alias("r"), F.lit(True).alias("done"))).otherwise(on)
+
+        first = F.struct(F.floor(start / side).cast("long").alias("l"), (start % side).alias("r"), F.lit(False).alias("done"))
+        turns = F.sequence(F.lit(0).cast("long"), F.lit(steps - 1).cast("long"))
+        return F.aggregate(turns, first, turn, lambda at: at["l"] * side + at["r"])
+
+    once = walk(place, ROUNDS)
+    # a walk meets each of the side**2 - n places outside at most once; 64 in a row do not occur beyond that
+    more = min(side * side - n, 64)
+    if not more:
+        return once
+    again = walk(place, ROUNDS * (more + 1))
+    return F.when(once < n, once).otherwise(F.when(again < n, again).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long")))
+
+
 def permutation_importance(
     scored: DataFrame, models: DataFrame, features: list[str], y: str, pred: str = "pred"
 ) -> DataFrame:
-    """(feature, ic_drop): loss of in-sample IC when one column is shuffled. The shuffle is a join of
-    two hash orders of the same rows, so it needs no global sort in one task."""
+    """(feature, ic_drop): loss of in-sample IC when one column is shuffled.
+
+    Rows are numbered once, by (dt, entity); a keyed bijection of the numbers says where a row's value of each
+    feature goes, so that all features take one sort and one join of narrow rows.
+    """
     model = models.select("coef")
-    thin = scored.select(*features, y, pred, F.struct("entity", "dt").alias("_id"))
-    thin = cut_lineage(thin.withColumn("_h0", F.xxhash64("_id").cast("double")))
-    base = cut_lineage(order_number(thin, [], "_h0", "_id", "_pos", digits=None, staged=True))
-    out = None
-    for i, f in enumerate(features):
-        donors = order_number(
-            base.select("_id", F.col(f).alias("_x"), F.xxhash64(F.lit(f), "_id").cast("double").alias("_h")),
-            [], "_h", "_id", "_pos2", digits=None, staged=True,
-        ).select(F.col("_pos2").alias("_pos"), "_x")
-        mixed = base.join(donors, "_pos").crossJoin(F.broadcast(model)).withColumn(
-            "_p", F.col(pred) + F.get("coef", F.lit(i)) * (F.col("_x") - F.col(f))
-        )
-        drop = mixed.agg(
-            (safe_corr(F.col(pred), F.col(y)) - F.coalesce(safe_corr(F.col("_p"), F.col(y)), F.lit(0.0))).alias("ic_drop")
-        ).select(F.lit(f).alias("feature"), "ic_drop")
-        out = drop if out is None else out.unionByName(drop)
-    return out
+    thin = cut_lineage(scored.select(*[finite(f).alias(f) for f in features], y, pred, "entity", F.unix_date("dt").cast("double").alias("_day")))
+    n = thin.count()
+    base = cut_lineage(
+        order_number(thin, [], "_day", "entity", "_pos", digits=None, staged=True).withColumn("_pos", F.col("_pos").cast("long") - 1)
+    )
+    sent = F.array(*[
+        F.struct(F.lit(i).alias("i"), shuffled_place(F.col("_pos"), n, i).alias("_pos"), F.col(f).alias("_x"))
+        for i, f in enumerate(features)
+    ])
+    donors = base.select(F.explode(sent).alias("s")).select("s.*")
+    mixed = base.join(donors, "_pos").crossJoin(F.broadcast(model)).withColumn(
+        "_p", F.col(pred) + F.get("coef", F.col("i")) * (F.col("_x") - F.get(F.array(*features), F.col("i")))
+    )
+    drop = mixed.groupBy("i").agg(
+        (safe_corr(F.col(pred), F.col(y)) - F.coalesce(safe_corr(F.col("_p"), F.col(y)), F.lit(0.0))).alias("ic_drop")
+    )
+    return drop.select(F.get(F.array(*[F.lit(f) for f in features]), F.col("i")).alias("feature"), "ic_drop")
 
 
 # --- scoring --------------------------------------------------------------------------------------

@@ -19,6 +19,7 @@ from panelith.operators import models as M
 from panelith.operators import pipeline as PL
 from panelith.operators import states as S
 from panelith.operators import windows as W
+from panelith.operators.bootstrap import MIX_A, MIX_B, MIX_MOD, MIX_STEP
 from panelith.plans.base import FEATURES, aligned, features, forward, panel
 from panelith.plans.evaluation import BOOT, bound, eval_rows, sql_bootstrap, sql_dates, sql_ic
 from panelith.plans.joins import asof_rows, candidates, modifiers, population, score_tables
@@ -259,7 +260,22 @@ def linear_importance(spark, sf):
     return G.standardized_coefficients(G.fit_bayes_ridge(meta_frame(spark, sf), META, "fwd_ret"), META, ["model"])
 
 
-@register("permutation_importance", "feature:s ic_drop:f")
+FOLD_SQL = "(r * {A} + (k % {T}) * {S} + i) % {M}".format(A=MIX_A, T=M.ROUNDS, S=MIX_STEP, M=MIX_MOD)
+
+
+@register("permutation_importance", "feature:s ic_drop:f", "gram", f"""
+, st AS (SELECT 'all' AS model, {SUMMED} FROM gram)
+{sql_bayes('st', 'model')},
+pos AS (SELECT e.*, m.c AS coef, {sql_value()} AS pred, row_number() OVER (ORDER BY e.dt, e.entity) - 1 AS p FROM er e, model m),
+side AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM pos),
+walk AS (
+ SELECT i, p, CAST(0 AS BIGINT) AS k, CAST(p // a AS BIGINT) AS l, CAST(p % a AS BIGINT) AS r FROM pos, side, (SELECT unnest(range({K})) AS i)
+ UNION ALL SELECT i, p, k + 1, r, (l + xor(w, w >> 13)) % a FROM (
+  SELECT *, xor(v, v >> 15) * {MIX_B} % {MIX_MOD} AS w FROM (SELECT *, {FOLD_SQL} AS v FROM walk, side WHERE k = 0 OR k % {M.ROUNDS} <> 0 OR l * a + r >= n))),
+sent AS (SELECT i, p, l * a + r AS q FROM walk, side WHERE k > 0 AND k % {M.ROUNDS} = 0 AND l * a + r < n),
+x AS (SELECT p, y, pred, coef, [{', '.join(f'x{i}' for i in range(K))}] AS v FROM pos)
+SELECT [{', '.join(f"'{f}'" for f in META)}][s.i + 1] AS feature, corr(o.pred, o.y) - coalesce(corr(o.pred + o.coef[s.i + 1] * (d.v[s.i + 1] - o.v[s.i + 1]), o.y), 0) AS ic_drop
+FROM sent s JOIN x d ON d.p = s.p JOIN x o ON o.p = s.q GROUP BY s.i""")
 def permutation_importance(spark, sf):
     rows = meta_rows(spark, sf)
     models = G.fit_bayes_ridge(rows, META, "fwd_ret")
