@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelith.llm.staging import Stage
+from panelith.llm.staging import Stage, free_names
 
 WEIGHTS = (3, 1, 2)
 SHARE, REPEATS, SEEDS = 1.5, 2, 32
@@ -122,10 +122,11 @@ def mix_documents(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as ``mix_sources`` takes it; texts are not shuffled."""
     _, plans, few = plan_mix(docs, weights, share, repeats, seeds)
-    plans = plans.select(F.col("its_source").alias("__source"), F.col("mix").alias("__mix"))
-    rows = docs.join(_near(plans, few), F.col("source").eqNullSafe(F.col("__source")))
+    its, mix = free_names(docs, "__source", "__mix")
+    plans = plans.select(F.col("its_source").alias(its), F.col("mix").alias(mix))
+    rows = docs.join(_near(plans, few), F.col("source").eqNullSafe(F.col(its)))
     own = [F.col(f"`{c}`") for c in docs.columns]
-    copies = _copies("__mix")
+    copies = _copies(mix)
     return rows.where(copies > 0).select(*own, F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*own)
 
 

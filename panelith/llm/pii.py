@@ -32,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelith.llm.staging import Stage
+from panelith.llm.staging import Stage, free_names
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -343,13 +343,14 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
 
     Rows without personal data pass unchanged; a null text stays null. Every row and column is kept.
     """
+    key, spans, has = free_names(docs, "__row", "__spans", "__hit")
     found = find_personal(docs, **thresholds).where("size(base) > 0").dropDuplicates(["row"]).select(
-        F.col("row").alias("__row"), F.concat("base", "terms").alias("__spans")
+        F.col("row").alias(key), F.concat("base", "terms").alias(spans)
     )
     own = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.withColumn("__hit", F.coalesce(F.size(base_spans(F.col("text"))) > 0, F.lit(False)))
-    hit = rows.where("__hit").withColumn("__row", text_key(F.col("text"))).join(found, "__row", "left")
-    hit = hit.withColumn("text", masked(F.col("text"), F.col("__spans")))
+    rows = docs.withColumn(has, F.coalesce(F.size(base_spans(F.col("text"))) > 0, F.lit(False)))
+    hit = rows.where(F.col(has)).withColumn(key, text_key(F.col("text"))).join(found, key, "left")
+    hit = hit.withColumn("text", masked(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.where("NOT __hit").select(*own).unionByName(hit.select(*own))
+    return rows.where(~F.col(has)).select(*own).unionByName(hit.select(*own))

@@ -40,3 +40,14 @@ class Stage:
 def spread_count(spark: SparkSession) -> int:
     """Partitions for a shuffle whose rows cost more CPU than their bytes suggest."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` has them (names are compared without case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -1,5 +1,7 @@
 """The pipeline on the smallest table: what each stage may and may not do."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from tests.llm import brute
 
@@ -49,3 +51,33 @@ def test_run_over_everything(spark, sf):
     rows = P.run(spark, sf)
     assert rows.columns == ["doc_id", "lang", "source", "ids", "n_pieces", "exact"]
     assert rows.count() > 50
+
+
+RESERVED = ["__text", "__doc_id", "__row", "__hit", "__spans", "__source", "__mix", "__TEXT_"]
+
+
+def test_columns_with_the_names_used_inside(spark, sf, make):
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "mail a.b@example.org now"), (4, None)]
+    docs = make(rows)
+    for i, name in enumerate(RESERVED):
+        docs = docs.withColumn(name, F.lit(f"kept {i}"))
+    for stage in (P.drop_near_duplicates, P.mask_personal_data, P.mix_to_weights):
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert all(r[name] == f"kept {i}" for r in found for i, name in enumerate(RESERVED))
+        if stage is P.drop_near_duplicates:
+            assert sorted(r["doc_id"] for r in found) == [1, 3, 4]
+        if stage is P.mask_personal_data:
+            assert len(found) == 4 and not any("example.org" in (r["text"] or "") for r in found)
+
+
+def test_empty_documents(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+    out = P.drop_near_duplicates(spark, docs, sf)
+    assert out.columns == docs.columns and out.count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = P.run(spark, str(tmp_path))
+    assert rows.columns == ["doc_id", "lang", "source", "ids", "n_pieces", "exact"]
+    assert rows.count() == 0
