@@ -15,7 +15,7 @@ from panelith.llm.mixing import mix_documents
 from panelith.llm.pieces import encode_texts
 from panelith.llm.pii import sanitise
 from panelith.llm.quality import filter_quality
-from panelith.llm.staging import Stage
+from panelith.llm.staging import Stage, free_names
 
 #: near duplicates share 0.8 of their shingles of five words, or more
 SHINGLE = 5
@@ -29,7 +29,8 @@ def filter_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest doc_id.
 
-    Of rows equal in doc_id and text one stays. Documents without words form no group; all stay.
+    Of rows equal in doc_id and text one stays. Documents without words form no group; all stay. An empty table
+    gives an empty table. Columns of any name pass.
     """
     found = near_duplicates(docs, width=SHINGLE)
     key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("key"), "row")
@@ -37,15 +38,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = stage.write(found.where("family IS NOT NULL").select("doc_id", "row", "family", key.alias("place")))
     first = stage.write(found.groupBy("family").agg(F.min("place").alias("first")))
     gone = found.join(first, "family").where("place <> first").select("doc_id", "row").distinct()
-    gone = gone.toDF("__doc_id", "__row")
-    rows = docs.withColumn("__text", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__text") == F.col("__row")), "left_anti"
+    text, its_id, its_text = free_names(docs, "__text", "__doc_id", "__row")
+    gone = gone.toDF(its_id, its_text)
+    rows = docs.withColumn(text, F.xxhash64("text")).join(
+        gone, F.col("doc_id").eqNullSafe(F.col(its_id)) & (F.col(text) == F.col(its_text)), "left_anti"
     )
     # repeated rows of the document that stays
     if not found.groupBy("doc_id", "row").count().where("count > 1").isEmpty():
         blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-        rows = rows.where(~blank).dropDuplicates(["doc_id", "__text"]).unionByName(rows.where(blank))
-    return rows.drop("__text")
+        rows = rows.where(~blank).dropDuplicates(["doc_id", text]).unionByName(rows.where(blank))
+    return rows.drop(text)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +77,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over the whole documents table."""
+    """The rows of the last stage over the whole documents table; none if it is empty."""
     stage = Stage(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, function) in enumerate(STAGES):
