@@ -11,6 +11,7 @@ SAMPLE = [
     "triple_barrier_alpha", "canonical_alpha", "drawdown_tiers", "macro_weekly", "upsert_predictions",
     "leave_one_out", "ks_drift", "stream_bars", "fit_bayes_ridge", "factor_covariance", "estimator_oos_ic",
     "drawdown_tiers_gated", "change_points", "latch_grid", "ewm_indicators", "ewm_std", "score_cross_section",
+    "feature_correlation", "nonoverlap_rows", "composite_intensity", "permutation_importance", "align_benchmark_exact",
 ]
 
 
