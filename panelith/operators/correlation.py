@@ -76,8 +76,9 @@ def pair_moments(rows: DataFrame, columns: list[str]) -> DataFrame:
     both = merged.unionByName(
         merged.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "n", F.col("syy").alias("sxx"), F.col("sxx").alias("syy"), "sxy")
     )
-    names = spark.createDataFrame(list(enumerate(columns)), "i int, a string")
-    pairs = names.crossJoin(names.select(F.col("i").alias("j"), F.col("a").alias("b")))
+    k, names = len(columns), F.array(*[F.lit(c) for c in columns])
+    pairs = spark.range(k * k).select(F.expr(f"cast(id div {k} as int)").alias("i"), F.expr(f"cast(id % {k} as int)").alias("j"))
+    pairs = pairs.select("i", "j", F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"))
     out = pairs.join(both, ["i", "j"], "left")
     return out.select("a", "b", F.coalesce("n", F.lit(0.0)).cast("long").alias("n"), "sxx", "syy", "sxy")
 
