@@ -106,3 +106,25 @@ def test_auc_matches_pair_counting(spark):
     got = M.auc_brier(spark.createDataFrame(pdf), "p", "y").first().auc
     pairs = [(a > b) + 0.5 * (a == b) for a in pdf.p[pdf.y == 1] for b in pdf.p[pdf.y == 0]]
     assert got == pytest.approx(np.mean(pairs))
+
+
+def test_states_without_rows_have_probability_zero(spark):
+    """Large markets move little: a label that no row has must not take its column away."""
+    rows = spark.createDataFrame([(0.1 * i, 0.5, i % 2) for i in range(20)], "back double, breadth double, label int")
+    got = M.fit_state_classifier(rows, ["back", "breadth"], "label", classes=3)(rows)
+    assert {r.p2 for r in got.select("p2").collect()} == {0.0}
+
+
+def test_cross_products_by_task_equal_plain_sums(spark, monkeypatch):
+    monkeypatch.setattr(G, "GRAM_ROWS", 3)
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(200, 4)), columns=["a", "b", "y", "w"]).assign(k=rng.integers(0, 7, 200))
+    pdf.loc[::9, "a"] = None
+    rows = spark.createDataFrame(pdf).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    got = {r.k: r.asDict() for r in G.gram_table(rows, ["a", "b"], "y", ["k"], "w").collect()}
+    known = pdf.dropna()
+    for k, x in known.groupby("k"):
+        row = got[k if k else None]
+        assert row["n"] == len(x) and row["w"] == pytest.approx(x.w.sum())
+        assert row["xx0_1"] == pytest.approx((x.w * x.a * x.b).sum()) and row["xy1"] == pytest.approx((x.w * x.b * x.y).sum())
+    assert len(got) == known.k.nunique()

@@ -165,3 +165,26 @@ def test_variants_use_their_own_rows(spark):
         assert got[variant]["n"] == len(preds)
         assert got[variant]["xsec_ic"] == pytest.approx(np.mean(per_date), abs=1e-9)
         assert got[variant]["pooled_ic"] == pytest.approx(preds.pred.rank().corr(preds.y.rank()), abs=1e-9)
+
+
+def test_long_strips_hold_every_row_once(spark):
+    """Two packed strips and their matrices per date, against cumulative sums over the whole group."""
+    rng = np.random.default_rng(3)
+    n, n_dates = 3000, 5
+    pdf = pd.DataFrame({"g": 0, "dt": rng.integers(0, n_dates, n), "_p": rng.normal(size=n), "_a": rng.normal(size=n), "_c": rng.integers(1, 3, n)})
+    pdf["_a"] += pdf["_p"]
+    both = E.cut_lineage(spark.createDataFrame(pdf))
+    ics = [{r.iter: r.ic for r in B.resampled_ics(both, ["g"], 40, 7, strip=s).collect()} for s in (None, 700)]
+    assert ics[0].keys() == ics[1].keys()
+    for i, ic in ics[0].items():
+        assert ics[1][i] == pytest.approx(ic, abs=1e-12)
+
+
+def test_a_strip_is_shipped_packed(spark):
+    """What stands before positions of a strip is looked up, on every boundary of the stored table."""
+    rng = np.random.default_rng(4)
+    date, count = rng.integers(0, 3, 1000).astype(np.uint16), rng.integers(1, 4, 1000)
+    strip = B.LongStrip(date, count, np.array([5.0, 0.0, 7.0]))
+    at = np.array([0, 1, B.STEP - 1, B.STEP, B.STEP + 1, 999, 1000])
+    want = [np.bincount(date[:i], count[:i], minlength=3) + [5, 0, 7] for i in at]
+    np.testing.assert_array_equal(strip.before(at), want)
