@@ -12,6 +12,7 @@ from panelith.operators import evaluation as E
 from panelith.operators import gram as G
 from panelith.operators import labels as L
 from panelith.operators import models as M
+from panelith.operators import variants as V
 from panelith.operators import states as S
 from panelith.operators import windows as W
 
@@ -167,6 +168,32 @@ def test_variants_use_their_own_rows(spark):
         assert got[variant]["pooled_ic"] == pytest.approx(preds.pred.rank().corr(preds.y.rank()), abs=1e-9)
 
 
+def test_variants_travel_as_one_row(spark, monkeypatch):
+    """Many small pieces give what a row per variant gives, with ties, missing values and a table of copies."""
+    rng = np.random.default_rng(6)
+    n_dates, n_names = 70, 30
+    pdf = pd.DataFrame({"entity": np.tile(np.arange(n_names), n_dates), "dt": np.repeat(np.arange(n_dates), n_names)})
+    for f in "abc":
+        pdf[f] = rng.integers(0, 4, len(pdf)).astype(float)
+    pdf["y"] = (0.3 * pdf.a + rng.normal(size=len(pdf))).round(2)
+    pdf.loc[rng.random(len(pdf)) < 0.3, "c"] = None
+    pdf = pd.concat([pdf, pdf[pdf["dt"] % 7 == 0]])
+    rows = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "entity long, dt int, a double, b double, c double, y double")
+    kw = {"min_test": 8, "group_bound": n_names}
+    monkeypatch.setattr(V, "PIECE_ROWS", 150)
+    with monkeypatch.context() as m:
+        m.setattr(M, "oos_read", None)  # the row per variant would be read here
+        got = {r["variant"]: r for r in M.leave_one_out(rows, list("abc"), "y", 4, **kw).collect()}
+    monkeypatch.setattr(M, "fits_window", lambda bound: False)
+    want = {r["variant"]: r for r in M.leave_one_out(rows, list("abc"), "y", 4, **kw).collect()}
+    assert got.keys() == want.keys() and len(want) == 4
+    for variant, r in want.items():
+        for c in ("n", "n_dates", "n_folds", "status"):
+            assert got[variant][c] == r[c]
+        for c in ("pooled_ic", "xsec_ic", "ic_added"):
+            assert got[variant][c] == pytest.approx(r[c], abs=1e-9)
+
+
 def test_long_strips_hold_every_row_once(spark):
     """Two packed strips and their matrices per date, against cumulative sums over the whole group."""
     rng = np.random.default_rng(3)
