@@ -194,6 +194,30 @@ def test_variants_travel_as_one_row(spark, monkeypatch):
             assert got[variant][c] == pytest.approx(r[c], abs=1e-9)
 
 
+def test_horizons_share_the_inputs(spark, monkeypatch):
+    """The inputs are written once for all horizons; each horizon reads what it reads alone."""
+    rng = np.random.default_rng(8)
+    n_dates, n_names = 90, 12
+    pdf = pd.DataFrame({"entity": np.tile(np.arange(n_names), n_dates), "dt": np.repeat(np.arange(n_dates), n_names)})
+    for f in "ab":
+        pdf[f] = rng.normal(size=len(pdf))
+    for h in (1, 4):
+        pdf[f"fwd_{h}"] = 0.3 * pdf.a + rng.normal(size=len(pdf))
+        pdf.loc[pdf["dt"] >= n_dates - h, f"fwd_{h}"] = None
+    rows = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "entity long, dt int, a double, b double, fwd_1 double, fwd_4 double")
+    written = []
+    stage = M.cut_lineage
+    monkeypatch.setattr(M, "cut_lineage", lambda df: written.append(df.columns) or stage(df))
+    got = {r["horizon"]: r for r in M.horizon_curve(rows, ["a", "b"], [1, 4], min_test=8, group_bound=n_names).collect()}
+    assert len([c for c in written if "a" in c]) == 1 and not [c for c in written if "a" in c and "horizon" in c]
+    for h in (1, 4):
+        want = M.leakfree_oos_ic(rows, ["a", "b"], f"fwd_{h}", h, min_test=8, group_bound=n_names).first()
+        for c in ("n", "n_dates", "n_folds", "status"):
+            assert got[h][c] == want[c]
+        for c in ("pooled_ic", "xsec_ic"):
+            assert got[h][c] == pytest.approx(want[c], abs=1e-9)
+
+
 def test_long_strips_hold_every_row_once(spark):
     """Two packed strips and their matrices per date, against cumulative sums over the whole group."""
     rng = np.random.default_rng(3)
