@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from panelith.functions.columns import RANK_DIGITS, finite, guarded_corr, ratio, safe_corr
 from panelith.functions.ranks import fits_window, join_same, order_number, pooled_ranks, tie_rank
+from panelith.operators import variants as V
 from panelith.operators.bootstrap import MIX_A, MIX_B, MIX_MOD, resampled_ics
 from panelith.operators.correlation import pair_correlation
 from panelith.operators.windows import nonoverlap_dates
@@ -107,13 +108,35 @@ def long_features(rows: DataFrame, features: list[str], keep: list[str]) -> Data
     )
 
 
+def feature_ic_series(
+    rows: DataFrame, features: list[str], actual: str, group_bound: int | None = None
+) -> DataFrame:
+    """(feature, dt, ic, n): every feature's cross-sectional rank IC per date; dates that cannot be measured drop out.
+    Cross-sections beyond a task go through the long form, a row per feature."""
+    if fits_window(group_bound):
+        return V.column_ics(rows, features, actual)
+    return ic_series(long_features(rows, features, ["entity", "dt", actual]), "value", actual, ["feature"], group_bound)
+
+
+def realized_reads(rows: DataFrame, features: list[str], actual: str) -> DataFrame:
+    """``realized_read`` of every feature: (feature, ic, n, n_weeks). A row travels once for all features."""
+    known = cut_lineage(V.known_columns(rows, features, actual, ["dt", F.lit(0).alias("_day")]))
+    ics = V.pooled_column_ics(known, features)
+    if ics is None:
+        return realized_read(long_features(rows, features, ["dt", actual]), "value", actual, ["feature"])
+    has = [F.max((F.col("_missing").bitwiseAND(1 << i) == 0).cast("int")).alias(f"_{i}") for i in range(len(features))]
+    seen = F.filter(F.array(*[F.when(F.col(f"_{i}") == 1, F.lit(f)) for i, f in enumerate(features)]), lambda f: f.isNotNull())
+    # a row per date
+    dates = known.groupBy("dt").agg(*has).select("dt", F.explode(seen).alias("feature"))
+    weeks = dates.groupBy("feature").agg(F.countDistinct(iso_week()).alias("n_weeks"))
+    return ics.drop("_day").join(weeks, "feature")
+
+
 def feature_ic(
     rows: DataFrame, features: list[str], actual: str, group_bound: int | None = None
 ) -> DataFrame:
-    """Every feature's own mean cross-sectional IC in one pass over the long form."""
-    long = long_features(rows, features, ["entity", "dt", actual])
-    series = ic_series(long, "value", actual, ["feature"], group_bound)
-    return mean_rank_ic(series, ["feature"])
+    """Every feature's own mean cross-sectional IC."""
+    return mean_rank_ic(feature_ic_series(rows, features, actual, group_bound), ["feature"])
 
 
 def prune_features(ics: DataFrame, features: list[str], noise: float) -> DataFrame:
@@ -524,11 +547,33 @@ def mode_summary(history: DataFrame, modes: list[str], base: str) -> DataFrame:
     ).crossJoin(F.broadcast(total)).withColumn("win_share", F.col("wins") / F.col("_t")).drop("_t")
 
 
-def feature_fold_ic(
-    rows: DataFrame, features: list[str], actual: str, fold: str = "fold", floor: int = 100
-) -> DataFrame:
-    """Per feature: median, quartiles and share positive of the per-fold Pearson and Spearman.
-    A fold with enough rows but a constant side counts as 0."""
+#: features x folds whose numbers the driver holds
+MANY_READS = 2_000
+
+
+def _fold_ics(known: DataFrame, features: list[str], actual: str, fold: str, floor: int) -> DataFrame | None:
+    """(feature, p, s, n) per feature and fold from written rows of ``known_columns``; None where these cannot be read
+    in pieces."""
+    # a row per fold
+    names = sorted(r[fold] for r in known.select(fold).distinct().limit(MANY_READS + 1).collect())
+    if not names or len(names) * len(features) > MANY_READS:
+        return None
+    number = F.create_map(*[F.lit(x) for i, v in enumerate(names) for x in (v, i)])
+    known = known.withColumn("_day", F.element_at(number, F.col(fold)))
+    ics = V.pooled_column_ics(known, features, len(names))
+    if ics is None:
+        return None
+    own = known.select("_day", actual, *[
+        F.when(F.col("_missing").bitwiseAND(1 << i) == 0, F.col(f)).alias(f) for i, f in enumerate(features)
+    ])
+    reads = own.groupBy("_day").agg(*[guarded_corr(f, actual, floor).alias(f) for f in features])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("p")) for f in features])
+    pearson = reads.select("_day", F.explode(pairs).alias("r")).select("_day", "r.*")
+    return pearson.join(ics, ["feature", "_day"]).select("feature", "p", F.when(F.col("n") >= floor, F.col("ic")).alias("s"), "n")
+
+
+def _long_fold_ics(rows: DataFrame, features: list[str], actual: str, fold: str, floor: int) -> DataFrame:
+    """The same with a row per feature."""
     long = long_features(rows, features, [fold, actual]).withColumns(
         {"value": finite("value"), actual: finite(actual)}
     ).dropna(subset=["value", actual])
@@ -538,7 +583,19 @@ def feature_fold_ic(
         guarded_corr("value", actual, floor).alias("p"), F.count(F.lit(1)).alias("n")
     )
     spearman = rank_ic(long, keys, "value", actual, floor).select(*keys, F.col("ic").alias("s"))
-    per_fold = pearson.join(spearman, keys).where(F.col("n") >= floor).na.fill(0.0, ["p", "s"])
+    return pearson.join(spearman, keys)
+
+
+def feature_fold_ic(
+    rows: DataFrame, features: list[str], actual: str, fold: str = "fold", floor: int = 100
+) -> DataFrame:
+    """Per feature: median, quartiles and share positive of the per-fold Pearson and Spearman.
+    A fold with enough rows but a constant side counts as 0."""
+    known = cut_lineage(V.known_columns(rows.where(F.col(fold).isNotNull()), features, actual, [fold]))
+    per_fold = _fold_ics(known, features, actual, fold, floor)
+    if per_fold is None:
+        per_fold = _long_fold_ics(rows, features, actual, fold, floor)
+    per_fold = per_fold.where(F.col("n") >= floor).na.fill(0.0, ["p", "s"])
 
     def stats(c: str, name: str) -> list[Column]:
         return [

@@ -13,7 +13,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +44,89 @@ def model_table(models: DataFrame, tests: DataFrame, table: DataFrame) -> tuple[
     return names, by_date, tests.sparkSession.createDataFrame(list(number.items()), schema)
 
 
+def settled(values: np.ndarray) -> np.ndarray:
+    """Rounded to the digits that ranks see; large numbers hold no such digits and stay as they are."""
+    return np.where(np.abs(values) < 1e5, np.round(values, RANK_DIGITS), values)
+
+
 def predict(x: np.ndarray, intercept: float, coef: np.ndarray) -> np.ndarray:
     out = np.full(len(x), intercept)
     for i, c in enumerate(coef):
         out = out + c * x[:, i]
-    return np.round(out, RANK_DIGITS)
+    return settled(out)
 
 
 def mean_ranks(values: np.ndarray) -> np.ndarray:
     return pd.Series(values).rank(method="average").to_numpy()
 
 
+def ranks_along(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Tie-averaged ranks of the values at ``order`` (positions by ascending value), in that order."""
+    ascending = values[order]
+    starts = np.flatnonzero(np.r_[True, ascending[1:] != ascending[:-1]])
+    ends = np.r_[starts[1:], len(order)]
+    return np.repeat((starts + ends + 1) / 2, ends - starts)
+
+
+def column_ics(rows: DataFrame, features: list[str], y: str, dt: str = "dt", floor: int = 2) -> DataFrame:
+    """(feature, dt, ic, n): rank correlation of every column with the outcome per date, each over the rows that know
+    both; dates that cannot be measured drop out. Rows travel once for all columns, a task takes a date."""
+    cols = [f"_{i}" for i in range(len(features))]
+    thin = rows.select(
+        F.unix_date(dt).alias("_day"), finite(y).alias("_y"), *[finite(f).alias(c) for f, c in zip(features, cols)]
+    ).where("_y IS NOT NULL")
+
+    def read(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        actual = settled(pdf["_y"].to_numpy())
+        by_actual, out = np.argsort(actual, kind="stable"), []
+        rank = np.empty(len(actual))
+        for name, c in zip(features, cols):
+            x = settled(pdf[c].to_numpy(dtype=float))
+            has = ~np.isnan(x)
+            if has.sum() < max(floor, 1):
+                continue
+            order = by_actual[has[by_actual]]
+            rank[order] = ranks_along(actual, order)
+            a = rank[has]
+            order = np.argsort(x[has], kind="stable")
+            p = np.empty(len(a))
+            p[order] = ranks_along(x[has], order)
+            if a.min() < a.max() and p.min() < p.max():
+                out.append((name, key[0], float(np.corrcoef(p, a)[0, 1]), len(p)))
+        return pd.DataFrame(out, columns=["feature", "_day", "ic", "n"])
+
+    found = thin.groupBy("_day").applyInPandas(read, "feature string, _day int, ic double, n long")
+    return found.select("feature", F.date_from_unix_date("_day").alias(dt), "ic", "n")
+
+
+def known_columns(rows: DataFrame, features: list[str], y: str, keep: list[str | Column]) -> DataFrame:
+    """The rows with an outcome: ``keep``, the outcome (also rounded, in ``_y``), the columns with 0 where missing, and
+    a bit per missing column in ``_missing``."""
+    missing = F.lit(0).cast("long")
+    for i, f in enumerate(features):
+        missing = missing + F.when(finite(f).isNull(), F.lit(1 << i)).otherwise(0)
+    return rows.where(finite(y).isNotNull()).select(
+        *keep, finite(y).alias(y), F.round(finite(y), RANK_DIGITS).alias("_y"), missing.alias("_missing"),
+        *[F.coalesce(finite(f), F.lit(0.0)).alias(f) for f in features],
+    )
+
+
+def pooled_column_ics(known: DataFrame, features: list[str], n_groups: int = 1) -> DataFrame | None:
+    """(feature, _day, ic, n): rank correlation of every column with ``_y`` over all rows of each group (its number, up
+    to ``n_groups``, in ``_day``), NULL below ten rows or when a side is constant. ``known``: written rows of
+    ``known_columns``. None if many rows share an outcome, which pieces of the outcome cannot part."""
+    k = len(features)
+    placed, cuts, even = place_outcomes(known, "_y")
+    if not even:
+        return None
+    # a column is the model that predicts its own value
+    by_group = {g: [(g * k + i, 0, 1 << i, 0.0, row) for i, row in enumerate(np.eye(k))] for g in range(n_groups)}
+    names = [f"{g}:{f}" for g in range(n_groups) for f in features]
+    out = pooled_ics(placed, features, "_y", names, by_group, cuts)
+    name = F.split("variant", ":", 2)
+    return out.select(name[1].alias("feature"), name[0].cast("int").alias("_day"), "ic", "n")
+
+
 def date_ics(known: DataFrame, features: list[str], y: str, names: list[str], by_date: dict) -> DataFrame:
     """(variant, _day, ic, n): rank correlation per date; dates that cannot be measured drop out. A task takes a date."""
 
@@ -123,7 +195,9 @@ def pooled_ics(
     pred_cuts: dict[int, np.ndarray] = {}
     if n_pieces > 1:
         values = seen.select("v", F.explode("sample").alias("x")).groupBy("v").agg(F.percentile_approx("x", share, 100 * n_pieces).alias("cuts"))
-        pred_cuts = {r["v"]: np.unique(r["cuts"]) for r in values.collect()}
+        # a variant with a share of the rows takes that share of the pieces
+        step = [max(n_pieces // max(ceil(n / PIECE_ROWS), 1), 1) for n in whole.tolist()]
+        pred_cuts = {r["v"]: np.unique(r["cuts"][step[r["v"]] - 1 :: step[r["v"]]]) for r in values.collect()}
     none = np.empty(0)
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -183,7 +257,11 @@ def placed_rows(known: DataFrame, y: str, days: DataFrame) -> tuple[DataFrame, l
     """The rows of dates with a model, with the date's number and the piece of the outcome; the cuts between the
     pieces, and whether these are even (no value holds several shares of the rows)."""
     rows = known.withColumn(y, F.round(finite(y), RANK_DIGITS)).join(F.broadcast(days), "dt")  # a row per date
-    rows = cut_lineage(rows.drop("entity", "dt"))
+    return place_outcomes(cut_lineage(rows.drop("entity", "dt")), y)
+
+
+def place_outcomes(rows: DataFrame, y: str) -> tuple[DataFrame, list[float], bool]:
+    """Written rows with the piece of the outcome; the cuts between the pieces, and whether these are even."""
     pieces = max(ceil(rows.count() / PIECE_ROWS), 1)
     cuts = value_cuts(rows, [y], pieces)[0][y]
     return rows.withColumn("_piece", piece_of(F.col(y), cuts)), cuts, len(cuts) == pieces - 1
