@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -85,18 +86,20 @@ def episode_stats(
 ) -> DataFrame:
     """Counts, toggles per year, dwell (calendar days scaled to trading days) per series."""
     keys = keys or ["entity"]
-    runs = episodes(rows, flag, keys).withColumn(
-        "_dwell", F.datediff("end_dt", "start_dt") * (periods / 365.0)
+    days = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.sum(F.coalesce(F.col(flag), F.lit(False)).cast("int")).alias("n_on"),
     )
+    return _run_stats(days, episodes(rows, flag, keys), keys, periods, min_dwell)
+
+
+def _run_stats(days: DataFrame, runs: DataFrame, keys: list[str], periods: float, min_dwell: float) -> DataFrame:
+    runs = runs.withColumn("_dwell", F.datediff("end_dt", "start_dt") * (periods / 365.0))
     runs = runs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_episodes"),
         F.avg("_dwell").alias("mean_dwell"),
         F.avg((F.col("_dwell") < min_dwell).cast("double")).alias("share_short"),
     )
-    days = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_days"),
-        F.sum(F.coalesce(F.col(flag), F.lit(False)).cast("int")).alias("n_on"),
-    )
     out = days.join(runs, keys, "left").na.fill(0, ["n_episodes", "mean_dwell", "share_short"])
     return out.withColumn(
         "toggles_per_year", F.col("n_episodes") / F.greatest(F.col("n_days") / periods, F.lit(1e-9))
@@ -331,6 +334,16 @@ class LatchRules:
     min_run: int = 5
 
 
+@lru_cache(maxsize=8)
+def run_constants(kappa: float, alpha: float, n: int) -> tuple[np.ndarray, ...]:
+    """What follows from the run length alone, for n of them: log normalising constant, exponent and degrees of freedom
+    of the predictive density, factor of its width, pseudo-count, factor of the squared error."""
+    k = np.arange(n)
+    kappas, shapes = kappa + k, alpha + 0.5 * k
+    norms = np.array([math.lgamma(a + 0.5) - math.lgamma(a) - 0.5 * math.log(2 * a * math.pi) for a in shapes])
+    return norms, shapes + 0.5, 2 * shapes, (kappas + 1) / (shapes * kappas), kappas, kappas / (2 * (kappas + 1))
+
+
 class RunLengthPosterior:
     """Run-length distribution of a Gaussian series with unknown mean and variance.
 
@@ -343,33 +356,23 @@ class RunLengthPosterior:
         self.mass = np.asarray([1.0] if mass is None else mass, dtype=float)
         self.mean = np.asarray([prior.mu] if mean is None else mean, dtype=float)
         self.scale = np.asarray([prior.beta] if scale is None else scale, dtype=float)
-        # log normalising constants of the predictive density per run length, extended on demand
-        self._norm = np.empty(0)
-
-    def _norms(self, n: int) -> np.ndarray:
-        if len(self._norm) < n:
-            shapes = self.prior.alpha + 0.5 * np.arange(max(n, 2 * len(self._norm), 64))
-            self._norm = np.array(
-                [math.lgamma(a + 0.5) - math.lgamma(a) - 0.5 * math.log(2 * a * math.pi) for a in shapes]
-            )
-        return self._norm[:n]
+        self._fixed = run_constants(prior.kappa, prior.alpha, max(prior.horizon, len(self.mass)))
 
     def observe(self, x: float) -> None:
         p, n = self.prior, len(self.mass)
-        k = np.arange(n)
-        kappa, alpha = p.kappa + k, p.alpha + 0.5 * k
-        spread = np.sqrt(self.scale * (kappa + 1) / (alpha * kappa))
-        u = (x - self.mean) / spread
-        density = np.exp(self._norms(n) - (alpha + 0.5) * np.log1p(u * u / (2 * alpha))) / spread
-        joint = self.mass * density
-        mass = np.concatenate([[p.hazard * joint.sum()], (1 - p.hazard) * joint])
+        norm, power, twice, widen, kappa, gain = (c[:n] for c in self._fixed)
+        gap = x - self.mean
+        spread = np.sqrt(self.scale * widen)
+        u = gap / spread
+        joint = self.mass * np.exp(norm - power * np.log1p(u * u / twice)) / spread
+        mass, mean, scale = np.empty(n + 1), np.empty(n + 1), np.empty(n + 1)
+        mass[0], mean[0], scale[0] = p.hazard * joint.sum(), p.mu, p.beta
+        np.multiply(joint, 1 - p.hazard, out=mass[1:])
         total = mass.sum()
         if total > 0:
-            mass = mass / total
-        mean = np.concatenate([[p.mu], (kappa * self.mean + x) / (kappa + 1)])
-        scale = np.concatenate(
-            [[p.beta], self.scale + kappa * (x - self.mean) ** 2 / (2 * (kappa + 1))]
-        )
+            mass /= total
+        np.divide(kappa * self.mean + x, kappa + 1, out=mean[1:])
+        np.add(self.scale, gap * gap * gain, out=scale[1:])
         if len(mass) > p.horizon:
             mass[p.horizon - 1] += mass[p.horizon:].sum()
             mass, mean, scale = mass[: p.horizon], mean[: p.horizon], scale[: p.horizon]
@@ -436,44 +439,46 @@ TOGETHER = 256
 
 
 def run_length_masses(series: list[np.ndarray], hazards: np.ndarray, prior: ChangePointPrior, runs: list[int]):
-    """Per series: an array (observations x (runs + 1)) with the mass on each number of shortest runs, and the
-    mass of the likeliest run. One matrix (series x run lengths) advances one observation a step."""
+    """Per series, with a hazard of its own: an array (observations x (runs + 1)) with the mass on each number of
+    shortest runs, and the mass of the likeliest run."""
+    return run_length_grid(series, np.asarray(hazards, float)[None], prior, runs)[0]
+
+
+def run_length_grid(series: list[np.ndarray], hazards: np.ndarray, prior: ChangePointPrior, runs: list[int]):
+    """The same for every row of ``hazards`` (grid x series). One matrix (series x run lengths) advances one
+    observation a step; densities do not depend on the hazard, only the masses are kept for each."""
     order = sorted(range(len(series)), key=lambda i: -len(series[i]))
     sizes = np.array([len(series[i]) for i in order])
-    out = [np.empty((len(x), len(runs) + 1)) for x in series]
     values = np.zeros((len(series), int(sizes.max(initial=0))))
     for row, i in enumerate(order):
         values[row, : sizes[row]] = series[i]
-    found = np.empty((values.shape[1], len(series), len(runs) + 1))
-    h = np.asarray(hazards, float)[order][:, None]
-    n = len(series)
-    mass, mean, scale = np.ones((n, 1)), np.full((n, 1), prior.mu), np.full((n, 1), prior.beta)
-    shapes = prior.alpha + 0.5 * np.arange(prior.horizon + 1)
-    norms = np.array([math.lgamma(a + 0.5) - math.lgamma(a) - 0.5 * math.log(2 * a * math.pi) for a in shapes])
+    grid, n = len(hazards), len(series)
+    found = np.empty((values.shape[1], grid, n, len(runs) + 1))
+    h = np.asarray(hazards, float)[:, order, None]
+    mass, mean, scale = np.ones((grid, n, 1)), np.full((n, 1), prior.mu), np.full((n, 1), prior.beta)
+    fixed = run_constants(prior.kappa, prior.alpha, prior.horizon + 1)
     for t in range(values.shape[1]):
         # series are in order of falling length: those still running are the first ones
         n = int(np.searchsorted(-sizes, -t, "left"))
-        mass, mean, scale, x = mass[:n], mean[:n], scale[:n], values[:n, t : t + 1]
-        k = np.arange(mass.shape[1])
-        kappa, alpha = prior.kappa + k, shapes[: len(k)]
+        mass, mean, scale, x = mass[:, :n], mean[:n], scale[:n], values[:n, t : t + 1]
+        norm, power, twice, widen, kappa, gain = (c[: mean.shape[1]] for c in fixed)
         gap = x - mean
-        width = np.sqrt(scale * ((kappa + 1) / (alpha * kappa)))
+        width = np.sqrt(scale * widen)
         u = gap / width
-        joint = mass * np.exp(norms[: len(k)] - (alpha + 0.5) * np.log1p(u * u / (2 * alpha))) / width
-        mass = np.concatenate([h[:n] * joint.sum(axis=1, keepdims=True), (1 - h[:n]) * joint], axis=1)
-        total = mass.sum(axis=1, keepdims=True)
-        mass = mass / np.where(total > 0, total, 1.0)
+        joint = mass * np.exp(norm - power * np.log1p(u * u / twice)) / width
+        mass = np.concatenate([h[:, :n] * joint.sum(axis=2, keepdims=True), (1 - h[:, :n]) * joint], axis=2)
+        total = mass.sum(axis=2, keepdims=True)
+        mass /= np.where(total > 0, total, 1.0)
         mean = np.concatenate([np.full((n, 1), prior.mu), (kappa * mean + x) / (kappa + 1)], axis=1)
-        scale = np.concatenate([np.full((n, 1), prior.beta), scale + gap * gap * (kappa / (2 * (kappa + 1)))], axis=1)
-        if mass.shape[1] > prior.horizon:
-            mass[:, prior.horizon - 1] += mass[:, prior.horizon :].sum(axis=1)
-            mass, mean, scale = (a[:, : prior.horizon] for a in (mass, mean, scale))
+        scale = np.concatenate([np.full((n, 1), prior.beta), scale + gap * gap * gain], axis=1)
+        if mean.shape[1] > prior.horizon:
+            mass[..., prior.horizon - 1] += mass[..., prior.horizon :].sum(axis=2)
+            mass, mean, scale = (a[..., : prior.horizon] for a in (mass, mean, scale))
         for j, run in enumerate(runs):
-            found[t, :n, j] = mass[:, :run].sum(axis=1)
-        found[t, :n, -1] = mass.max(axis=1)
-    for row, i in enumerate(order):
-        out[i][:] = found[: sizes[row], row]
-    return out
+            found[t, :, :n, j] = mass[..., :run].sum(axis=2)
+        found[t, :, :n, -1] = mass.max(axis=2)
+    place = np.argsort(order)
+    return [[np.ascontiguousarray(found[: len(x), g, place[i]]) for i, x in enumerate(series)] for g in range(grid)]
 
 
 def run_length_posterior(
@@ -492,10 +497,10 @@ def run_length_posterior(
         pdf = pdf.sort_values(["entity", "dt"], kind="stable")
         first = np.flatnonzero(pdf["entity"].ne(pdf["entity"].shift()).to_numpy())
         series = np.split(pdf["z"].to_numpy(float), first[1:])
-        many = run_length_masses(series * len(hazards), np.repeat(hazards, len(series)), prior, runs)
+        many = run_length_grid(series, np.repeat(np.array(hazards)[:, None], len(series), axis=1), prior, runs)
         out = []
-        for i, hazard in enumerate(hazards):
-            block = np.concatenate(many[i * len(series) : (i + 1) * len(series)])
+        for hazard, each in zip(hazards, many):
+            block = np.concatenate(each)
             out.append(pdf[["entity", "dt", "z"]].assign(hazard=hazard, **{c: block[:, j] for j, c in enumerate(names)}))
         return pd.concat(out)[schema.names]
 
@@ -523,17 +528,25 @@ HAZARDS = (1 / 250.0, 1 / 500.0, 1 / 750.0, 1 / 1000.0)
 MIN_RUNS = (5, 10, 15)
 
 
-def latch_replays(
-    rows: DataFrame, value: str = "z", hazards=HAZARDS, min_runs=MIN_RUNS,
-    rules: LatchRules = LatchRules(),
+def wide_replays(
+    rows: DataFrame, value: str = "z", hazards=HAZARDS, min_runs=MIN_RUNS, rules: LatchRules = LatchRules(),
 ) -> DataFrame:
-    """(entity, dt, hazard, min_run, on) for every grid point. The posterior depends on the hazard
-    only, so one pass per (entity, hazard) serves all run lengths."""
+    """(entity, dt, hazard, on_<run>...): the latches of all run lengths beside each other."""
     source = cut_lineage(rows.where(F.col(value).isNotNull()).select("entity", "dt", F.col(value).alias("z")))
     longest = longest_series(source, ["entity"])
     found = run_length_posterior(source, list(min_runs), ChangePointPrior(), [float(h) for h in hazards])
     for m in min_runs:
         found = scan_latch(found, ["entity", "hazard"], f"short_{m}", replace(rules, min_run=m), longest, f"on_{m}")
+    return found.select("entity", "dt", "hazard", *[f"on_{m}" for m in min_runs])
+
+
+def latch_replays(
+    rows: DataFrame, value: str = "z", hazards=HAZARDS, min_runs=MIN_RUNS,
+    rules: LatchRules = LatchRules(),
+) -> DataFrame:
+    """(entity, dt, hazard, min_run, on) for every grid point. The posterior depends on the hazard
+    only, so one pass per (entity, hazard) serves all run lengths."""
+    found = wide_replays(rows, value, hazards, min_runs, rules)
     # three columns become three rows only now
     points = F.explode(F.array(*[F.struct(F.lit(m).alias("min_run"), F.col(f"on_{m}").alias("on")) for m in min_runs]))
     return found.select("entity", "dt", "hazard", points.alias("_p")).select("entity", "dt", "hazard", "_p.min_run", "_p.on")
@@ -595,9 +608,22 @@ def latch_grid(
 ) -> DataFrame:
     """Scores of every (entity, hazard, run length): dwell, toggles, lead, false positives."""
     keys = ["entity", "hazard", "min_run"]
-    replays = cut_lineage(latch_replays(rows, value, **grid))
-    stats = episode_stats(replays, "on", keys, periods)
-    leads = episode_leads(
-        episodes(replays, "on", keys), stretches, keys, periods=periods, match=["entity"]
-    )
+    wide = cut_lineage(wide_replays(rows, value, **grid))
+    min_runs = grid.get("min_runs", MIN_RUNS)
+    # counts and runs are taken beside each other; a row per run length only where its latch is on
+    w = Window.partitionBy("entity", "hazard").orderBy("dt")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    on = {m: F.coalesce(F.col(f"on_{m}"), F.lit(False)) for m in min_runs}
+    days = wide.groupBy("entity", "hazard").agg(F.count(F.lit(1)).alias("n_days"), *[F.sum(c.cast("int")).alias(f"n_{m}") for m, c in on.items()])
+    counts = F.explode(F.array(*[F.struct(F.lit(m).alias("min_run"), F.col(f"n_{m}").alias("n_on")) for m in min_runs]))
+    days = days.select("entity", "hazard", "n_days", counts.alias("_p")).select("entity", "hazard", "_p.min_run", "n_days", "_p.n_on")
+    tagged = wide.withColumns({f"_c{m}": (c != F.coalesce(F.lag(c).over(w), F.lit(False))).cast("int") for m, c in on.items()})
+    tagged = tagged.withColumns({f"_run{m}": F.sum(f"_c{m}").over(upto) for m in min_runs})
+    points = F.explode(F.array(*[F.struct(F.lit(m).alias("min_run"), c.alias("on"), F.col(f"_run{m}").alias("run")) for m, c in on.items()]))
+    runs = tagged.select("entity", "hazard", "dt", points.alias("_p")).where("_p.on").groupBy(
+        "entity", "hazard", F.col("_p.min_run").alias("min_run"), F.col("_p.run").alias("_run")
+    ).agg(F.min("dt").alias("start_dt"), F.max("dt").alias("end_dt"), F.count(F.lit(1)).alias("n_rows")).drop("_run")
+    runs = cut_lineage(runs)
+    stats = _run_stats(days, runs, keys, periods, 4.0)
+    leads = episode_leads(runs, stretches, keys, periods=periods, match=["entity"])
     return stats.join(leads, keys, "left").na.fill(0.0, ["false_positive_rate"])
