@@ -1,6 +1,8 @@
 """Ranks are one definition: the window of a bounded group and the ranges of an unbounded one agree."""
 
 import math
+import random
+import time
 from pathlib import Path
 
 import pytest
@@ -10,6 +12,7 @@ from panelith.functions import ranks as R
 from panelith.operators import evaluation as E
 from panelith.operators import joins as J
 from panelith.operators import windows as W
+from panelith.session import cut_lineage, discard
 from panelith.sources import files as FS
 from panelith.streaming import stateful as ST
 
@@ -53,6 +56,44 @@ def test_rank_normalize_agrees_and_keeps_rows(rows):
     assert frame(bounded) == frame(free)
 
 
+@pytest.mark.parametrize("limit", [R.WINDOW_GROUP_LIMIT, 40])
+def test_unbounded_ranks_write_no_row_per_feature(spark, monkeypatch, limit):
+    """Dates that fit a task and dates that go through ranges of the values, without the long form of all features."""
+    draw = random.Random(4)
+    value = lambda: draw.choice([None, NAN, 0.25, draw.random(), draw.random()])
+    data = [(draw.choice(["a", "a", "a", "b", None]), str(i), value(), value(), draw.random()) for i in range(400)]
+    rows = spark.createDataFrame(data, "dt string, entity string, f double, g double, h double")
+    want = frame(W.rank_normalize(rows, ["f", "g", "h"], 1000))
+    written, stage = [], W.cut_lineage
+
+    def noted(df):
+        out = stage(df)
+        written.append(out.count())
+        return out
+
+    for module in (W, R):
+        monkeypatch.setattr(module, "cut_lineage", noted)
+        monkeypatch.setattr(module, "WINDOW_GROUP_LIMIT", limit, raising=False)
+    assert frame(W.rank_normalize(rows, ["f", "g", "h"])) == want
+    assert max(written) == 400
+
+
+def test_staged_rows_leave_no_shuffle_files(spark):
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    staged = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and staged.count() == 7
+    discard(staged.where("k > 2"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        staged.count()
+
+
 def test_upsert_with_text_keys(spark):
     old = spark.createDataFrame([("d", "AAPL", 0.1), ("d", "MSFT", 0.3)], "dt string, entity string, predicted_alpha double")
     new = spark.createDataFrame([("d", "AAPL", 0.5), ("d", "IBM", None)], old.schema)
