@@ -1,5 +1,7 @@
 """Scans, the grid bootstrap and per-variant reads against plain pandas and numpy."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -239,3 +241,85 @@ def test_a_strip_is_shipped_packed(spark):
     at = np.array([0, 1, B.STEP - 1, B.STEP, B.STEP + 1, 999, 1000])
     want = [np.bincount(date[:i], count[:i], minlength=3) + [5, 0, 7] for i in at]
     np.testing.assert_array_equal(strip.before(at), want)
+
+
+@pytest.mark.parametrize("n_dates", [1, 5, 256, 257, 357, 70_000])
+def test_packed_dates_come_back(n_dates):
+    date = np.random.default_rng(n_dates).integers(0, n_dates, 1003)
+    packed = B.packed_dates(date, n_dates)
+    np.testing.assert_array_equal(B.unpacked_dates(packed, len(date), n_dates), date)
+    assert len(packed) <= 1003 + 9 * 126
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_battery_travels_once_for_all_scopes(spark, monkeypatch, whole):
+    """Against repeated rows: ties, copies, missing values and dates, two regimes a date, a constant outcome. No row per
+    horizon is written."""
+    rng = np.random.default_rng(11)
+    dates = [dt.date(2024, 1, 1) + dt.timedelta(days=7 * i) for i in range(30)]
+    pdf = pd.DataFrame([(e, d) for d in [*dates, None] for e in range(30)], columns=["entity", "dt"])
+    n = len(pdf)
+    pdf["p"] = rng.normal(size=n).round(1)
+    pdf["regime"] = np.where(rng.random(n) < 0.4, "bull", "bear")
+    pdf.loc[pdf["dt"].isna(), "regime"] = None
+    for h in (1, 4):
+        pdf[f"fwd_{h}"] = (0.3 * pdf.p + rng.normal(size=n)).round(2)
+        pdf.loc[rng.random(n) < 0.2, f"fwd_{h}"] = None
+    pdf["fwd_8"] = 1.5
+    pdf.loc[rng.random(n) < 0.05, "p"] = None
+    pdf.loc[pdf["dt"] == dates[3], "fwd_4"] = None
+    pdf = pd.concat([pdf, pdf[::9]], ignore_index=True)
+    rows = spark.createDataFrame([tuple(None if pd.isna(v) else v for v in r) for r in pdf.itertuples(index=False)],
+                                 "entity long, dt date, p double, regime string, fwd_1 double, fwd_4 double, fwd_8 double")
+    if not whole:
+        for name, value in (("STRIP", 100), ("LONG_STRIP", 300), ("PIECE_ROWS", 90)):
+            monkeypatch.setattr(B, name, value)
+    written, stage = [], E.cut_lineage
+
+    def noted(df):
+        out = stage(df)
+        if {"p", "_p", "actual", "_a"} & set(out.columns):
+            written.append(out.count())
+        return out
+
+    for module in (E, B):
+        monkeypatch.setattr(module, "cut_lineage", noted)
+    got = {(r["horizon"], r["scope"]): r for r in E.horizon_battery(
+        rows, "p", [1, 4, 8], "regime", 50, {1: 7, 4: 28, 8: 56}, nonoverlap_floor=3).collect()}
+    assert max(written) <= len(pdf) and sum(written) < 2 * len(pdf)
+
+    def ic(x, h):
+        return x.p.rank().corr(x[f"fwd_{h}"].rank()) if x.p.nunique() > 1 and x[f"fwd_{h}"].nunique() > 1 else None
+
+    def same(r, x, h, floor):
+        want = ic(x, h) if len(x) >= floor else None
+        assert r["n"] == len(x) and r["ic"] == (want if want is None else pytest.approx(want, abs=1e-9))
+
+    scopes = set()
+    for h in (1, 4, 8):
+        known = pdf.dropna(subset=["p", f"fwd_{h}"])
+        same(got[h, "overall"], known, h, 100)
+        for x in ("bull", "bear"):
+            same(got[h, x], known[known.regime == x], h, 30)
+        same(got[h, None], known[known.regime.isna()], h, 30)
+        kept, last = [], None
+        for d in dates:
+            if last is None or (d - last).days >= 7 * h:
+                kept.append(d)
+                last = d
+        same(got[h, "nonoverlap"], known[known["dt"].isin(kept) & (known.entity == 0)], h, 3)
+        # the missing date is drawn like any other
+        by_date = [known[known["dt"].isna()], *[known[known["dt"] == d] for d in dates if (known["dt"] == d).any()]]
+        ics = []
+        for times in B.draw_counts(len(by_date), np.arange(50), 42).astype(int):
+            ics.append(ic(pd.concat([x for x, t in zip(by_date, times) for _ in range(t)]), h))
+        ends = [None, None] if h == 8 else [pytest.approx(v, abs=1e-9) for v in np.percentile(ics, [2.5, 97.5])]
+        assert [got[h, "overall"]["ci_lo"], got[h, "overall"]["ci_hi"]] == ends
+        assert all(got[h, x]["ci_lo"] is None for x in ("bull", "bear", None, "nonoverlap"))
+        scopes |= {(h, x) for x in ("overall", "bull", "bear", None, "nonoverlap")}
+    assert got.keys() == scopes
+
+
+def test_battery_of_no_rows(spark):
+    rows = spark.createDataFrame([], "entity long, dt date, p double, regime string, fwd_1 double")
+    assert not E.horizon_battery(rows, "p", [1], "regime", 20, {1: 7}).collect()
